@@ -1,0 +1,34 @@
+"""Size checks that gate broadcast joins.
+
+A side is broadcast only when its row count has been *proven* to be under a
+bound: ``df.limit(n + 1).count()`` stops reading as soon as ``n + 1`` rows
+exist, so the check is cheap for large inputs and exact for small ones.
+Beyond the bound callers take a shuffle-based plan instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a merge source / dimension that may be shipped to every executor.
+DEFAULT_BROADCAST_MAX_ROWS = 200_000
+CONF_KEY = "chronoledger.broadcast.maxRows"
+
+
+def broadcast_max_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(CONF_KEY, None)
+    return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
+
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
+    if max_rows < 0:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Return ``broadcast(df)`` when its row count is under the bound, else ``df``."""
+    bound = broadcast_max_rows(df) if max_rows is None else max_rows
+    return F.broadcast(df) if rows_at_most(df, bound) else df
