@@ -46,8 +46,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
   SELECT *, ROW_NUMBER() OVER (PARTITION BY ingestion_id, video_id, step
     ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC) AS rn
   FROM outcomes_raw) WHERE rn = 1""",
-    "handoff": """SELECT CAST(conv_id % 3 AS VARCHAR) AS ingestion_id, CAST(conv_id AS VARCHAR) AS video_id,
-  CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id FROM conversations""",
+    "handoff": """SELECT CAST(o_orderkey AS VARCHAR) AS ingestion_id, CAST(o_custkey AS VARCHAR) AS video_id,
+  CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id
+FROM conversations JOIN orders ON conv_id = o_orderkey""",
     "vsnap": """SELECT CAST(user_id AS VARCHAR) AS video_id, CAST(event_id AS VARCHAR) AS ingestion_id, ts AS collected_at,
   CASE WHEN event_id % 7 <> 0 THEN CAST(floor(value * 100) AS BIGINT) END AS view_count,
   CAST(floor(value * 10) AS BIGINT) AS like_count,
@@ -95,9 +96,28 @@ FROM csnap s LEFT JOIN channels c ON s.channel_id = c.channel_id""",
 FROM targets t LEFT JOIN state s ON t.video_id = s.video_id""",
 }
 
+_STEPS = ["fetch_videos", "fetch_channels", "fetch_comments", "fetch_replies"]
+_NOT_DONE = "etapa não concluída"
+CTE["owned"] = """SELECT s.last_ingestion_id AS ingestion_id, t.video_id, t.refresh_interval_hours
+FROM targets t JOIN state s ON t.video_id = s.video_id WHERE s.status = 'PROCESSING'"""
+CTE["piv"] = ("SELECT ingestion_id, video_id, " + ", ".join(
+    f"max(CASE WHEN step = '{x}' THEN status END) AS {x}_status, "
+    f"max(CASE WHEN step = '{x}' THEN error_message END) AS {x}_error" for x in _STEPS)
+    + " FROM outcomes GROUP BY ingestion_id, video_id")
+_fail = lambda x: f"coalesce(p.{x}_status, 'FAILED') <> 'SUCCESS'"
+_any_fail = " OR ".join(_fail(x) for x in _STEPS)
+_text = "concat_ws('; ', " + ", ".join(
+    f"CASE WHEN {_fail(x)} THEN '{x}: ' || coalesce(nullif(p.{x}_error, ''), '{_NOT_DONE}') END"
+    for x in _STEPS) + ")"
+CTE["fin"] = f"""SELECT o.ingestion_id, o.video_id, o.refresh_interval_hours,
+  CASE WHEN p.fetch_videos_status = 'NOT_FOUND' THEN 'NOT_FOUND' WHEN {_any_fail} THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE WHEN p.fetch_videos_status = 'NOT_FOUND' THEN p.fetch_videos_error WHEN {_any_fail} THEN {_text} END AS error_message
+FROM owned o LEFT JOIN piv p ON o.ingestion_id = p.ingestion_id AND o.video_id = p.video_id"""
+
 # dependencies between stand-ins (emitted in this order)
 ORDER = ["targets", "state", "runs", "outcomes_raw", "outcomes", "handoff", "vsnap", "csnap",
-         "videos", "channels", "comments", "replies", "active", "vmetrics", "cmetrics", "vtargets"]
+         "videos", "channels", "comments", "replies", "active", "vmetrics", "cmetrics", "vtargets",
+         "owned", "piv", "fin"]
 
 
 def with_ctes(body: str, extra: list[tuple[str, str]] | None = None) -> str:
@@ -121,7 +141,12 @@ def with_ctes(body: str, extra: list[tuple[str, str]] | None = None) -> str:
             visit(name)
     parts = [f"{n} AS ({CTE[n]})" for n in ORDER if n in need]
     parts += [f"{n} AS ({sql})" for n, sql in extra]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    if not parts:
+        return body
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(parts) + ",\n" + stripped[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 def calendar_sql(as_of: str, days: int, name: str = "collected_date") -> str:

@@ -48,3 +48,414 @@ HAVING arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) IS NOT NULL"
 def q_video_trend(spark, d):
     return serve.video_trend(SI.targets(spark, d), SI.video_snapshots(spark, d),
                              SI.videos(spark, d), TREND_AS_OF, TREND_DAYS)
+
+
+VT_SQL = f"""SELECT a.video_id, max(m.video_title) AS video_title, max(m.channel_title) AS channel_title, d.collected_date,
+  arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) AS view_count,
+  arg_max_null(m.like_count, (m.collected_at, m.ingestion_id)) AS like_count,
+  arg_max_null(m.comment_count, (m.collected_at, m.ingestion_id)) AS comment_count
+FROM d CROSS JOIN active a
+LEFT JOIN vmetrics m ON m.video_id = a.video_id AND m.collected_at < d.collected_date + INTERVAL 1 DAY
+GROUP BY a.video_id, d.collected_date
+HAVING arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) IS NOT NULL"""
+
+CT_SQL = """SELECT a.channel_id, max(m.channel_title) AS channel_title, d.collected_date,
+  arg_max_null(m.subscriber_count, (m.collected_at, m.ingestion_id)) AS subscriber_count,
+  arg_max_null(m.video_count, (m.collected_at, m.ingestion_id)) AS video_count
+FROM d CROSS JOIN ac a
+LEFT JOIN cmetrics m ON m.channel_id = a.channel_id AND m.collected_at < d.collected_date + INTERVAL 1 DAY
+GROUP BY a.channel_id, d.collected_date
+HAVING arg_max_null(m.subscriber_count, (m.collected_at, m.ingestion_id)) IS NOT NULL"""
+
+AC_SQL = """SELECT DISTINCT m.channel_id FROM vmetrics m JOIN targets t ON m.video_id = t.video_id WHERE t.is_active"""
+CAL90 = ("d", O.calendar_sql(TREND_AS_OF, TREND_DAYS))
+
+
+def _trend_tables(spark, d):
+    return (SI.targets(spark, d), SI.video_snapshots(spark, d), SI.videos(spark, d))
+
+
+def _channel_trend(spark, d):
+    t, vs, v = _trend_tables(spark, d)
+    return serve.channel_trend(t, vs, v, SI.channel_snapshots(spark, d), SI.channels(spark, d),
+                               TREND_AS_OF, TREND_DAYS)
+
+
+@register("channel_trend", CT_SQL, [("ac", AC_SQL), CAL90])
+def q_channel_trend(spark, d):
+    return _channel_trend(spark, d)
+
+
+@register("views_total_by_day",
+          f"SELECT collected_date, CAST(sum(view_count) AS BIGINT) AS total_views FROM ({VT_SQL}) x GROUP BY collected_date",
+          [CAL90])
+def q_views_total_by_day(spark, d):
+    return serve.total_by_day(q_video_trend(spark, d), "view_count", "total_views")
+
+
+@register("subscribers_total_by_day",
+          f"SELECT collected_date, CAST(sum(subscriber_count) AS BIGINT) AS total_subscribers FROM ({CT_SQL}) x GROUP BY collected_date",
+          [("ac", AC_SQL), CAL90])
+def q_subscribers_total_by_day(spark, d):
+    return serve.total_by_day(_channel_trend(spark, d), "subscriber_count", "total_subscribers")
+
+
+@register("calendar_spine", "SELECT a.video_id, d.collected_date FROM d CROSS JOIN active a", [CAL90])
+def q_calendar_spine(spark, d):
+    return serve.video_calendar_spine(SI.targets(spark, d), TREND_AS_OF, TREND_DAYS)
+
+
+@register("range_join_history", """
+SELECT a.video_id, d.collected_date,
+  arg_max_null(m.ingestion_id, (m.collected_at, m.ingestion_id)) AS ingestion_id,
+  arg_max_null(m.collected_at, (m.collected_at, m.ingestion_id)) AS collected_at,
+  arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) AS view_count
+FROM d CROSS JOIN active a
+LEFT JOIN vsnap m ON m.video_id = a.video_id AND m.collected_at < d.collected_date + INTERVAL 1 DAY
+GROUP BY a.video_id, d.collected_date""", [("d", O.calendar_sql(TREND_AS_OF, HISTORY_DAYS))])
+def q_range_join_history(spark, d):
+    return serve.range_join_history(SI.targets(spark, d), SI.video_snapshots(spark, d),
+                                    TREND_AS_OF, HISTORY_DAYS)
+
+
+@register("latest_by_group", """
+SELECT video_id, ingestion_id, collected_at, view_count, like_count, comment_count FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY video_id ORDER BY collected_at DESC, ingestion_id DESC) AS rn
+  FROM vsnap) x WHERE rn = 1""")
+def q_latest_by_group(spark, d):
+    return serve.latest_by_group(SI.video_snapshots(spark, d))
+
+
+@register("latest_videos", """
+SELECT video_id, video_title, channel_title, collected_at, view_count, like_count, comment_count FROM (
+  SELECT m.*, ROW_NUMBER() OVER (PARTITION BY m.video_id ORDER BY m.collected_at DESC, m.ingestion_id DESC) AS rn
+  FROM vmetrics m JOIN targets t ON m.video_id = t.video_id WHERE t.is_active) x WHERE rn = 1""")
+def q_latest_videos(spark, d):
+    return serve.latest_videos(*_trend_tables(spark, d))
+
+
+@register("active_channels", AC_SQL)
+def q_active_channels(spark, d):
+    return serve.active_channels(*_trend_tables(spark, d))
+
+
+@register("view_video_metrics", "SELECT * FROM vmetrics")
+def q_view_video_metrics(spark, d):
+    return serve.view_video_metrics(SI.video_snapshots(spark, d), SI.videos(spark, d))
+
+
+@register("view_channel_metrics", "SELECT * FROM cmetrics")
+def q_view_channel_metrics(spark, d):
+    return serve.view_channel_metrics(SI.channel_snapshots(spark, d), SI.channels(spark, d))
+
+
+@register("entity_history", """
+SELECT m.* FROM vmetrics m WHERE m.video_id IN (SELECT video_id FROM owned)""")
+def q_entity_history(spark, d):
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d))
+    return serve.entity_history(SI.video_snapshots(spark, d), SI.videos(spark, d), owned)
+
+
+@register("view_targets", "SELECT * FROM vtargets")
+def q_view_targets(spark, d):
+    return serve.view_targets(SI.targets(spark, d), SI.state(spark, d))
+
+
+@register("kpi_targets", """
+SELECT CAST(sum(CASE WHEN is_active THEN 1 ELSE 0 END) AS BIGINT) AS active_videos,
+  CAST(sum(CASE WHEN is_active AND status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_videos,
+  CAST(sum(CASE WHEN last_succeeded_at IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS processed_videos
+FROM vtargets""")
+def q_kpi_targets(spark, d):
+    return serve.kpi_targets(SI.targets(spark, d), SI.state(spark, d))
+
+
+@register("distinct_active", "SELECT * FROM active")
+def q_distinct_active(spark, d):
+    return serve.active_ids(SI.targets(spark, d))
+
+
+VIEW_RUNS_SQL = """SELECT ingestion_id, channel_name, started_at, ended_at, status, error_message,
+  CASE WHEN ended_at IS NOT NULL THEN CAST(epoch(ended_at) - epoch(started_at) AS BIGINT) END AS duration_seconds
+FROM runs"""
+RUNS_AS_OF = SI.AS_OF_RUNS
+RUNS_LIMIT = 100
+
+
+@register("view_runs", VIEW_RUNS_SQL)
+def q_view_runs(spark, d):
+    return serve.view_runs(SI.runs(spark, d))
+
+
+@register("runs_recent", f"""SELECT * FROM ({VIEW_RUNS_SQL}) v
+WHERE started_at >= TIMESTAMP '{RUNS_AS_OF}' - INTERVAL 30 DAYS
+ORDER BY started_at DESC, ingestion_id DESC LIMIT {RUNS_LIMIT}""")
+def q_runs_recent(spark, d):
+    return serve.runs_recent(SI.runs(spark, d), RUNS_AS_OF, 30, RUNS_LIMIT)
+
+
+@register("local_time", """SELECT ingestion_id,
+  (started_at AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS started_at_local,
+  (ended_at AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS ended_at_local
+FROM runs""")
+def q_local_time(spark, d):
+    from chronoledger.functions.columns import utc_to_local
+    r = SI.runs(spark, d)
+    return r.select("ingestion_id", utc_to_local("started_at", "America/Sao_Paulo").alias("started_at_local"),
+                    utc_to_local("ended_at", "America/Sao_Paulo").alias("ended_at_local"))
+
+
+# ---------------------------------------------------------------- queue
+QUEUE_AS_OF = SI.AS_OF_QUEUE
+BATCH = 20
+DUE_SQL = f"""SELECT t.video_id, t.refresh_interval_hours FROM targets t LEFT JOIN state s ON t.video_id = s.video_id
+WHERE t.is_active AND (s.video_id IS NULL
+  OR (s.status <> 'PROCESSING' AND (s.next_refresh_at IS NULL OR s.next_refresh_at <= TIMESTAMP '{QUEUE_AS_OF}'))
+  OR (s.status = 'PROCESSING' AND s.claimed_at < TIMESTAMP '{QUEUE_AS_OF}' - INTERVAL 2 HOURS))
+ORDER BY CASE WHEN s.last_succeeded_at IS NULL THEN 0 ELSE 1 END, t.priority DESC,
+  s.next_refresh_at ASC NULLS FIRST, t.video_id LIMIT {BATCH}"""
+
+
+@register("claim_due", DUE_SQL)
+def q_claim_due(spark, d):
+    from chronoledger.operators.queue import claim_due
+    return claim_due(SI.targets(spark, d), SI.state(spark, d), QUEUE_AS_OF, BATCH)
+
+
+@register("stale_claims", f"""SELECT * FROM state
+WHERE status = 'PROCESSING' AND claimed_at < TIMESTAMP '{QUEUE_AS_OF}' - INTERVAL 2 HOURS""")
+def q_stale_claims(spark, d):
+    from chronoledger.operators.queue import stale_claims
+    return stale_claims(SI.state(spark, d), QUEUE_AS_OF)
+
+
+@register("owned_targets", "SELECT * FROM owned")
+def q_owned_targets(spark, d):
+    from chronoledger.operators.queue import owned_targets
+    return owned_targets(SI.targets(spark, d), SI.state(spark, d))
+
+
+@register("next_refresh", """SELECT s.video_id, s.last_attempt_at + to_hours(CAST(t.refresh_interval_hours AS BIGINT)) AS next_refresh_at
+FROM state s JOIN targets t ON s.video_id = t.video_id""")
+def q_next_refresh(spark, d):
+    from chronoledger.operators.queue import next_refresh
+    s, t = SI.state(spark, d), SI.targets(spark, d)
+    return s.join(t.select("video_id", "refresh_interval_hours"), "video_id").select(
+        "video_id", next_refresh("last_attempt_at", "refresh_interval_hours").alias("next_refresh_at"))
+
+
+@register("semi_join_ids", """SELECT video_id, channel_id, title, view_count FROM videos
+WHERE video_id IN (SELECT video_id FROM owned)""")
+def q_semi_join_ids(spark, d):
+    from chronoledger.operators.queue import owned_targets
+    ids = owned_targets(SI.targets(spark, d), SI.state(spark, d)).select("video_id")
+    return SI.videos(spark, d).join(ids, "video_id", "left_semi").select(
+        "video_id", "channel_id", "title", "view_count")
+
+
+@register("request_batches", """SELECT bucket, batch_no, count(*) AS n_ids, string_agg(video_id, ',' ORDER BY video_id) AS ids
+FROM (SELECT video_id, CAST(CAST(video_id AS BIGINT) % 8 AS INTEGER) AS bucket,
+        CAST((ROW_NUMBER() OVER (PARTITION BY CAST(video_id AS BIGINT) % 8 ORDER BY video_id) - 1) // 50 AS BIGINT) AS batch_no
+      FROM targets) x GROUP BY bucket, batch_no""")
+def q_request_batches(spark, d):
+    from chronoledger.operators.queue import request_batches
+    t = SI.targets(spark, d)
+    return request_batches(t, "video_id", 50, bucket=F.pmod(F.col("video_id").cast("bigint"), F.lit(8)).cast("int"))
+
+
+@register("merge_claim", f"""WITH c AS ({DUE_SQL})
+SELECT COALESCE(s.video_id, c.video_id) AS video_id,
+  CASE WHEN c.video_id IS NOT NULL THEN 'PROCESSING' ELSE s.status END AS status,
+  s.first_processed_at,
+  CASE WHEN c.video_id IS NOT NULL THEN TIMESTAMP '{QUEUE_AS_OF}' ELSE s.claimed_at END AS claimed_at,
+  CASE WHEN c.video_id IS NOT NULL THEN TIMESTAMP '{QUEUE_AS_OF}' ELSE s.last_attempt_at END AS last_attempt_at,
+  s.last_succeeded_at, s.next_refresh_at,
+  CASE WHEN c.video_id IS NULL THEN s.attempt_count WHEN s.video_id IS NULL THEN 1 ELSE s.attempt_count + 1 END AS attempt_count,
+  CASE WHEN c.video_id IS NOT NULL THEN 'claim-run' ELSE s.last_ingestion_id END AS last_ingestion_id,
+  CASE WHEN c.video_id IS NOT NULL THEN NULL ELSE s.error_message END AS error_message
+FROM state s FULL OUTER JOIN c ON s.video_id = c.video_id""")
+def q_merge_claim(spark, d):
+    from chronoledger.operators.queue import claim_due, claim_merge
+    t, s = SI.targets(spark, d), SI.state(spark, d)
+    claimed = claim_due(t, s, QUEUE_AS_OF, BATCH)
+    return claim_merge(s, claimed, "claim-run", QUEUE_AS_OF)
+
+
+# ---------------------------------------------------------------- outcomes
+@register("succeeded_entities", """SELECT o.* FROM owned o
+WHERE EXISTS (SELECT 1 FROM outcomes x WHERE x.ingestion_id = o.ingestion_id AND x.video_id = o.video_id
+  AND x.step = 'fetch_videos' AND x.status = 'SUCCESS')""")
+def q_succeeded_entities(spark, d):
+    from chronoledger.operators.outcomes import succeeded_entities
+    from chronoledger.operators.queue import owned_targets
+    return succeeded_entities(owned_targets(SI.targets(spark, d), SI.state(spark, d)), SI.outcomes(spark, d))
+
+
+RETURNED_VIDEOS_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS video_id FROM customer WHERE c_acctbal >= 0"
+
+
+def _returned_videos(spark, d, owned):
+    """Videos the source returned for each owned run: those with a
+    non-negative balance stand in for ids the API still knows."""
+    from chronoledger.sources.tables import load
+    c = load(spark, d, "customer").where(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").cast("string").alias("video_id"))
+    return owned.select("ingestion_id", "video_id").join(c, "video_id", "left_semi")
+
+
+@register("missing_entities", f"""SELECT o.ingestion_id, o.video_id FROM owned o
+WHERE o.video_id NOT IN ({RETURNED_VIDEOS_SQL})""")
+def q_missing_entities(spark, d):
+    from chronoledger.operators.outcomes import missing_entities
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d)).select("ingestion_id", "video_id")
+    return missing_entities(owned, _returned_videos(spark, d, owned), ["ingestion_id", "video_id"])
+
+
+@register("video_outcomes", f"""SELECT o.ingestion_id, o.video_id, 'fetch_videos' AS step,
+  CASE WHEN r.video_id IS NOT NULL THEN 'SUCCESS' ELSE 'NOT_FOUND' END AS status,
+  TIMESTAMP '{QUEUE_AS_OF}' AS completed_at,
+  CASE WHEN r.video_id IS NULL THEN 'Vídeo não encontrado ou não está acessível' END AS error_message
+FROM owned o LEFT JOIN ({RETURNED_VIDEOS_SQL}) r ON o.video_id = r.video_id""")
+def q_video_outcomes(spark, d):
+    from chronoledger import schemas as S
+    from chronoledger.operators.outcomes import found_outcomes
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d))
+    return found_outcomes(owned, _returned_videos(spark, d, owned), "video_id", "fetch_videos",
+                          S.ST_NOT_FOUND, S.MSG_VIDEO_NOT_FOUND, QUEUE_AS_OF)
+
+
+PARENT_SQL = """SELECT o.ingestion_id, o.video_id, v.channel_id FROM owned o JOIN videos v ON o.video_id = v.video_id
+WHERE EXISTS (SELECT 1 FROM outcomes x WHERE x.ingestion_id = o.ingestion_id AND x.video_id = o.video_id
+  AND x.step = 'fetch_videos' AND x.status = 'SUCCESS')"""
+
+
+def _parent_lookup(spark, d):
+    from chronoledger.operators.outcomes import parent_lookup, succeeded_entities
+    from chronoledger.operators.queue import owned_targets
+    ok = succeeded_entities(owned_targets(SI.targets(spark, d), SI.state(spark, d)), SI.outcomes(spark, d))
+    return parent_lookup(ok, SI.videos(spark, d))
+
+
+@register("parent_lookup", PARENT_SQL)
+def q_parent_lookup(spark, d):
+    return _parent_lookup(spark, d)
+
+
+@register("parent_outcomes", f"""WITH vc AS ({PARENT_SQL}),
+rc AS (SELECT DISTINCT vc.ingestion_id, vc.channel_id FROM vc JOIN nation n ON vc.channel_id = CAST(n.n_nationkey AS VARCHAR)
+       WHERE n.n_regionkey <> 0)
+SELECT vc.ingestion_id, vc.video_id, 'fetch_channels' AS step,
+  CASE WHEN rc.channel_id IS NOT NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  TIMESTAMP '{QUEUE_AS_OF}' AS completed_at,
+  CASE WHEN rc.channel_id IS NULL THEN 'Canal do vídeo não foi retornado pela API' END AS error_message
+FROM vc LEFT JOIN rc ON vc.ingestion_id = rc.ingestion_id AND vc.channel_id = rc.channel_id""")
+def q_parent_outcomes(spark, d):
+    from chronoledger.operators.outcomes import parent_outcomes
+    from chronoledger.sources.tables import load
+    vc = _parent_lookup(spark, d)
+    # channels of region 0 stand in for channels the source did not return
+    ok = load(spark, d, "nation").where(F.col("n_regionkey") != 0).select(
+        F.col("n_nationkey").cast("string").alias("channel_id"))
+    returned = vc.select("ingestion_id", "channel_id").join(ok, "channel_id", "left_semi")
+    return parent_outcomes(vc, returned, QUEUE_AS_OF)
+
+
+@register("outcomes_pivot", "SELECT * FROM piv")
+def q_outcomes_pivot(spark, d):
+    from chronoledger.operators.outcomes import outcomes_flat, outcomes_pivot
+    return outcomes_flat(outcomes_pivot(SI.outcomes(spark, d)))
+
+
+@register("finalize_targets", "SELECT * FROM fin")
+def q_finalize_targets(spark, d):
+    from chronoledger.operators.outcomes import finalize_targets
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d))
+    return finalize_targets(owned, SI.outcomes(spark, d))
+
+
+FINAL_RUNS_SQL = """SELECT ingestion_id, count(*) AS targets, count(*) FILTER (WHERE status <> 'SUCCESS') AS failed,
+  CASE WHEN count(*) FILTER (WHERE status <> 'SUCCESS') = 0 THEN 'SUCCESS' ELSE 'PARTIAL_SUCCESS' END AS status
+FROM fin GROUP BY ingestion_id"""
+
+
+def _final(spark, d):
+    from chronoledger.operators.outcomes import finalize_targets
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d))
+    return owned, finalize_targets(owned, SI.outcomes(spark, d))
+
+
+@register("finalize_runs", FINAL_RUNS_SQL)
+def q_finalize_runs(spark, d):
+    from chronoledger.operators.outcomes import finalize_runs
+    return finalize_runs(_final(spark, d)[1])
+
+
+@register("step_counts", """SELECT ingestion_id, step, count(*) AS n_rows, count(*) FILTER (WHERE status = 'SUCCESS') AS n_success
+FROM outcomes GROUP BY ingestion_id, step""")
+def q_step_counts(spark, d):
+    from chronoledger.operators.outcomes import step_counts
+    return step_counts(SI.outcomes(spark, d))
+
+
+NAMES_SQL = """SELECT r.ingestion_id, n.channel_name FROM (SELECT DISTINCT ingestion_id FROM owned) r LEFT JOIN (
+  SELECT o.ingestion_id, string_agg(DISTINCT c.title, ', ' ORDER BY c.title) AS channel_name
+  FROM owned o JOIN videos v ON o.video_id = v.video_id JOIN channels c ON v.channel_id = c.channel_id
+  WHERE c.title IS NOT NULL GROUP BY o.ingestion_id) n ON r.ingestion_id = n.ingestion_id"""
+
+
+@register("run_channel_names", NAMES_SQL)
+def q_run_channel_names(spark, d):
+    from chronoledger.operators.outcomes import run_channel_names
+    from chronoledger.operators.queue import owned_targets
+    owned = owned_targets(SI.targets(spark, d), SI.state(spark, d))
+    return run_channel_names(owned, SI.videos(spark, d), SI.channels(spark, d))
+
+
+@register("children_by_parent", """SELECT p.ingestion_id, p.video_id, h.comment_id FROM
+  (SELECT DISTINCT ingestion_id, video_id FROM outcomes WHERE step = 'fetch_comments' AND status = 'SUCCESS') p
+  LEFT JOIN handoff h ON p.ingestion_id = h.ingestion_id AND p.video_id = h.video_id""")
+def q_children_by_parent(spark, d):
+    from chronoledger.operators.outcomes import children_by_parent
+    return children_by_parent(SI.handoff(spark, d), SI.outcomes(spark, d))
+
+
+@register("merge_finish_target", f"""SELECT s.video_id,
+  CASE WHEN f.video_id IS NOT NULL THEN f.status ELSE s.status END AS status,
+  CASE WHEN f.video_id IS NOT NULL THEN coalesce(s.first_processed_at, CASE WHEN f.status = 'SUCCESS' THEN TIMESTAMP '{QUEUE_AS_OF}' END)
+       ELSE s.first_processed_at END AS first_processed_at,
+  CASE WHEN f.video_id IS NOT NULL THEN NULL ELSE s.claimed_at END AS claimed_at,
+  s.last_attempt_at,
+  CASE WHEN f.video_id IS NOT NULL AND f.status = 'SUCCESS' THEN TIMESTAMP '{QUEUE_AS_OF}' ELSE s.last_succeeded_at END AS last_succeeded_at,
+  CASE WHEN f.video_id IS NOT NULL THEN TIMESTAMP '{QUEUE_AS_OF}' + to_hours(CAST(f.refresh_interval_hours AS BIGINT))
+       ELSE s.next_refresh_at END AS next_refresh_at,
+  s.attempt_count,
+  CASE WHEN f.video_id IS NOT NULL THEN f.ingestion_id ELSE s.last_ingestion_id END AS last_ingestion_id,
+  CASE WHEN f.video_id IS NOT NULL THEN f.error_message ELSE s.error_message END AS error_message
+FROM state s LEFT JOIN fin f ON s.video_id = f.video_id""")
+def q_merge_finish_target(spark, d):
+    from chronoledger.operators.queue import finish_targets_merge
+    _, fin = _final(spark, d)
+    return finish_targets_merge(SI.state(spark, d), fin, QUEUE_AS_OF)
+
+
+@register("merge_finish_run", f"""WITH fr AS ({FINAL_RUNS_SQL}), nm AS ({NAMES_SQL})
+SELECT r.ingestion_id, r.channel_handle,
+  CASE WHEN fr.ingestion_id IS NOT NULL THEN coalesce(nm.channel_name, r.channel_name) ELSE r.channel_name END AS channel_name,
+  r.started_at,
+  CASE WHEN fr.ingestion_id IS NOT NULL THEN TIMESTAMP '{QUEUE_AS_OF}' ELSE r.ended_at END AS ended_at,
+  CASE WHEN fr.ingestion_id IS NOT NULL THEN fr.status ELSE r.status END AS status,
+  CASE WHEN fr.ingestion_id IS NOT NULL THEN NULL ELSE r.error_message END AS error_message
+FROM runs r LEFT JOIN fr ON r.ingestion_id = fr.ingestion_id LEFT JOIN nm ON r.ingestion_id = nm.ingestion_id""")
+def q_merge_finish_run(spark, d):
+    from chronoledger.operators.outcomes import finalize_runs, run_channel_names
+    from chronoledger.operators.queue import finish_runs_merge
+    owned, fin = _final(spark, d)
+    names = run_channel_names(owned, SI.videos(spark, d), SI.channels(spark, d))
+    closed = finalize_runs(fin).join(names, "ingestion_id", "left").select(
+        "ingestion_id", "status", F.lit(None).cast("string").alias("error_message"), "channel_name")
+    return finish_runs_merge(SI.runs(spark, d), closed, QUEUE_AS_OF)

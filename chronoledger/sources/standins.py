@@ -132,10 +132,14 @@ def outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def handoff(spark: SparkSession, d: str) -> DataFrame:
+    """Comments staged by a run for its video: conversation ``c`` was
+    fetched by run ``c`` (the order with that key) for that order's customer."""
     c = load(spark, d, "conversations")
-    return c.select(
-        _s(F.col("conv_id") % 3).alias("ingestion_id"),
-        _s("conv_id").alias("video_id"),
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    j = c.join(o, c.conv_id == o.o_orderkey, "inner")
+    return j.select(
+        _s("o_orderkey").alias("ingestion_id"),
+        _s("o_custkey").alias("video_id"),
         F.concat(_s("conv_id"), F.lit("-"), _s("turn")).alias("comment_id"),
     )
 
