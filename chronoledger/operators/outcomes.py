@@ -164,3 +164,22 @@ def step_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("ingestion_id", "step").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("status") == S.ST_SUCCESS).alias("n_success"))
+
+
+def comment_outcomes(videos: DataFrame, failures: DataFrame) -> DataFrame:
+    """Per-video outcome of a step fetched independently per video.
+
+    ``failures``: (video_id, ts, attempt_id, status_code, body) of failed
+    requests; the earliest failure of a video stops it. COMMENTS_DISABLED
+    counts as SUCCESS (zero comments); any other error is FAILED with its
+    message; videos without failures succeed."""
+    from chronoledger.functions.errors import classify_error, step_outcome_from_error
+    from chronoledger.operators.dedupe import earliest_per_key
+
+    first = earliest_per_key(failures.select("video_id", "ts", "attempt_id", "status_code", "body"),
+                             "video_id", ["ts", "attempt_id"])
+    c = classify_error("status_code", "body")
+    first = first.select("video_id", c["category"].alias("category"), c["message"].alias("message"))
+    j = videos.select("video_id").distinct().join(first, "video_id", "left")
+    status, error = step_outcome_from_error("category", "message")
+    return j.select("video_id", status.alias("status"), error.alias("error_message"), "category")

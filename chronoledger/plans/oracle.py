@@ -114,10 +114,42 @@ CTE["fin"] = f"""SELECT o.ingestion_id, o.video_id, o.refresh_interval_hours,
   CASE WHEN p.fetch_videos_status = 'NOT_FOUND' THEN p.fetch_videos_error WHEN {_any_fail} THEN {_text} END AS error_message
 FROM owned o LEFT JOIN piv p ON o.ingestion_id = p.ingestion_id AND o.video_id = p.video_id"""
 
+CTE["failures"] = """SELECT event_id AS attempt_id, CAST(user_id AS VARCHAR) AS video_id, ts, event_type,
+  CAST([400, 401, 403, 404, 429, 500, 502, 503, 504, 418, 403, NULL][event_id % 12 + 1] AS INTEGER) AS status_code,
+  ['{"error":{"reason":"commentsDisabled"}}', '{"error":{"errors":[{"reason":"rateLimitExceeded"}]}}',
+   '{"error":{"errors":[{"reason":"quotaExceeded"},{"reason":"other"}]}}', '{}', 'Service Unavailable', NULL,
+   '{"error":{"code":403,"errors":[{"reason":"dailyLimitExceeded"}]}}', '{"error":{"reason":"userRateLimitExceeded"}}',
+   '{"error":"backendError"}'][(event_id // 12) % 9 + 1] AS body
+FROM events"""
+CTE["classified"] = """SELECT *, '[' || category || '] HTTP ' || coalesce(CAST(status_code AS VARCHAR), '-') || ': ' || coalesce(body, '') AS message,
+  category IN ('RATE_LIMITED', 'TRANSIENT_SERVER', 'TRANSIENT_NETWORK') AS retryable
+FROM (SELECT *, CASE
+    WHEN list_contains(reasons, 'commentsDisabled') THEN 'COMMENTS_DISABLED'
+    WHEN list_has_any(reasons, ['rateLimitExceeded', 'userRateLimitExceeded']) OR status_code = 429 THEN 'RATE_LIMITED'
+    WHEN list_has_any(reasons, ['dailyLimitExceeded', 'quotaExceeded']) THEN 'QUOTA_EXCEEDED'
+    WHEN status_code IN (401, 403) THEN 'AUTHENTICATION'
+    WHEN status_code = 404 THEN 'NOT_FOUND'
+    WHEN status_code = 400 THEN 'INVALID_REQUEST'
+    WHEN status_code IN (500, 502, 503, 504) THEN 'TRANSIENT_SERVER'
+    WHEN status_code IS NULL THEN 'TRANSIENT_NETWORK'
+    ELSE 'UNKNOWN' END AS category
+  FROM (SELECT *, CASE WHEN body IS NOT NULL AND json_valid(body) THEN list_filter(list_concat(
+      coalesce(CAST(json_extract_string(body, '$.error.errors[*].reason') AS VARCHAR[]), []),
+      [json_extract_string(body, '$.error.reason')]), lambda r: r IS NOT NULL AND r <> '') ELSE [] END AS reasons
+    FROM failures) a) b"""
+CTE["cand"] = """SELECT CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS video_id,
+  CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS ingestion_id, ts AS collected_at,
+  CAST(floor(value * 100) AS BIGINT) AS view_count, CAST(floor(value * 10) AS BIGINT) AS like_count,
+  CAST(floor(value) AS BIGINT) AS comment_count
+FROM events"""
+CTE["newtargets"] = """SELECT 's' || CAST(s_suppkey AS VARCHAR) AS video_id, true AS is_active, CAST(s_nationkey AS INTEGER) AS priority,
+  CAST(24 AS INTEGER) AS refresh_interval_hours, TIMESTAMP '1995-09-01 00:00:00' AS created_at,
+  TIMESTAMP '1995-09-01 00:00:00' AS updated_at FROM supplier"""
+
 # dependencies between stand-ins (emitted in this order)
 ORDER = ["targets", "state", "runs", "outcomes_raw", "outcomes", "handoff", "vsnap", "csnap",
          "videos", "channels", "comments", "replies", "active", "vmetrics", "cmetrics", "vtargets",
-         "owned", "piv", "fin"]
+         "owned", "piv", "fin", "failures", "classified", "cand", "newtargets"]
 
 
 def with_ctes(body: str, extra: list[tuple[str, str]] | None = None) -> str:

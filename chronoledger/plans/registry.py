@@ -459,3 +459,409 @@ def q_merge_finish_run(spark, d):
     closed = finalize_runs(fin).join(names, "ingestion_id", "left").select(
         "ingestion_id", "status", F.lit(None).cast("string").alias("error_message"), "channel_name")
     return finish_runs_merge(SI.runs(spark, d), closed, QUEUE_AS_OF)
+
+
+# ---------------------------------------------------------------- merges
+from chronoledger.operators import dedupe as D  # noqa: E402
+from chronoledger.operators import merge as M  # noqa: E402
+
+T1 = "2024-01-15 00:00:00"
+T_NOW = "2024-01-30 00:00:00"
+
+
+def _upsert_sides(spark, d):
+    tgt = SI.current_videos(spark, d, T1, None, F.col("user_id") % 5 != 0, T1)
+    src = SI.current_videos(spark, d, None, T1, F.col("user_id") % 4 != 0, T_NOW)
+    return tgt, src
+
+
+def _cur_sql(cond, keep, at):
+    return f"""SELECT video_id, title, view_count, TIMESTAMP '{at}' AS ingested_at FROM (
+  SELECT CAST(user_id AS VARCHAR) AS video_id, event_type || ' #' || CAST(event_id AS VARCHAR) AS title,
+    CAST(floor(value * 100) AS BIGINT) AS view_count,
+    ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE {cond} AND {keep}) x WHERE rn = 1"""
+
+
+UPSERT_SIDES = [("tgt", _cur_sql(f"ts < TIMESTAMP '{T1}'", "user_id % 5 <> 0", T1)),
+                ("src", _cur_sql(f"ts >= TIMESTAMP '{T1}'", "user_id % 4 <> 0", T_NOW))]
+UPSERT_SQL = """SELECT coalesce(s.video_id, t.video_id) AS video_id,
+  CASE WHEN s.video_id IS NOT NULL THEN s.title ELSE t.title END AS title,
+  CASE WHEN s.video_id IS NOT NULL THEN s.view_count ELSE t.view_count END AS view_count,
+  CASE WHEN s.video_id IS NOT NULL THEN s.ingested_at ELSE t.ingested_at END AS ingested_at
+FROM tgt t FULL OUTER JOIN src s ON t.video_id = s.video_id"""
+
+
+@register("merge_upsert", UPSERT_SQL, UPSERT_SIDES)
+def q_merge_upsert(spark, d):
+    tgt, src = _upsert_sides(spark, d)
+    return M.upsert(tgt, src, "video_id")
+
+
+@register("merge_upsert_shuffle", UPSERT_SQL, UPSERT_SIDES)
+def q_merge_upsert_shuffle(spark, d):
+    """Same merge forced onto the shuffle (full outer join) plan."""
+    tgt, src = _upsert_sides(spark, d)
+    return M.upsert(tgt, src, "video_id", strategy="shuffle")
+
+
+INS_SIDES = [("tgt", "SELECT * FROM vsnap WHERE collected_at < TIMESTAMP '2024-01-20 00:00:00'"),
+             ("src", """SELECT video_id, ingestion_id, collected_at, view_count + 1 AS view_count, like_count, comment_count
+FROM vsnap WHERE collected_at >= TIMESTAMP '2024-01-10 00:00:00'""")]
+
+
+@register("merge_insert_only", """SELECT * FROM tgt UNION ALL
+SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.video_id = s.video_id AND t.ingestion_id = s.ingestion_id)""",
+          INS_SIDES)
+def q_merge_insert_only(spark, d):
+    snaps = SI.video_snapshots(spark, d)
+    tgt = snaps.where(F.col("collected_at") < SI.ts("2024-01-20 00:00:00"))
+    src = snaps.where(F.col("collected_at") >= SI.ts("2024-01-10 00:00:00")).withColumn(
+        "view_count", F.col("view_count") + 1)
+    return M.insert_only(tgt, src, ["video_id", "ingestion_id"])
+
+
+def _dedup_sql(where):
+    return f"""SELECT ingestion_id, video_id, step, status, completed_at, error_message FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ingestion_id, video_id, step
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC) AS rn
+  FROM outcomes_raw WHERE {where}) x WHERE rn = 1"""
+
+
+@register("merge_composite_key", """SELECT coalesce(t.ingestion_id, s.ingestion_id) AS ingestion_id,
+  coalesce(t.video_id, s.video_id) AS video_id, coalesce(t.step, s.step) AS step,
+  CASE WHEN s.step IS NOT NULL THEN s.status ELSE t.status END AS status,
+  CASE WHEN s.step IS NOT NULL THEN s.completed_at ELSE t.completed_at END AS completed_at,
+  CASE WHEN s.step IS NOT NULL THEN s.error_message ELSE t.error_message END AS error_message
+FROM tgt t FULL OUTER JOIN src s ON t.ingestion_id = s.ingestion_id AND t.video_id = s.video_id AND t.step = s.step""",
+          [("tgt", _dedup_sql("status = 'SUCCESS'")), ("src", _dedup_sql("status <> 'SUCCESS'"))])
+def q_merge_composite_key(spark, d):
+    raw = SI.outcomes_raw(spark, d)
+    keys = ["ingestion_id", "video_id", "step"]
+    cols = [f.name for f in __import__("chronoledger.schemas", fromlist=["x"]).INGESTION_STEP_OUTCOMES.fields]
+    tgt = D.latest_per_key(raw.where(F.col("status") == "SUCCESS"), keys, SI.OUTCOME_ORDER).select(*cols)
+    src = D.latest_per_key(raw.where(F.col("status") != "SUCCESS"), keys, SI.OUTCOME_ORDER).select(*cols)
+    return M.merge(tgt, src, keys,
+                   update={"status": "s.status", "completed_at": "s.completed_at",
+                           "error_message": "s.error_message"},
+                   insert="*")
+
+
+@register("merge_source_conflicts", """SELECT ingestion_id, video_id, step, count(*) AS n_rows FROM outcomes_raw
+GROUP BY ingestion_id, video_id, step HAVING count(*) > 1""")
+def q_merge_source_conflicts(spark, d):
+    return M.source_conflicts(SI.outcomes_raw(spark, d), ["ingestion_id", "video_id", "step"])
+
+
+@register("dedupe_latest", """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem) x WHERE rn = 1""")
+def q_dedupe_latest(spark, d):
+    from chronoledger.sources.tables import load
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey",
+                                           "l_suppkey", "l_quantity")
+    return D.latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+
+
+@register("dedupe_composite", "SELECT * FROM outcomes")
+def q_dedupe_composite(spark, d):
+    return SI.outcomes(spark, d)
+
+
+# ---------------------------------------------------------------- maintenance
+PAUSE_AT = "1995-09-01 00:00:00"
+AFTER_SQL = f"""SELECT video_id, CASE WHEN priority = 3 THEN false ELSE is_active END AS is_active, priority,
+  refresh_interval_hours, created_at, CASE WHEN priority = 3 THEN TIMESTAMP '{PAUSE_AT}' ELSE updated_at END AS updated_at
+FROM targets WHERE refresh_interval_hours <> 168
+UNION ALL SELECT * FROM newtargets"""
+
+
+def _paused(spark, d):
+    return M.update_where(SI.targets(spark, d), F.col("priority") == 3,
+                          {"is_active": F.lit(False), "updated_at": SI.ts(PAUSE_AT)})
+
+
+@register("update_where", f"""SELECT video_id, CASE WHEN priority = 3 THEN false ELSE is_active END AS is_active, priority,
+  refresh_interval_hours, created_at, CASE WHEN priority = 3 THEN TIMESTAMP '{PAUSE_AT}' ELSE updated_at END AS updated_at
+FROM targets""")
+def q_update_where(spark, d):
+    return _paused(spark, d)
+
+
+@register("target_register", "SELECT * FROM targets UNION ALL SELECT * FROM newtargets")
+def q_target_register(spark, d):
+    return SI.targets(spark, d).unionByName(SI.supplier_targets(spark, d, PAUSE_AT))
+
+
+@register("delete_where", "SELECT * FROM outcomes WHERE NOT (ingestion_id = '1')")
+def q_delete_where(spark, d):
+    return M.delete_where(SI.outcomes(spark, d), F.col("ingestion_id") == "1")
+
+
+_CF_COLS = ["is_active", "priority", "refresh_interval_hours", "created_at", "updated_at"]
+_CF_DIFF = " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in _CF_COLS)
+
+
+@register("change_feed", f"""SELECT a.*, 'insert' AS _change_type FROM aft a WHERE a.video_id NOT IN (SELECT video_id FROM targets)
+UNION ALL SELECT b.*, 'delete' FROM targets b WHERE b.video_id NOT IN (SELECT video_id FROM aft)
+UNION ALL SELECT b.*, 'update_preimage' FROM targets b JOIN aft a ON b.video_id = a.video_id WHERE {_CF_DIFF}
+UNION ALL SELECT a.*, 'update_postimage' FROM targets b JOIN aft a ON b.video_id = a.video_id WHERE {_CF_DIFF}""",
+          [("aft", AFTER_SQL)])
+def q_change_feed(spark, d):
+    before = SI.targets(spark, d)
+    after = M.delete_where(_paused(spark, d), F.col("refresh_interval_hours") == 168).unionByName(
+        SI.supplier_targets(spark, d, PAUSE_AT))
+    return M.change_feed(before, after, "video_id")
+
+
+NEW_HANDOFF_SQL = """SELECT CAST(conv_id % 3 AS VARCHAR) AS ingestion_id,
+  CASE WHEN turn = 7 THEN '' ELSE CAST(conv_id AS VARCHAR) END AS video_id,
+  CAST(conv_id AS VARCHAR) || '-' || CAST(turn % 4 AS VARCHAR) AS comment_id FROM conversations"""
+
+
+@register("replace_slice", """SELECT * FROM handoff WHERE ingestion_id NOT IN (SELECT ingestion_id FROM nh)
+UNION ALL SELECT DISTINCT ingestion_id, video_id, comment_id FROM nh
+  WHERE video_id IS NOT NULL AND video_id <> '' AND comment_id IS NOT NULL AND comment_id <> ''""",
+          [("nh", NEW_HANDOFF_SQL)])
+def q_replace_slice(spark, d):
+    from chronoledger.sources.tables import load
+    c = load(spark, d, "conversations")
+    new = c.select((F.col("conv_id") % 3).cast("string").alias("ingestion_id"),
+                   F.when(F.col("turn") == 7, F.lit("")).otherwise(F.col("conv_id").cast("string")).alias("video_id"),
+                   F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") % 4).cast("string"))
+                   .alias("comment_id"))
+    return M.replace_slice(SI.handoff(spark, d), "ingestion_id", new, new,
+                           required=["video_id", "comment_id"], dedupe_keys=["ingestion_id", "comment_id"])
+
+
+@register("run_open", """SELECT * FROM runs UNION ALL
+SELECT DISTINCT 'run-' || strftime(o_orderdate, '%Y%m%d') AS ingestion_id, 'control.video_targets' AS channel_handle,
+  CAST(NULL AS VARCHAR) AS channel_name, o_orderdate AS started_at, CAST(NULL AS TIMESTAMP) AS ended_at,
+  'RUNNING' AS status, CAST(NULL AS VARCHAR) AS error_message FROM orders""")
+def q_run_open(spark, d):
+    from chronoledger.operators.queue import open_runs
+    from chronoledger.sources.tables import load
+    days = load(spark, d, "orders").select("o_orderdate").distinct().select(
+        F.concat(F.lit("run-"), F.date_format("o_orderdate", "yyyyMMdd")).alias("ingestion_id"),
+        F.col("o_orderdate").alias("started_at"))
+    return SI.runs(spark, d).unionByName(open_runs(spark, days))
+
+
+@register("schema_add_column", "SELECT * EXCLUDE (channel_name), CAST(NULL AS VARCHAR) AS channel_name FROM runs")
+def q_schema_add_column(spark, d):
+    from chronoledger.sources.tables import add_column
+    return add_column(SI.runs(spark, d).drop("channel_name"), "channel_name", "string")
+
+
+REQ = ["video_id", "ingestion_id", "collected_at"]
+
+
+@register("not_null_violations", """SELECT *, concat_ws(',', CASE WHEN video_id IS NULL THEN 'video_id' END,
+  CASE WHEN ingestion_id IS NULL THEN 'ingestion_id' END, CASE WHEN collected_at IS NULL THEN 'collected_at' END) AS violated
+FROM cand WHERE video_id IS NULL OR ingestion_id IS NULL OR collected_at IS NULL""")
+def q_not_null_violations(spark, d):
+    from chronoledger.sources.tables import not_null_violations
+    return not_null_violations(SI.candidate_snapshots(spark, d), REQ)
+
+
+@register("drop_blank_keys", """SELECT * FROM cand WHERE video_id IS NOT NULL AND video_id <> ''
+  AND ingestion_id IS NOT NULL AND ingestion_id <> ''""")
+def q_drop_blank_keys(spark, d):
+    return D.drop_blank_keys(SI.candidate_snapshots(spark, d), ["video_id", "ingestion_id"])
+
+
+@register("snapshot_project", f"""SELECT video_id, 'snap-run' AS ingestion_id, TIMESTAMP '{PAUSE_AT}' AS collected_at,
+  view_count, like_count, comment_count FROM videos WHERE video_id IS NOT NULL AND video_id <> ''""")
+def q_snapshot_project(spark, d):
+    from chronoledger.operators.snapshots import snapshot_rows
+    return snapshot_rows(SI.videos(spark, d), "videos", "snap-run", PAUSE_AT)
+
+
+# ---------------------------------------------------------------- inspection
+@register("outcomes_recent", "SELECT * FROM outcomes")
+def q_outcomes_recent(spark, d):
+    return SI.outcomes(spark, d).orderBy(F.col("completed_at").desc(), "ingestion_id", "video_id", "step")
+
+
+@register("handoff_sorted", "SELECT * FROM handoff")
+def q_handoff_sorted(spark, d):
+    return SI.handoff(spark, d).orderBy("ingestion_id", "video_id", "comment_id")
+
+
+@register("comments_sample", "SELECT comment_id, video_id, author_name, text FROM comments ORDER BY comment_id LIMIT 5")
+def q_comments_sample(spark, d):
+    return SI.comments(spark, d).select("comment_id", "video_id", "author_name", "text").orderBy(
+        "comment_id").limit(5)
+
+
+@register("handle_normalize", """SELECT h AS handle, CASE WHEN starts_with(h, '@') THEN substr(h, 2) ELSE h END AS handle_normalized
+FROM (SELECT CASE c_custkey % 3 WHEN 0 THEN '@@' WHEN 1 THEN '@' ELSE '' END || lower(replace(c_name, '#', '_')) AS h
+      FROM customer) x""")
+def q_handle_normalize(spark, d):
+    from chronoledger.functions.columns import strip_handle
+    from chronoledger.sources.tables import load
+    c = load(spark, d, "customer")
+    h = F.concat(F.when(F.col("c_custkey") % 3 == 0, "@@").when(F.col("c_custkey") % 3 == 1, "@").otherwise(""),
+                 F.lower(F.regexp_replace("c_name", "#", "_")))
+    return c.select(h.alias("handle")).select("handle", strip_handle("handle").alias("handle_normalized"))
+
+
+@register("bounded_children", """SELECT parent_id, comment_id, rn AS rank FROM (
+  SELECT parent_id, comment_id, ROW_NUMBER() OVER (PARTITION BY parent_id ORDER BY comment_id DESC) AS rn FROM replies) x
+WHERE rn <= 5""")
+def q_bounded_children(spark, d):
+    from chronoledger.operators.topn import bounded_per_group
+    return bounded_per_group(SI.replies(spark, d).select("parent_id", "comment_id"), "parent_id",
+                             [F.col("comment_id").desc()], 5, rank_col="rank")
+
+
+# ---------------------------------------------------------------- raw JSON
+from chronoledger.operators import normalize as N  # noqa: E402
+from chronoledger.sources import rawpages as RP  # noqa: E402
+
+
+def _pos(order, page):
+    return f"CAST(ROW_NUMBER() OVER (PARTITION BY {page} ORDER BY {order}) - 1 AS INTEGER)"
+
+
+@register("normalize_videos", f"""SELECT 'run-' || CAST(event_id // 500 AS VARCHAR) AS ingestion_id,
+  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, {_pos('event_id', 'event_id // 50')} AS item_pos,
+  CAST(event_id AS VARCHAR) AS video_id, CAST(user_id % 25 AS VARCHAR) AS channel_id,
+  'NATION_' || CAST(user_id % 25 AS VARCHAR) AS channel_title, event_type || ' #' || CAST(event_id AS VARCHAR) AS title,
+  props AS description, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at, CAST(user_id % 10 AS VARCHAR) AS category_id,
+  CASE WHEN event_id % 3 = 2 THEN event_type || '|u' || CAST(user_id AS VARCHAR) ELSE '' END AS tags_text,
+  CASE WHEN event_id % 3 = 2 THEN 2 ELSE 0 END AS n_tags,
+  'PT' || CAST(event_id % 600 AS VARCHAR) || 'S' AS duration, CASE WHEN event_id % 2 = 0 THEN 'hd' ELSE 'sd' END AS definition,
+  'false' AS caption,
+  CASE WHEN event_id % 13 = 0 THEN 0 ELSE CAST(floor(value * 100) AS BIGINT) END AS view_count,
+  CASE WHEN event_id % 13 = 0 OR event_id % 7 = 0 THEN NULL ELSE CAST(floor(value * 10) AS BIGINT) END AS like_count,
+  CASE WHEN event_id % 13 = 0 OR event_type = 'error' THEN NULL ELSE CAST(floor(value) AS BIGINT) END AS comment_count,
+  'public' AS privacy_status
+FROM events""")
+def q_normalize_videos(spark, d):
+    v = N.normalize_videos(RP.video_pages(spark, d))
+    return v.select(*[c for c in v.columns if c != "tags"],
+                    F.array_join("tags", "|").alias("tags_text"), F.size("tags").alias("n_tags"))
+
+
+@register("normalize_channels", f"""SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR) AS ingestion_id,
+  TIMESTAMP '2024-02-01 00:00:00' AS received_at, {_pos('c_custkey', 'c_custkey // 50')} AS item_pos,
+  'UC' || CAST(c_custkey AS VARCHAR) AS channel_id, c_name AS title, c_mktsegment AS description,
+  '@c' || CAST(c_custkey AS VARCHAR) AS custom_url, CAST(NULL AS VARCHAR) AS published_at,
+  CAST(c_nationkey AS VARCHAR) AS country, CAST(floor(c_acctbal) AS BIGINT) AS view_count,
+  CASE WHEN c_custkey % 4 <> 0 THEN c_custkey * 10 END AS subscriber_count,
+  CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 97 ELSE 0 END AS video_count,
+  CASE WHEN c_custkey % 6 <> 0 THEN 'UU' || CAST(c_custkey AS VARCHAR) END AS uploads_playlist_id
+FROM customer""")
+def q_normalize_channels(spark, d):
+    return N.normalize_channels(RP.channel_pages(spark, d))
+
+
+_AUTHOR = "CASE WHEN conv_id % 4 <> 0 THEN 'UC' || role END"
+_LIKES = "CASE WHEN conv_id % 5 <> 0 THEN CAST(length(text) % 50 AS BIGINT) ELSE 0 END"
+_PUB = "'2024-01-' || lpad(CAST(conv_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z'"
+
+
+@register("normalize_comments", f"""SELECT 'run-' || CAST(conv_id // 500 AS VARCHAR) AS ingestion_id,
+  TIMESTAMP '2024-02-01 00:00:00' AS received_at, {_pos('conv_id', 'conv_id // 50')} AS item_pos,
+  't' || CAST(conv_id AS VARCHAR) AS thread_id, CAST(conv_id AS VARCHAR) || '-0' AS comment_id,
+  CAST(NULL AS VARCHAR) AS parent_id, CAST(conv_id AS VARCHAR) AS video_id, role AS author_name,
+  {_AUTHOR} AS author_channel_id, text, {_LIKES} AS like_count, {_PUB} AS published_at,
+  CAST(NULL AS VARCHAR) AS updated_at,
+  CASE WHEN conv_id % 3 <> 0 THEN (SELECT count(*) - 1 FROM conversations c2 WHERE c2.conv_id = c.conv_id) ELSE 0 END AS reply_count
+FROM conversations c WHERE turn = 0""")
+def q_normalize_comments(spark, d):
+    return N.normalize_comments(RP.thread_pages(spark, d))
+
+
+@register("normalize_replies", f"""SELECT 'run-' || CAST((conv_id * 8 + turn) // 500 AS VARCHAR) AS ingestion_id,
+  TIMESTAMP '2024-02-01 00:00:00' AS received_at,
+  {_pos('conv_id * 8 + turn', '(conv_id * 8 + turn) // 50')} AS item_pos,
+  CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id, CAST(conv_id AS VARCHAR) || '-0' AS parent_id,
+  CAST(conv_id AS VARCHAR) AS video_id, role AS author_name, {_AUTHOR} AS author_channel_id, text,
+  {_LIKES} AS like_count, {_PUB} AS published_at, CAST(NULL AS VARCHAR) AS updated_at
+FROM conversations WHERE turn > 0""")
+def q_normalize_replies(spark, d):
+    return N.normalize_replies(RP.reply_pages(spark, d))
+
+
+@register("normalize_playlist_items", f"""SELECT 'run-' || CAST(o_orderkey // 500 AS VARCHAR) AS ingestion_id,
+  max(o_orderdate) OVER (PARTITION BY o_orderkey // 50) AS received_at,
+  {_pos('o_orderkey', 'o_orderkey // 50')} AS item_pos,
+  CAST(o_custkey AS VARCHAR) AS video_id, 'order ' || CAST(o_orderkey AS VARCHAR) AS title,
+  o_orderpriority AS description, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+  CAST(o_orderkey % 50 AS BIGINT) AS playlist_position
+FROM orders""")
+def q_normalize_playlist_items(spark, d):
+    return N.normalize_playlist_items(RP.playlist_pages(spark, d))
+
+
+FLAT_SQL = f"""SELECT 'run-' || CAST(event_id // 500 AS VARCHAR) AS ingestion_id, 'videos' AS resource,
+  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, {_pos('event_id', 'event_id // 50')} AS item_pos FROM events
+UNION ALL SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR), 'channels', TIMESTAMP '2024-02-01 00:00:00',
+  {_pos('c_custkey', 'c_custkey // 50')} FROM customer
+UNION ALL SELECT 'run-' || CAST(conv_id // 500 AS VARCHAR), 'commentThreads', TIMESTAMP '2024-02-01 00:00:00',
+  {_pos('conv_id', 'conv_id // 50')} FROM conversations WHERE turn = 0
+UNION ALL SELECT 'run-' || CAST((conv_id * 8 + turn) // 500 AS VARCHAR), 'comments', TIMESTAMP '2024-02-01 00:00:00',
+  {_pos('conv_id * 8 + turn', '(conv_id * 8 + turn) // 50')} FROM conversations WHERE turn > 0
+UNION ALL SELECT 'run-' || CAST(o_orderkey // 500 AS VARCHAR), 'playlistItems',
+  max(o_orderdate) OVER (PARTITION BY o_orderkey // 50), {_pos('o_orderkey', 'o_orderkey // 50')} FROM orders"""
+
+
+def _all_pages(spark, d):
+    return (RP.video_pages(spark, d).unionByName(RP.channel_pages(spark, d))
+            .unionByName(RP.thread_pages(spark, d)).unionByName(RP.reply_pages(spark, d))
+            .unionByName(RP.playlist_pages(spark, d)))
+
+
+@register("raw_flatten", FLAT_SQL)
+def q_raw_flatten(spark, d):
+    return N.raw_flatten(_all_pages(spark, d)).drop("item_json")
+
+
+PACK_SQL = """SELECT 'run-' || CAST(event_id // 50 // 10 AS VARCHAR) AS ingestion_id, 'videos' AS resource,
+  '{"id":"' || string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR))
+    || '","maxResults":"50","part":"snippet,contentDetails,statistics,status"}' AS request_params_json,
+  max(ts) AS received_at, count(*) AS n_items
+FROM events GROUP BY event_id // 50"""
+
+
+@register("raw_pack", PACK_SQL)
+def q_raw_pack(spark, d):
+    p = RP.video_pages(spark, d)
+    return p.select("ingestion_id", "resource", "request_params_json", "received_at",
+                    F.size(F.from_json("response_json", N.PAGE_SCHEMA)["items"]).cast("bigint").alias("n_items"))
+
+
+@register("raw_append", """SELECT ingestion_id, resource, received_at, n_items FROM (""" + PACK_SQL + """) v
+UNION ALL SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR), 'channels', TIMESTAMP '2024-02-01 00:00:00', count(*)
+FROM customer GROUP BY c_custkey // 50, c_custkey // 500""")
+def q_raw_append(spark, d):
+    from chronoledger import schemas as S
+    from chronoledger.sources.tables import conform
+    raw = conform(RP.video_pages(spark, d), S.API_RESPONSES)
+    raw = raw.unionByName(conform(RP.channel_pages(spark, d), S.API_RESPONSES))
+    return raw.select("ingestion_id", "resource", "received_at",
+                      F.size(F.from_json("response_json", N.PAGE_SCHEMA)["items"]).cast("bigint").alias("n_items"))
+
+
+@register("classify_errors", "SELECT attempt_id, video_id, status_code, category, retryable, message FROM classified")
+def q_classify_errors(spark, d):
+    from chronoledger.functions.errors import classify_error
+    f = SI.request_failures(spark, d)
+    c = classify_error("status_code", "body")
+    return f.select("attempt_id", "video_id", "status_code", c["category"].alias("category"),
+                    c["retryable"].alias("retryable"), c["message"].alias("message"))
+
+
+@register("comment_outcomes", """SELECT v.video_id, CASE WHEN f.category IS NULL OR f.category = 'COMMENTS_DISABLED' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  CASE WHEN f.category IS NOT NULL AND f.category <> 'COMMENTS_DISABLED' THEN f.message END AS error_message, f.category
+FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS video_id FROM events) v LEFT JOIN (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY video_id ORDER BY ts, attempt_id) AS rn
+                 FROM classified WHERE event_type = 'error') x WHERE rn = 1) f ON v.video_id = f.video_id""")
+def q_comment_outcomes(spark, d):
+    from chronoledger.operators.outcomes import comment_outcomes
+    from chronoledger.sources.tables import load
+    videos = load(spark, d, "events").select(F.col("user_id").cast("string").alias("video_id")).distinct()
+    fails = SI.request_failures(spark, d).where(F.col("event_type") == "error")
+    return comment_outcomes(videos, fails)

@@ -257,3 +257,73 @@ def tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "comments": comments(spark, d),
         "replies": replies(spark, d),
     }
+
+
+# -- failed requests (error bodies) -----------------------------------------
+# Error bodies used by the failed-request stand-in, by (event_id div 12) mod 9.
+ERROR_BODIES = (
+    '{"error":{"reason":"commentsDisabled"}}',
+    '{"error":{"errors":[{"reason":"rateLimitExceeded"}]}}',
+    '{"error":{"errors":[{"reason":"quotaExceeded"},{"reason":"other"}]}}',
+    "{}",
+    "Service Unavailable",
+    None,
+    '{"error":{"code":403,"errors":[{"reason":"dailyLimitExceeded"}]}}',
+    '{"error":{"reason":"userRateLimitExceeded"}}',
+    '{"error":"backendError"}',
+)
+# HTTP status by event_id mod 12 (NULL = no response: transport failure).
+ERROR_STATUS = (400, 401, 403, 404, 429, 500, 502, 503, 504, 418, 403, None)
+
+
+def request_failures(spark: SparkSession, d: str) -> DataFrame:
+    """One failed request per event: (attempt_id, video_id, ts, event_type,
+    status_code, body)."""
+    e = load(spark, d, "events")
+    status = F.element_at(F.array(*[F.lit(x).cast("int") for x in ERROR_STATUS]),
+                          (F.col("event_id") % 12 + 1).cast("int"))
+    body = F.element_at(F.array(*[F.lit(x).cast("string") for x in ERROR_BODIES]),
+                        (F.floor(F.col("event_id") / 12) % 9 + 1).cast("int"))
+    return e.select(F.col("event_id").alias("attempt_id"), _s("user_id").alias("video_id"), "ts",
+                    "event_type", status.alias("status_code"), body.alias("body"))
+
+
+def candidate_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshot rows as produced upstream, with NULL and empty ids injected."""
+    e = load(spark, d, "events")
+    k = F.col("event_id")
+    return e.select(
+        F.when(k % 17 == 0, F.lit(None).cast("string")).when(k % 19 == 0, F.lit(""))
+         .otherwise(_s("user_id")).alias("video_id"),
+        F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(_s(k)).alias("ingestion_id"),
+        F.col("ts").alias("collected_at"),
+        _floor_long(F.col("value") * 100).alias("view_count"),
+        _floor_long(F.col("value") * 10).alias("like_count"),
+        _floor_long(F.col("value")).alias("comment_count"),
+    )
+
+
+def current_videos(spark: SparkSession, d: str, before: str | None, since: str | None,
+                   keep, ingested_at: str) -> DataFrame:
+    """A current-state table: the latest event per user within a time range
+    (``keep`` selects which users this side knows)."""
+    e = load(spark, d, "events")
+    if before:
+        e = e.where(F.col("ts") < ts(before))
+    if since:
+        e = e.where(F.col("ts") >= ts(since))
+    e = e.where(keep)
+    rows = e.select(_s("user_id").alias("video_id"),
+                    F.concat(F.col("event_type"), F.lit(" #"), _s("event_id")).alias("title"),
+                    _floor_long(F.col("value") * 100).alias("view_count"), "ts", "event_id")
+    last = latest_per_key(rows, "video_id", ["ts", "event_id"])
+    return last.select("video_id", "title", "view_count", ts(ingested_at).alias("ingested_at"))
+
+
+def supplier_targets(spark: SparkSession, d: str, at: str) -> DataFrame:
+    """New target registrations (one per supplier)."""
+    s = load(spark, d, "supplier")
+    return s.select(
+        F.concat(F.lit("s"), _s("s_suppkey")).alias("video_id"), F.lit(True).alias("is_active"),
+        F.col("s_nationkey").cast("int").alias("priority"), F.lit(24).cast("int").alias("refresh_interval_hours"),
+        ts(at).alias("created_at"), ts(at).alias("updated_at"))
