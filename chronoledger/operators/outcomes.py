@@ -166,7 +166,7 @@ def step_counts(outcomes: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == S.ST_SUCCESS).alias("n_success"))
 
 
-def comment_outcomes(videos: DataFrame, failures: DataFrame) -> DataFrame:
+def comment_outcomes(videos: DataFrame, failures: DataFrame, keys=("video_id",)) -> DataFrame:
     """Per-video outcome of a step fetched independently per video.
 
     ``failures``: (video_id, ts, attempt_id, status_code, body) of failed
@@ -176,10 +176,11 @@ def comment_outcomes(videos: DataFrame, failures: DataFrame) -> DataFrame:
     from chronoledger.functions.errors import classify_error, step_outcome_from_error
     from chronoledger.operators.dedupe import earliest_per_key
 
-    first = earliest_per_key(failures.select("video_id", "ts", "attempt_id", "status_code", "body"),
-                             "video_id", ["ts", "attempt_id"])
+    keys = list(keys)
+    first = earliest_per_key(failures.select(*keys, "ts", "attempt_id", "status_code", "body"),
+                             keys, ["ts", "attempt_id"])
     c = classify_error("status_code", "body")
-    first = first.select("video_id", c["category"].alias("category"), c["message"].alias("message"))
-    j = videos.select("video_id").distinct().join(first, "video_id", "left")
+    first = first.select(*keys, c["category"].alias("category"), c["message"].alias("message"))
+    j = videos.select(*keys).distinct().join(first, keys, "left")
     status, error = step_outcome_from_error("category", "message")
-    return j.select("video_id", status.alias("status"), error.alias("error_message"), "category")
+    return j.select(*keys, status.alias("status"), error.alias("error_message"), "category")

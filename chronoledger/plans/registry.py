@@ -865,3 +865,146 @@ def q_comment_outcomes(spark, d):
     videos = load(spark, d, "events").select(F.col("user_id").cast("string").alias("video_id")).distinct()
     fails = SI.request_failures(spark, d).where(F.col("event_type") == "error")
     return comment_outcomes(videos, fails)
+
+
+# ---------------------------------------------------------------- run steps
+from chronoledger.plans import ingest as IG  # noqa: E402
+
+
+def _upsert_sql(target: str, new: str, key: str, cols: list[str], tgt_expr: dict | None = None) -> str:
+    tgt_expr = tgt_expr or {}
+    sel = [f"coalesce(n.{key}, t.{key}) AS {key}"]
+    for c in cols:
+        if c == key:
+            continue
+        te = tgt_expr.get(c, f"t.{c}")
+        sel.append(f"CASE WHEN n.{key} IS NOT NULL THEN n.{c} ELSE {te} END AS {c}")
+    return f"SELECT {', '.join(sel)} FROM {target} t FULL OUTER JOIN {new} n ON t.{key} = n.{key}"
+
+
+_VID_COLS = ["video_id", "channel_id", "channel_title", "title", "description", "published_at", "category_id",
+             "tags_text", "duration", "definition", "caption", "view_count", "like_count", "comment_count",
+             "privacy_status", "ingested_at"]
+NEW_VIDEOS_SQL = f"""SELECT CAST(c.c_custkey AS VARCHAR) AS video_id, CAST(c.c_nationkey AS VARCHAR) AS channel_id,
+  'NATION_' || CAST(c.c_nationkey AS VARCHAR) AS channel_title, c.c_name || ' (refreshed)' AS title,
+  c.c_mktsegment AS description, CAST(NULL AS VARCHAR) AS published_at, CAST(c.c_custkey % 30 AS VARCHAR) AS category_id,
+  c.c_mktsegment AS tags_text, 'PT1M' AS duration, 'hd' AS definition, 'false' AS caption,
+  CAST(floor(c.c_acctbal * 10) AS BIGINT) AS view_count, CAST(c.c_custkey % 100 AS BIGINT) AS like_count,
+  CASE WHEN c.c_custkey % 3 <> 0 THEN CAST(c.c_custkey % 1000 AS BIGINT) END AS comment_count,
+  'public' AS privacy_status, TIMESTAMP '{QUEUE_AS_OF}' AS ingested_at
+FROM owned o JOIN customer c ON o.video_id = CAST(c.c_custkey AS VARCHAR) WHERE c.c_acctbal >= 0"""
+
+
+def _std_tables(spark, d):
+    return SI.tables(spark, d)
+
+
+@register("apply_videos", _upsert_sql("videos", "nv", "video_id", _VID_COLS,
+                                      {"tags_text": "array_to_string(t.tags, '|')"}),
+          [("nv", NEW_VIDEOS_SQL)])
+def q_apply_videos(spark, d):
+    from chronoledger.operators.queue import owned_targets
+    t = _std_tables(spark, d)
+    owned = owned_targets(t["video_targets"], t["video_processing_state"])
+    raw = RP.owned_video_pages(spark, d, owned, QUEUE_AS_OF)
+    out, _ = IG.apply_videos(t, raw, QUEUE_AS_OF, owned)
+    v = out["videos"]
+    return v.select(*[c if c != "tags" else F.array_join("tags", "|").alias("tags_text") for c in v.columns])
+
+
+@register("apply_video_snapshots", f"""SELECT * FROM vsnap UNION ALL
+SELECT CAST(c.c_custkey AS VARCHAR) AS video_id, o.ingestion_id, TIMESTAMP '{QUEUE_AS_OF}' AS collected_at,
+  CAST(floor(c.c_acctbal * 10) AS BIGINT) AS view_count, CAST(c.c_custkey % 100 AS BIGINT) AS like_count,
+  CASE WHEN c.c_custkey % 3 <> 0 THEN CAST(c.c_custkey % 1000 AS BIGINT) END AS comment_count
+FROM owned o JOIN customer c ON o.video_id = CAST(c.c_custkey AS VARCHAR) WHERE c.c_acctbal >= 0""")
+def q_apply_video_snapshots(spark, d):
+    from chronoledger.operators.queue import owned_targets
+    t = _std_tables(spark, d)
+    owned = owned_targets(t["video_targets"], t["video_processing_state"])
+    out, _ = IG.apply_videos(t, RP.owned_video_pages(spark, d, owned, QUEUE_AS_OF), QUEUE_AS_OF, owned)
+    return out["video_snapshots"]
+
+
+_CH_COLS = ["channel_id", "title", "description", "custom_url", "published_at", "country", "view_count",
+            "subscriber_count", "video_count", "uploads_playlist_id", "ingested_at"]
+NEW_CHANNELS_SQL = f"""SELECT DISTINCT CAST(n.n_nationkey AS VARCHAR) AS channel_id, n.n_name || ' channel' AS title,
+  'region ' || CAST(n.n_regionkey AS VARCHAR) AS description, '@' || lower(n.n_name) AS custom_url,
+  CAST(NULL AS VARCHAR) AS published_at, CAST(n.n_regionkey AS VARCHAR) AS country,
+  CAST(n.n_nationkey * 1000 AS BIGINT) AS view_count,
+  CASE WHEN n.n_nationkey % 2 = 0 THEN CAST(n.n_nationkey * 100 AS BIGINT) END AS subscriber_count,
+  CAST(n.n_nationkey AS BIGINT) AS video_count, 'UU' || CAST(n.n_nationkey AS VARCHAR) AS uploads_playlist_id,
+  TIMESTAMP '{QUEUE_AS_OF}' AS ingested_at
+FROM vc JOIN nation n ON vc.channel_id = CAST(n.n_nationkey AS VARCHAR) WHERE n.n_regionkey <> 0"""
+
+
+@register("apply_channels", _upsert_sql("channels", "nc", "channel_id", _CH_COLS),
+          [("vc", PARENT_SQL), ("nc", NEW_CHANNELS_SQL)])
+def q_apply_channels(spark, d):
+    from chronoledger.operators.outcomes import parent_lookup, succeeded_entities
+    from chronoledger.operators.queue import owned_targets
+    t = _std_tables(spark, d)
+    owned = owned_targets(t["video_targets"], t["video_processing_state"])
+    vc = parent_lookup(succeeded_entities(owned, t["ingestion_step_outcomes"]), t["videos"])
+    raw = RP.run_channel_pages(spark, d, vc, QUEUE_AS_OF)
+    out, _ = IG.apply_channels(t, raw, QUEUE_AS_OF, owned)
+    return out["channels"]
+
+
+_CM_COLS = ["thread_id", "comment_id", "parent_id", "video_id", "author_name", "author_channel_id", "text",
+            "like_count", "published_at", "updated_at", "reply_count", "ingested_at"]
+CONV_RUNS_SQL = """SELECT conv_id, turn, role, text, CAST(o_orderkey AS VARCHAR) AS ingestion_id,
+  CAST(o_custkey AS VARCHAR) AS video FROM conversations JOIN orders ON conv_id = o_orderkey"""
+OK_PAIRS_SQL = """SELECT DISTINCT ingestion_id, video_id FROM outcomes WHERE step = 'fetch_videos' AND status = 'SUCCESS'"""
+NEW_COMMENTS_SQL = f"""SELECT 't' || CAST(r.conv_id AS VARCHAR) AS thread_id, CAST(r.conv_id AS VARCHAR) || '-0' AS comment_id,
+  CAST(NULL AS VARCHAR) AS parent_id, r.video AS video_id, r.role AS author_name, 'UC' || r.role AS author_channel_id,
+  r.text, CAST(length(r.text) % 50 AS BIGINT) AS like_count, CAST(NULL AS VARCHAR) AS published_at,
+  CAST(NULL AS VARCHAR) AS updated_at,
+  (SELECT count(*) - 1 FROM cr c2 WHERE c2.conv_id = r.conv_id) AS reply_count, TIMESTAMP '{QUEUE_AS_OF}' AS ingested_at
+FROM cr r JOIN okp ON r.ingestion_id = okp.ingestion_id AND r.video = okp.video_id WHERE r.turn = 0"""
+
+
+def _all_pairs(t):
+    return t["ingestion_step_outcomes"].select("ingestion_id", "video_id").distinct()
+
+
+@register("apply_comments", _upsert_sql("comments", "ncm", "comment_id", _CM_COLS),
+          [("cr", CONV_RUNS_SQL), ("okp", OK_PAIRS_SQL), ("ncm", NEW_COMMENTS_SQL)])
+def q_apply_comments(spark, d):
+    t = _std_tables(spark, d)
+    raw = RP.run_thread_pages(spark, d, QUEUE_AS_OF)
+    out, _ = IG.apply_comments(t, raw, QUEUE_AS_OF, _all_pairs(t), max_comments_per_video=20)
+    return out["comments"]
+
+
+@register("apply_comments_handoff", """SELECT * FROM handoff WHERE ingestion_id NOT IN (SELECT ingestion_id FROM okp)
+UNION ALL SELECT r.ingestion_id, r.video AS video_id, CAST(r.conv_id AS VARCHAR) || '-0' AS comment_id
+FROM cr r JOIN okp ON r.ingestion_id = okp.ingestion_id AND r.video = okp.video_id WHERE r.turn = 0""",
+          [("cr", CONV_RUNS_SQL), ("okp", OK_PAIRS_SQL)])
+def q_apply_comments_handoff(spark, d):
+    t = _std_tables(spark, d)
+    raw = RP.run_thread_pages(spark, d, QUEUE_AS_OF)
+    out, _ = IG.apply_comments(t, raw, QUEUE_AS_OF, _all_pairs(t), max_comments_per_video=20)
+    return out["ingestion_comments"]
+
+
+_RP_COLS = ["comment_id", "parent_id", "video_id", "author_name", "author_channel_id", "text", "like_count",
+            "published_at", "updated_at", "ingested_at"]
+NEW_REPLIES_SQL = f"""SELECT CAST(r.conv_id AS VARCHAR) || '-' || CAST(r.turn AS VARCHAR) AS comment_id,
+  CAST(r.conv_id AS VARCHAR) || '-0' AS parent_id, r.video AS video_id, r.role AS author_name,
+  'UC' || r.role AS author_channel_id, r.text, CAST(r.turn AS BIGINT) AS like_count,
+  CAST(NULL AS VARCHAR) AS published_at, CAST(NULL AS VARCHAR) AS updated_at, TIMESTAMP '{QUEUE_AS_OF}' AS ingested_at
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ingestion_id, conv_id ORDER BY turn) AS rn FROM cr WHERE turn > 0) r
+WHERE r.rn <= 5
+  AND EXISTS (SELECT 1 FROM outcomes x WHERE x.ingestion_id = r.ingestion_id AND x.video_id = r.video
+              AND x.step = 'fetch_comments' AND x.status = 'SUCCESS')
+  AND EXISTS (SELECT 1 FROM handoff h WHERE h.ingestion_id = r.ingestion_id AND h.video_id = r.video
+              AND h.comment_id = CAST(r.conv_id AS VARCHAR) || '-0')"""
+
+
+@register("apply_replies", _upsert_sql("replies", "nr", "comment_id", _RP_COLS),
+          [("cr", CONV_RUNS_SQL), ("nr", NEW_REPLIES_SQL)])
+def q_apply_replies(spark, d):
+    t = _std_tables(spark, d)
+    raw = RP.run_reply_pages(spark, d, QUEUE_AS_OF)
+    out, _ = IG.apply_replies(t, raw, QUEUE_AS_OF, _all_pairs(t), max_replies_per_comment=5)
+    return out["replies"]

@@ -147,3 +147,100 @@ def playlist_pages(spark: SparkSession, d: str) -> DataFrame:
     items = o.select("__page", F.col("o_orderkey").alias("__order"), item.alias("__item"),
                      _s("o_orderkey").alias("__id"), F.col("o_orderdate").alias("__received"))
     return pack_pages(items, ["__page"], "playlistItems", "snippet,contentDetails", _run_of_page("__page"))
+
+
+# -- pages answering the requests of the stand-in runs ---------------------
+def _ts(v: str) -> Column:
+    return F.lit(v).cast("timestamp_ntz")
+
+
+def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: str) -> DataFrame:
+    """Video pages per run for its owned targets; customers with a negative
+    balance stand in for videos the API no longer returns."""
+    c = load(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+    j = owned.select("ingestion_id", "video_id").join(
+        c, owned.video_id == c.c_custkey.cast("string"), "inner")
+    k = F.col("c_custkey")
+    item = F.struct(
+        F.col("video_id").alias("id"),
+        F.struct(_s("c_nationkey").alias("channelId"),
+                 F.concat(F.lit("NATION_"), _s("c_nationkey")).alias("channelTitle"),
+                 F.concat(F.col("c_name"), F.lit(" (refreshed)")).alias("title"),
+                 F.col("c_mktsegment").alias("description"),
+                 _s(k % 30).alias("categoryId"),
+                 F.array(F.col("c_mktsegment")).alias("tags")).alias("snippet"),
+        F.struct(F.lit("PT1M").alias("duration"), F.lit("hd").alias("definition"),
+                 F.lit("false").alias("caption")).alias("contentDetails"),
+        F.struct(_s(F.floor(F.col("c_acctbal") * 10)).alias("viewCount"), _s(k % 100).alias("likeCount"),
+                 F.when(k % 3 != 0, _s(k % 1000)).alias("commentCount")).alias("statistics"),
+        F.struct(F.lit("public").alias("privacyStatus")).alias("status"))
+    items = j.select("ingestion_id", k.alias("__order"), item.alias("__item"), F.col("video_id").alias("__id"),
+                     _ts(received).alias("__received"))
+    return pack_pages(items, ["ingestion_id"], "videos", "snippet,contentDetails,statistics,status",
+                      F.col("ingestion_id"))
+
+
+def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, received: str) -> DataFrame:
+    """Channel pages per run for the channels its videos reference; channels
+    of region 0 stand in for channels the API did not return."""
+    n = load(spark, d, "nation").where(F.col("n_regionkey") != 0)
+    req = video_channels.select("ingestion_id", "channel_id").distinct()
+    j = req.join(n, req.channel_id == n.n_nationkey.cast("string"), "inner")
+    k = F.col("n_nationkey")
+    item = F.struct(
+        F.col("channel_id").alias("id"),
+        F.struct(F.concat(F.col("n_name"), F.lit(" channel")).alias("title"),
+                 F.concat(F.lit("region "), _s("n_regionkey")).alias("description"),
+                 F.concat(F.lit("@"), F.lower("n_name")).alias("customUrl"),
+                 _s("n_regionkey").alias("country")).alias("snippet"),
+        F.struct(_s(k * 1000).alias("viewCount"), F.when(k % 2 == 0, _s(k * 100)).alias("subscriberCount"),
+                 _s(k).alias("videoCount")).alias("statistics"),
+        F.struct(F.struct(F.concat(F.lit("UU"), _s(k)).alias("uploads")).alias("relatedPlaylists"))
+        .alias("contentDetails"))
+    items = j.select("ingestion_id", k.alias("__order"), item.alias("__item"), F.col("channel_id").alias("__id"),
+                     _ts(received).alias("__received"))
+    return pack_pages(items, ["ingestion_id"], "channels", "snippet,statistics,contentDetails",
+                      F.col("ingestion_id"))
+
+
+def _conv_runs(spark: SparkSession, d: str) -> DataFrame:
+    c = load(spark, d, "conversations")
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return c.join(o, c.conv_id == o.o_orderkey, "inner").select(
+        "conv_id", "turn", "role", "text", _s("o_orderkey").alias("ingestion_id"), _s("o_custkey").alias("video"))
+
+
+def run_thread_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
+    """Comment-thread pages: conversation ``c`` answered run ``c`` for that
+    order's customer (turn 0 is the top-level comment)."""
+    c = _conv_runs(spark, d)
+    n_replies = c.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).cast("bigint").alias("n_replies"))
+    top = c.where(F.col("turn") == 0).join(n_replies, "conv_id")
+    cv = F.col("conv_id")
+    item = F.struct(
+        F.concat(F.lit("t"), _s(cv)).alias("id"),
+        F.struct(F.col("n_replies").alias("totalReplyCount"),
+                 F.struct(F.concat(_s(cv), F.lit("-0")).alias("id"),
+                          F.struct(F.col("video").alias("videoId"), F.col("role").alias("authorDisplayName"),
+                                   F.struct(F.concat(F.lit("UC"), F.col("role")).alias("value")).alias("authorChannelId"),
+                                   F.col("text").alias("textDisplay"),
+                                   (F.length("text") % 50).cast("bigint").alias("likeCount")).alias("snippet"))
+                 .alias("topLevelComment")).alias("snippet"))
+    items = top.select("ingestion_id", cv.alias("__order"), item.alias("__item"), F.col("video").alias("__id"),
+                       _ts(received).alias("__received"))
+    return pack_pages(items, ["ingestion_id"], "commentThreads", "snippet,replies", F.col("ingestion_id"))
+
+
+def run_reply_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
+    """Reply pages: turns > 0 of conversation ``c`` reply to comment c-0."""
+    c = _conv_runs(spark, d).where(F.col("turn") > 0)
+    cv = F.col("conv_id")
+    item = F.struct(
+        F.concat(_s(cv), F.lit("-"), _s("turn")).alias("id"),
+        F.struct(F.concat(_s(cv), F.lit("-0")).alias("parentId"), F.col("video").alias("videoId"),
+                 F.col("role").alias("authorDisplayName"),
+                 F.struct(F.concat(F.lit("UC"), F.col("role")).alias("value")).alias("authorChannelId"),
+                 F.col("text").alias("textDisplay"), F.col("turn").cast("bigint").alias("likeCount")).alias("snippet"))
+    items = c.select("ingestion_id", (cv * 8 + F.col("turn")).alias("__order"), item.alias("__item"),
+                     F.concat(_s(cv), F.lit("-0")).alias("__id"), _ts(received).alias("__received"))
+    return pack_pages(items, ["ingestion_id"], "comments", "snippet", F.col("ingestion_id"))
