@@ -68,6 +68,33 @@ def classify_error(status_code, body) -> Column:
                     msg.alias("message"))
 
 
+def with_error_class(df, status_code: str, body: str, prefix: str = ""):
+    """``df`` plus ``category``, ``retryable`` and ``message`` columns.
+
+    The reasons array is projected once in its own step (referenced by
+    several rules, so the optimizer keeps it as one computed column instead
+    of re-parsing the body per rule)."""
+    tmp = "__reasons"
+    staged = df.withColumn(tmp, error_reasons(body))
+    code = F.col(status_code)
+    reasons = F.col(tmp)
+    cat = (F.when(F.array_contains(reasons, "commentsDisabled"), "COMMENTS_DISABLED")
+           .when(F.arrays_overlap(reasons, _lits(S.RATE_LIMIT_REASONS)) | (code == 429), "RATE_LIMITED")
+           .when(F.arrays_overlap(reasons, _lits(S.QUOTA_REASONS)), "QUOTA_EXCEEDED")
+           .when(code.isin(401, 403), "AUTHENTICATION")
+           .when(code == 404, "NOT_FOUND")
+           .when(code == 400, "INVALID_REQUEST")
+           .when(code.isin(*[c for c in S.TRANSIENT_STATUS_CODES if c != 429]), "TRANSIENT_SERVER")
+           .when(code.isNull(), "TRANSIENT_NETWORK")
+           .otherwise("UNKNOWN"))
+    staged = staged.withColumn(prefix + "category", cat).drop(tmp)
+    c = F.col(prefix + "category")
+    msg = F.concat(F.lit("["), c, F.lit("] HTTP "), F.coalesce(code.cast("string"), F.lit("-")),
+                   F.lit(": "), F.coalesce(F.col(body), F.lit("")))
+    return (staged.withColumn(prefix + "retryable", c.isin(*S.RETRYABLE_CATEGORIES))
+            .withColumn(prefix + "message", msg))
+
+
 def step_outcome_from_error(category, message) -> tuple[Column, Column]:
     """(status, error) of a per-video step: no error or COMMENTS_DISABLED is
     SUCCESS; any other API error is FAILED with its message."""

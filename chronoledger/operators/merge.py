@@ -115,7 +115,8 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
     cond_col = _as_col(matched_condition) if matched_condition is not None else None
     if strategy == "auto":
         bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
-        strategy = "broadcast" if sizing.rows_at_most(source, bound) else "shuffle"
+        source, small = sizing.persisted_rows_at_most(source, bound)
+        strategy = "broadcast" if small else "shuffle"
 
     t = target.withColumn(_T, F.lit(True)).alias("t")
     s = source.withColumn(_S, F.lit(True)).alias("s")

@@ -173,14 +173,13 @@ def comment_outcomes(videos: DataFrame, failures: DataFrame, keys=("video_id",))
     requests; the earliest failure of a video stops it. COMMENTS_DISABLED
     counts as SUCCESS (zero comments); any other error is FAILED with its
     message; videos without failures succeed."""
-    from chronoledger.functions.errors import classify_error, step_outcome_from_error
+    from chronoledger.functions.errors import step_outcome_from_error, with_error_class
     from chronoledger.operators.dedupe import earliest_per_key
 
     keys = list(keys)
     first = earliest_per_key(failures.select(*keys, "ts", "attempt_id", "status_code", "body"),
                              keys, ["ts", "attempt_id"])
-    c = classify_error("status_code", "body")
-    first = first.select(*keys, c["category"].alias("category"), c["message"].alias("message"))
+    first = with_error_class(first, "status_code", "body").select(*keys, "category", "message")
     j = videos.select(*keys).distinct().join(first, keys, "left")
     status, error = step_outcome_from_error("category", "message")
     return j.select(*keys, status.alias("status"), error.alias("error_message"), "category")

@@ -8,6 +8,7 @@ Beyond the bound callers take a shuffle-based plan instead.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` when its row count is under the bound, else ``df``."""
     bound = broadcast_max_rows(df) if max_rows is None else max_rows
     return F.broadcast(df) if rows_at_most(df, bound) else df
+
+
+# Frames persisted so that a size check and the plan that follows share one
+# computation. Released by ``release()`` once the dependent result has been
+# written (the run steps do this after each publish / checkpoint).
+_PERSISTED: list[DataFrame] = []
+
+
+def persisted_rows_at_most(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Persist ``df`` (memory, spilling to disk), then run the bounded
+    check on it. Returns the persisted frame (reuse it downstream, so the
+    check does not recompute its lineage) and the verdict."""
+    if max_rows < 0:
+        return df, False
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(cached)
+    return cached, rows_at_most(cached, max_rows)
+
+
+def release() -> None:
+    """Unpersist the frames kept for size checks."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()

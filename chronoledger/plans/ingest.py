@@ -203,6 +203,8 @@ def finalize(tables: dict, as_of, owned: DataFrame | None = None) -> tuple[dict,
 
 
 def _cut(tables: dict, changed: set, store=None) -> dict:
+    from chronoledger.operators.sizing import release
+
     out = dict(tables)
     for name in changed:
         df = tables[name]
@@ -212,6 +214,7 @@ def _cut(tables: dict, changed: set, store=None) -> dict:
             out[name] = store.read(layer, name)
         else:
             out[name] = df.checkpoint(eager=True)
+    release()
     return out
 
 

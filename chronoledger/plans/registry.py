@@ -847,11 +847,9 @@ def q_raw_append(spark, d):
 
 @register("classify_errors", "SELECT attempt_id, video_id, status_code, category, retryable, message FROM classified")
 def q_classify_errors(spark, d):
-    from chronoledger.functions.errors import classify_error
-    f = SI.request_failures(spark, d)
-    c = classify_error("status_code", "body")
-    return f.select("attempt_id", "video_id", "status_code", c["category"].alias("category"),
-                    c["retryable"].alias("retryable"), c["message"].alias("message"))
+    from chronoledger.functions.errors import with_error_class
+    f = with_error_class(SI.request_failures(spark, d), "status_code", "body")
+    return f.select("attempt_id", "video_id", "status_code", "category", "retryable", "message")
 
 
 @register("comment_outcomes", """SELECT v.video_id, CASE WHEN f.category IS NULL OR f.category = 'COMMENTS_DISABLED' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
