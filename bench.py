@@ -49,7 +49,7 @@ def video_trend_repeated(times: int):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", max(8, cpus * 2),
                           extra={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"})

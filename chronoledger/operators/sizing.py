@@ -22,11 +22,19 @@ def broadcast_max_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
 
 
+# Verdicts by (plan semantic hash, bound). Inputs are immutable (versioned
+# table folders, read-only test data), so the same plan has the same size.
+_VERDICTS: dict[tuple[int, int], bool] = {}
+
+
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
     if max_rows < 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), max_rows)
+    if key not in _VERDICTS:
+        _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _VERDICTS[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -47,6 +55,9 @@ def persisted_rows_at_most(df: DataFrame, max_rows: int) -> tuple[DataFrame, boo
     check does not recompute its lineage) and the verdict."""
     if max_rows < 0:
         return df, False
+    key = (df.semanticHash(), max_rows)
+    if key in _VERDICTS:
+        return df, _VERDICTS[key]
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(cached)
     return cached, rows_at_most(cached, max_rows)

@@ -61,14 +61,22 @@ def daily_last(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int
     ``(ts, *order_tail)``; observations before the window fold onto day 1,
     observations after ``as_of`` are ignored. Returns key, day, ``__last``."""
     keys = [key] if isinstance(key, str) else list(key)
-    start, end = window_bounds(as_of, days)
+    start, end = _bounds_sql(as_of, days)
     carry = list(carry)
-    order = F.struct(F.col(ts), *[F.col(c) for c in order_tail])
-    return (obs.where(F.col(ts) < F.date_add(end, 1).cast("timestamp_ntz"))
-            .select(*keys, F.greatest(F.to_date(F.col(ts)), start).alias(name),
-                    F.struct(*[F.col(c) for c in carry]).alias("__v"), order.alias("__o"))
+    order = ", ".join([ts, *order_tail])
+    return (obs.where(f"{ts} < CAST(date_add({end}, 1) AS TIMESTAMP_NTZ)")
+            .selectExpr(*keys, f"greatest(to_date({ts}), {start}) AS {name}",
+                        f"struct({', '.join(carry)}) AS __v", f"struct({order}) AS __o")
             .groupBy(*keys, name)
-            .agg(F.max_by("__v", "__o").alias("__last")))
+            .agg(F.expr("max_by(__v, __o)").alias("__last")))
+
+
+def _bounds_sql(as_of, days: int) -> tuple[str, str]:
+    """SQL text of (first day, last day) of the window ending at ``as_of``."""
+    if isinstance(as_of, (_dt.date, _dt.datetime)):
+        as_of = as_of.isoformat()[:10]
+    end = f"to_date('{str(as_of)[:10]}')"
+    return f"date_sub({end}, {int(days) - 1})", end
 
 
 def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
@@ -83,17 +91,16 @@ def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
     """
     keys = [key] if isinstance(key, str) else list(key)
     carry = list(carry)
-    _, end = window_bounds(as_of, days)
+    _, end = _bounds_sql(as_of, days)
     daily = daily_last(obs, keys, ts, order_tail, carry, as_of, days, name)
-    w = Window.partitionBy(*keys).orderBy(name)
-    spans = daily.select(
-        *keys, "__last", F.col(name).alias("__from"),
-        F.coalesce(F.date_sub(F.lead(name).over(w), 1), end).alias("__to"))
-    out = spans.select(*keys, F.explode(F.sequence("__from", "__to")).alias(name),
-                       *[F.col(f"__last.{c}").alias(c) for c in carry])
+    part = ", ".join(keys)
+    spans = daily.selectExpr(
+        *keys, "__last", f"{name} AS __from",
+        f"coalesce(date_sub(lead({name}) OVER (PARTITION BY {part} ORDER BY {name}), 1), {end}) AS __to")
     if require_not_null:
-        out = out.where(F.col(require_not_null).isNotNull())
-    return out
+        spans = spans.where(f"__last.{require_not_null} IS NOT NULL")
+    return spans.selectExpr(*keys, f"explode(sequence(__from, __to)) AS {name}",
+                            *[f"__last.{c} AS {c}" for c in carry])
 
 
 def last_at_or_before(entities: DataFrame, obs: DataFrame, key, ts: str, order_tail, carry,

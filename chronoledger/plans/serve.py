@@ -58,7 +58,13 @@ def view_channel_metrics(snapshots: DataFrame, channels: DataFrame) -> DataFrame
 # -- datasets --------------------------------------------------------------
 def active_ids(targets: DataFrame) -> DataFrame:
     """DISTINCT ids of active targets."""
-    return targets.where(F.col("is_active")).select("video_id").distinct()
+    return active_keys(targets).distinct()
+
+
+def active_keys(targets: DataFrame) -> DataFrame:
+    """Ids of active targets, for semi joins (which need no DISTINCT: the
+    probe keeps a row once whatever the number of matches)."""
+    return targets.where(F.col("is_active")).select("video_id")
 
 
 def kpi_targets(targets: DataFrame, state: DataFrame) -> DataFrame:
@@ -89,7 +95,7 @@ def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_
     A day is kept only once the video has an observation and the latest
     observation's ``view_count`` is not NULL.
     """
-    obs = snapshots.join(active_ids(targets), "video_id", "left_semi")
+    obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
     t = locf(obs, "video_id", "collected_at", ["ingestion_id"],
              ["view_count", "like_count", "comment_count"], as_of, days,
              require_not_null="view_count", name="collected_date")
@@ -102,7 +108,7 @@ def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_
 
 def active_channels(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
     """DISTINCT current channels of active videos that have snapshots."""
-    seen = snapshots.select("video_id").distinct().join(active_ids(targets), "video_id", "left_semi")
+    seen = snapshots.select("video_id").distinct().join(active_keys(targets), "video_id", "left_semi")
     dim = broadcast_if_small(videos.select("video_id", "channel_id"))
     return seen.join(dim, "video_id", "left").select("channel_id").distinct()
 
@@ -124,7 +130,7 @@ def channel_trend(targets: DataFrame, video_snapshots: DataFrame, videos: DataFr
 
 def latest_videos(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
     """Latest snapshot per active video (ties broken by run id), most viewed first."""
-    obs = snapshots.join(active_ids(targets), "video_id", "left_semi")
+    obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
     last = latest_per_key(obs, "video_id", ["collected_at", "ingestion_id"])
     dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
                                            "channel_title"))

@@ -50,15 +50,16 @@ def _floor_long(c: Column) -> Column:
 
 
 # -- control tables ------------------------------------------------------
+# Projections are written as SQL expression strings (``selectExpr``): one
+# call per projection instead of one per column expression.
 def targets(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "customer")
-    return c.select(
-        _s("c_custkey").alias("video_id"),
-        (F.col("c_mktsegment") != "FURNITURE").alias("is_active"),
-        F.col("c_nationkey").cast("int").alias("priority"),
-        (F.lit(24) * (F.lit(1) + F.col("c_custkey") % 7)).cast("int").alias("refresh_interval_hours"),
-        ts(EPOCH_TS).alias("created_at"),
-        ts(EPOCH_TS).alias("updated_at"),
+    return load(spark, d, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS video_id",
+        "c_mktsegment <> 'FURNITURE' AS is_active",
+        "CAST(c_nationkey AS INT) AS priority",
+        "CAST(24 * (1 + c_custkey % 7) AS INT) AS refresh_interval_hours",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS created_at",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS updated_at",
     )
 
 
@@ -66,57 +67,56 @@ def state(spark: SparkSession, d: str) -> DataFrame:
     o = load(spark, d, "orders").where(F.col("o_orderdate") < ts(STATE_BEFORE))
     g = o.groupBy("o_custkey").agg(
         F.max_by(F.struct("o_orderkey", "o_orderstatus", "o_orderdate"), "o_orderkey").alias("l"),
-        F.min(F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate"))).alias("first_ok"),
-        F.max(F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate"))).alias("last_ok"),
+        F.expr("min(CASE WHEN o_orderstatus = 'O' THEN o_orderdate END)").alias("first_ok"),
+        F.expr("max(CASE WHEN o_orderstatus = 'O' THEN o_orderdate END)").alias("last_ok"),
         F.count(F.lit(1)).alias("n"),
     )
-    st = F.col("l.o_orderstatus")
-    return g.select(
-        _s("o_custkey").alias("video_id"),
-        F.when(st == "P", "PROCESSING").when(st == "F", "FAILED").otherwise("SUCCESS").alias("status"),
-        F.col("first_ok").alias("first_processed_at"),
-        F.when(st == "P", F.col("l.o_orderdate")).alias("claimed_at"),
-        F.col("l.o_orderdate").alias("last_attempt_at"),
-        F.col("last_ok").alias("last_succeeded_at"),
-        F.when(F.col("l.o_orderkey") % 10 != 0, F.col("l.o_orderdate")).alias("next_refresh_at"),
-        F.col("n").cast("bigint").alias("attempt_count"),
-        _s("l.o_orderkey").alias("last_ingestion_id"),
-        F.when(st == "F", F.concat(F.lit("order "), _s("l.o_orderkey"), F.lit(" failed"))).alias("error_message"),
+    return g.selectExpr(
+        "CAST(o_custkey AS STRING) AS video_id",
+        "CASE l.o_orderstatus WHEN 'P' THEN 'PROCESSING' WHEN 'F' THEN 'FAILED' ELSE 'SUCCESS' END AS status",
+        "first_ok AS first_processed_at",
+        "CASE WHEN l.o_orderstatus = 'P' THEN l.o_orderdate END AS claimed_at",
+        "l.o_orderdate AS last_attempt_at",
+        "last_ok AS last_succeeded_at",
+        "CASE WHEN l.o_orderkey % 10 <> 0 THEN l.o_orderdate END AS next_refresh_at",
+        "CAST(n AS BIGINT) AS attempt_count",
+        "CAST(l.o_orderkey AS STRING) AS last_ingestion_id",
+        "CASE WHEN l.o_orderstatus = 'F' THEN concat('order ', CAST(l.o_orderkey AS STRING), ' failed') END"
+        " AS error_message",
     )
 
 
 def runs(spark: SparkSession, d: str) -> DataFrame:
-    o = load(spark, d, "orders")
-    st = F.col("o_orderstatus")
-    return o.select(
-        _s("o_orderkey").alias("ingestion_id"),
-        F.lit(S.RUN_SOURCE_LABEL).alias("channel_handle"),
-        F.when(st != "P", F.col("o_orderpriority")).alias("channel_name"),
-        F.col("o_orderdate").alias("started_at"),
-        F.when(st != "P", F.col("o_orderdate")
-               + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey") % 5000)).alias("ended_at"),
-        F.when(st == "P", "RUNNING").when(st == "F", "PARTIAL_SUCCESS").otherwise("SUCCESS").alias("status"),
-        F.when(st == "F", F.concat(F.lit("run "), _s("o_orderkey"), F.lit(" incomplete"))).alias("error_message"),
+    return load(spark, d, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS ingestion_id",
+        f"'{S.RUN_SOURCE_LABEL}' AS channel_handle",
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS channel_name",
+        "o_orderdate AS started_at",
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 5000) END"
+        " AS ended_at",
+        "CASE o_orderstatus WHEN 'P' THEN 'RUNNING' WHEN 'F' THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status",
+        "CASE WHEN o_orderstatus = 'F' THEN concat('run ', CAST(o_orderkey AS STRING), ' incomplete') END"
+        " AS error_message",
     )
 
 
+_STEPS = "array(" + ", ".join(f"'{x}'" for x in S.FETCH_STEPS) + ")"
+
+
 def outcomes_raw(spark: SparkSession, d: str) -> DataFrame:
     """Step outcomes before dedupe: several lines can report the same step."""
     li = load(spark, d, "lineitem")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    idx = (F.col("l_linenumber") - 1) % 4
-    steps = F.array(*[F.lit(s) for s in S.FETCH_STEPS])
-    failed = F.col("l_returnflag") == "R"
-    return j.select(
-        _s("l_orderkey").alias("ingestion_id"),
-        _s("o_custkey").alias("video_id"),
-        F.element_at(steps, (idx + 1).cast("int")).alias("step"),
-        F.when(failed & (idx == 0) & (F.col("l_linestatus") == "O"), "NOT_FOUND")
-         .when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.col("l_shipdate").alias("completed_at"),
-        F.when(failed, F.when(F.col("l_linestatus") == "F", F.lit(""))
-               .otherwise(F.concat(F.lit("part "), _s("l_partkey"), F.lit(" rejected")))).alias("error_message"),
+    return j.selectExpr(
+        "CAST(l_orderkey AS STRING) AS ingestion_id",
+        "CAST(o_custkey AS STRING) AS video_id",
+        f"element_at({_STEPS}, CAST((l_linenumber - 1) % 4 + 1 AS INT)) AS step",
+        "CASE WHEN l_returnflag = 'R' AND (l_linenumber - 1) % 4 = 0 AND l_linestatus = 'O' THEN 'NOT_FOUND'"
+        " WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCESS' END AS status",
+        "l_shipdate AS completed_at",
+        "CASE WHEN l_returnflag = 'R' THEN CASE WHEN l_linestatus = 'F' THEN ''"
+        " ELSE concat('part ', CAST(l_partkey AS STRING), ' rejected') END END AS error_message",
         "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber",
     )
 
@@ -137,108 +137,102 @@ def handoff(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
     j = c.join(o, c.conv_id == o.o_orderkey, "inner")
-    return j.select(
-        _s("o_orderkey").alias("ingestion_id"),
-        _s("o_custkey").alias("video_id"),
-        F.concat(_s("conv_id"), F.lit("-"), _s("turn")).alias("comment_id"),
+    return j.selectExpr(
+        "CAST(o_orderkey AS STRING) AS ingestion_id",
+        "CAST(o_custkey AS STRING) AS video_id",
+        "concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS comment_id",
     )
 
 
 # -- silver tables ---------------------------------------------------------
 def video_snapshots(spark: SparkSession, d: str) -> DataFrame:
-    e = load(spark, d, "events")
-    return e.select(
-        _s("user_id").alias("video_id"),
-        _s("event_id").alias("ingestion_id"),
-        F.col("ts").alias("collected_at"),
-        F.when(F.col("event_id") % 7 != 0, _floor_long(F.col("value") * 100)).alias("view_count"),
-        _floor_long(F.col("value") * 10).alias("like_count"),
-        F.when(F.col("event_type") != "error", _floor_long(F.col("value"))).alias("comment_count"),
+    return load(spark, d, "events").selectExpr(
+        "CAST(user_id AS STRING) AS video_id",
+        "CAST(event_id AS STRING) AS ingestion_id",
+        "ts AS collected_at",
+        "CASE WHEN event_id % 7 <> 0 THEN CAST(floor(value * 100) AS BIGINT) END AS view_count",
+        "CAST(floor(value * 10) AS BIGINT) AS like_count",
+        "CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS BIGINT) END AS comment_count",
     )
 
 
 def channel_snapshots(spark: SparkSession, d: str) -> DataFrame:
-    e = load(spark, d, "events")
-    return e.select(
-        _s(F.col("user_id") % 25).alias("channel_id"),
-        _s("event_id").alias("ingestion_id"),
-        F.col("ts").alias("collected_at"),
-        _floor_long(F.col("value") * 100).alias("view_count"),
-        F.when(F.col("event_id") % 5 != 0, _floor_long(F.col("value") * 1000)).alias("subscriber_count"),
-        F.col("user_id").cast("bigint").alias("video_count"),
+    return load(spark, d, "events").selectExpr(
+        "CAST(user_id % 25 AS STRING) AS channel_id",
+        "CAST(event_id AS STRING) AS ingestion_id",
+        "ts AS collected_at",
+        "CAST(floor(value * 100) AS BIGINT) AS view_count",
+        "CASE WHEN event_id % 5 <> 0 THEN CAST(floor(value * 1000) AS BIGINT) END AS subscriber_count",
+        "CAST(user_id AS BIGINT) AS video_count",
     )
 
 
 def videos(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "customer")
-    return c.select(
-        _s("c_custkey").alias("video_id"),
-        _s("c_nationkey").alias("channel_id"),
-        F.concat(F.lit("NATION_"), _s("c_nationkey")).alias("channel_title"),
-        F.col("c_name").alias("title"),
-        F.lit(None).cast("string").alias("description"),
-        F.lit(None).cast("string").alias("published_at"),
-        F.col("c_mktsegment").alias("category_id"),
-        F.array(F.col("c_mktsegment")).alias("tags"),
-        F.lit(None).cast("string").alias("duration"),
-        F.lit("hd").alias("definition"),
-        F.lit("false").alias("caption"),
-        _floor_long(F.col("c_acctbal")).alias("view_count"),
-        F.lit(None).cast("bigint").alias("like_count"),
-        F.lit(None).cast("bigint").alias("comment_count"),
-        F.lit("public").alias("privacy_status"),
-        ts(EPOCH_TS).alias("ingested_at"),
+    return load(spark, d, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS video_id",
+        "CAST(c_nationkey AS STRING) AS channel_id",
+        "concat('NATION_', CAST(c_nationkey AS STRING)) AS channel_title",
+        "c_name AS title",
+        "CAST(NULL AS STRING) AS description",
+        "CAST(NULL AS STRING) AS published_at",
+        "c_mktsegment AS category_id",
+        "array(c_mktsegment) AS tags",
+        "CAST(NULL AS STRING) AS duration",
+        "'hd' AS definition",
+        "'false' AS caption",
+        "CAST(floor(c_acctbal) AS BIGINT) AS view_count",
+        "CAST(NULL AS BIGINT) AS like_count",
+        "CAST(NULL AS BIGINT) AS comment_count",
+        "'public' AS privacy_status",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS ingested_at",
     )
 
 
 def channels(spark: SparkSession, d: str) -> DataFrame:
-    n = load(spark, d, "nation")
-    return n.select(
-        _s("n_nationkey").alias("channel_id"),
-        F.col("n_name").alias("title"),
-        F.lit(None).cast("string").alias("description"),
-        F.concat(F.lit("@"), F.lower("n_name")).alias("custom_url"),
-        F.lit(None).cast("string").alias("published_at"),
-        _s("n_regionkey").alias("country"),
-        F.lit(None).cast("bigint").alias("view_count"),
-        F.lit(None).cast("bigint").alias("subscriber_count"),
-        F.lit(None).cast("bigint").alias("video_count"),
-        F.concat(F.lit("UU"), _s("n_nationkey")).alias("uploads_playlist_id"),
-        ts(EPOCH_TS).alias("ingested_at"),
+    return load(spark, d, "nation").selectExpr(
+        "CAST(n_nationkey AS STRING) AS channel_id",
+        "n_name AS title",
+        "CAST(NULL AS STRING) AS description",
+        "concat('@', lower(n_name)) AS custom_url",
+        "CAST(NULL AS STRING) AS published_at",
+        "CAST(n_regionkey AS STRING) AS country",
+        "CAST(NULL AS BIGINT) AS view_count",
+        "CAST(NULL AS BIGINT) AS subscriber_count",
+        "CAST(NULL AS BIGINT) AS video_count",
+        "concat('UU', CAST(n_nationkey AS STRING)) AS uploads_playlist_id",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS ingested_at",
     )
 
 
 def comments(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "conversations").where(F.col("turn") == 0)
-    return c.select(
-        F.concat(F.lit("t"), _s("conv_id")).alias("thread_id"),
-        F.concat(_s("conv_id"), F.lit("-0")).alias("comment_id"),
-        F.lit(None).cast("string").alias("parent_id"),
-        _s("conv_id").alias("video_id"),
-        F.col("role").alias("author_name"),
-        F.concat(F.lit("UC"), F.col("role")).alias("author_channel_id"),
-        F.col("text"),
-        (F.length("text") % 50).cast("bigint").alias("like_count"),
-        F.lit(None).cast("string").alias("published_at"),
-        F.lit(None).cast("string").alias("updated_at"),
-        F.lit(0).cast("bigint").alias("reply_count"),
-        ts(EPOCH_TS).alias("ingested_at"),
+    return load(spark, d, "conversations").where("turn = 0").selectExpr(
+        "concat('t', CAST(conv_id AS STRING)) AS thread_id",
+        "concat(CAST(conv_id AS STRING), '-0') AS comment_id",
+        "CAST(NULL AS STRING) AS parent_id",
+        "CAST(conv_id AS STRING) AS video_id",
+        "role AS author_name",
+        "concat('UC', role) AS author_channel_id",
+        "text",
+        "CAST(length(text) % 50 AS BIGINT) AS like_count",
+        "CAST(NULL AS STRING) AS published_at",
+        "CAST(NULL AS STRING) AS updated_at",
+        "CAST(0 AS BIGINT) AS reply_count",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS ingested_at",
     )
 
 
 def replies(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "conversations").where(F.col("turn") > 0)
-    return c.select(
-        F.concat(_s("conv_id"), F.lit("-"), _s("turn")).alias("comment_id"),
-        F.concat(_s("conv_id"), F.lit("-0")).alias("parent_id"),
-        _s("conv_id").alias("video_id"),
-        F.col("role").alias("author_name"),
-        F.concat(F.lit("UC"), F.col("role")).alias("author_channel_id"),
-        F.col("text"),
-        F.col("turn").cast("bigint").alias("like_count"),
-        F.lit(None).cast("string").alias("published_at"),
-        F.lit(None).cast("string").alias("updated_at"),
-        ts(EPOCH_TS).alias("ingested_at"),
+    return load(spark, d, "conversations").where("turn > 0").selectExpr(
+        "concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS comment_id",
+        "concat(CAST(conv_id AS STRING), '-0') AS parent_id",
+        "CAST(conv_id AS STRING) AS video_id",
+        "role AS author_name",
+        "concat('UC', role) AS author_channel_id",
+        "text",
+        "CAST(turn AS BIGINT) AS like_count",
+        "CAST(NULL AS STRING) AS published_at",
+        "CAST(NULL AS STRING) AS updated_at",
+        f"TIMESTAMP_NTZ '{EPOCH_TS}' AS ingested_at",
     )
 
 
