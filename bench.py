@@ -15,7 +15,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from chronoledger.plans import registry as R  # noqa: E402
 from chronoledger.plans import serve  # noqa: E402
@@ -33,15 +32,18 @@ HEADLINE = [
 
 
 def video_trend_repeated(times: int):
-    """The trend over a history repeated ``times`` times (a few seconds
-    apart): the same entities, ``times`` x the observations."""
+    """The trend over a history repeated ``times`` times (copies a few
+    seconds apart): the same entities, ``times`` x the observations, as
+    ``times`` separate inputs (as further files of the table would be)."""
     def run(spark, d):
         snaps = SI.video_snapshots(spark, d)
-        rep = spark.range(times).withColumnRenamed("id", "__rep")
-        many = snaps.join(F.broadcast(rep), how="inner").select(
-            "video_id", F.concat("ingestion_id", F.lit("-"), F.col("__rep").cast("string")).alias("ingestion_id"),
-            (F.col("collected_at") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("__rep"))).alias("collected_at"),
-            "view_count", "like_count", "comment_count")
+        many = None
+        for rep in range(times):
+            copy = snaps.selectExpr(
+                "video_id", f"concat(ingestion_id, '-{rep}') AS ingestion_id",
+                f"collected_at - INTERVAL {rep} SECONDS AS collected_at",
+                "view_count", "like_count", "comment_count")
+            many = copy if many is None else many.unionByName(copy)
         return serve.video_trend(SI.targets(spark, d), many, SI.videos(spark, d), R.TREND_AS_OF, R.TREND_DAYS)
     return run
 

@@ -40,6 +40,19 @@ def _runs_of(df: DataFrame) -> DataFrame:
     return df.select("ingestion_id").distinct()
 
 
+# Step that fetches each stored resource.
+RESOURCE_STEP = {"videos": "fetch_videos", "channels": "fetch_channels", "commentThreads": "fetch_comments",
+                 "comments": "fetch_replies", "playlistItems": "list_uploads"}
+
+
+def returned_counts(raw: DataFrame) -> DataFrame:
+    """Items returned per run and step, before any deduplication (every
+    stored page counts, repeats included)."""
+    step = F.create_map(*[x for kv in RESOURCE_STEP.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    return (N.raw_flatten(raw).groupBy("ingestion_id", "resource").agg(F.count(F.lit(1)).alias("n_rows"))
+            .select("ingestion_id", step[F.col("resource")].alias("step"), "n_rows"))
+
+
 def record_outcomes(outcomes: DataFrame, new: DataFrame) -> DataFrame:
     """Upsert step outcomes on (run, video, step): a rerun replaces its result."""
     return M.merge(outcomes, new.select(*[f.name for f in S.INGESTION_STEP_OUTCOMES.fields]), OUTCOME_KEYS,

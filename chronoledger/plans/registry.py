@@ -395,13 +395,6 @@ def q_finalize_runs(spark, d):
     return finalize_runs(_final(spark, d)[1])
 
 
-@register("step_counts", """SELECT ingestion_id, step, count(*) AS n_rows, count(*) FILTER (WHERE status = 'SUCCESS') AS n_success
-FROM outcomes GROUP BY ingestion_id, step""")
-def q_step_counts(spark, d):
-    from chronoledger.operators.outcomes import step_counts
-    return step_counts(SI.outcomes(spark, d))
-
-
 NAMES_SQL = """SELECT r.ingestion_id, n.channel_name FROM (SELECT DISTINCT ingestion_id FROM owned) r LEFT JOIN (
   SELECT o.ingestion_id, string_agg(DISTINCT c.title, ', ' ORDER BY c.title) AS channel_name
   FROM owned o JOIN videos v ON o.video_id = v.video_id JOIN channels c ON v.channel_id = c.channel_id
@@ -1006,3 +999,11 @@ def q_apply_replies(spark, d):
     raw = RP.run_reply_pages(spark, d, QUEUE_AS_OF)
     out, _ = IG.apply_replies(t, raw, QUEUE_AS_OF, _all_pairs(t), max_replies_per_comment=5)
     return out["replies"]
+
+
+@register("step_counts", """SELECT ingestion_id, CASE resource WHEN 'videos' THEN 'fetch_videos'
+  WHEN 'channels' THEN 'fetch_channels' WHEN 'commentThreads' THEN 'fetch_comments' WHEN 'comments' THEN 'fetch_replies'
+  ELSE 'list_uploads' END AS step, count(*) AS n_rows
+FROM (""" + FLAT_SQL + """) f GROUP BY ingestion_id, resource""")
+def q_step_counts(spark, d):
+    return IG.returned_counts(_all_pages(spark, d))
