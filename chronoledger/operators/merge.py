@@ -146,6 +146,27 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
     return kept.unionByName(new.select(*_insert_projection(target, insert)))
 
 
+def rows_to_insert(target: DataFrame, source: DataFrame, on, strategy: str = "auto",
+                   broadcast_max_rows: int | None = None) -> DataFrame:
+    """The source rows an insert-only merge adds (keys absent from the
+    target), in target column order. For append-only tables this is what
+    gets *appended*: the stored history is never rewritten."""
+    keys = _keys(on)
+    source = _conform_source(target, source, None, "*")
+    if strategy == "auto":
+        bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
+        source, small = sizing.persisted_rows_at_most(source, bound)
+        strategy = "broadcast" if small else "shuffle"
+    if strategy == "broadcast":
+        src_keys = source.select(*keys).where(
+            reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        existing = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
+    else:
+        existing = target.select(*keys)
+    new = source.alias("s").join(existing, keys, "left_anti")
+    return new.select(*_insert_projection(target, "*"))
+
+
 def upsert(target: DataFrame, source: DataFrame, on, **kw) -> DataFrame:
     """WHEN MATCHED UPDATE SET * / WHEN NOT MATCHED INSERT * (last write wins)."""
     return merge(target, source, on, update="*", insert="*", **kw)
@@ -194,7 +215,9 @@ def replace_slice(target: DataFrame, slice_column: str, slice_values: DataFrame,
     """
     from chronoledger.operators.dedupe import drop_blank_keys, one_per_key
 
-    sv = slice_values.select(slice_column).distinct()
+    from chronoledger.operators.sizing import broadcast_if_small
+
+    sv = broadcast_if_small(slice_values.select(slice_column).distinct())
     kept = target.join(sv, slice_column, "left_anti")
     fresh = one_per_key(drop_blank_keys(rows.select(*target.columns), required), dedupe_keys)
     return kept.unionByName(fresh)

@@ -37,7 +37,22 @@ def _ts(v):
 
 
 def _runs_of(df: DataFrame) -> DataFrame:
-    return df.select("ingestion_id").distinct()
+    """DISTINCT run ids, broadcast when proven small: it filters the raw
+    table, the largest one, which must then not be shuffled."""
+    from chronoledger.operators.sizing import broadcast_if_small
+
+    return broadcast_if_small(df.select("ingestion_id").distinct())
+
+
+APPENDS = "__appends__"
+
+
+def _append_only(tables: dict, name: str, target: DataFrame, new_rows: DataFrame) -> dict:
+    """Record ``new_rows`` as an append to ``name``; the in-memory view of
+    the table is target + new rows, a store appends only the new rows."""
+    appends = dict(tables.get(APPENDS, {}))
+    appends[name] = new_rows
+    return {name: target.unionByName(new_rows), APPENDS: appends}
 
 
 # Step that fetches each stored resource.
@@ -102,13 +117,14 @@ def apply_videos(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None =
     cols = [f.name for f in S.VIDEOS.fields if f.name != "ingested_at"]
     videos = _upsert_latest(tables["videos"], items, "video_id", cols, as_of)
     per_run = latest_per_key(items, ["video_id", "ingestion_id"], ITEM_ORDER)
-    snaps = M.insert_only(tables["video_snapshots"],
-                          snapshot_rows(per_run, "videos", F.col("ingestion_id"), as_of),
-                          ["video_id", "ingestion_id"])
+    new_snaps = M.rows_to_insert(tables["video_snapshots"],
+                                 snapshot_rows(per_run, "videos", F.col("ingestion_id"), as_of),
+                                 ["video_id", "ingestion_id"])
     outs = OC.found_outcomes(owned, items, "video_id", "fetch_videos", S.ST_NOT_FOUND,
                              S.MSG_VIDEO_NOT_FOUND, as_of)
-    out = dict(tables, videos=videos, video_snapshots=snaps,
+    out = dict(tables, videos=videos,
                ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
+    out.update(_append_only(tables, "video_snapshots", tables["video_snapshots"], new_snaps))
     return out, _counts(items, "fetch_videos")
 
 
@@ -124,12 +140,13 @@ def apply_channels(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None
     cols = [f.name for f in S.CHANNELS.fields if f.name != "ingested_at"]
     channels = _upsert_latest(tables["channels"], items, "channel_id", cols, as_of)
     per_run = latest_per_key(items, ["channel_id", "ingestion_id"], ITEM_ORDER)
-    snaps = M.insert_only(tables["channel_snapshots"],
-                          snapshot_rows(per_run, "channels", F.col("ingestion_id"), as_of),
-                          ["channel_id", "ingestion_id"])
+    new_snaps = M.rows_to_insert(tables["channel_snapshots"],
+                                 snapshot_rows(per_run, "channels", F.col("ingestion_id"), as_of),
+                                 ["channel_id", "ingestion_id"])
     outs = OC.parent_outcomes(vc, items.select("ingestion_id", "channel_id"), as_of)
-    out = dict(tables, channels=channels, channel_snapshots=snaps,
+    out = dict(tables, channels=channels,
                ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
+    out.update(_append_only(tables, "channel_snapshots", tables["channel_snapshots"], new_snaps))
     return out, _counts(items, "fetch_channels")
 
 
@@ -219,11 +236,17 @@ def _cut(tables: dict, changed: set, store=None) -> dict:
     from chronoledger.operators.sizing import release
 
     out = dict(tables)
+    appends = out.pop(APPENDS, {})
     for name in changed:
+        if name == APPENDS:
+            continue
         df = tables[name]
         if store is not None:
             layer = next(layer for (layer, t) in S.TABLES if t == name)
-            store.publish(layer, name, df)
+            if name in appends:  # append-only history: add the new rows only
+                store.append(layer, name, appends[name])
+            else:
+                store.publish(layer, name, df)
             out[name] = store.read(layer, name)
         else:
             out[name] = df.checkpoint(eager=True)
@@ -246,7 +269,10 @@ def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_
         nonlocal tables
         before = dict(tables)
         new, c = fn(tables, *a, **kw)
-        changed = {k for k in new if new[k] is not before.get(k)}
+        changed = {k for k in new if k != APPENDS and new[k] is not before.get(k)}
+        if APPENDS in new:
+            new = dict(new)
+            new[APPENDS] = {k: v for k, v in new[APPENDS].items() if k in changed}
         tables = _cut(new, changed, store) if (cut_lineage or store is not None) else new
         counts.append(c)
 
