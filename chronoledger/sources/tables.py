@@ -25,6 +25,11 @@ from chronoledger import schemas as S
 
 _VERSION = re.compile(r"^v=(\d+)$")
 
+# Directory partitioning per table: the raw table is filtered by resource in
+# every reprocessing step, so each resource lives in its own folder and the
+# filter prunes files instead of reading every stored page.
+PARTITION_BY: dict[tuple[str, str], list[str]] = {("raw", "api_responses"): ["resource"]}
+
 
 def conform(df: DataFrame, schema: StructType, allow_extra: bool = False) -> DataFrame:
     """Select, order and cast ``df`` to ``schema``.
@@ -108,7 +113,12 @@ class TableStore:
         if not vs:
             return self.spark.createDataFrame([], sch)
         df = self.spark.read.schema(sch).parquet(f"{self.path(layer, table)}/v={vs[-1]}")
-        return df
+        return df.select(*sch.fieldNames())
+
+    def _writer(self, layer: str, table: str, df: DataFrame, mode: str):
+        w = df.write.mode(mode)
+        parts = PARTITION_BY.get((layer, table))
+        return w.partitionBy(*parts) if parts else w
 
     def publish(self, layer: str, table: str, df: DataFrame) -> int:
         """Write ``df`` as the next version after checking types and NOT NULLs."""
@@ -116,7 +126,7 @@ class TableStore:
         out = assert_not_null(conform(df, sch), S.required_columns(table))
         vs = self.versions(layer, table)
         n = (vs[-1] + 1) if vs else 1
-        out.write.mode("errorifexists").parquet(f"{self.path(layer, table)}/v={n}")
+        self._writer(layer, table, out, "errorifexists").parquet(f"{self.path(layer, table)}/v={n}")
         return n
 
     def append(self, layer: str, table: str, df: DataFrame) -> int:
@@ -125,17 +135,17 @@ class TableStore:
         out = assert_not_null(conform(df, sch), S.required_columns(table))
         vs = self.versions(layer, table)
         if not vs:
-            n = 1
-            out.write.mode("errorifexists").parquet(f"{self.path(layer, table)}/v={n}")
-            return n
-        out.write.mode("append").parquet(f"{self.path(layer, table)}/v={vs[-1]}")
+            self._writer(layer, table, out, "errorifexists").parquet(f"{self.path(layer, table)}/v=1")
+            return 1
+        self._writer(layer, table, out, "append").parquet(f"{self.path(layer, table)}/v={vs[-1]}")
         return vs[-1]
 
     def create_all(self) -> None:
         """Create every table of the registry as an empty version 1 if absent."""
         for (layer, table), sch in S.TABLES.items():
             if not self.versions(layer, table):
-                self.spark.createDataFrame([], sch).write.parquet(f"{self.path(layer, table)}/v=1")
+                empty = self.spark.createDataFrame([], sch)
+                self._writer(layer, table, empty, "errorifexists").parquet(f"{self.path(layer, table)}/v=1")
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
