@@ -182,6 +182,12 @@ def sorted_json_map(params: Column, drop_keys=("key",)) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept))))
 
 
+def _sorted_json_map_sql(map_sql: str, drop_keys=("key",)) -> str:
+    dropped = ", ".join(f"'{k}'" for k in drop_keys)
+    return (f"to_json(map_from_entries(array_sort(map_entries("
+            f"map_filter({map_sql}, (k, v) -> NOT k IN ({dropped}))))))")
+
+
 def pack_pages(items: DataFrame, page_cols, resource: str, part: str, ingestion_id: Column,
                page_size: int = 50) -> DataFrame:
     """Group items into stored pages (one raw row per page), as the fetch
@@ -195,18 +201,15 @@ def pack_pages(items: DataFrame, page_cols, resource: str, part: str, ingestion_
     expression over ``page_cols``. Request parameters are stored as JSON with
     sorted keys and without the API key."""
     g = items.groupBy(*page_cols).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__order").alias("o"),
-                                             F.to_json("__item").alias("j")))).alias("__items"),
-        F.max("__received").alias("received_at"),
-        F.array_join(F.array_sort(F.collect_list(F.col("__id").cast("string"))), ",").alias("__ids"))
-    params = F.create_map(F.lit("id"), F.col("__ids"), F.lit("part"), F.lit(part),
-                          F.lit("maxResults"), F.lit(str(page_size)), F.lit("key"), F.lit("<api-key>"))
-    body = F.concat(F.lit('{"items":['), F.array_join(F.transform("__items", lambda x: x["j"]), ","),
-                    F.lit("]}"))
+        F.expr("array_sort(collect_list(named_struct('o', __order, 'j', to_json(__item))))").alias("__items"),
+        F.expr("max(__received)").alias("received_at"),
+        F.expr("array_join(array_sort(collect_list(CAST(__id AS STRING))), ',')").alias("__ids"))
+    params = (f"map('id', __ids, 'part', '{part}', 'maxResults', '{int(page_size)}', "
+              f"'key', '<api-key>')")
     return g.select(
         ingestion_id.cast("string").alias("ingestion_id"),
         F.lit(resource).alias("resource"),
-        sorted_json_map(params).alias("request_params_json"),
-        body.alias("response_json"),
+        F.expr(_sorted_json_map_sql(params)).alias("request_params_json"),
+        F.expr("concat('{\"items\":[', array_join(transform(__items, x -> x.j), ','), ']}')").alias("response_json"),
         F.col("received_at"),
     )

@@ -30,123 +30,109 @@ def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def _iso(ts: str) -> Column:
-    return F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
-def _run_of_page(page: str) -> Column:
-    return F.concat(F.lit("run-"), _s(F.floor(F.col(page) / 10)))
-
-
-def video_item(id_col: Column) -> Column:
-    e = F.col
-    return F.struct(
-        id_col.alias("id"),
-        F.struct(_s(e("user_id") % 25).alias("channelId"),
-                 F.concat(F.lit("NATION_"), _s(e("user_id") % 25)).alias("channelTitle"),
-                 F.concat(e("event_type"), F.lit(" #"), _s("event_id")).alias("title"),
-                 e("props").alias("description"),
-                 _iso("ts").alias("publishedAt"),
-                 _s(e("user_id") % 10).alias("categoryId"),
-                 F.when(e("event_id") % 3 == 1, F.array().cast("array<string>"))
-                  .when(e("event_id") % 3 == 2, F.array(e("event_type"), F.concat(F.lit("u"), _s("user_id"))))
-                  .alias("tags")).alias("snippet"),
-        F.struct(F.concat(F.lit("PT"), _s(e("event_id") % 600), F.lit("S")).alias("duration"),
-                 F.when(e("event_id") % 2 == 0, "hd").otherwise("sd").alias("definition"),
-                 F.lit("false").alias("caption")).alias("contentDetails"),
-        F.when(e("event_id") % 13 != 0, F.struct(
-            _s(F.floor(e("value") * 100)).alias("viewCount"),
-            F.when(e("event_id") % 7 != 0, _s(F.floor(e("value") * 10))).alias("likeCount"),
-            F.when(e("event_type") != "error", _s(F.floor(e("value")))).alias("commentCount"),
-        )).alias("statistics"),
-        F.struct(F.lit("public").alias("privacyStatus")).alias("status"),
-    )
+# Item builders are SQL expressions (one ``expr`` call per item shape).
+def _video_item_sql(id_sql: str) -> str:
+    return f"""named_struct(
+  'id', {id_sql},
+  'snippet', named_struct(
+     'channelId', CAST(user_id % 25 AS STRING),
+     'channelTitle', concat('NATION_', CAST(user_id % 25 AS STRING)),
+     'title', concat(event_type, ' #', CAST(event_id AS STRING)),
+     'description', props,
+     'publishedAt', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+     'categoryId', CAST(user_id % 10 AS STRING),
+     'tags', CASE event_id % 3 WHEN 1 THEN CAST(array() AS ARRAY<STRING>)
+                               WHEN 2 THEN array(event_type, concat('u', CAST(user_id AS STRING))) END),
+  'contentDetails', named_struct(
+     'duration', concat('PT', CAST(event_id % 600 AS STRING), 'S'),
+     'definition', CASE WHEN event_id % 2 = 0 THEN 'hd' ELSE 'sd' END,
+     'caption', 'false'),
+  'statistics', CASE WHEN event_id % 13 <> 0 THEN named_struct(
+     'viewCount', CAST(floor(value * 100) AS STRING),
+     'likeCount', CASE WHEN event_id % 7 <> 0 THEN CAST(floor(value * 10) AS STRING) END,
+     'commentCount', CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS STRING) END) END,
+  'status', named_struct('privacyStatus', 'public'))"""
+
+
+def _run_sql(page: str) -> str:
+    return f"concat('run-', CAST(floor({page} / 10) AS STRING))"
 
 
 def video_pages(spark: SparkSession, d: str, id_from: str = "event_id") -> DataFrame:
     """Pages of video items, one item per event (id = event or user id)."""
-    e = load(spark, d, "events").withColumn("__page", F.floor(F.col("event_id") / PAGE))
-    items = e.select("__page", F.col("event_id").alias("__order"), video_item(_s(id_from)).alias("__item"),
-                     _s(id_from).alias("__id"), F.col("ts").alias("__received"))
+    items = load(spark, d, "events").selectExpr(
+        f"floor(event_id / {PAGE}) AS __page", "event_id AS __order",
+        f"{_video_item_sql(f'CAST({id_from} AS STRING)')} AS __item",
+        f"CAST({id_from} AS STRING) AS __id", "ts AS __received")
     return pack_pages(items, ["__page"], "videos", "snippet,contentDetails,statistics,status",
-                      _run_of_page("__page"))
+                      F.expr(_run_sql("__page")))
 
 
 def channel_pages(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "customer").withColumn("__page", F.floor(F.col("c_custkey") / PAGE))
-    k = F.col("c_custkey")
-    item = F.struct(
-        F.concat(F.lit("UC"), _s(k)).alias("id"),
-        F.struct(F.col("c_name").alias("title"), F.col("c_mktsegment").alias("description"),
-                 F.concat(F.lit("@c"), _s(k)).alias("customUrl"),
-                 _s(F.col("c_nationkey")).alias("country")).alias("snippet"),
-        F.struct(_s(F.floor(F.col("c_acctbal"))).alias("viewCount"),
-                 F.when(k % 4 != 0, _s(k * 10)).alias("subscriberCount"),
-                 F.when(k % 5 != 0, _s(k % 97)).alias("videoCount")).alias("statistics"),
-        F.when(k % 6 != 0, F.struct(F.struct(F.concat(F.lit("UU"), _s(k)).alias("uploads"))
-                                    .alias("relatedPlaylists"))).alias("contentDetails"),
-    )
-    items = c.select("__page", k.alias("__order"), item.alias("__item"),
-                     F.concat(F.lit("UC"), _s(k)).alias("__id"),
-                     F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("__received"))
+    items = load(spark, d, "customer").selectExpr(
+        f"floor(c_custkey / {PAGE}) AS __page", "c_custkey AS __order",
+        """named_struct(
+  'id', concat('UC', CAST(c_custkey AS STRING)),
+  'snippet', named_struct('title', c_name, 'description', c_mktsegment,
+                          'customUrl', concat('@c', CAST(c_custkey AS STRING)),
+                          'country', CAST(c_nationkey AS STRING)),
+  'statistics', named_struct(
+     'viewCount', CAST(floor(c_acctbal) AS STRING),
+     'subscriberCount', CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey * 10 AS STRING) END,
+     'videoCount', CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 97 AS STRING) END),
+  'contentDetails', CASE WHEN c_custkey % 6 <> 0 THEN
+     named_struct('relatedPlaylists', named_struct('uploads', concat('UU', CAST(c_custkey AS STRING)))) END
+) AS __item""",
+        "concat('UC', CAST(c_custkey AS STRING)) AS __id",
+        "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS __received")
     return pack_pages(items, ["__page"], "channels", "snippet,statistics,contentDetails",
-                      _run_of_page("__page"))
+                      F.expr(_run_sql("__page")))
 
 
-def _comment_snippet(parent: bool) -> Column:
-    cv = F.col("conv_id")
-    fields = [_s(cv).alias("videoId")]
-    if parent:
-        fields.append(F.concat(_s(cv), F.lit("-0")).alias("parentId"))
-    fields += [
-        F.col("role").alias("authorDisplayName"),
-        F.when(cv % 4 != 0, F.struct(F.concat(F.lit("UC"), F.col("role")).alias("value"))).alias("authorChannelId"),
-        F.col("text").alias("textDisplay"),
-        F.when(cv % 5 != 0, (F.length("text") % 50).cast("bigint")).alias("likeCount"),
-        F.concat(F.lit("2024-01-"), F.lpad(_s(cv % 28 + 1), 2, "0"), F.lit("T00:00:00Z")).alias("publishedAt"),
-    ]
-    return F.struct(*fields)
+def _comment_snippet_sql(parent: bool, video: str = "CAST(conv_id AS STRING)") -> str:
+    parent_field = "'parentId', concat(CAST(conv_id AS STRING), '-0'), " if parent else ""
+    return f"""named_struct('videoId', {video}, {parent_field}
+  'authorDisplayName', role,
+  'authorChannelId', CASE WHEN conv_id % 4 <> 0 THEN named_struct('value', concat('UC', role)) END,
+  'textDisplay', text,
+  'likeCount', CASE WHEN conv_id % 5 <> 0 THEN CAST(length(text) % 50 AS BIGINT) END,
+  'publishedAt', concat('2024-01-', lpad(CAST(conv_id % 28 + 1 AS STRING), 2, '0'), 'T00:00:00Z'))"""
 
 
 def thread_pages(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
     n_replies = c.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("n_replies"))
-    top = c.where(F.col("turn") == 0).join(n_replies, "conv_id").withColumn(
-        "__page", F.floor(F.col("conv_id") / PAGE))
-    cv = F.col("conv_id")
-    item = F.struct(
-        F.concat(F.lit("t"), _s(cv)).alias("id"),
-        F.struct(F.when(cv % 3 != 0, F.col("n_replies").cast("bigint")).alias("totalReplyCount"),
-                 F.struct(F.concat(_s(cv), F.lit("-0")).alias("id"),
-                          _comment_snippet(False).alias("snippet")).alias("topLevelComment")).alias("snippet"))
-    items = top.select("__page", cv.alias("__order"), item.alias("__item"), _s(cv).alias("__id"),
-                       F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("__received"))
-    return pack_pages(items, ["__page"], "commentThreads", "snippet,replies", _run_of_page("__page"))
+    items = c.where("turn = 0").join(n_replies, "conv_id").selectExpr(
+        f"floor(conv_id / {PAGE}) AS __page", "conv_id AS __order",
+        f"""named_struct('id', concat('t', CAST(conv_id AS STRING)),
+  'snippet', named_struct(
+     'totalReplyCount', CASE WHEN conv_id % 3 <> 0 THEN CAST(n_replies AS BIGINT) END,
+     'topLevelComment', named_struct('id', concat(CAST(conv_id AS STRING), '-0'),
+                                     'snippet', {_comment_snippet_sql(False)}))) AS __item""",
+        "CAST(conv_id AS STRING) AS __id", "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS __received")
+    return pack_pages(items, ["__page"], "commentThreads", "snippet,replies", F.expr(_run_sql("__page")))
 
 
 def reply_pages(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "conversations").where(F.col("turn") > 0)
-    seq = F.col("conv_id") * 8 + F.col("turn")
-    c = c.withColumn("__seq", seq).withColumn("__page", F.floor(F.col("__seq") / PAGE))
-    item = F.struct(F.concat(_s("conv_id"), F.lit("-"), _s("turn")).alias("id"),
-                    _comment_snippet(True).alias("snippet"))
-    items = c.select("__page", F.col("__seq").alias("__order"), item.alias("__item"),
-                     F.concat(_s("conv_id"), F.lit("-0")).alias("__id"),
-                     F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("__received"))
-    return pack_pages(items, ["__page"], "comments", "snippet", _run_of_page("__page"))
+    items = load(spark, d, "conversations").where("turn > 0").selectExpr(
+        f"floor((conv_id * 8 + turn) / {PAGE}) AS __page", "conv_id * 8 + turn AS __order",
+        f"""named_struct('id', concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)),
+                         'snippet', {_comment_snippet_sql(True)}) AS __item""",
+        "concat(CAST(conv_id AS STRING), '-0') AS __id", "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS __received")
+    return pack_pages(items, ["__page"], "comments", "snippet", F.expr(_run_sql("__page")))
 
 
 def playlist_pages(spark: SparkSession, d: str) -> DataFrame:
-    o = load(spark, d, "orders").withColumn("__page", F.floor(F.col("o_orderkey") / PAGE))
-    item = F.struct(
-        F.struct(F.concat(F.lit("order "), _s("o_orderkey")).alias("title"),
-                 F.col("o_orderpriority").alias("description"),
-                 (F.col("o_orderkey") % PAGE).cast("bigint").alias("position")).alias("snippet"),
-        F.struct(_s("o_custkey").alias("videoId"),
-                 _iso("o_orderdate").alias("videoPublishedAt")).alias("contentDetails"))
-    items = o.select("__page", F.col("o_orderkey").alias("__order"), item.alias("__item"),
-                     _s("o_orderkey").alias("__id"), F.col("o_orderdate").alias("__received"))
-    return pack_pages(items, ["__page"], "playlistItems", "snippet,contentDetails", _run_of_page("__page"))
+    items = load(spark, d, "orders").selectExpr(
+        f"floor(o_orderkey / {PAGE}) AS __page", "o_orderkey AS __order",
+        f"""named_struct(
+  'snippet', named_struct('title', concat('order ', CAST(o_orderkey AS STRING)),
+                          'description', o_orderpriority, 'position', CAST(o_orderkey % {PAGE} AS BIGINT)),
+  'contentDetails', named_struct('videoId', CAST(o_custkey AS STRING),
+                                 'videoPublishedAt', date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+) AS __item""",
+        "CAST(o_orderkey AS STRING) AS __id", "o_orderdate AS __received")
+    return pack_pages(items, ["__page"], "playlistItems", "snippet,contentDetails", F.expr(_run_sql("__page")))
 
 
 # -- pages answering the requests of the stand-in runs ---------------------
@@ -157,25 +143,23 @@ def _ts(v: str) -> Column:
 def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: str) -> DataFrame:
     """Video pages per run for its owned targets; customers with a negative
     balance stand in for videos the API no longer returns."""
-    c = load(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+    c = load(spark, d, "customer").where("c_acctbal >= 0")
     j = owned.select("ingestion_id", "video_id").join(
         c, owned.video_id == c.c_custkey.cast("string"), "inner")
-    k = F.col("c_custkey")
-    item = F.struct(
-        F.col("video_id").alias("id"),
-        F.struct(_s("c_nationkey").alias("channelId"),
-                 F.concat(F.lit("NATION_"), _s("c_nationkey")).alias("channelTitle"),
-                 F.concat(F.col("c_name"), F.lit(" (refreshed)")).alias("title"),
-                 F.col("c_mktsegment").alias("description"),
-                 _s(k % 30).alias("categoryId"),
-                 F.array(F.col("c_mktsegment")).alias("tags")).alias("snippet"),
-        F.struct(F.lit("PT1M").alias("duration"), F.lit("hd").alias("definition"),
-                 F.lit("false").alias("caption")).alias("contentDetails"),
-        F.struct(_s(F.floor(F.col("c_acctbal") * 10)).alias("viewCount"), _s(k % 100).alias("likeCount"),
-                 F.when(k % 3 != 0, _s(k % 1000)).alias("commentCount")).alias("statistics"),
-        F.struct(F.lit("public").alias("privacyStatus")).alias("status"))
-    items = j.select("ingestion_id", k.alias("__order"), item.alias("__item"), F.col("video_id").alias("__id"),
-                     _ts(received).alias("__received"))
+    items = j.selectExpr(
+        "ingestion_id", "c_custkey AS __order",
+        """named_struct(
+  'id', video_id,
+  'snippet', named_struct('channelId', CAST(c_nationkey AS STRING),
+                          'channelTitle', concat('NATION_', CAST(c_nationkey AS STRING)),
+                          'title', concat(c_name, ' (refreshed)'), 'description', c_mktsegment,
+                          'categoryId', CAST(c_custkey % 30 AS STRING), 'tags', array(c_mktsegment)),
+  'contentDetails', named_struct('duration', 'PT1M', 'definition', 'hd', 'caption', 'false'),
+  'statistics', named_struct('viewCount', CAST(floor(c_acctbal * 10) AS STRING),
+                             'likeCount', CAST(c_custkey % 100 AS STRING),
+                             'commentCount', CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 1000 AS STRING) END),
+  'status', named_struct('privacyStatus', 'public')) AS __item""",
+        "video_id AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
     return pack_pages(items, ["ingestion_id"], "videos", "snippet,contentDetails,statistics,status",
                       F.col("ingestion_id"))
 
@@ -183,22 +167,22 @@ def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: s
 def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, received: str) -> DataFrame:
     """Channel pages per run for the channels its videos reference; channels
     of region 0 stand in for channels the API did not return."""
-    n = load(spark, d, "nation").where(F.col("n_regionkey") != 0)
+    n = load(spark, d, "nation").where("n_regionkey <> 0")
     req = video_channels.select("ingestion_id", "channel_id").distinct()
     j = req.join(n, req.channel_id == n.n_nationkey.cast("string"), "inner")
-    k = F.col("n_nationkey")
-    item = F.struct(
-        F.col("channel_id").alias("id"),
-        F.struct(F.concat(F.col("n_name"), F.lit(" channel")).alias("title"),
-                 F.concat(F.lit("region "), _s("n_regionkey")).alias("description"),
-                 F.concat(F.lit("@"), F.lower("n_name")).alias("customUrl"),
-                 _s("n_regionkey").alias("country")).alias("snippet"),
-        F.struct(_s(k * 1000).alias("viewCount"), F.when(k % 2 == 0, _s(k * 100)).alias("subscriberCount"),
-                 _s(k).alias("videoCount")).alias("statistics"),
-        F.struct(F.struct(F.concat(F.lit("UU"), _s(k)).alias("uploads")).alias("relatedPlaylists"))
-        .alias("contentDetails"))
-    items = j.select("ingestion_id", k.alias("__order"), item.alias("__item"), F.col("channel_id").alias("__id"),
-                     _ts(received).alias("__received"))
+    items = j.selectExpr(
+        "ingestion_id", "n_nationkey AS __order",
+        """named_struct(
+  'id', channel_id,
+  'snippet', named_struct('title', concat(n_name, ' channel'),
+                          'description', concat('region ', CAST(n_regionkey AS STRING)),
+                          'customUrl', concat('@', lower(n_name)), 'country', CAST(n_regionkey AS STRING)),
+  'statistics', named_struct('viewCount', CAST(n_nationkey * 1000 AS STRING),
+                             'subscriberCount', CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey * 100 AS STRING) END,
+                             'videoCount', CAST(n_nationkey AS STRING)),
+  'contentDetails', named_struct('relatedPlaylists',
+                                 named_struct('uploads', concat('UU', CAST(n_nationkey AS STRING))))) AS __item""",
+        "channel_id AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
     return pack_pages(items, ["ingestion_id"], "channels", "snippet,statistics,contentDetails",
                       F.col("ingestion_id"))
 
@@ -206,41 +190,36 @@ def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, re
 def _conv_runs(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return c.join(o, c.conv_id == o.o_orderkey, "inner").select(
-        "conv_id", "turn", "role", "text", _s("o_orderkey").alias("ingestion_id"), _s("o_custkey").alias("video"))
+    return c.join(o, c.conv_id == o.o_orderkey, "inner").selectExpr(
+        "conv_id", "turn", "role", "text", "CAST(o_orderkey AS STRING) AS ingestion_id",
+        "CAST(o_custkey AS STRING) AS video")
 
 
 def run_thread_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
     """Comment-thread pages: conversation ``c`` answered run ``c`` for that
     order's customer (turn 0 is the top-level comment)."""
     c = _conv_runs(spark, d)
-    n_replies = c.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).cast("bigint").alias("n_replies"))
-    top = c.where(F.col("turn") == 0).join(n_replies, "conv_id")
-    cv = F.col("conv_id")
-    item = F.struct(
-        F.concat(F.lit("t"), _s(cv)).alias("id"),
-        F.struct(F.col("n_replies").alias("totalReplyCount"),
-                 F.struct(F.concat(_s(cv), F.lit("-0")).alias("id"),
-                          F.struct(F.col("video").alias("videoId"), F.col("role").alias("authorDisplayName"),
-                                   F.struct(F.concat(F.lit("UC"), F.col("role")).alias("value")).alias("authorChannelId"),
-                                   F.col("text").alias("textDisplay"),
-                                   (F.length("text") % 50).cast("bigint").alias("likeCount")).alias("snippet"))
-                 .alias("topLevelComment")).alias("snippet"))
-    items = top.select("ingestion_id", cv.alias("__order"), item.alias("__item"), F.col("video").alias("__id"),
-                       _ts(received).alias("__received"))
+    n_replies = c.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("n_replies"))
+    items = c.where("turn = 0").join(n_replies, "conv_id").selectExpr(
+        "ingestion_id", "conv_id AS __order",
+        """named_struct('id', concat('t', CAST(conv_id AS STRING)),
+  'snippet', named_struct('totalReplyCount', CAST(n_replies AS BIGINT),
+     'topLevelComment', named_struct('id', concat(CAST(conv_id AS STRING), '-0'),
+        'snippet', named_struct('videoId', video, 'authorDisplayName', role,
+                                'authorChannelId', named_struct('value', concat('UC', role)),
+                                'textDisplay', text, 'likeCount', CAST(length(text) % 50 AS BIGINT))))) AS __item""",
+        "video AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
     return pack_pages(items, ["ingestion_id"], "commentThreads", "snippet,replies", F.col("ingestion_id"))
 
 
 def run_reply_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
     """Reply pages: turns > 0 of conversation ``c`` reply to comment c-0."""
-    c = _conv_runs(spark, d).where(F.col("turn") > 0)
-    cv = F.col("conv_id")
-    item = F.struct(
-        F.concat(_s(cv), F.lit("-"), _s("turn")).alias("id"),
-        F.struct(F.concat(_s(cv), F.lit("-0")).alias("parentId"), F.col("video").alias("videoId"),
-                 F.col("role").alias("authorDisplayName"),
-                 F.struct(F.concat(F.lit("UC"), F.col("role")).alias("value")).alias("authorChannelId"),
-                 F.col("text").alias("textDisplay"), F.col("turn").cast("bigint").alias("likeCount")).alias("snippet"))
-    items = c.select("ingestion_id", (cv * 8 + F.col("turn")).alias("__order"), item.alias("__item"),
-                     F.concat(_s(cv), F.lit("-0")).alias("__id"), _ts(received).alias("__received"))
+    items = _conv_runs(spark, d).where("turn > 0").selectExpr(
+        "ingestion_id", "conv_id * 8 + turn AS __order",
+        """named_struct('id', concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)),
+  'snippet', named_struct('parentId', concat(CAST(conv_id AS STRING), '-0'), 'videoId', video,
+                          'authorDisplayName', role,
+                          'authorChannelId', named_struct('value', concat('UC', role)),
+                          'textDisplay', text, 'likeCount', CAST(turn AS BIGINT))) AS __item""",
+        "concat(CAST(conv_id AS STRING), '-0') AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
     return pack_pages(items, ["ingestion_id"], "comments", "snippet", F.col("ingestion_id"))
