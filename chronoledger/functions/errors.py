@@ -33,14 +33,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def error_reasons(body) -> Column:
-    """Distinct non-empty reasons of an error body (empty array if none)."""
-    err = F.from_json(_c(body), ERROR_BODY_SCHEMA)["error"]
+def parsed_error(body) -> Column:
+    """The ``error`` object of a body; NULL unless the body is a JSON object
+    (plain-text bodies never reach the JSON parser)."""
+    b = _c(body)
+    return F.when(F.ltrim(b).startswith("{"), F.from_json(b, ERROR_BODY_SCHEMA)["error"])
+
+
+def reasons_of(err: Column) -> Column:
+    """Distinct non-empty reasons of a parsed ``error`` object."""
     listed = F.coalesce(F.transform(err["errors"], lambda e: e["reason"]), F.array().cast("array<string>"))
     own = F.array(err["reason"])
     return F.array_distinct(F.filter(F.concat(listed, own), lambda r: r.isNotNull() & (r != "")))
 
 
+def error_reasons(body) -> Column:
+    """Distinct non-empty reasons of an error body (empty array if none)."""
+    return reasons_of(parsed_error(body))
+
+
 def _lits(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -75,7 +86,9 @@ def with_error_class(df, status_code: str, body: str, prefix: str = ""):
     several rules, so the optimizer keeps it as one computed column instead
     of re-parsing the body per rule)."""
     tmp = "__reasons"
-    staged = df.withColumn(tmp, error_reasons(body))
+    # parse once (own projection), then derive the reasons from the parsed value
+    staged = df.withColumn("__err", parsed_error(body))
+    staged = staged.withColumn(tmp, reasons_of(F.col("__err"))).drop("__err")
     code = F.col(status_code)
     reasons = F.col(tmp)
     cat = (F.when(F.array_contains(reasons, "commentsDisabled"), "COMMENTS_DISABLED")
