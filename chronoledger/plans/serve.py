@@ -168,3 +168,18 @@ def entity_history(snapshots: DataFrame, videos: DataFrame, ids: DataFrame) -> D
     m = view_video_metrics(snapshots.join(ids.select("video_id").distinct(), "video_id", "left_semi"),
                            videos)
     return m.orderBy("video_id", "collected_at", "ingestion_id")
+
+
+def register_views(tables: dict, prefix: str = "dashboard_") -> list[str]:
+    """``CREATE OR REPLACE`` the four presentation views as temp views over
+    the given tables (runs with duration, targets with state, video and
+    channel metric history)."""
+    views = {
+        "ingestion_runs": view_runs(tables["ingestion_runs"]),
+        "video_targets": view_targets(tables["video_targets"], tables["video_processing_state"]),
+        "video_metrics": view_video_metrics(tables["video_snapshots"], tables["videos"]),
+        "channel_metrics": view_channel_metrics(tables["channel_snapshots"], tables["channels"]),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]

@@ -140,6 +140,16 @@ class TableStore:
         self._writer(layer, table, out, "append").parquet(f"{self.path(layer, table)}/v={vs[-1]}")
         return vs[-1]
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temp view ``{prefix}{layer}_{table}`` over the latest version of
+        every table, so the tables can be queried by name from SQL."""
+        names = []
+        for (layer, table) in S.TABLES:
+            name = f"{prefix}{layer}_{table}"
+            self.read(layer, table).createOrReplaceTempView(name)
+            names.append(name)
+        return names
+
     def create_all(self) -> None:
         """Create every table of the registry as an empty version 1 if absent."""
         for (layer, table), sch in S.TABLES.items():
@@ -148,6 +158,28 @@ class TableStore:
                 self._writer(layer, table, empty, "errorifexists").parquet(f"{self.path(layer, table)}/v=1")
 
 
+def create_catalog_tables(spark: SparkSession, root: str, database_prefix: str = "") -> list[str]:
+    """``CREATE SCHEMA`` / ``CREATE TABLE IF NOT EXISTS`` for all twelve
+    tables, as parquet tables at ``{root}/{layer}/{table}`` with table and
+    column comments taken from the schema registry. Returns the qualified
+    names. (Parquet does not enforce NOT NULL: writers use
+    ``assert_not_null``.)"""
+    names = []
+    for (layer, table), sch in S.TABLES.items():
+        db = f"{database_prefix}{layer}"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{db}`")
+        cols = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + (" COMMENT '" + f.metadata["comment"].replace("'", "\\'") + "'" if f.metadata.get("comment") else "")
+            for f in sch.fields)
+        parts = PARTITION_BY.get((layer, table))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{table}` ({cols}) USING parquet"
+                  + (f" PARTITIONED BY ({', '.join(parts)})" if parts else "")
+                  + f" COMMENT '{layer} table {table}' LOCATION '{root.rstrip('/')}/{layer}/{table}'")
+        names.append(f"{db}.{table}")
+    return names
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
     """A tiny control-record DataFrame (run rows, registrations)."""
     return spark.createDataFrame(rows, schema)

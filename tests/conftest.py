@@ -11,9 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from chronoledger.session import build_session
 
-    s = build_session("local[4]", 4)
+    s = build_session("local[4]", 4, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cl-wh-")})
     yield s
     s.stop()
 

@@ -55,3 +55,23 @@ def test_conform_and_add_column(spark):
     with pytest.raises(ValueError):
         conform(df.withColumn("bogus", df.status), S.INGESTION_RUNS)
     assert "channel_name" in add_column(df, "channel_name", "string").columns
+
+
+def test_catalog_ddl_and_views(spark):
+    from chronoledger.plans import serve
+    from chronoledger.sources.tables import create_catalog_tables
+
+    root = tempfile.mkdtemp(prefix="cl-cat-")
+    names = create_catalog_tables(spark, root, database_prefix="t_")
+    assert len(names) == 12 and "t_control.video_targets" in names
+    cols = {r.col_name: r.comment for r in spark.sql("DESCRIBE t_control.ingestion_runs").collect()}
+    assert cols["status"].startswith("RUNNING")
+    # idempotent
+    create_catalog_tables(spark, root, database_prefix="t_")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"))
+    store.create_all()
+    assert "control_video_targets" in store.register_views()
+    tables = {t: store.read(layer, t) for (layer, t) in S.TABLES}
+    assert serve.register_views(tables) == ["dashboard_ingestion_runs", "dashboard_video_targets",
+                                            "dashboard_video_metrics", "dashboard_channel_metrics"]
+    assert spark.sql("SELECT count(*) AS n FROM dashboard_video_targets").collect()[0].n == 0
