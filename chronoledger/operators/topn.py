@@ -19,9 +19,9 @@ def bounded_per_group(df: DataFrame, group, order, n: int, rank_col: str | None
     group = [group] if isinstance(group, str) else list(group)
     if n == 0:
         return df if rank_col is None else df.withColumn(
-            rank_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+            rank_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
     w = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
     if rank_col:
-        return ranked.withColumnRenamed("__rn", rank_col)
+        return ranked.withColumn(rank_col, F.col("__rn").cast("bigint")).drop("__rn")
     return ranked.drop("__rn")
