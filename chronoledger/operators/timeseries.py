@@ -79,16 +79,12 @@ def _bounds_sql(as_of, days: int) -> tuple[str, str]:
     return f"date_sub({end}, {int(days) - 1})", end
 
 
-def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
-         require_not_null: str | None = None, name: str = "day") -> DataFrame:
-    """Last observation carried forward over a ``days`` window.
-
-    Returns key, ``name`` (date) and every ``carry`` column taken from the
-    latest observation at or before the end of that day. Days before an
-    entity's first observation produce no row. If ``require_not_null`` is
-    given, days whose carried value of that column is NULL are dropped (the
-    carried *row* is the latest one, even when its metric is NULL).
-    """
+def locf_spans(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
+               require_not_null: str | None = None, name: str = "day") -> DataFrame:
+    """LOCF before expansion: one row per (entity, observed day) with the
+    carried struct ``__last`` and the day range ``[__from, __to]`` it
+    covers. Decorate spans (e.g. join a dimension) before ``expand_spans``:
+    there are at most as many spans as output rows, usually far fewer."""
     keys = [key] if isinstance(key, str) else list(key)
     carry = list(carry)
     _, end = _bounds_sql(as_of, days)
@@ -99,10 +95,30 @@ def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
         f"coalesce(date_sub(lead({name}) OVER (PARTITION BY {part} ORDER BY {name}), 1), {end}) AS __to")
     if require_not_null:
         spans = spans.where(f"__last.{require_not_null} IS NOT NULL")
-    return spans.selectExpr(*keys, f"explode(sequence(__from, __to)) AS {name}",
+    return spans
+
+
+def expand_spans(spans: DataFrame, carry, name: str = "day") -> DataFrame:
+    """One row per day of every span, with the carried columns unpacked."""
+    others = [c for c in spans.columns if c not in ("__last", "__from", "__to")]
+    return spans.selectExpr(*others, f"explode(sequence(__from, __to)) AS {name}",
                             *[f"__last.{c} AS {c}" for c in carry])
 
 
+def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
+         require_not_null: str | None = None, name: str = "day") -> DataFrame:
+    """Last observation carried forward over a ``days`` window.
+
+    Returns key, ``name`` (date) and every ``carry`` column taken from the
+    latest observation at or before the end of that day. Days before an
+    entity's first observation produce no row. If ``require_not_null`` is
+    given, days whose carried value of that column is NULL are dropped (the
+    carried *row* is the latest one, even when its metric is NULL).
+    """
+    spans = locf_spans(obs, key, ts, order_tail, carry, as_of, days, require_not_null, name)
+    return expand_spans(spans, list(carry), name)
+
+
 def last_at_or_before(entities: DataFrame, obs: DataFrame, key, ts: str, order_tail, carry,
                       as_of, days: int = 90, name: str = "day") -> DataFrame:
     """The left range join ``spine LEFT JOIN obs ON key AND obs.ts < day + 1``

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chronoledger.operators.dedupe import latest_per_key
 from chronoledger.operators.sizing import broadcast_if_small
-from chronoledger.operators.timeseries import calendar_spine, last_at_or_before, locf
+from chronoledger.operators.timeseries import calendar_spine, expand_spans, last_at_or_before, locf_spans
 
 
 def _ts(as_of):
@@ -96,14 +96,14 @@ def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_
     observation's ``view_count`` is not NULL.
     """
     obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
-    t = locf(obs, "video_id", "collected_at", ["ingestion_id"],
-             ["view_count", "like_count", "comment_count"], as_of, days,
-             require_not_null="view_count", name="collected_date")
+    metrics = ["view_count", "like_count", "comment_count"]
+    spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
+                       require_not_null="view_count", name="collected_date")
+    # titles are decorated per span (before the days are expanded)
     dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
                                            "channel_title"))
-    return t.join(dim, "video_id", "left").select(
-        "video_id", "video_title", "channel_title", "collected_date",
-        "view_count", "like_count", "comment_count")
+    t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
+    return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
 
 
 def active_channels(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
@@ -120,12 +120,12 @@ def channel_trend(targets: DataFrame, video_snapshots: DataFrame, videos: DataFr
     active video; days whose latest ``subscriber_count`` is NULL are dropped."""
     act = active_channels(targets, video_snapshots, videos).where(F.col("channel_id").isNotNull())
     obs = channel_snapshots.join(act, "channel_id", "left_semi")
-    t = locf(obs, "channel_id", "collected_at", ["ingestion_id"],
-             ["subscriber_count", "video_count"], as_of, days,
-             require_not_null="subscriber_count", name="collected_date")
+    metrics = ["subscriber_count", "video_count"]
+    spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
+                       require_not_null="subscriber_count", name="collected_date")
     dim = broadcast_if_small(channels.select("channel_id", F.col("title").alias("channel_title")))
-    return t.join(dim, "channel_id", "left").select(
-        "channel_id", "channel_title", "collected_date", "subscriber_count", "video_count")
+    t = expand_spans(spans.join(dim, "channel_id", "left"), metrics, "collected_date")
+    return t.select("channel_id", "channel_title", "collected_date", *metrics)
 
 
 def latest_videos(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
