@@ -105,6 +105,27 @@ def expand_spans(spans: DataFrame, carry, name: str = "day") -> DataFrame:
                             *[f"__last.{c} AS {c}" for c in carry])
 
 
+def total_by_day_from_spans(spans: DataFrame, metric: str, alias: str, name: str = "day") -> DataFrame:
+    """Per-day sum of a carried (non-NULL) metric over all entities, without
+    expanding spans into days: each span adds ``+v`` on its first day and
+    ``-v`` the day after its last; a running sum over the (at most
+    ``days + 1``) distinct change days gives the totals. Days that no span
+    covers produce no row. Work is O(spans); the final window sees one row
+    per change day, a bound set by the window length."""
+    v = f"__last.{metric}"
+    deltas = spans.selectExpr(
+        f"inline(array(named_struct('d', __from, 'v', {v}, 'n', 1L), "
+        f"named_struct('d', date_add(__to, 1), 'v', -{v}, 'n', -1L)))")
+    per_day = deltas.groupBy("d").agg(F.sum("v").alias("dv"), F.sum("n").alias("dn"))
+    running = per_day.selectExpr(
+        "d", "sum(dv) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total",
+        "sum(dn) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS covering",
+        "lead(d) OVER (ORDER BY d) AS next_d")
+    # every day from a change day up to the next change day has the same total
+    return (running.where("covering > 0")
+            .selectExpr(f"explode(sequence(d, date_sub(next_d, 1))) AS {name}", f"CAST(total AS BIGINT) AS {alias}"))
+
+
 def locf(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
          require_not_null: str | None = None, name: str = "day") -> DataFrame:
     """Last observation carried forward over a ``days`` window.

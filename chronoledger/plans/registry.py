@@ -90,14 +90,15 @@ def q_channel_trend(spark, d):
           f"SELECT collected_date, CAST(sum(view_count) AS BIGINT) AS total_views FROM ({VT_SQL}) x GROUP BY collected_date",
           [CAL90])
 def q_views_total_by_day(spark, d):
-    return serve.total_by_day(q_video_trend(spark, d), "view_count", "total_views")
+    return serve.views_total_by_day(SI.targets(spark, d), SI.video_snapshots(spark, d), TREND_AS_OF, TREND_DAYS)
 
 
 @register("subscribers_total_by_day",
           f"SELECT collected_date, CAST(sum(subscriber_count) AS BIGINT) AS total_subscribers FROM ({CT_SQL}) x GROUP BY collected_date",
           [("ac", AC_SQL), CAL90])
 def q_subscribers_total_by_day(spark, d):
-    return serve.total_by_day(_channel_trend(spark, d), "subscriber_count", "total_subscribers")
+    t, vs, v = _trend_tables(spark, d)
+    return serve.subscribers_total_by_day(t, vs, v, SI.channel_snapshots(spark, d), TREND_AS_OF, TREND_DAYS)
 
 
 @register("calendar_spine", "SELECT a.video_id, d.collected_date FROM d CROSS JOIN active a", [CAL90])

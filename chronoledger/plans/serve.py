@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from chronoledger.operators.dedupe import latest_per_key
 from chronoledger.operators.sizing import broadcast_if_small
-from chronoledger.operators.timeseries import calendar_spine, expand_spans, last_at_or_before, locf_spans
+from chronoledger.operators.timeseries import (calendar_spine, expand_spans, last_at_or_before, locf_spans,
+                                               total_by_day_from_spans)
 
 
 def _ts(as_of):
@@ -146,10 +147,30 @@ def latest_by_group(snapshots: DataFrame, key: str = "video_id") -> DataFrame:
 
 
 def total_by_day(trend: DataFrame, metric: str, alias: str, day: str = "collected_date") -> DataFrame:
-    """Sum of a carried metric over entities, per calendar day."""
+    """Sum of a carried metric over entities, per calendar day (over an
+    already expanded trend)."""
     return trend.groupBy(day).agg(F.sum(metric).cast("bigint").alias(alias))
 
 
+def views_total_by_day(targets: DataFrame, snapshots: DataFrame, as_of, days: int = 90) -> DataFrame:
+    """Total views of active videos per day, from the trend's LOCF spans
+    (no per-(video, day) rows are materialised)."""
+    obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
+    spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], ["view_count"], as_of, days,
+                       require_not_null="view_count", name="collected_date")
+    return total_by_day_from_spans(spans, "view_count", "total_views", "collected_date")
+
+
+def subscribers_total_by_day(targets: DataFrame, video_snapshots: DataFrame, videos: DataFrame,
+                             channel_snapshots: DataFrame, as_of, days: int = 90) -> DataFrame:
+    """Total subscribers of channels with an active video, per day."""
+    act = active_channels(targets, video_snapshots, videos).where(F.col("channel_id").isNotNull())
+    obs = channel_snapshots.join(act, "channel_id", "left_semi")
+    spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], ["subscriber_count"], as_of, days,
+                       require_not_null="subscriber_count", name="collected_date")
+    return total_by_day_from_spans(spans, "subscriber_count", "total_subscribers", "collected_date")
+
+
 def video_calendar_spine(targets: DataFrame, as_of, days: int = 90) -> DataFrame:
     """Every (active video, day) of the window."""
     return calendar_spine(active_ids(targets), "video_id", as_of, days, "collected_date")

@@ -62,3 +62,24 @@ def test_locf_random(spark):
            locf(df, "video_id", "collected_at", ["ingestion_id"], ["view_count"], "2024-02-05", 20,
                 require_not_null="view_count").collect()}
     assert got == brute(rows, [f"v{i}" for i in range(7)], "2024-02-05", 20, False)
+
+
+def test_total_by_day_from_spans(spark):
+    from chronoledger.operators.timeseries import locf_spans, total_by_day_from_spans
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(200):
+        rows.append((f"v{rnd.randint(0, 9)}", f"r{i:04d}",
+                     dt.datetime(2024, 1, 10) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 25)),
+                     None if rnd.random() < 0.2 else rnd.randint(0, 1000)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    spans = locf_spans(df, "video_id", "collected_at", ["ingestion_id"], ["view_count"], "2024-02-10", 40,
+                       require_not_null="view_count")
+    got = {(r.day, r.total) for r in total_by_day_from_spans(spans, "view_count", "total").collect()}
+    per_day = {}
+    for e, day, v in brute(rows, [f"v{i}" for i in range(10)], "2024-02-10", 40, False):
+        per_day[day] = per_day.get(day, 0) + v
+    assert got == set(per_day.items())
+    # the window starts before any observation: early days are absent, not zero
+    assert min(d for d, _ in got) >= dt.date(2024, 1, 10)
