@@ -1,6 +1,6 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query is planned and run once to warm up, then timed ``BENCH_REPS``
+Each query is planned and run ``BENCH_WARMUPS`` (2) times to warm up, then timed ``BENCH_REPS``
 times into a ``noop`` sink (full execution, no collect); the median is
 reported. Prints ONE JSON line.
 """
@@ -63,15 +63,17 @@ def main():
     for t in ("events", "customer", "orders", "lineitem", "conversations"):
         load(spark, sf_dir, t).count()
     results = {}
+    warmups = int(os.environ.get("BENCH_WARMUPS", "2"))
     for name, fn in queries.items():
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        for _ in range(warmups):
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times = []
         for _ in range(reps):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - t0)
         results[name] = round(statistics.median(times), 3)
-        release()
+        release()  # drop this query's cached size-check inputs
         print(f"# {name}: {results[name]}s {['%.2f' % x for x in times]}", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_median_query_sec", "value": round(sum(results.values()), 3), "unit": "sec",

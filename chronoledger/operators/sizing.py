@@ -22,8 +22,10 @@ def broadcast_max_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
 
 
-# Verdicts by (plan semantic hash, bound). Inputs are immutable (versioned
-# table folders, read-only test data), so the same plan has the same size.
+# Verdicts by (plan semantic hash, bound). A plan's hash does not change when
+# files are appended under the same path (the raw table grows in place), so
+# verdicts only live until ``release()``, which the run steps call after each
+# publish; within one step the inputs do not change.
 _VERDICTS: dict[tuple[int, int], bool] = {}
 
 
@@ -64,6 +66,7 @@ def persisted_rows_at_most(df: DataFrame, max_rows: int) -> tuple[DataFrame, boo
 
 
 def release() -> None:
-    """Unpersist the frames kept for size checks."""
+    """Unpersist the frames kept for size checks and forget size verdicts."""
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
+    _VERDICTS.clear()
