@@ -65,6 +65,13 @@ def persisted_rows_at_most(df: DataFrame, max_rows: int) -> tuple[DataFrame, boo
     return cached, rows_at_most(cached, max_rows)
 
 
+def keep_persisted(df: DataFrame) -> DataFrame:
+    """Persist ``df`` until the next ``release()``."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(cached)
+    return cached
+
+
 def release() -> None:
     """Unpersist the frames kept for size checks and forget size verdicts."""
     while _PERSISTED:

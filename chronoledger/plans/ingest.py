@@ -93,7 +93,8 @@ def claim(tables: dict, ingestion_id: str, as_of, batch_size: int = 20) -> tuple
     new_run = Q.open_runs(spark, spark.range(1).select(F.lit(ingestion_id).alias("ingestion_id")), as_of)
     runs = tables["ingestion_runs"].unionByName(new_run)
     # the claimed set is a limit's output (<= batch_size rows): counting it is cheap
-    claimed = claimed.cache()
+    from chronoledger.operators.sizing import keep_persisted
+    claimed = keep_persisted(claimed)
     n = claimed.count()
     state = Q.claim_merge(tables["video_processing_state"], claimed, ingestion_id, as_of)
     if n == 0:

@@ -28,9 +28,10 @@ _ENTITY = {
 
 
 def raw_stream(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Stream of raw pages appended under ``raw_path`` (parquet files)."""
-    return (spark.readStream.schema(S.API_RESPONSES)
-            .option("recursiveFileLookup", "true").parquet(raw_path))
+    """Stream of raw pages appended under ``raw_path``: parquet files laid
+    out like the stored raw table (``resource=<name>/`` partition folders;
+    the resource column comes from the folder name)."""
+    return spark.readStream.schema(S.API_RESPONSES).parquet(raw_path)
 
 
 def merge_batch(store, batch: DataFrame, resource: str) -> int | None:

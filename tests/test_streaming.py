@@ -18,12 +18,12 @@ def test_foreach_batch_upsert(spark):
     t = dt.datetime(2024, 1, 1)
     first = [("r1", "videos", "{}", json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "1"}},
                                                           {"id": "b"}]}), t)]
-    spark.createDataFrame(first, S.API_RESPONSES).write.parquet(os.path.join(raw_dir, "b1"))
+    spark.createDataFrame(first, S.API_RESPONSES).write.partitionBy("resource").mode("append").parquet(raw_dir)
     q = raw_stream.start(spark, raw_dir, store, os.path.join(root, "ckpt"), resources=("videos",))
     q.awaitTermination(120)
     second = [("r2", "videos", "{}", json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "7"}}]}),
                t + dt.timedelta(hours=1))]
-    spark.createDataFrame(second, S.API_RESPONSES).write.parquet(os.path.join(raw_dir, "b2"))
+    spark.createDataFrame(second, S.API_RESPONSES).write.partitionBy("resource").mode("append").parquet(raw_dir)
     q = raw_stream.start(spark, raw_dir, store, os.path.join(root, "ckpt"), resources=("videos",))
     q.awaitTermination(120)
     cur = {r.video_id: r.view_count for r in store.read("silver", "videos").collect()}
