@@ -1,6 +1,6 @@
 """Table schemas, business keys and status vocabularies.
 
-All twelve tables of the metric-history lakehouse are declared here; nothing
+All twelve tables of the metric-history store are declared here; nothing
 is inferred. Column comments live in ``StructField.metadata['comment']`` so a
 ``CREATE TABLE`` can be generated from the registry (see ``sources.tables``).
 """
