@@ -132,7 +132,8 @@ def run_channel_names(owned: DataFrame, videos: DataFrame, channels: DataFrame)
     """Per run: sorted DISTINCT non-NULL titles of the channels of its
     videos joined by ``", "``; NULL when there are none. Titles are made
     distinct per run (a partial aggregate) before the per-run list is built,
-    so a list holds one entry per distinct channel, not per video."""
+    so a list holds one entry per distinct channel, not per video; a run
+    owns at most its claim batch of videos, which bounds the list."""
     ch = broadcast_if_small(channels.where(F.col("title").isNotNull())
                             .select("channel_id", F.col("title").alias("channel_title")))
     names = (owned.select("ingestion_id", "video_id")

@@ -160,7 +160,7 @@ def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: s
                              'commentCount', CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 1000 AS STRING) END),
   'status', named_struct('privacyStatus', 'public')) AS __item""",
         "video_id AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
-    return pack_pages(items, ["ingestion_id"], "videos", "snippet,contentDetails,statistics,status",
+    return pack_pages(_paged(items), ["ingestion_id", "__page"], "videos", "snippet,contentDetails,statistics,status",
                       F.col("ingestion_id"))
 
 
@@ -183,10 +183,16 @@ def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, re
   'contentDetails', named_struct('relatedPlaylists',
                                  named_struct('uploads', concat('UU', CAST(n_nationkey AS STRING))))) AS __item""",
         "channel_id AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
-    return pack_pages(items, ["ingestion_id"], "channels", "snippet,statistics,contentDetails",
+    return pack_pages(_paged(items), ["ingestion_id", "__page"], "channels", "snippet,statistics,contentDetails",
                       F.col("ingestion_id"))
 
 
+def _paged(items: DataFrame) -> DataFrame:
+    """Split a run's items into pages of at most ``PAGE`` items (by item
+    order), so no page list is unbounded."""
+    return items.withColumn("__page", F.floor(F.col("__order") / PAGE))
+
+
 def _conv_runs(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -209,7 +215,7 @@ def run_thread_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
                                 'authorChannelId', named_struct('value', concat('UC', role)),
                                 'textDisplay', text, 'likeCount', CAST(length(text) % 50 AS BIGINT))))) AS __item""",
         "video AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
-    return pack_pages(items, ["ingestion_id"], "commentThreads", "snippet,replies", F.col("ingestion_id"))
+    return pack_pages(_paged(items), ["ingestion_id", "__page"], "commentThreads", "snippet,replies", F.col("ingestion_id"))
 
 
 def run_reply_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
@@ -222,4 +228,4 @@ def run_reply_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
                           'authorChannelId', named_struct('value', concat('UC', role)),
                           'textDisplay', text, 'likeCount', CAST(turn AS BIGINT))) AS __item""",
         "concat(CAST(conv_id AS STRING), '-0') AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
-    return pack_pages(items, ["ingestion_id"], "comments", "snippet", F.col("ingestion_id"))
+    return pack_pages(_paged(items), ["ingestion_id", "__page"], "comments", "snippet", F.col("ingestion_id"))
