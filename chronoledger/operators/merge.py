@@ -102,7 +102,7 @@ def _insert_projection(target: DataFrame, insert) -> list[Column]:
 
 def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
           matched_condition=None, strategy: str = "auto",
-          broadcast_max_rows: int | None = None) -> DataFrame:
+          broadcast_max_rows: int | None = None, insert_condition=None) -> DataFrame:
     """Return the next version of ``target`` after a MERGE with ``source``.
 
     ``strategy``: ``"broadcast"`` (source is known small), ``"shuffle"`` or
@@ -112,6 +112,11 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
     if update is None and insert is None:
         return target
     source = _conform_source(target, source, update, insert)
+    if insert_condition is not None and insert is not None:
+        # WHEN NOT MATCHED AND <cond>: unmatched source rows failing it are
+        # not inserted; it refers to the source only, so marking them first
+        # keeps both plans identical.
+        source = source.alias("s").withColumn("__ins_ok", F.coalesce(_as_col(insert_condition), F.lit(False)))
     cond_col = _as_col(matched_condition) if matched_condition is not None else None
     if strategy == "auto":
         bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
@@ -127,8 +132,12 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
         if update is None:
             # insert-only: the target passes through; only new keys are added
             new = source.alias("s").join(target.select(*keys), keys, "left_anti")
+            if insert_condition is not None:
+                new = new.where(F.col("__ins_ok"))
             return target.unionByName(new.select(*_insert_projection(target, insert)))
         joined = t.join(s, key_eq, how)
+        if insert_condition is not None and insert is not None:
+            joined = joined.where(F.col(f"t.{_T}").isNotNull() | F.col("s.__ins_ok"))
         return joined.select(*_projection(target, update, insert, cond_col, insert is not None))
 
     # broadcast plan: the target is scanned but never shuffled
@@ -143,6 +152,8 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
         reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     matched_keys = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
     new = source.alias("s").join(matched_keys, keys, "left_anti")
+    if insert_condition is not None:
+        new = new.where(F.col("__ins_ok"))
     return kept.unionByName(new.select(*_insert_projection(target, insert)))
 
 
@@ -250,3 +261,64 @@ def change_feed(before: DataFrame, after: DataFrame, on) -> DataFrame:
                      F.array(tagged(b_row, "update_preimage"), tagged(a_row, "update_postimage"))))
     return (j.select(F.explode(changes).alias("c"))
             .select(*[F.col(f"c.r.{c}").alias(c) for c in cols], F.col("c.k").alias("_change_type")))
+
+
+class MergeBuilder:
+    """Fluent MERGE with the shape of ``DataFrame.mergeInto``'s writer::
+
+        merge_into(target, source, "video_id") \
+            .whenMatched().updateAll() \
+            .whenNotMatched().insertAll() \
+            .merge()
+
+    ``merge()`` returns the next version of ``target`` (a DataFrame) instead
+    of writing a catalog table; ``condition`` arguments are SQL text or
+    Columns over ``t.`` (target) and ``s.`` (source).
+    """
+
+    def __init__(self, target: DataFrame, source: DataFrame, on):
+        self._target, self._source, self._on = target, source, on
+        self._update = None
+        self._matched_cond = None
+        self._insert = None
+        self._insert_cond = None
+
+    class _Matched:
+        def __init__(self, outer, condition):
+            self._o, self._c = outer, condition
+
+        def updateAll(self):  # noqa: N802 (mirrors the PySpark writer API)
+            self._o._update, self._o._matched_cond = "*", self._c
+            return self._o
+
+        def update(self, assignments: dict):
+            self._o._update, self._o._matched_cond = dict(assignments), self._c
+            return self._o
+
+    class _NotMatched:
+        def __init__(self, outer, condition):
+            self._o, self._c = outer, condition
+
+        def insertAll(self):  # noqa: N802
+            self._o._insert, self._o._insert_cond = "*", self._c
+            return self._o
+
+        def insert(self, assignments: dict):
+            self._o._insert, self._o._insert_cond = dict(assignments), self._c
+            return self._o
+
+    def whenMatched(self, condition=None):  # noqa: N802
+        return MergeBuilder._Matched(self, condition)
+
+    def whenNotMatched(self, condition=None):  # noqa: N802
+        return MergeBuilder._NotMatched(self, condition)
+
+    def merge(self, strategy: str = "auto", broadcast_max_rows: int | None = None) -> DataFrame:
+        return merge(self._target, self._source, self._on, update=self._update, insert=self._insert,
+                     matched_condition=self._matched_cond, insert_condition=self._insert_cond,
+                     strategy=strategy, broadcast_max_rows=broadcast_max_rows)
+
+
+def merge_into(target: DataFrame, source: DataFrame, on) -> MergeBuilder:
+    """Start a fluent MERGE of ``source`` into ``target`` on key columns ``on``."""
+    return MergeBuilder(target, source, on)

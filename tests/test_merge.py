@@ -108,3 +108,14 @@ def test_insert_only_never_changes_existing(spark, tgt, src):
     for k, v in tgt:
         assert out[k] == (v, "t")
     assert set(out) == {k for k, _ in tgt} | {k for k, _ in src}
+
+
+def test_fluent_merge_into(spark):
+    t = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], SCHEMA)
+    s = spark.createDataFrame([("a", 10, "new"), ("c", 3, "skip"), ("d", 4, "keep")], SCHEMA)
+    for strategy in ("broadcast", "shuffle"):
+        out = (M.merge_into(t, s, "k")
+               .whenMatched("s.v > t.v").update({"v": "s.v"})
+               .whenNotMatched("s.note <> 'skip'").insertAll()
+               .merge(strategy=strategy))
+        assert rows(out) == [("a", 10, "x"), ("b", 2, "y"), ("d", 4, "keep")]
