@@ -464,21 +464,22 @@ T_NOW = "2024-01-30 00:00:00"
 
 
 def _upsert_sides(spark, d):
-    tgt = SI.current_videos(spark, d, T1, None, F.col("user_id") % 5 != 0, T1)
-    src = SI.current_videos(spark, d, None, T1, F.col("user_id") % 4 != 0, T_NOW)
+    tgt = SI.current_videos(spark, d, T1, None, "BUILDING", T1)
+    src = SI.current_videos(spark, d, None, T1, "MACHINERY", T_NOW)
     return tgt, src
 
 
-def _cur_sql(cond, keep, at):
+def _cur_sql(cond, skip_segment, at):
     return f"""SELECT video_id, title, view_count, TIMESTAMP '{at}' AS ingested_at FROM (
   SELECT CAST(user_id AS VARCHAR) AS video_id, event_type || ' #' || CAST(event_id AS VARCHAR) AS title,
     CAST(floor(value * 100) AS BIGINT) AS view_count,
     ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE {cond} AND {keep}) x WHERE rn = 1"""
+  FROM events WHERE {cond}
+    AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{skip_segment}')) x WHERE rn = 1"""
 
 
-UPSERT_SIDES = [("tgt", _cur_sql(f"ts < TIMESTAMP '{T1}'", "user_id % 5 <> 0", T1)),
-                ("src", _cur_sql(f"ts >= TIMESTAMP '{T1}'", "user_id % 4 <> 0", T_NOW))]
+UPSERT_SIDES = [("tgt", _cur_sql(f"ts < TIMESTAMP '{T1}'", "BUILDING", T1)),
+                ("src", _cur_sql(f"ts >= TIMESTAMP '{T1}'", "MACHINERY", T_NOW))]
 UPSERT_SQL = """SELECT coalesce(s.video_id, t.video_id) AS video_id,
   CASE WHEN s.video_id IS NOT NULL THEN s.title ELSE t.title END AS title,
   CASE WHEN s.video_id IS NOT NULL THEN s.view_count ELSE t.view_count END AS view_count,
@@ -587,9 +588,10 @@ def q_target_register(spark, d):
     return SI.targets(spark, d).unionByName(SI.supplier_targets(spark, d, PAUSE_AT))
 
 
-@register("delete_where", "SELECT * FROM outcomes WHERE NOT (ingestion_id = '1')")
+@register("delete_where", "SELECT * FROM outcomes WHERE (error_message = '') IS NOT TRUE")
 def q_delete_where(spark, d):
-    return M.delete_where(SI.outcomes(spark, d), F.col("ingestion_id") == "1")
+    # rows whose predicate is NULL (no error message) are kept
+    return M.delete_where(SI.outcomes(spark, d), F.col("error_message") == "")
 
 
 _CF_COLS = ["is_active", "priority", "refresh_interval_hours", "created_at", "updated_at"]

@@ -298,18 +298,21 @@ def candidate_snapshots(spark: SparkSession, d: str) -> DataFrame:
 
 
 def current_videos(spark: SparkSession, d: str, before: str | None, since: str | None,
-                   keep, ingested_at: str) -> DataFrame:
-    """A current-state table: the latest event per user within a time range
-    (``keep`` selects which users this side knows)."""
+                   skip_segment: str, ingested_at: str) -> DataFrame:
+    """A current-state table: the latest event per user within a time range,
+    for users whose customer segment is not ``skip_segment`` (each side of
+    a merge knows a different part of the users)."""
     e = load(spark, d, "events")
     if before:
         e = e.where(F.col("ts") < ts(before))
     if since:
         e = e.where(F.col("ts") >= ts(since))
-    e = e.where(keep)
-    rows = e.select(_s("user_id").alias("video_id"),
-                    F.concat(F.col("event_type"), F.lit(" #"), _s("event_id")).alias("title"),
-                    _floor_long(F.col("value") * 100).alias("view_count"), "ts", "event_id")
+    known = load(spark, d, "customer").where(F.col("c_mktsegment") != skip_segment).select(
+        F.col("c_custkey").alias("user_id"))
+    e = e.join(known, "user_id", "left_semi")
+    rows = e.selectExpr("CAST(user_id AS STRING) AS video_id",
+                        "concat(event_type, ' #', CAST(event_id AS STRING)) AS title",
+                        "CAST(floor(value * 100) AS BIGINT) AS view_count", "ts", "event_id")
     last = latest_per_key(rows, "video_id", ["ts", "event_id"])
     return last.select("video_id", "title", "view_count", ts(ingested_at).alias("ingested_at"))
 
