@@ -130,10 +130,13 @@ class TableStore:
         return n
 
     def append(self, layer: str, table: str, df: DataFrame) -> int:
-        """Append rows to the current version (append-only tables)."""
+        """Append rows to the current version (append-only tables). An empty
+        batch is a no-op: no files and no new version are written."""
         sch = S.TABLES[(layer, table)]
         out = assert_not_null(conform(df, sch), S.required_columns(table))
         vs = self.versions(layer, table)
+        if vs and out.isEmpty():
+            return vs[-1]
         if not vs:
             self._writer(layer, table, out, "errorifexists").parquet(f"{self.path(layer, table)}/v=1")
             return 1

@@ -54,6 +54,9 @@ def test_two_runs(spark):
     assert store.read("silver", "replies").count() == 1  # bounded to one reply per comment
     assert store.read("control", "ingestion_comments").count() == 0  # hand-off cleared at finalise
     step_rows = {(r.step, r.n_rows) for r in counts.collect()}
+    # every step ran: claim, the four fetches, finalise
+    assert {s for s, _ in step_rows} >= {"claim", "fetch_videos", "fetch_channels", "fetch_comments",
+                                         "fetch_replies", "finalize"}
     assert ("fetch_videos", 2) in step_rows and ("claim", 3) in step_rows
 
     # second run two hours later: every target is due again (1-hour interval)

@@ -75,3 +75,28 @@ def test_catalog_ddl_and_views(spark):
     assert serve.register_views(tables) == ["dashboard_ingestion_runs", "dashboard_video_targets",
                                             "dashboard_video_metrics", "dashboard_channel_metrics"]
     assert spark.sql("SELECT count(*) AS n FROM dashboard_video_targets").collect()[0].n == 0
+
+
+def test_empty_batches_are_noops(spark):
+    from chronoledger.operators import merge as M
+
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"))
+    store.create_all()
+    before = sorted(os.listdir(os.path.join(store.path("raw", "api_responses"), "v=1")))
+    store.append("raw", "api_responses", spark.createDataFrame([], S.API_RESPONSES))
+    assert sorted(os.listdir(os.path.join(store.path("raw", "api_responses"), "v=1"))) == before
+    t = spark.createDataFrame([("a", 1)], "k string, v bigint")
+    empty = spark.createDataFrame([], "k string, v bigint")
+    for strategy in ("broadcast", "shuffle"):
+        assert [tuple(r) for r in M.upsert(t, empty, "k", strategy=strategy).collect()] == [("a", 1)]
+
+
+def test_snapshot_projection(spark):
+    from chronoledger.operators.snapshots import snapshot_rows
+
+    cur = spark.createDataFrame([("video-1", "title", 10, 2, 1), ("", "blank", 1, 1, 1)],
+                                "video_id string, title string, view_count bigint, like_count bigint, comment_count bigint")
+    rows = snapshot_rows(cur, "videos", "run-1", "2024-01-01 00:00:00").collect()
+    assert [r.asDict() for r in rows] == [{"video_id": "video-1", "ingestion_id": "run-1",
+                                           "collected_at": dt.datetime(2024, 1, 1), "view_count": 10,
+                                           "like_count": 2, "comment_count": 1}]
