@@ -19,14 +19,16 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
+def latest_per_key(df: DataFrame, keys, order, keep=None) -> DataFrame:
     """One row per ``keys``: the row whose ``struct(order)`` is greatest.
 
     ``order`` should end in a unique tie-break column (e.g. an id) so the
     survivor never depends on partitioning. NULL order fields sort lowest.
+    ``keep`` limits the output (and the aggregated value) to those columns;
+    ordering-only helper columns then never travel through the shuffle twice.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    cols = df.columns
+    cols = list(keep) if keep is not None else df.columns
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*_cols(order))).alias("__row"))
             .select(*[F.col(f"__row.{c}").alias(c) for c in cols]))

@@ -534,8 +534,8 @@ def q_merge_composite_key(spark, d):
     raw = SI.outcomes_raw(spark, d)
     keys = ["ingestion_id", "video_id", "step"]
     cols = [f.name for f in __import__("chronoledger.schemas", fromlist=["x"]).INGESTION_STEP_OUTCOMES.fields]
-    tgt = D.latest_per_key(raw.where(F.col("status") == "SUCCESS"), keys, SI.OUTCOME_ORDER).select(*cols)
-    src = D.latest_per_key(raw.where(F.col("status") != "SUCCESS"), keys, SI.OUTCOME_ORDER).select(*cols)
+    tgt = D.latest_per_key(raw.where(F.col("status") == "SUCCESS"), keys, SI.OUTCOME_ORDER, keep=cols)
+    src = D.latest_per_key(raw.where(F.col("status") != "SUCCESS"), keys, SI.OUTCOME_ORDER, keep=cols)
     return M.merge(tgt, src, keys,
                    update={"status": "s.status", "completed_at": "s.completed_at",
                            "error_message": "s.error_message"},

@@ -128,7 +128,7 @@ def outcomes(spark: SparkSession, d: str) -> DataFrame:
     """One outcome per (run, video, step): the latest report wins."""
     raw = outcomes_raw(spark, d)
     keep = [f.name for f in S.INGESTION_STEP_OUTCOMES.fields]
-    return latest_per_key(raw, ["ingestion_id", "video_id", "step"], OUTCOME_ORDER).select(*keep)
+    return latest_per_key(raw, ["ingestion_id", "video_id", "step"], OUTCOME_ORDER, keep=keep)
 
 
 def handoff(spark: SparkSession, d: str) -> DataFrame:
