@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoledger import schemas as S
 from chronoledger.plans import oracle as O
 from chronoledger.plans import serve
 from chronoledger.sources import standins as SI
@@ -533,7 +534,7 @@ FROM tgt t FULL OUTER JOIN src s ON t.ingestion_id = s.ingestion_id AND t.video_
 def q_merge_composite_key(spark, d):
     raw = SI.outcomes_raw(spark, d)
     keys = ["ingestion_id", "video_id", "step"]
-    cols = [f.name for f in __import__("chronoledger.schemas", fromlist=["x"]).INGESTION_STEP_OUTCOMES.fields]
+    cols = [f.name for f in S.INGESTION_STEP_OUTCOMES.fields]
     tgt = D.latest_per_key(raw.where(F.col("status") == "SUCCESS"), keys, SI.OUTCOME_ORDER, keep=cols)
     src = D.latest_per_key(raw.where(F.col("status") != "SUCCESS"), keys, SI.OUTCOME_ORDER, keep=cols)
     return M.merge(tgt, src, keys,

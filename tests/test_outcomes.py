@@ -49,3 +49,17 @@ def test_children_keep_empty_parents(spark):
     hand = spark.createDataFrame([("r", "v1", "c1"), ("old", "v2", "c9")], S.INGESTION_COMMENTS)
     got = sorted((r.video_id, r.comment_id) for r in OC.children_by_parent(hand, outs).collect())
     assert got == [("v1", "c1"), ("v2", None)]
+
+
+def test_comment_outcomes_per_run_and_video(spark):
+    videos = spark.createDataFrame([("r", "ok"), ("r", "disabled"), ("r", "quota"), ("r2", "quota")],
+                                   "ingestion_id string, video_id string")
+    fails = spark.createDataFrame([
+        ("r", "disabled", T, 1, 403, '{"error":{"reason":"commentsDisabled"}}'),
+        ("r", "quota", T, 2, 403, '{"error":{"errors":[{"reason":"quotaExceeded"}]}}'),
+        ("r", "quota", dt.datetime(2024, 1, 2), 3, 500, ""),  # later failure: the first one counts
+    ], "ingestion_id string, video_id string, ts timestamp_ntz, attempt_id bigint, status_code int, body string")
+    got = {(r.ingestion_id, r.video_id): (r.status, r.category) for r in
+           OC.comment_outcomes(videos, fails, ["ingestion_id", "video_id"]).collect()}
+    assert got == {("r", "ok"): ("SUCCESS", None), ("r", "disabled"): ("SUCCESS", "COMMENTS_DISABLED"),
+                   ("r", "quota"): ("FAILED", "QUOTA_EXCEEDED"), ("r2", "quota"): ("SUCCESS", None)}
