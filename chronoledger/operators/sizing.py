@@ -12,14 +12,38 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a merge source / dimension that may be shipped to every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
-CONF_KEY = "chronoledger.broadcast.maxRows"
+from pyspark.sql.types import (ArrayType, BinaryType, DataType, MapType, StringType, StructType)
+
+# Budget for a side shipped to every executor. The row bound used by the
+# (exact) row-count check is derived from it and the row width implied by
+# the schema, so a narrow dimension projection may hold far more rows than
+# a wide merge source with free-text columns.
+DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
+CONF_KEY = "chronoledger.broadcast.maxRows"          # explicit row bound (overrides)
+CONF_BYTES_KEY = "chronoledger.broadcast.maxBytes"   # byte budget
+STRING_BYTES = 64  # assumed average size of a string value
+
+
+def estimated_row_bytes(dtype: DataType) -> int:
+    """Rough in-memory width of one value of ``dtype``."""
+    if isinstance(dtype, StructType):
+        return 8 + sum(estimated_row_bytes(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return 16 + 4 * estimated_row_bytes(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return 16 + 4 * (estimated_row_bytes(dtype.keyType) + estimated_row_bytes(dtype.valueType))
+    if isinstance(dtype, (StringType, BinaryType)):
+        return STRING_BYTES
+    return 8
 
 
 def broadcast_max_rows(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
+    conf = df.sparkSession.conf
+    value = conf.get(CONF_KEY, None)
+    if value:
+        return int(value)
+    budget = int(conf.get(CONF_BYTES_KEY, None) or DEFAULT_BROADCAST_MAX_BYTES)
+    return max(1000, budget // estimated_row_bytes(df.schema))
 
 
 # Verdicts by (plan semantic hash, bound). A plan's hash does not change when
