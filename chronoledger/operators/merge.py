@@ -122,6 +122,9 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
         bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
         source, small = sizing.persisted_rows_at_most(source, bound)
         strategy = "broadcast" if small else "shuffle"
+    elif strategy == "broadcast" and source.storageLevel.useMemory is False and not source.is_cached:
+        # small by the caller's contract and read up to three times below
+        source = sizing.keep_persisted(source)
 
     t = target.withColumn(_T, F.lit(True)).alias("t")
     s = source.withColumn(_S, F.lit(True)).alias("s")
