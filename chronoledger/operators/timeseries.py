@@ -79,6 +79,17 @@ def _bounds_sql(as_of, days: int) -> tuple[str, str]:
     return f"date_sub({end}, {int(days) - 1})", end
 
 
+def _spans(daily: DataFrame, keys: list[str], end: str, require_not_null: str | None,
+           name: str) -> DataFrame:
+    part = ", ".join(keys)
+    spans = daily.selectExpr(
+        *keys, "__last", f"{name} AS __from",
+        f"coalesce(date_sub(lead({name}) OVER (PARTITION BY {part} ORDER BY {name}), 1), {end}) AS __to")
+    if require_not_null:
+        spans = spans.where(f"__last.{require_not_null} IS NOT NULL")
+    return spans
+
+
 def locf_spans(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int = 90,
                require_not_null: str | None = None, name: str = "day") -> DataFrame:
     """LOCF before expansion: one row per (entity, observed day) with the
@@ -86,16 +97,43 @@ def locf_spans(obs: DataFrame, key, ts: str, order_tail, carry, as_of, days: int
     covers. Decorate spans (e.g. join a dimension) before ``expand_spans``:
     there are at most as many spans as output rows, usually far fewer."""
     keys = [key] if isinstance(key, str) else list(key)
-    carry = list(carry)
     _, end = _bounds_sql(as_of, days)
-    daily = daily_last(obs, keys, ts, order_tail, carry, as_of, days, name)
-    part = ", ".join(keys)
-    spans = daily.selectExpr(
-        *keys, "__last", f"{name} AS __from",
-        f"coalesce(date_sub(lead({name}) OVER (PARTITION BY {part} ORDER BY {name}), 1), {end}) AS __to")
-    if require_not_null:
-        spans = spans.where(f"__last.{require_not_null} IS NOT NULL")
-    return spans
+    daily = daily_last(obs, keys, ts, order_tail, list(carry), as_of, days, name)
+    return _spans(daily, keys, end, require_not_null, name)
+
+
+def daily_rollup(obs: DataFrame, key, ts: str, order_tail, carry, name: str = "day") -> DataFrame:
+    """Maintained rollup: arg-max per (entity, calendar day) over the whole
+    history, keeping the ordering struct ``__o`` so rollups of new
+    snapshots can be merged in (``merge_rollups``). One row per entity and
+    day instead of every snapshot; store it partitioned by day."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = ", ".join([ts, *order_tail])
+    return (obs.selectExpr(*keys, f"to_date({ts}) AS {name}", f"struct({', '.join(carry)}) AS __v",
+                           f"struct({order}) AS __o")
+            .groupBy(*keys, name)
+            .agg(F.expr("max_by(__v, __o)").alias("__last"), F.expr("max(__o)").alias("__o")))
+
+
+def merge_rollups(current: DataFrame, new: DataFrame, key, name: str = "day") -> DataFrame:
+    """Fold a rollup of newly arrived snapshots into the maintained one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return (current.unionByName(new).groupBy(*keys, name)
+            .agg(F.expr("max_by(__last, __o)").alias("__last"), F.expr("max(__o)").alias("__o")))
+
+
+def locf_spans_from_rollup(rollup: DataFrame, key, as_of, days: int = 90,
+                           require_not_null: str | None = None, name: str = "day") -> DataFrame:
+    """``locf_spans`` computed from a ``daily_rollup`` instead of raw
+    snapshots: identical result. Rollup days before the window fold onto
+    its first day (their arg-max seeds it), so the seed reads one row per
+    entity and day of history rather than every snapshot."""
+    keys = [key] if isinstance(key, str) else list(key)
+    start, end = _bounds_sql(as_of, days)
+    daily = (rollup.where(f"{name} <= {end}")
+             .selectExpr(*keys, f"greatest({name}, {start}) AS {name}", "__last", "__o")
+             .groupBy(*keys, name).agg(F.expr("max_by(__last, __o)").alias("__last")))
+    return _spans(daily, keys, end, require_not_null, name)
 
 
 def expand_spans(spans: DataFrame, carry, name: str = "day") -> DataFrame:

@@ -82,6 +82,16 @@ def _channel_trend(spark, d):
                                TREND_AS_OF, TREND_DAYS)
 
 
+@register("video_trend_rollup", VT_SQL, [CAL90])
+def q_video_trend_rollup(spark, d):
+    """The flagship trend from a daily-last rollup of the snapshots."""
+    from chronoledger.operators.timeseries import daily_rollup
+    rollup = daily_rollup(SI.video_snapshots(spark, d), "video_id", "collected_at", ["ingestion_id"],
+                          ["view_count", "like_count", "comment_count"], name="collected_date")
+    return serve.video_trend_from_rollup(SI.targets(spark, d), rollup, SI.videos(spark, d),
+                                         TREND_AS_OF, TREND_DAYS)
+
+
 @register("channel_trend", CT_SQL, [("ac", AC_SQL), CAL90])
 def q_channel_trend(spark, d):
     return _channel_trend(spark, d)

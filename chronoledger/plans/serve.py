@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chronoledger.operators.dedupe import latest_per_key
 from chronoledger.operators.sizing import broadcast_if_small
 from chronoledger.operators.timeseries import (calendar_spine, expand_spans, last_at_or_before, locf_spans,
-                                               total_by_day_from_spans)
+                                               locf_spans_from_rollup, total_by_day_from_spans)
 
 
 def _ts(as_of):
@@ -107,6 +107,20 @@ def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_
     return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
 
 
+def video_trend_from_rollup(targets: DataFrame, rollup: DataFrame, videos: DataFrame, as_of,
+                            days: int = 90) -> DataFrame:
+    """``video_trend`` read from a maintained ``daily_rollup`` of the video
+    snapshots (one row per video and day) instead of every snapshot."""
+    metrics = ["view_count", "like_count", "comment_count"]
+    r = rollup.join(active_keys(targets), "video_id", "left_semi")
+    spans = locf_spans_from_rollup(r, "video_id", as_of, days, require_not_null="view_count",
+                                   name="collected_date")
+    dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
+                                           "channel_title"))
+    t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
+    return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
+
+
 def active_channels(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
     """DISTINCT current channels of active videos that have snapshots."""
     seen = snapshots.select("video_id").distinct().join(active_keys(targets), "video_id", "left_semi")

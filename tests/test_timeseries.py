@@ -83,3 +83,26 @@ def test_total_by_day_from_spans(spark):
     assert got == set(per_day.items())
     # the window starts before any observation: early days are absent, not zero
     assert min(d for d, _ in got) >= dt.date(2024, 1, 10)
+
+
+def test_trend_from_maintained_rollup_equals_direct(spark):
+    from chronoledger.operators.timeseries import (daily_rollup, expand_spans, locf_spans,
+                                                   locf_spans_from_rollup, merge_rollups)
+
+    rnd = random.Random(5)
+    rows = [(f"v{rnd.randint(0, 5)}", f"r{i:04d}",
+             dt.datetime(2023, 12, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 70)),
+             None if rnd.random() < 0.15 else rnd.randint(0, 1000)) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    args = ("video_id", "collected_at", ["ingestion_id"], ["view_count"])
+    direct = expand_spans(locf_spans(df, *args, "2024-01-31", 20, require_not_null="view_count"),
+                          ["view_count"])
+    # rollup maintained in two increments (history, then newer snapshots)
+    old = df.where("collected_at < TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    new = df.where("collected_at >= TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    roll = merge_rollups(daily_rollup(old, *args), daily_rollup(new, *args), "video_id")
+    via = expand_spans(locf_spans_from_rollup(roll, "video_id", "2024-01-31", 20,
+                                              require_not_null="view_count"), ["view_count"])
+    got = {(r.video_id, r.day, r.view_count) for r in via.collect()}
+    assert got == {(r.video_id, r.day, r.view_count) for r in direct.collect()}
+    assert got == brute(rows, [f"v{i}" for i in range(6)], "2024-01-31", 20, False)
