@@ -154,7 +154,8 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
     src_keys = source.select(*keys).where(
         reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     matched_keys = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
-    new = source.alias("s").join(matched_keys, keys, "left_anti")
+    # at most the source's keys when target keys are unique; checked, not assumed
+    new = source.alias("s").join(sizing.broadcast_if_small(matched_keys), keys, "left_anti")
     if insert_condition is not None:
         new = new.where(F.col("__ins_ok"))
     return kept.unionByName(new.select(*_insert_projection(target, insert)))
@@ -174,7 +175,8 @@ def rows_to_insert(target: DataFrame, source: DataFrame, on, strategy: str = "au
     if strategy == "broadcast":
         src_keys = source.select(*keys).where(
             reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        existing = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
+        existing = sizing.broadcast_if_small(
+            target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi"))
     else:
         existing = target.select(*keys)
     new = source.alias("s").join(existing, keys, "left_anti")

@@ -64,8 +64,9 @@ def active_ids(targets: DataFrame) -> DataFrame:
 
 def active_keys(targets: DataFrame) -> DataFrame:
     """Ids of active targets, for semi joins (which need no DISTINCT: the
-    probe keeps a row once whatever the number of matches)."""
-    return targets.where(F.col("is_active")).select("video_id")
+    probe keeps a row once whatever the number of matches); broadcast after
+    a bounded row count, else left to a shuffle join."""
+    return broadcast_if_small(targets.where(F.col("is_active")).select("video_id"))
 
 
 def kpi_targets(targets: DataFrame, state: DataFrame) -> DataFrame:

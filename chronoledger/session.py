@@ -13,6 +13,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static size *estimates*: joins broadcast either after
+    # an explicit bounded row count (operators.sizing) or when AQE sees the
+    # actual materialised size of a side at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoledger.operators.normalize import pack_pages
+from chronoledger.operators.sizing import broadcast_if_small
 from chronoledger.sources.tables import load
 
 PAGE = 50
@@ -143,7 +144,7 @@ def _ts(v: str) -> Column:
 def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: str) -> DataFrame:
     """Video pages per run for its owned targets; customers with a negative
     balance stand in for videos the API no longer returns."""
-    c = load(spark, d, "customer").where("c_acctbal >= 0")
+    c = broadcast_if_small(load(spark, d, "customer").where("c_acctbal >= 0"))
     j = owned.select("ingestion_id", "video_id").join(
         c, owned.video_id == c.c_custkey.cast("string"), "inner")
     items = j.selectExpr(
@@ -167,7 +168,7 @@ def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: s
 def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, received: str) -> DataFrame:
     """Channel pages per run for the channels its videos reference; channels
     of region 0 stand in for channels the API did not return."""
-    n = load(spark, d, "nation").where("n_regionkey <> 0")
+    n = broadcast_if_small(load(spark, d, "nation").where("n_regionkey <> 0"))
     req = video_channels.select("ingestion_id", "channel_id").distinct()
     j = req.join(n, req.channel_id == n.n_nationkey.cast("string"), "inner")
     items = j.selectExpr(
@@ -195,7 +196,7 @@ def _paged(items: DataFrame) -> DataFrame:
 
 def _conv_runs(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
-    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = broadcast_if_small(load(spark, d, "orders").select("o_orderkey", "o_custkey"))
     return c.join(o, c.conv_id == o.o_orderkey, "inner").selectExpr(
         "conv_id", "turn", "role", "text", "CAST(o_orderkey AS STRING) AS ingestion_id",
         "CAST(o_custkey AS STRING) AS video")

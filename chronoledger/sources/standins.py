@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from chronoledger import schemas as S
 from chronoledger.operators.dedupe import latest_per_key
+from chronoledger.operators.sizing import broadcast_if_small
 from chronoledger.sources.tables import load
 
 # Parameters of the stand-in scenario.
@@ -106,7 +107,7 @@ _STEPS = "array(" + ", ".join(f"'{x}'" for x in S.FETCH_STEPS) + ")"
 def outcomes_raw(spark: SparkSession, d: str) -> DataFrame:
     """Step outcomes before dedupe: several lines can report the same step."""
     li = load(spark, d, "lineitem")
-    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = broadcast_if_small(load(spark, d, "orders").select("o_orderkey", "o_custkey"))
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.selectExpr(
         "CAST(l_orderkey AS STRING) AS ingestion_id",
@@ -135,7 +136,7 @@ def handoff(spark: SparkSession, d: str) -> DataFrame:
     """Comments staged by a run for its video: conversation ``c`` was
     fetched by run ``c`` (the order with that key) for that order's customer."""
     c = load(spark, d, "conversations")
-    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = broadcast_if_small(load(spark, d, "orders").select("o_orderkey", "o_custkey"))
     j = c.join(o, c.conv_id == o.o_orderkey, "inner")
     return j.selectExpr(
         "CAST(o_orderkey AS STRING) AS ingestion_id",
@@ -307,8 +308,8 @@ def current_videos(spark: SparkSession, d: str, before: str | None, since: str |
         e = e.where(F.col("ts") < ts(before))
     if since:
         e = e.where(F.col("ts") >= ts(since))
-    known = load(spark, d, "customer").where(F.col("c_mktsegment") != skip_segment).select(
-        F.col("c_custkey").alias("user_id"))
+    known = broadcast_if_small(load(spark, d, "customer").where(F.col("c_mktsegment") != skip_segment).select(
+        F.col("c_custkey").alias("user_id")))
     e = e.join(known, "user_id", "left_semi")
     rows = e.selectExpr("CAST(user_id AS STRING) AS video_id",
                         "concat(event_type, ' #', CAST(event_id AS STRING)) AS title",
