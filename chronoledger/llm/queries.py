@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoledger.llm import quality, simhash
+from chronoledger.llm import quality, simhash, token_output
 from chronoledger.llm.common import documents
 
 
@@ -14,11 +14,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir)).drop("cleaned")
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.digests(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_output": op2_token_output,
     "op4_simhash": op4_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
