@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoledger.llm import quality, simhash, token_output
+from chronoledger.llm import decontaminate, quality, simhash, token_output
 from chronoledger.llm.common import documents
 
 
@@ -18,12 +18,17 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.digests(documents(spark, sf_dir))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
+    "op3_decontaminate": op3_decontaminate,
     "op4_simhash": op4_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
