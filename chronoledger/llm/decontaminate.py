@@ -9,9 +9,9 @@ Weights are BM25's, divided by the item's score against itself, so a score
 is the share of the item's own score that the passage reaches, and
 ``threshold`` is a share too. All items above it are retrieved:
 
-* a passage whose rare terms cannot reach the threshold even with all that
-  the frequent terms could add is passed over (the pivot test for a whole
-  text at once; ``FREQUENT_SHARE`` bounds what frequent terms may add);
+* the blocks' greatest weights are summed for all passages of a text at
+  once, and a passage in which no block of items can reach the threshold is
+  passed over;
 * other passages run block-max WAND: cursors over postings, a pivot by the
   terms' greatest weights, then by the greatest weights in the pivot's
   block, then the full score.
@@ -45,12 +45,12 @@ from pyspark.sql import functions as F
 from chronoledger.llm.common import ascii_lower, whole_text, written
 
 K1, B = 1.2, 0.75
-THRESHOLD = 0.5
+THRESHOLD = 0.6
 OVERLAP = 0.8
 SHINGLE = 5
-BLOCK = 16
-FREQUENT_SHARE = 0.2
+BLOCK = 4
 MAX_POSTINGS = 2_000_000
+MAX_SUMS = 1 << 20
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A-Z in lower case, all other ASCII but letters and digits as a space.
 TABLE = bytes(ord(chr(i).lower()) if chr(i).isalnum() and i < 128 else i if i > 127 else 32 for i in range(256))
@@ -109,26 +109,32 @@ class Index:
         for best, ids, weights in zip(self.blocks, self.ids, self.weights):
             for i, w in zip(ids, weights):
                 best[i // BLOCK] = max(best.get(i // BLOCK, 0.0), w)
-        self._frequent()
+        self.n_blocks = len(self.items) // BLOCK + 1
+        self.block_count = np.array([len(b) for b in self.blocks] + [0], np.int64)
+        self.block_start = np.cumsum(self.block_count) - self.block_count
+        self.block_ids = np.array([i for b in self.blocks for i in b], np.int64)
+        self.block_most = np.array([w for b in self.blocks for w in b.values()])
         self.step = math.ceil(1.25 * max((len(i.words) for i in self.items), default=1))
 
-    def _frequent(self) -> None:
-        """Terms in most items, as long as together they add little to any item."""
-        added, self.rest = np.zeros(len(self.items)), 0.0
-        self.rare = np.r_[np.array(self.most), 0.0]
-        for k in sorted(range(len(self.ids)), key=lambda k: -len(self.ids[k])):
-            added[self.ids[k]] += self.weights[k]
-            if added.max() > FREQUENT_SHARE:
-                break
-            self.rest, self.rare[k] = float(added.max()), 0.0
-
-    def hopeful(self, terms: np.ndarray, threshold: float) -> list[int]:
-        """Starts of the passages that could reach the threshold."""
-        sums = np.add.reduceat(self.rare[terms], np.arange(0, len(terms), self.step))
-        both = sums + np.r_[sums[1:], 0.0] if len(sums) > 1 else sums
-        if len(both) > 1:
-            both = both[:-1]  # the last window is a part of the one before it
-        return (np.flatnonzero(both >= threshold - self.rest - 1e-9) * self.step).tolist()
+    def hopeful(self, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, list[int]]]:
+        """(start, own terms) of the passages in which some block could reach the threshold."""
+        windows = max(1, -(-len(terms) // self.step) - 1)
+        most = max(1, MAX_SUMS // self.n_blocks)
+        for first in range(0, windows, most):
+            n = min(most, windows - first)
+            part = terms[first * self.step:(first + n + 1) * self.step]
+            half = np.arange(len(part)) // self.step
+            key = np.unique(np.r_[half[half < n] * len(self.block_count) + part[half < n],
+                                  (half[half > 0] - 1) * len(self.block_count) + part[half > 0]])
+            window, term = np.divmod(key, len(self.block_count))
+            count = self.block_count[term]
+            total = int(count.sum())
+            at = np.repeat(self.block_start[term] - np.cumsum(count) + count, count) + np.arange(total)
+            sums = np.bincount(np.repeat(window, count) * self.n_blocks + self.block_ids[at], self.block_most[at],
+                               n * self.n_blocks).reshape(n, self.n_blocks)
+            for w in np.flatnonzero(sums.max(axis=1) >= threshold - 1e-9).tolist():
+                own = term[np.searchsorted(window, w):np.searchsorted(window, w, "right")]
+                yield (first + w) * self.step, own[own < len(self.terms)].tolist()
 
     def search(self, terms: list[int], threshold: float) -> Iterator[tuple[int, float]]:
         """(item, score) of all items that reach the threshold: block-max WAND."""
@@ -182,9 +188,8 @@ class Index:
             return {}
         terms = np.fromiter(map(self.terms.get, words, repeat(len(self.terms))), np.int64, len(words))
         found: dict[int, tuple[float, float, float, float]] = {}
-        for at in self.hopeful(terms, threshold):
+        for at, own in self.hopeful(terms, threshold):
             window = slice(at, at + 2 * self.step)
-            own = [t for t in np.unique(terms[window]).tolist() if t < len(self.terms)]
             here = shingles = None
             for i, score in self.search(own, threshold):
                 if here is None:
