@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoledger.llm import decontaminate, quality, simhash, token_output
+from chronoledger.llm import decontaminate, mixing, quality, simhash, token_output
 from chronoledger.llm.common import documents
 
 
@@ -26,13 +26,19 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sampled(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_decontaminate": op3_decontaminate,
     "op4_simhash": op4_simhash,
+    "op6_mixing": op6_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
 }
