@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoledger.llm import decontaminate, mixing, quality, simhash, token_output
+from chronoledger.llm import decontaminate, mixing, quality, simhash, token_count, token_output
 from chronoledger.llm.common import documents
 
 
@@ -30,11 +30,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sampled(documents(spark, sf_dir))
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_decontaminate": op3_decontaminate,
     "op4_simhash": op4_simhash,
     "op6_mixing": op6_mixing,
+    "op8_token_count": op8_token_count,
     "op10_quality_rules": op10_quality_rules,
 }
 
