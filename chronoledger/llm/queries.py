@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronoledger.llm import decontaminate, mixing, quality, simhash, token_count, token_output
+from chronoledger.llm import decontaminate, license_scan, mixing, quality, secret_scan, simhash, token_count, token_output
 from chronoledger.llm.common import documents
 
 
@@ -14,6 +15,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir)).drop("cleaned")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir))
+    return found.withColumn("n_detections", F.size("detections").cast("bigint")).drop("detections")
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.digests(documents(spark, sf_dir))
 
@@ -26,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sampled(documents(spark, sf_dir))
 
@@ -35,15 +45,19 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_output": op2_token_output,
     "op3_decontaminate": op3_decontaminate,
     "op4_simhash": op4_simhash,
+    "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
     "op8_token_count": op8_token_count,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_license_scan": license_scan.ORACLE_SQL,
+    "op5_secret_scan": secret_scan.ORACLE_SQL,
     "op6_mixing": mixing.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
 }
