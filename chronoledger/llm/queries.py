@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoledger.llm import decontaminate, license_scan, mixing, quality, secret_scan, simhash, token_count, token_output
+from chronoledger.llm import chat_format, decontaminate, license_scan, mixing, quality, secret_scan, simhash, suffix_dedup, token_count, token_output
 from chronoledger.llm.common import documents
 
 
@@ -40,10 +40,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sampled(documents(spark, sf_dir))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.windows(chat_format.conversations(spark, sf_dir)))
+
+
 def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_output": op2_token_output,
@@ -51,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
+    "op7_chat_format": op7_chat_format,
     "op8_token_count": op8_token_count,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
