@@ -36,6 +36,7 @@ from chronoledger.llm.common import let, running
 BUDGET, RESERVED, HISTORY = 1024, 256, 2
 OVERHEAD = 4
 CHUNK = 256
+TOKEN = r"[0-9A-Za-z_]+|[^0-9A-Za-z_\x20\x09-\x0D]"
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: The conversation that speaks in control strings.
 CONTROL = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"), (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok")]
@@ -51,7 +52,7 @@ def unescaped(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Words and single marks, and what the template adds."""
-    return F.regexp_count(text, F.lit(r"\w+|[^\w\s]")).cast("bigint") + OVERHEAD
+    return F.regexp_count(text, F.lit(TOKEN)).cast("bigint") + OVERHEAD
 
 
 def _placed(turns: DataFrame, stretch: int) -> DataFrame:
@@ -111,7 +112,7 @@ def parsed(formatted: Column) -> Column:
     marked = F.filter(F.split(formatted, r"<\|im_start\|>", -1), lambda x: x != "")
     bare = F.transform(marked, lambda x: F.substring(x, F.lit(1), F.length(x) - len(END)))
     # The role ends at the first line feed that no backslash escapes.
-    role = r"(?s)\A((?:[^\\\n]++|\\.)*+)\n.*"
+    role = r"(?s)\A([^\\\n]*+(?:\\.[^\\\n]*+)*+)\n.*"
     return F.transform(bare, lambda x: let(F.regexp_extract(x, role, 1), lambda r: F.struct(
         unescaped(r).alias("role"), unescaped(F.substring(x, F.length(r) + 2, F.length(x))).alias("text"))))
 
@@ -136,3 +137,31 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table, and the conversation of control strings."""
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     return table.unionByName(spark.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string"))
+
+
+def _oracle() -> str:
+    rows = ", ".join("({}, {}, '{}', '{}')".format(*r) for r in CONTROL)
+    escaped_text = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
+    body, role = escaped_text.format("text"), f"replace({escaped_text.format('role')}, chr(10), '\\' || chr(10))"
+    return rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM
+  (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES {rows}) v(conv_id, turn, role, text))),
+n AS (SELECT *, len(regexp_extract_all(text, '{TOKEN}')) + {OVERHEAD} AS n, length('{START}' || {role} || chr(10) || {body} || '<|im_end|>') + 1 AS chars FROM c),
+p AS (SELECT *, row_number() OVER o - 1 AS r, sum(n) OVER o - n AS first FROM n
+  WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+w AS MATERIALIZED (SELECT *, 2 * (first // {BUDGET - RESERVED}) + CASE WHEN first // {BUDGET - RESERVED} <> (first + n - 1) // {BUDGET - RESERVED} THEN 1 ELSE 0 END AS win FROM p),
+s AS (SELECT conv_id, r AS sr, n AS sn, chars AS schars FROM w WHERE role = 'system' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY r) = 1),
+h AS (SELECT w.conv_id, win, min(r) AS head, min(first) AS begun, sum(n) AS own FROM w GROUP BY ALL),
+hs AS (SELECT h.*, sr, schars, CASE WHEN sr < head THEN schars ELSE 0 END AS system_chars, {BUDGET} - own - CASE WHEN sr < head THEN sn ELSE 0 END AS room
+  FROM h LEFT JOIN s ON h.conv_id IS NOT DISTINCT FROM s.conv_id),
+again AS (SELECT hs.conv_id, hs.win, sum(w.chars) AS chars FROM hs JOIN w ON hs.conv_id IS NOT DISTINCT FROM w.conv_id
+  AND w.r BETWEEN head - {HISTORY} AND head - 1 WHERE begun - w.first <= room AND (sr IS NULL OR w.r <> sr) GROUP BY ALL),
+extra AS (SELECT conv_id, count(*) AS n_windows, sum(system_chars) + coalesce(sum(chars), 0) AS chars
+  FROM (SELECT hs.*, again.chars FROM hs LEFT JOIN again ON hs.conv_id IS NOT DISTINCT FROM again.conv_id AND hs.win = again.win) GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY r)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY r) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars FROM w GROUP BY conv_id)
+SELECT g.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(g.chars + extra.chars AS BIGINT) AS formatted_chars, n_windows FROM g JOIN extra ON g.conv_id IS NOT DISTINCT FROM extra.conv_id"""
+
+
+ORACLE_SQL = _oracle()

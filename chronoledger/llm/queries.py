@@ -69,5 +69,6 @@ ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.ORACLE_SQL,
     "op5_secret_scan": secret_scan.ORACLE_SQL,
     "op6_mixing": mixing.ORACLE_SQL,
+    "op7_chat_format": chat_format.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
 }
