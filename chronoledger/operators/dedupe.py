@@ -2,9 +2,10 @@
 
 ``latest_per_key`` keeps one row per key with a *deterministic* survivor: the
 row with the greatest ordering struct. It is an aggregate (``max_by``), so
-Spark combines map-side before the shuffle: a key holding a third of all rows
-is reduced to one row per input partition before it moves, instead of being
-sorted in a single task as a ``row_number()`` window would do.
+Spark combines before the shuffle: a key holding a third of all rows is one
+row per input partition before it moves. Values of variable width make both
+stages sort-based aggregates; keep the payload narrow. Keys are the grouping
+columns themselves, so filters and joins on them pass through the aggregate.
 """
 
 from __future__ import annotations
@@ -19,28 +20,28 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _survivor(df: DataFrame, keys, order, cols, choose) -> DataFrame:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    others = [c for c in cols if c not in keys]
+    if not others:
+        return df.select(*keys).distinct().select(*cols)
+    row = choose(F.struct(*[F.col(c) for c in others]), F.struct(*_cols(order))).alias("__row")
+    return df.groupBy(*keys).agg(row).select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in cols])
+
+
 def latest_per_key(df: DataFrame, keys, order, keep=None) -> DataFrame:
     """One row per ``keys``: the row whose ``struct(order)`` is greatest.
 
     ``order`` should end in a unique tie-break column (e.g. an id) so the
     survivor never depends on partitioning. NULL order fields sort lowest.
-    ``keep`` limits the output (and the aggregated value) to those columns;
-    ordering-only helper columns then never travel through the shuffle twice.
+    ``keep`` limits the output (and the aggregated value) to those columns.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    cols = list(keep) if keep is not None else df.columns
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*_cols(order))).alias("__row"))
-            .select(*[F.col(f"__row.{c}").alias(c) for c in cols]))
+    return _survivor(df, keys, order, list(keep) if keep is not None else df.columns, F.max_by)
 
 
 def earliest_per_key(df: DataFrame, keys, order) -> DataFrame:
     """One row per ``keys``: the row whose ``struct(order)`` is smallest."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    cols = df.columns
-    return (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*_cols(order))).alias("__row"))
-            .select(*[F.col(f"__row.{c}").alias(c) for c in cols]))
+    return _survivor(df, keys, order, df.columns, F.min_by)
 
 
 def one_per_key(df: DataFrame, keys) -> DataFrame:
@@ -63,8 +64,3 @@ def drop_blank_keys(df: DataFrame, cols) -> DataFrame:
     """Drop rows where any of ``cols`` is NULL or the empty string."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     return df.where(reduce(lambda a, b: a & b, [not_blank(c) for c in cols]))
-
-
-def distinct_rows(df: DataFrame, cols) -> DataFrame:
-    """``SELECT DISTINCT cols`` (hash aggregate with map-side combine)."""
-    return df.select(*_cols(cols)).distinct()

@@ -14,22 +14,22 @@ publishes (``sources.tables.TableStore.publish``). Semantics follow SQL MERGE:
   ``{column: expression}`` over ``s.`` only; unnamed columns are NULL;
 * ``matched_condition`` restricts the update (``WHEN MATCHED AND ...``).
 
-Physical plans. When the source is proven small (``sizing.rows_at_most``)
-the target is *never shuffled*: matched/unchanged rows come from
-``target LEFT JOIN broadcast(source)`` (a map-only pass over the target) and
-inserts from ``source ANTI JOIN (target keys SEMI broadcast(source keys))``,
-which scans only the key columns of the target. Otherwise one full outer
-join shuffles both sides on the key (sort-merge, spill-safe).
+Physical plans. No Spark job runs while a plan is built. By default one outer
+join shuffles both sides on the key (sort-merge, spill-safe; adaptive
+execution replaces it by a broadcast where the side's real size allows).
+``strategy="broadcast"`` is for sources bounded by construction, such as a
+claim batch: the target is then never shuffled. Matched and unchanged rows
+come from ``target LEFT JOIN broadcast(source)`` and inserts from
+``source ANTI JOIN (target keys SEMI broadcast(source keys))``.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoledger.operators import sizing
 
 _T, _S = "__t_present", "__s_present"
 
@@ -100,31 +100,36 @@ def _insert_projection(target: DataFrame, insert) -> list[Column]:
     return out
 
 
+def _checked(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Fail, when the plan runs, on a key that a source holds twice."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return (source.withColumn("__n", n)
+            .where(F.when(known & (F.col("__n") > 1), F.raise_error(F.lit(f"merge source repeats a key of {keys}"))).otherwise(F.lit(True)))
+            .drop("__n"))
+
+
 def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
-          matched_condition=None, strategy: str = "auto",
-          broadcast_max_rows: int | None = None, insert_condition=None) -> DataFrame:
+          matched_condition=None, strategy: str = "shuffle", insert_condition=None,
+          check_keys: bool = False) -> DataFrame:
     """Return the next version of ``target`` after a MERGE with ``source``.
 
-    ``strategy``: ``"broadcast"`` (source is known small), ``"shuffle"`` or
-    ``"auto"`` (bounded row-count check on the source).
+    ``strategy``: ``"shuffle"``, or ``"broadcast"`` for a source that is
+    bounded by construction. ``check_keys`` makes the job fail if the source
+    holds a key twice.
     """
     keys = _keys(on)
     if update is None and insert is None:
         return target
     source = _conform_source(target, source, update, insert)
+    if check_keys:
+        source = _checked(source, keys)
     if insert_condition is not None and insert is not None:
         # WHEN NOT MATCHED AND <cond>: unmatched source rows failing it are
         # not inserted; it refers to the source only, so marking them first
         # keeps both plans identical.
         source = source.alias("s").withColumn("__ins_ok", F.coalesce(_as_col(insert_condition), F.lit(False)))
     cond_col = _as_col(matched_condition) if matched_condition is not None else None
-    if strategy == "auto":
-        bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
-        source, small = sizing.persisted_rows_at_most(source, bound)
-        strategy = "broadcast" if small else "shuffle"
-    elif strategy == "broadcast" and source.storageLevel.useMemory is False and not source.is_cached:
-        # small by the caller's contract and read up to three times below
-        source = sizing.keep_persisted(source)
 
     t = target.withColumn(_T, F.lit(True)).alias("t")
     s = source.withColumn(_S, F.lit(True)).alias("s")
@@ -153,33 +158,21 @@ def merge(target: DataFrame, source: DataFrame, on, update="*", insert="*",
         return kept
     src_keys = source.select(*keys).where(
         reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    matched_keys = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
-    # at most the source's keys when target keys are unique; checked, not assumed
-    new = source.alias("s").join(sizing.broadcast_if_small(matched_keys), keys, "left_anti")
+    # distinct: at most the source's keys, and so bounded as they are
+    matched_keys = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
+    new = source.alias("s").join(F.broadcast(matched_keys), keys, "left_anti")
     if insert_condition is not None:
         new = new.where(F.col("__ins_ok"))
     return kept.unionByName(new.select(*_insert_projection(target, insert)))
 
 
-def rows_to_insert(target: DataFrame, source: DataFrame, on, strategy: str = "auto",
-                   broadcast_max_rows: int | None = None) -> DataFrame:
+def rows_to_insert(target: DataFrame, source: DataFrame, on) -> DataFrame:
     """The source rows an insert-only merge adds (keys absent from the
     target), in target column order. For append-only tables this is what
     gets *appended*: the stored history is never rewritten."""
     keys = _keys(on)
     source = _conform_source(target, source, None, "*")
-    if strategy == "auto":
-        bound = sizing.broadcast_max_rows(source) if broadcast_max_rows is None else broadcast_max_rows
-        source, small = sizing.persisted_rows_at_most(source, bound)
-        strategy = "broadcast" if small else "shuffle"
-    if strategy == "broadcast":
-        src_keys = source.select(*keys).where(
-            reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        existing = sizing.broadcast_if_small(
-            target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi"))
-    else:
-        existing = target.select(*keys)
-    new = source.alias("s").join(existing, keys, "left_anti")
+    new = source.alias("s").join(target.select(*keys), keys, "left_anti")
     return new.select(*_insert_projection(target, "*"))
 
 
@@ -231,9 +224,8 @@ def replace_slice(target: DataFrame, slice_column: str, slice_values: DataFrame,
     """
     from chronoledger.operators.dedupe import drop_blank_keys, one_per_key
 
-    from chronoledger.operators.sizing import broadcast_if_small
 
-    sv = broadcast_if_small(slice_values.select(slice_column).distinct())
+    sv = slice_values.select(slice_column).distinct()
     kept = target.join(sv, slice_column, "left_anti")
     fresh = one_per_key(drop_blank_keys(rows.select(*target.columns), required), dedupe_keys)
     return kept.unionByName(fresh)
@@ -266,64 +258,3 @@ def change_feed(before: DataFrame, after: DataFrame, on) -> DataFrame:
                      F.array(tagged(b_row, "update_preimage"), tagged(a_row, "update_postimage"))))
     return (j.select(F.explode(changes).alias("c"))
             .select(*[F.col(f"c.r.{c}").alias(c) for c in cols], F.col("c.k").alias("_change_type")))
-
-
-class MergeBuilder:
-    """Fluent MERGE with the shape of ``DataFrame.mergeInto``'s writer::
-
-        merge_into(target, source, "video_id") \
-            .whenMatched().updateAll() \
-            .whenNotMatched().insertAll() \
-            .merge()
-
-    ``merge()`` returns the next version of ``target`` (a DataFrame) instead
-    of writing a catalog table; ``condition`` arguments are SQL text or
-    Columns over ``t.`` (target) and ``s.`` (source).
-    """
-
-    def __init__(self, target: DataFrame, source: DataFrame, on):
-        self._target, self._source, self._on = target, source, on
-        self._update = None
-        self._matched_cond = None
-        self._insert = None
-        self._insert_cond = None
-
-    class _Matched:
-        def __init__(self, outer, condition):
-            self._o, self._c = outer, condition
-
-        def updateAll(self):  # noqa: N802 (mirrors the PySpark writer API)
-            self._o._update, self._o._matched_cond = "*", self._c
-            return self._o
-
-        def update(self, assignments: dict):
-            self._o._update, self._o._matched_cond = dict(assignments), self._c
-            return self._o
-
-    class _NotMatched:
-        def __init__(self, outer, condition):
-            self._o, self._c = outer, condition
-
-        def insertAll(self):  # noqa: N802
-            self._o._insert, self._o._insert_cond = "*", self._c
-            return self._o
-
-        def insert(self, assignments: dict):
-            self._o._insert, self._o._insert_cond = dict(assignments), self._c
-            return self._o
-
-    def whenMatched(self, condition=None):  # noqa: N802
-        return MergeBuilder._Matched(self, condition)
-
-    def whenNotMatched(self, condition=None):  # noqa: N802
-        return MergeBuilder._NotMatched(self, condition)
-
-    def merge(self, strategy: str = "auto", broadcast_max_rows: int | None = None) -> DataFrame:
-        return merge(self._target, self._source, self._on, update=self._update, insert=self._insert,
-                     matched_condition=self._matched_cond, insert_condition=self._insert_cond,
-                     strategy=strategy, broadcast_max_rows=broadcast_max_rows)
-
-
-def merge_into(target: DataFrame, source: DataFrame, on) -> MergeBuilder:
-    """Start a fluent MERGE of ``source`` into ``target`` on key columns ``on``."""
-    return MergeBuilder(target, source, on)

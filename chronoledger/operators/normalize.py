@@ -40,18 +40,20 @@ PLAYLIST_ITEM = ("struct<snippet: struct<title: string, description: string, pos
 
 def raw_flatten(raw: DataFrame, resource: str | None = None) -> DataFrame:
     """One row per item of every stored page: ingestion_id, resource,
-    received_at, item_pos (position in its page), item_json. Pages without
-    ``items`` (or unparseable pages) contribute no rows."""
+    received_at, page_no (the page's place in its request; 0 where a page
+    was stored without one), item_pos (position in its page), item_json.
+    Pages without ``items`` (or unparseable pages) contribute no rows."""
     r = raw if resource is None else raw.where(F.col("resource") == resource)
     page = F.from_json(F.col("response_json"), PAGE_SCHEMA)
-    return r.select("ingestion_id", "resource", "received_at",
+    number = F.coalesce(F.col("page_no"), F.lit(0)) if "page_no" in raw.columns else F.lit(0)
+    return r.select("ingestion_id", "resource", "received_at", number.cast("bigint").alias("page_no"),
                     F.posexplode(page["items"]).alias("item_pos", "item_json"))
 
 
 def parse_items(raw: DataFrame, resource: str, item_schema: str) -> DataFrame:
     """Flattened items of one resource parsed with ``item_schema`` as ``item``."""
     return raw_flatten(raw, resource).select(
-        "ingestion_id", "received_at", "item_pos", F.from_json("item_json", item_schema).alias("item"))
+        "ingestion_id", "received_at", "page_no", "item_pos", F.from_json("item_json", item_schema).alias("item"))
 
 
 def video_columns(item: Column) -> list[Column]:
@@ -147,11 +149,11 @@ _RESOURCES = {
 def normalize(raw: DataFrame, resource: str, keep_meta: bool = True) -> DataFrame:
     """Normalised rows of one resource from the raw table.
 
-    With ``keep_meta`` the run id, receive time and item position are kept
-    (they order repeated fetches of one entity for ``latest_per_key``)."""
+    With ``keep_meta`` the run id, receive time, page and position are kept
+    (they order items, and repeated fetches of one entity)."""
     schema, cols = _RESOURCES[resource]
     items = parse_items(raw, resource, schema)
-    meta = [F.col("ingestion_id"), F.col("received_at"), F.col("item_pos")] if keep_meta else []
+    meta = [F.col(c) for c in ("ingestion_id", "received_at", "page_no", "item_pos")] if keep_meta else []
     return items.select(*meta, *cols(F.col("item")))
 
 
@@ -197,7 +199,8 @@ def pack_pages(items: DataFrame, page_cols, resource: str, part: str, ingestion_
     struct serialised as the item JSON; NULL fields are omitted, i.e.
     missing), ``__id`` (the requested id) and ``__received`` (receive
     time). Callers bound a page by ``page_cols`` to at most ``page_size``
-    items, so each per-page list is bounded. ``ingestion_id`` is an
+    items, so each per-page list is bounded; the last of ``page_cols`` is the
+    page's number in its request. ``ingestion_id`` is an
     expression over ``page_cols``. Request parameters are stored as JSON with
     sorted keys and without the API key."""
     g = items.groupBy(*page_cols).agg(
@@ -212,4 +215,5 @@ def pack_pages(items: DataFrame, page_cols, resource: str, part: str, ingestion_
         F.expr(_sorted_json_map_sql(params)).alias("request_params_json"),
         F.expr("concat('{\"items\":[', array_join(transform(__items, x -> x.j), ','), ']}')").alias("response_json"),
         F.col("received_at"),
+        F.col(page_cols[-1]).cast("bigint").alias("page_no"),
     )

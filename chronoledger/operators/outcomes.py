@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoledger import schemas as S
-from chronoledger.operators.sizing import broadcast_if_small
 
 
 def found_outcomes(requested: DataFrame, returned: DataFrame, key: str, step: str,
@@ -134,8 +133,7 @@ def run_channel_names(owned: DataFrame, videos: DataFrame, channels: DataFrame)
     distinct per run (a partial aggregate) before the per-run list is built,
     so a list holds one entry per distinct channel, not per video; a run
     owns at most its claim batch of videos, which bounds the list."""
-    ch = broadcast_if_small(channels.where(F.col("title").isNotNull())
-                            .select("channel_id", F.col("title").alias("channel_title")))
+    ch = channels.where(F.col("title").isNotNull()).select("channel_id", F.col("title").alias("channel_title"))
     names = (owned.select("ingestion_id", "video_id")
              .join(videos.select("video_id", "channel_id"), "video_id", "inner")
              .join(ch, "channel_id", "inner")
@@ -160,13 +158,6 @@ def children_by_parent(handoff: DataFrame, outcomes: DataFrame, step: str = "fet
                    ["ingestion_id", "video_id"], "left")
 
 
-def step_counts(outcomes: DataFrame) -> DataFrame:
-    """Rows per (run, step) and how many succeeded."""
-    return outcomes.groupBy("ingestion_id", "step").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("status") == S.ST_SUCCESS).alias("n_success"))
-
-
 def comment_outcomes(videos: DataFrame, failures: DataFrame, keys=("video_id",)) -> DataFrame:
     """Per-video outcome of a step fetched independently per video.
 
@@ -183,4 +174,4 @@ def comment_outcomes(videos: DataFrame, failures: DataFrame, keys=("video_id",))
     first = with_error_class(first, "status_code", "body").select(*keys, "category", "message")
     j = videos.select(*keys).distinct().join(first, keys, "left")
     status, error = step_outcome_from_error("category", "message")
-    return j.select(*keys, status.alias("status"), error.alias("error_message"), "category")
+    return j.select(*keys, status.alias("status"), error.alias("error_message"), "category", "message")

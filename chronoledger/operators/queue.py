@@ -23,14 +23,20 @@ def as_ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def validate_limit(value, name: str, allow_zero: bool = True) -> int:
-    """Parse a job limit: an integer >= 0 (or > 0 when zero is not allowed)."""
+# A claimed batch is broadcast and listed by the driver.
+MAX_BATCH = 100_000
+
+
+def validate_limit(value, name: str, allow_zero: bool = True, most: int | None = None) -> int:
+    """Parse a job limit: an integer >= 0 (> 0 when zero is not allowed), at most ``most``."""
     try:
         limit = int(str(value).strip())
     except ValueError as exc:
         raise ValueError(f"{name} must be an integer") from exc
     if limit < 0 or (not allow_zero and limit == 0):
         raise ValueError(f"{name} must be {'>= 0' if allow_zero else '> 0'}")
+    if most is not None and limit > most:
+        raise ValueError(f"{name} must be <= {most}")
     return limit
 
 
@@ -67,7 +73,7 @@ def due_targets(targets: DataFrame, state: DataFrame, as_of,
 def claim_due(targets: DataFrame, state: DataFrame, as_of, batch_size: int,
               stale_after: str = S.STALE_CLAIM_INTERVAL) -> DataFrame:
     """The next ``batch_size`` due targets in queue order (video_id, hours)."""
-    n = validate_limit(batch_size, "batch_size", allow_zero=False)
+    n = validate_limit(batch_size, "batch_size", allow_zero=False, most=MAX_BATCH)
     return (due_targets(targets, state, as_of, stale_after)
             .orderBy(*queue_order()).limit(n)
             .select("video_id", "refresh_interval_hours"))
@@ -113,7 +119,7 @@ def next_refresh(completed_at, hours) -> Column:
 
 
 def finish_targets_merge(state: DataFrame, finished: DataFrame, completed_at=None,
-                         require_owner: bool = False, strategy: str = "auto") -> DataFrame:
+                         require_owner: bool = False, strategy: str = "shuffle") -> DataFrame:
     """Release finished targets (update only; unmatched rows are ignored).
 
     ``finished``: video_id, ingestion_id, status, error_message,
@@ -158,7 +164,7 @@ def open_runs(spark, ingestion_ids: DataFrame, started_at=None,
 
 
 def finish_runs_merge(runs: DataFrame, finished: DataFrame, ended_at=None,
-                      strategy: str = "auto") -> DataFrame:
+                      strategy: str = "shuffle") -> DataFrame:
     """Close runs: end time, status and error set; the channel name is only
     replaced when the new one is not NULL (the error is replaced even by NULL)."""
     end = F.col("ended_at") if "ended_at" in finished.columns else as_ts(ended_at)
@@ -183,21 +189,18 @@ def owned_targets(targets: DataFrame, state: DataFrame, ingestion_ids: DataFrame
         "ingestion_id", "video_id", "refresh_interval_hours")
 
 
-def request_batches(ids: DataFrame, id_col: str, batch_size: int = S.REQUEST_BATCH_SIZE,
-                    buckets: int | None = None, bucket=None, group_cols=()) -> DataFrame:
+def request_batches(ids: DataFrame, id_col: str, bucket: Column, batch_size: int = S.REQUEST_BATCH_SIZE,
+                    group_cols=()) -> DataFrame:
     """Pack ids into comma-joined request batches of at most ``batch_size``.
 
-    Ids are spread over ``buckets`` hash buckets (default: the session's
-    shuffle partitions) and numbered within a bucket; a window over a
-    bucket holds ~1/buckets of the ids, never the whole set. Output:
-    *group_cols, bucket, batch_no, n_ids, ids.
+    Ids are numbered within ``bucket``, an expression over the row that must
+    bound a bucket's ids (a range of ids, a hash whose count follows the
+    data): the result depends on it and on no setting of the session.
+    Output: *group_cols, bucket, batch_no, n_ids, ids.
     """
     n = validate_limit(batch_size, "batch_size", allow_zero=False)
-    if buckets is None:
-        buckets = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    b = bucket if bucket is not None else F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets))
     g = list(group_cols)
-    x = ids.select(*g, F.col(id_col), b.alias("bucket")).distinct()
+    x = ids.select(*g, F.col(id_col), bucket.alias("bucket")).distinct()
     w = Window.partitionBy(*g, "bucket").orderBy(id_col)
     x = x.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / n).cast("bigint"))
     return (x.groupBy(*g, "bucket", "batch_no")

@@ -16,6 +16,8 @@ lineage); otherwise changed tables are checkpointed to the shared
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,12 @@ from chronoledger.operators.snapshots import snapshot_rows
 from chronoledger.operators.topn import bounded_per_group
 
 OUTCOME_KEYS = ["ingestion_id", "video_id", "step"]
-ITEM_ORDER = ["received_at", "ingestion_id", "item_pos"]
+ITEM_ORDER = ["received_at", "ingestion_id", "page_no", "item_pos"]
+PAGE_ORDER = ["received_at", "page_no", "item_pos"]
+FAILURE = "ingestion_id string, video_id string, ts timestamp_ntz, attempt_id bigint, status_code int, body string"
+# The state says which targets a run still owns, so it is published last:
+# whatever was stopped before it is done again by the next finalise.
+PUBLISH_LAST = ["ingestion_comments", "ingestion_runs", "video_processing_state"]
 
 
 def _ts(v):
@@ -37,11 +44,21 @@ def _ts(v):
 
 
 def _runs_of(df: DataFrame) -> DataFrame:
-    """DISTINCT run ids, broadcast when proven small: it filters the raw
-    table, the largest one, which must then not be shuffled."""
-    from chronoledger.operators.sizing import broadcast_if_small
+    """DISTINCT run ids, for semi joins that filter the raw table."""
+    return df.select("ingestion_id").distinct()
+
 
-    return broadcast_if_small(df.select("ingestion_id").distinct())
+def _first_items(items: DataFrame, parents: list[str], limit: int) -> DataFrame:
+    """One row for each child of a (run, parent), with the values of its
+    latest fetch at the place of its first, and of these the first ``limit``
+    in API order (0 = all). Pages that a retried task stored again repeat
+    children; a cap over the stored rows would count the copies."""
+    keys = [*parents, "comment_id"]
+    others = [c for c in items.columns if c not in keys]
+    first = F.min(F.struct(*PAGE_ORDER)).alias("__first")
+    last = F.max_by(F.struct(*others), F.struct(*PAGE_ORDER)).alias("__last")
+    once = items.groupBy(*keys).agg(first, last).select(*keys, "__first", "__last.*")
+    return bounded_per_group(once, parents, [F.col("__first"), F.col("comment_id")], limit).drop("__first")
 
 
 APPENDS = "__appends__"
@@ -89,23 +106,21 @@ def claim(tables: dict, ingestion_id: str, as_of, batch_size: int = 20) -> tuple
     """Open a run and claim the next due targets for it. A run with nothing
     due is closed as SUCCESS immediately."""
     spark = tables["video_targets"].sparkSession
-    claimed = Q.claim_due(tables["video_targets"], tables["video_processing_state"], as_of, batch_size)
-    new_run = Q.open_runs(spark, spark.range(1).select(F.lit(ingestion_id).alias("ingestion_id")), as_of)
-    runs = tables["ingestion_runs"].unionByName(new_run)
-    # the claimed set is a limit's output (<= batch_size rows): counting it is cheap
-    from chronoledger.operators.sizing import keep_persisted
-    claimed = keep_persisted(claimed)
-    n = claimed.count()
-    state = Q.claim_merge(tables["video_processing_state"], claimed, ingestion_id, as_of)
-    if n == 0:
-        done = spark.range(1).select(F.lit(ingestion_id).alias("ingestion_id"), F.lit(S.RUN_SUCCESS).alias("status"),
-                                     F.lit(None).cast("string").alias("error_message"),
-                                     F.lit(None).cast("string").alias("channel_name"))
+    due = Q.claim_due(tables["video_targets"], tables["video_processing_state"], as_of, batch_size)
+    # at most batch_size rows: read once, so all that follows has the same batch
+    rows = [tuple(r) for r in due.collect()]
+    claimed = spark.createDataFrame(rows, due.schema)
+    run = spark.range(1).select(F.lit(ingestion_id).alias("ingestion_id"))
+    runs = tables["ingestion_runs"].unionByName(Q.open_runs(spark, run, as_of))
+    out = dict(tables)
+    if rows:
+        out["video_processing_state"] = Q.claim_merge(tables["video_processing_state"], claimed, ingestion_id, as_of)
+    else:
+        done = run.select("ingestion_id", F.lit(S.RUN_SUCCESS).alias("status"),
+                          F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("string").alias("channel_name"))
         runs = Q.finish_runs_merge(runs, done, as_of, strategy="broadcast")
-    out = dict(tables, ingestion_runs=runs, video_processing_state=state)
-    counts = claimed.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(ingestion_id).alias("ingestion_id"), F.lit("claim").alias("step"), "n_rows")
-    return out, counts
+    out["ingestion_runs"] = runs
+    return out, spark.createDataFrame([(ingestion_id, "claim", len(rows))], "ingestion_id string, step string, n_rows long")
 
 
 def apply_videos(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None = None) -> tuple[dict, DataFrame]:
@@ -163,17 +178,14 @@ def apply_comments(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None
         "ingestion_id", "video_id")
     pages = raw.where(F.col("resource") == "commentThreads").join(_runs_of(ok), "ingestion_id", "left_semi")
     items = N.normalize_comments(pages).join(ok, ["ingestion_id", "video_id"], "left_semi")
-    items = bounded_per_group(items, ["ingestion_id", "video_id"],
-                              [F.col("received_at"), F.col("item_pos")], max_comments_per_video)
+    items = _first_items(items, ["ingestion_id", "video_id"], max_comments_per_video)
     cols = [f.name for f in S.COMMENTS.fields if f.name != "ingested_at"]
     comments = _upsert_latest(tables["comments"], items, "comment_id", cols, as_of)
     handoff = M.replace_slice(tables["ingestion_comments"], "ingestion_id", ok,
                               items.select("ingestion_id", "video_id", "comment_id"),
                               required=["video_id", "comment_id"], dedupe_keys=["ingestion_id", "comment_id"])
     if failures is None:
-        failures = ok.select("ingestion_id", "video_id", F.lit(None).cast("timestamp_ntz").alias("ts"),
-                             F.lit(None).cast("bigint").alias("attempt_id"), F.lit(None).cast("int").alias("status_code"),
-                             F.lit(None).cast("string").alias("body")).where(F.lit(False))
+        failures = ok.sparkSession.createDataFrame([], FAILURE)
     res = OC.comment_outcomes(ok, failures, ["ingestion_id", "video_id"])
     outs = res.select("ingestion_id", "video_id", F.lit("fetch_comments").alias("step"), "status",
                       _ts(as_of).alias("completed_at"), "error_message")
@@ -196,18 +208,15 @@ def apply_replies(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None =
         "ingestion_id", F.col("comment_id").alias("parent_id"))
     pages = raw.where(F.col("resource") == "comments").join(_runs_of(videos), "ingestion_id", "left_semi")
     items = N.normalize_replies(pages).join(staged, ["ingestion_id", "parent_id"], "left_semi")
-    items = bounded_per_group(items, ["ingestion_id", "parent_id"],
-                              [F.col("received_at"), F.col("item_pos")], max_replies_per_comment)
+    items = _first_items(items, ["ingestion_id", "parent_id"], max_replies_per_comment)
     cols = [f.name for f in S.REPLIES.fields if f.name != "ingested_at"]
     replies = _upsert_latest(tables["replies"], items, "comment_id", cols, as_of)
     if failures is None:
-        failures = videos.select("ingestion_id", "video_id", F.lit(None).cast("timestamp_ntz").alias("ts"),
-                                 F.lit(None).cast("bigint").alias("attempt_id"), F.lit(None).cast("int").alias("status_code"),
-                                 F.lit(None).cast("string").alias("body")).where(F.lit(False))
+        failures = videos.sparkSession.createDataFrame([], FAILURE)
     res = OC.comment_outcomes(videos, failures, ["ingestion_id", "video_id"])
     # comments-disabled does not apply to replies: any error fails the video
     status = F.when(F.col("category").isNull(), S.ST_SUCCESS).otherwise(S.ST_FAILED)
-    err = F.when(F.col("category").isNotNull(), F.coalesce(F.col("error_message"), F.col("category")))
+    err = F.when(F.col("category").isNotNull(), F.col("message"))
     outs = res.select("ingestion_id", "video_id", F.lit("fetch_replies").alias("step"), status.alias("status"),
                       _ts(as_of).alias("completed_at"), err.alias("error_message"))
     out = dict(tables, replies=replies,
@@ -234,13 +243,11 @@ def finalize(tables: dict, as_of, owned: DataFrame | None = None) -> tuple[dict,
 
 
 def _cut(tables: dict, changed: set, store=None) -> dict:
-    from chronoledger.operators.sizing import release
-
+    """Publish (or checkpoint) the changed tables in a fixed order."""
     out = dict(tables)
     appends = out.pop(APPENDS, {})
-    for name in changed:
-        if name == APPENDS:
-            continue
+    order = [n for n in sorted(changed) if n not in PUBLISH_LAST and n != APPENDS] + [n for n in PUBLISH_LAST if n in changed]
+    for name in order:
         df = tables[name]
         if store is not None:
             layer = next(layer for (layer, t) in S.TABLES if t == name)
@@ -251,26 +258,37 @@ def _cut(tables: dict, changed: set, store=None) -> dict:
             out[name] = store.read(layer, name)
         else:
             out[name] = df.checkpoint(eager=True)
-    release()
     return out
 
 
+# What a fetch step changes only if pages came: an upsert without rows is no new version.
+ENTITY_TABLES = {"videos": {"videos", "video_snapshots"}, "channels": {"channels", "channel_snapshots"},
+                 "commentThreads": {"comments"}, "comments": {"replies"}}
+
+
 def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_size: int = 20,
                   max_comments_per_video: int = 0, max_replies_per_comment: int = 0,
-                  store=None, cut_lineage: bool = True) -> tuple[dict, DataFrame]:
+                  store=None, cut_lineage: bool = True, comment_failures: DataFrame | None = None,
+                  reply_failures: DataFrame | None = None) -> tuple[dict, DataFrame]:
     """claim, four fetch steps, finalise; finalise also runs when a step
-    fails, then the error is raised. Returns the final tables and the
-    per-step counts."""
-    Q.validate_limit(batch_size, "batch_size", allow_zero=False)
+    fails, then the error is raised. A run with nothing due stops after the
+    claim. ``comment_failures`` and ``reply_failures`` hold failed requests
+    (the columns of ``FAILURE``): their videos are FAILED in that step.
+    Returns the final tables and the per-step counts."""
+    Q.validate_limit(batch_size, "batch_size", allow_zero=False, most=Q.MAX_BATCH)
     Q.validate_limit(max_comments_per_video, "max_comments_per_video")
     Q.validate_limit(max_replies_per_comment, "max_replies_per_comment")
     counts = []
+    own = raw.where(F.col("ingestion_id") == ingestion_id)
 
-    def step(fn, *a, **kw):
+    def step(fn, *a, resource: str | None = None, **kw):
         nonlocal tables
         before = dict(tables)
         new, c = fn(tables, *a, **kw)
         changed = {k for k in new if k != APPENDS and new[k] is not before.get(k)}
+        if resource and own.where(F.col("resource") == resource).isEmpty():
+            new = {k: before.get(k) if k in ENTITY_TABLES[resource] else v for k, v in new.items()}
+            changed -= ENTITY_TABLES[resource]
         if APPENDS in new:
             new = dict(new)
             new[APPENDS] = {k: v for k, v in new[APPENDS].items() if k in changed}
@@ -278,17 +296,15 @@ def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_
         counts.append(c)
 
     step(claim, ingestion_id, as_of, batch_size)
-    run_ids = tables["video_processing_state"].sparkSession.range(1).select(
-        F.lit(ingestion_id).alias("ingestion_id"))
-    owned = Q.owned_targets(tables["video_targets"], tables["video_processing_state"], run_ids)
+    if not counts[0].first()["n_rows"]:
+        return tables, counts[0]
+    run = raw.sparkSession.range(1).select(F.lit(ingestion_id).alias("ingestion_id"))
+    owned = Q.owned_targets(tables["video_targets"], tables["video_processing_state"], run)
     try:
-        step(apply_videos, raw, as_of, owned)
-        step(apply_channels, raw, as_of, owned)
-        step(apply_comments, raw, as_of, owned, max_comments_per_video)
-        step(apply_replies, raw, as_of, owned, max_replies_per_comment)
+        step(apply_videos, own, as_of, owned, resource="videos")
+        step(apply_channels, own, as_of, owned, resource="channels")
+        step(apply_comments, own, as_of, owned, max_comments_per_video, comment_failures, resource="commentThreads")
+        step(apply_replies, own, as_of, owned, max_replies_per_comment, reply_failures, resource="comments")
     finally:
         step(finalize, as_of, owned)
-    all_counts = counts[0]
-    for c in counts[1:]:
-        all_counts = all_counts.unionByName(c)
-    return tables, all_counts
+    return tables, reduce(DataFrame.unionByName, counts)

@@ -121,7 +121,8 @@ CTE["failures"] = """SELECT event_id AS attempt_id, CAST(user_id AS VARCHAR) AS
    '{"error":{"code":403,"errors":[{"reason":"dailyLimitExceeded"}]}}', '{"error":{"reason":"userRateLimitExceeded"}}',
    '{"error":"backendError"}'][(event_id // 12) % 9 + 1] AS body
 FROM events"""
-CTE["classified"] = """SELECT *, '[' || category || '] HTTP ' || coalesce(CAST(status_code AS VARCHAR), '-') || ': ' || coalesce(body, '') AS message,
+CTE["classified"] = """SELECT *, '[' || category || '] ' || CASE WHEN status_code IS NULL THEN 'Falha transitória ao acessar a API do YouTube: '
+    ELSE 'Erro HTTP ' || CAST(status_code AS VARCHAR) || ': ' END || coalesce(body, '') AS message,
   category IN ('RATE_LIMITED', 'TRANSIENT_SERVER', 'TRANSIENT_NETWORK') AS retryable
 FROM (SELECT *, CASE
     WHEN list_contains(reasons, 'commentsDisabled') THEN 'COMMENTS_DISABLED'

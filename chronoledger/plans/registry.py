@@ -32,26 +32,10 @@ def register(name: str, sql: str | None = None, extra: list[tuple[str, str]] | N
 
 TREND_AS_OF = SI.AS_OF_TREND
 TREND_DAYS = 90
-HISTORY_DAYS = 10  # short window so snapshots before it must seed day one
 
 
 # ---------------------------------------------------------------- serving
-@register("video_trend", f"""
-SELECT a.video_id, max(m.video_title) AS video_title, max(m.channel_title) AS channel_title, d.collected_date,
-  arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) AS view_count,
-  arg_max_null(m.like_count, (m.collected_at, m.ingestion_id)) AS like_count,
-  arg_max_null(m.comment_count, (m.collected_at, m.ingestion_id)) AS comment_count
-FROM d CROSS JOIN active a
-LEFT JOIN vmetrics m ON m.video_id = a.video_id AND m.collected_at < d.collected_date + INTERVAL 1 DAY
-GROUP BY a.video_id, d.collected_date
-HAVING arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) IS NOT NULL""",
-          [("d", O.calendar_sql(TREND_AS_OF, TREND_DAYS))])
-def q_video_trend(spark, d):
-    return serve.video_trend(SI.targets(spark, d), SI.video_snapshots(spark, d),
-                             SI.videos(spark, d), TREND_AS_OF, TREND_DAYS)
-
-
-VT_SQL = f"""SELECT a.video_id, max(m.video_title) AS video_title, max(m.channel_title) AS channel_title, d.collected_date,
+VT_SQL = """SELECT a.video_id, max(m.video_title) AS video_title, max(m.channel_title) AS channel_title, d.collected_date,
   arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) AS view_count,
   arg_max_null(m.like_count, (m.collected_at, m.ingestion_id)) AS like_count,
   arg_max_null(m.comment_count, (m.collected_at, m.ingestion_id)) AS comment_count
@@ -82,6 +66,12 @@ def _channel_trend(spark, d):
                                TREND_AS_OF, TREND_DAYS)
 
 
+@register("video_trend", VT_SQL, [CAL90])
+def q_video_trend(spark, d):
+    return serve.video_trend(SI.targets(spark, d), SI.video_snapshots(spark, d),
+                             SI.videos(spark, d), TREND_AS_OF, TREND_DAYS)
+
+
 @register("video_trend_rollup", VT_SQL, [CAL90])
 def q_video_trend_rollup(spark, d):
     """The flagship trend from a daily-last rollup of the snapshots."""
@@ -124,10 +114,10 @@ SELECT a.video_id, d.collected_date,
   arg_max_null(m.view_count, (m.collected_at, m.ingestion_id)) AS view_count
 FROM d CROSS JOIN active a
 LEFT JOIN vsnap m ON m.video_id = a.video_id AND m.collected_at < d.collected_date + INTERVAL 1 DAY
-GROUP BY a.video_id, d.collected_date""", [("d", O.calendar_sql(TREND_AS_OF, HISTORY_DAYS))])
+GROUP BY a.video_id, d.collected_date""", [("d", O.calendar_sql(TREND_AS_OF, TREND_DAYS))])
 def q_range_join_history(spark, d):
     return serve.range_join_history(SI.targets(spark, d), SI.video_snapshots(spark, d),
-                                    TREND_AS_OF, HISTORY_DAYS)
+                                    TREND_AS_OF, TREND_DAYS)
 
 
 @register("latest_by_group", """
@@ -267,13 +257,13 @@ def q_semi_join_ids(spark, d):
 
 
 @register("request_batches", """SELECT bucket, batch_no, count(*) AS n_ids, string_agg(video_id, ',' ORDER BY video_id) AS ids
-FROM (SELECT video_id, CAST(CAST(video_id AS BIGINT) % 8 AS INTEGER) AS bucket,
-        CAST((ROW_NUMBER() OVER (PARTITION BY CAST(video_id AS BIGINT) % 8 ORDER BY video_id) - 1) // 50 AS BIGINT) AS batch_no
+FROM (SELECT video_id, CAST(video_id AS BIGINT) // 1000 AS bucket,
+        CAST((ROW_NUMBER() OVER (PARTITION BY CAST(video_id AS BIGINT) // 1000 ORDER BY video_id) - 1) // 50 AS BIGINT) AS batch_no
       FROM targets) x GROUP BY bucket, batch_no""")
 def q_request_batches(spark, d):
     from chronoledger.operators.queue import request_batches
-    t = SI.targets(spark, d)
-    return request_batches(t, "video_id", 50, bucket=F.pmod(F.col("video_id").cast("bigint"), F.lit(8)).cast("int"))
+    # ranges of a thousand ids: as many buckets as the ids need
+    return request_batches(SI.targets(spark, d), "video_id", F.floor(F.col("video_id").cast("bigint") / 1000), 50)
 
 
 @register("merge_claim", f"""WITH c AS ({DUE_SQL})
@@ -701,6 +691,31 @@ def q_comments_sample(spark, d):
         "comment_id").limit(5)
 
 
+def _inspect(name: str, table: str, columns: list[str] | None = None, order: list[str] | None = None, limit: int | None = None):
+    """A look at one stored table: all rows, some columns, or a first few."""
+    def run(spark, d):
+        df = getattr(SI, table)(spark, d)
+        df = df.select(*columns) if columns else df
+        df = df.orderBy(*order) if order else df
+        return df.limit(limit) if limit else df
+    text = f"SELECT {', '.join(columns) if columns else '*'} FROM {_CTE_OF.get(table, table)}"
+    text += f" ORDER BY {', '.join(order)}" if order else ""
+    register(name, text + (f" LIMIT {limit}" if limit else ""))(run)
+
+
+_CTE_OF = {"video_snapshots": "vsnap", "channel_snapshots": "csnap"}
+_COUNTS = ["view_count", "like_count", "comment_count"]
+_inspect("inspect_targets", "targets")
+_inspect("inspect_state", "state")
+_inspect("inspect_runs", "runs")
+_inspect("inspect_channels", "channels", ["channel_id", "title", "view_count", "subscriber_count", "video_count", "ingested_at"])
+_inspect("inspect_videos", "videos", ["video_id", "channel_id", "title", "published_at", *_COUNTS, "ingested_at"])
+_inspect("inspect_replies", "replies", ["video_id", "comment_id", "parent_id", "author_name", "text", "like_count", "published_at",
+                                        "updated_at", "ingested_at"], ["comment_id"], 5)
+_inspect("inspect_channel_snapshots", "channel_snapshots")
+_inspect("inspect_video_snapshots", "video_snapshots")
+
+
 @register("handle_normalize", """SELECT h AS handle, CASE WHEN starts_with(h, '@') THEN substr(h, 2) ELSE h END AS handle_normalized
 FROM (SELECT CASE c_custkey % 3 WHEN 0 THEN '@@' WHEN 1 THEN '@' ELSE '' END || lower(replace(c_name, '#', '_')) AS h
       FROM customer) x""")
@@ -732,7 +747,7 @@ def _pos(order, page):
 
 
 @register("normalize_videos", f"""SELECT 'run-' || CAST(event_id // 500 AS VARCHAR) AS ingestion_id,
-  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, {_pos('event_id', 'event_id // 50')} AS item_pos,
+  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, CAST(event_id // 50 AS BIGINT) AS page_no, {_pos('event_id', 'event_id // 50')} AS item_pos,
   CAST(event_id AS VARCHAR) AS video_id, CAST(user_id % 25 AS VARCHAR) AS channel_id,
   'NATION_' || CAST(user_id % 25 AS VARCHAR) AS channel_title, event_type || ' #' || CAST(event_id AS VARCHAR) AS title,
   props AS description, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at, CAST(user_id % 10 AS VARCHAR) AS category_id,
@@ -752,7 +767,7 @@ def q_normalize_videos(spark, d):
 
 
 @register("normalize_channels", f"""SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR) AS ingestion_id,
-  TIMESTAMP '2024-02-01 00:00:00' AS received_at, {_pos('c_custkey', 'c_custkey // 50')} AS item_pos,
+  TIMESTAMP '2024-02-01 00:00:00' AS received_at, CAST(c_custkey // 50 AS BIGINT) AS page_no, {_pos('c_custkey', 'c_custkey // 50')} AS item_pos,
   'UC' || CAST(c_custkey AS VARCHAR) AS channel_id, c_name AS title, c_mktsegment AS description,
   '@c' || CAST(c_custkey AS VARCHAR) AS custom_url, CAST(NULL AS VARCHAR) AS published_at,
   CAST(c_nationkey AS VARCHAR) AS country, CAST(floor(c_acctbal) AS BIGINT) AS view_count,
@@ -770,7 +785,7 @@ _PUB = "'2024-01-' || lpad(CAST(conv_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00
 
 
 @register("normalize_comments", f"""SELECT 'run-' || CAST(conv_id // 500 AS VARCHAR) AS ingestion_id,
-  TIMESTAMP '2024-02-01 00:00:00' AS received_at, {_pos('conv_id', 'conv_id // 50')} AS item_pos,
+  TIMESTAMP '2024-02-01 00:00:00' AS received_at, CAST(conv_id // 50 AS BIGINT) AS page_no, {_pos('conv_id', 'conv_id // 50')} AS item_pos,
   't' || CAST(conv_id AS VARCHAR) AS thread_id, CAST(conv_id AS VARCHAR) || '-0' AS comment_id,
   CAST(NULL AS VARCHAR) AS parent_id, CAST(conv_id AS VARCHAR) AS video_id, role AS author_name,
   {_AUTHOR} AS author_channel_id, text, {_LIKES} AS like_count, {_PUB} AS published_at,
@@ -783,7 +798,7 @@ def q_normalize_comments(spark, d):
 
 @register("normalize_replies", f"""SELECT 'run-' || CAST((conv_id * 8 + turn) // 500 AS VARCHAR) AS ingestion_id,
   TIMESTAMP '2024-02-01 00:00:00' AS received_at,
-  {_pos('conv_id * 8 + turn', '(conv_id * 8 + turn) // 50')} AS item_pos,
+  CAST((conv_id * 8 + turn) // 50 AS BIGINT) AS page_no, {_pos('conv_id * 8 + turn', '(conv_id * 8 + turn) // 50')} AS item_pos,
   CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id, CAST(conv_id AS VARCHAR) || '-0' AS parent_id,
   CAST(conv_id AS VARCHAR) AS video_id, role AS author_name, {_AUTHOR} AS author_channel_id, text,
   {_LIKES} AS like_count, {_PUB} AS published_at, CAST(NULL AS VARCHAR) AS updated_at
@@ -794,7 +809,7 @@ def q_normalize_replies(spark, d):
 
 @register("normalize_playlist_items", f"""SELECT 'run-' || CAST(o_orderkey // 500 AS VARCHAR) AS ingestion_id,
   max(o_orderdate) OVER (PARTITION BY o_orderkey // 50) AS received_at,
-  {_pos('o_orderkey', 'o_orderkey // 50')} AS item_pos,
+  CAST(o_orderkey // 50 AS BIGINT) AS page_no, {_pos('o_orderkey', 'o_orderkey // 50')} AS item_pos,
   CAST(o_custkey AS VARCHAR) AS video_id, 'order ' || CAST(o_orderkey AS VARCHAR) AS title,
   o_orderpriority AS description, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
   CAST(o_orderkey % 50 AS BIGINT) AS playlist_position
@@ -804,15 +819,15 @@ def q_normalize_playlist_items(spark, d):
 
 
 FLAT_SQL = f"""SELECT 'run-' || CAST(event_id // 500 AS VARCHAR) AS ingestion_id, 'videos' AS resource,
-  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, {_pos('event_id', 'event_id // 50')} AS item_pos FROM events
-UNION ALL SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR), 'channels', TIMESTAMP '2024-02-01 00:00:00',
+  max(ts) OVER (PARTITION BY event_id // 50) AS received_at, CAST(event_id // 50 AS BIGINT) AS page_no, {_pos('event_id', 'event_id // 50')} AS item_pos FROM events
+UNION ALL SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR), 'channels', TIMESTAMP '2024-02-01 00:00:00', c_custkey // 50,
   {_pos('c_custkey', 'c_custkey // 50')} FROM customer
-UNION ALL SELECT 'run-' || CAST(conv_id // 500 AS VARCHAR), 'commentThreads', TIMESTAMP '2024-02-01 00:00:00',
+UNION ALL SELECT 'run-' || CAST(conv_id // 500 AS VARCHAR), 'commentThreads', TIMESTAMP '2024-02-01 00:00:00', conv_id // 50,
   {_pos('conv_id', 'conv_id // 50')} FROM conversations WHERE turn = 0
-UNION ALL SELECT 'run-' || CAST((conv_id * 8 + turn) // 500 AS VARCHAR), 'comments', TIMESTAMP '2024-02-01 00:00:00',
+UNION ALL SELECT 'run-' || CAST((conv_id * 8 + turn) // 500 AS VARCHAR), 'comments', TIMESTAMP '2024-02-01 00:00:00', (conv_id * 8 + turn) // 50,
   {_pos('conv_id * 8 + turn', '(conv_id * 8 + turn) // 50')} FROM conversations WHERE turn > 0
 UNION ALL SELECT 'run-' || CAST(o_orderkey // 500 AS VARCHAR), 'playlistItems',
-  max(o_orderdate) OVER (PARTITION BY o_orderkey // 50), {_pos('o_orderkey', 'o_orderkey // 50')} FROM orders"""
+  max(o_orderdate) OVER (PARTITION BY o_orderkey // 50), o_orderkey // 50, {_pos('o_orderkey', 'o_orderkey // 50')} FROM orders"""
 
 
 def _all_pages(spark, d):
@@ -840,6 +855,12 @@ def q_raw_pack(spark, d):
                     F.size(F.from_json("response_json", N.PAGE_SCHEMA)["items"]).cast("bigint").alias("n_items"))
 
 
+@register("inspect_raw", PACK_SQL)
+def q_inspect_raw(spark, d):
+    """The stored pages with their request, and how many items each holds."""
+    return q_raw_pack(spark, d)
+
+
 @register("raw_append", """SELECT ingestion_id, resource, received_at, n_items FROM (""" + PACK_SQL + """) v
 UNION ALL SELECT 'run-' || CAST(c_custkey // 500 AS VARCHAR), 'channels', TIMESTAMP '2024-02-01 00:00:00', count(*)
 FROM customer GROUP BY c_custkey // 50, c_custkey // 500""")
@@ -1015,6 +1036,76 @@ def q_apply_replies(spark, d):
     return out["replies"]
 
 
+@register("apply_replies_repeated", _upsert_sql("replies", "nr", "comment_id", _RP_COLS),
+          [("cr", CONV_RUNS_SQL), ("nr", NEW_REPLIES_SQL)])
+def q_apply_replies_repeated(spark, d):
+    """Every page was stored by an earlier attempt too: the cap counts children, not copies."""
+    t = _std_tables(spark, d)
+    raw = RP.run_reply_pages(spark, d, "1995-01-01 00:00:00").unionByName(RP.run_reply_pages(spark, d, QUEUE_AS_OF))
+    out, _ = IG.apply_replies(t, raw, QUEUE_AS_OF, _all_pairs(t), max_replies_per_comment=5)
+    return out["replies"]
+
+
+CAP = 3
+CAPPED_SQL = f"""SELECT * FROM handoff WHERE ingestion_id NOT IN (SELECT ingestion_id FROM okp)
+UNION ALL SELECT r.ingestion_id, r.video AS video_id, CAST(r.conv_id AS VARCHAR) || '-' || CAST(r.turn AS VARCHAR) AS comment_id
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ingestion_id, video ORDER BY turn) AS rn FROM cr) r
+JOIN okp ON r.ingestion_id = okp.ingestion_id AND r.video = okp.video_id WHERE r.rn <= {CAP}"""
+
+
+@register("apply_comments_capped", CAPPED_SQL, [("cr", CONV_RUNS_SQL), ("okp", OK_PAIRS_SQL)])
+def q_apply_comments_capped(spark, d):
+    """Each turn is a thread, two to a page, and an earlier attempt stored the
+    first page of each run: the cap binds across pages and repeats."""
+    t = _std_tables(spark, d)
+    raw = RP.run_turn_pages(spark, d, QUEUE_AS_OF, 2)
+    early = RP.run_turn_pages(spark, d, "1995-01-01 00:00:00", 2).where("page_no = 0")
+    out, _ = IG.apply_comments(t, raw.unionByName(early), QUEUE_AS_OF, _all_pairs(t), max_comments_per_video=CAP)
+    return out["ingestion_comments"]
+
+
+FIRST_FAILURE_SQL = """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY video_id ORDER BY ts, attempt_id) AS rn
+  FROM classified WHERE event_type = 'error') x WHERE rn = 1"""
+_OUT = [f.name for f in S.INGESTION_STEP_OUTCOMES.fields]
+
+
+def _failed_step_sql(step: str, pairs: str, disabled: str) -> str:
+    ok = "f.category IS NULL" + (" OR f.category = 'COMMENTS_DISABLED'" if disabled == "ok" else "")
+    return f"""SELECT p.ingestion_id, p.video_id, '{step}' AS step, CASE WHEN {ok} THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  TIMESTAMP '{QUEUE_AS_OF}' AS completed_at, CASE WHEN NOT ({ok}) THEN f.message END AS error_message
+FROM ({pairs}) p LEFT JOIN ff f ON p.video_id = f.video_id"""
+
+
+def _failures(spark, d, t):
+    fails = SI.request_failures(spark, d).where(F.col("event_type") == "error")
+    return fails.join(_all_pairs(t), "video_id").select("ingestion_id", "video_id", "ts", "attempt_id", "status_code", "body")
+
+
+def _outcomes_of(t, out, before: str, step: str):
+    """Outcomes of ``step`` for the pairs whose step ``before`` succeeded."""
+    ok = t["ingestion_step_outcomes"].where((F.col("step") == before) & (F.col("status") == S.ST_SUCCESS))
+    return out["ingestion_step_outcomes"].where(F.col("step") == step).join(
+        ok.select("ingestion_id", "video_id"), ["ingestion_id", "video_id"], "left_semi").select(*_OUT)
+
+
+@register("apply_comments_failures", _failed_step_sql("fetch_comments", "SELECT * FROM okp", "ok"),
+          [("okp", OK_PAIRS_SQL), ("ff", FIRST_FAILURE_SQL)])
+def q_apply_comments_failures(spark, d):
+    t = _std_tables(spark, d)
+    out, _ = IG.apply_comments(t, RP.run_thread_pages(spark, d, QUEUE_AS_OF), QUEUE_AS_OF, _all_pairs(t), 20, _failures(spark, d, t))
+    return _outcomes_of(t, out, "fetch_videos", "fetch_comments")
+
+
+OK_COMMENTS_SQL = """SELECT DISTINCT ingestion_id, video_id FROM outcomes WHERE step = 'fetch_comments' AND status = 'SUCCESS'"""
+
+
+@register("apply_replies_failures", _failed_step_sql("fetch_replies", OK_COMMENTS_SQL, "failed"), [("ff", FIRST_FAILURE_SQL)])
+def q_apply_replies_failures(spark, d):
+    t = _std_tables(spark, d)
+    out, _ = IG.apply_replies(t, RP.run_reply_pages(spark, d, QUEUE_AS_OF), QUEUE_AS_OF, _all_pairs(t), 5, _failures(spark, d, t))
+    return _outcomes_of(t, out, "fetch_comments", "fetch_replies")
+
+
 @register("step_counts", """SELECT ingestion_id, CASE resource WHEN 'videos' THEN 'fetch_videos'
   WHEN 'channels' THEN 'fetch_channels' WHEN 'commentThreads' THEN 'fetch_comments' WHEN 'comments' THEN 'fetch_replies'
   ELSE 'list_uploads' END AS step, count(*) AS n_rows

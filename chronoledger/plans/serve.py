@@ -2,8 +2,8 @@
 
 Each function returns a lazy DataFrame; ``as_of`` is always a parameter (the
 job edge passes the current time), never ``current_timestamp()`` inside.
-Dimension lookups (videos, channels) are broadcast only after a bounded
-row-count check; above the bound Spark plans a shuffle join instead.
+Dimension lookups (videos, channels) are plain joins: adaptive execution
+broadcasts a side whose real size allows it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoledger.operators.dedupe import latest_per_key
-from chronoledger.operators.sizing import broadcast_if_small
 from chronoledger.operators.timeseries import (calendar_spine, expand_spans, last_at_or_before, locf_spans,
                                                locf_spans_from_rollup, total_by_day_from_spans)
 
@@ -41,8 +40,8 @@ def view_targets(targets: DataFrame, state: DataFrame) -> DataFrame:
 
 def view_video_metrics(snapshots: DataFrame, videos: DataFrame) -> DataFrame:
     """Video snapshots decorated with the *current* video row (left join)."""
-    dim = broadcast_if_small(videos.select(
-        "video_id", F.col("title").alias("video_title"), "channel_id", "channel_title"))
+    dim = videos.select(
+        "video_id", F.col("title").alias("video_title"), "channel_id", "channel_title")
     return snapshots.join(dim, "video_id", "left").select(
         "video_id", "video_title", "channel_id", "channel_title", "collected_at",
         "view_count", "like_count", "comment_count", "ingestion_id")
@@ -50,7 +49,7 @@ def view_video_metrics(snapshots: DataFrame, videos: DataFrame) -> DataFrame:
 
 def view_channel_metrics(snapshots: DataFrame, channels: DataFrame) -> DataFrame:
     """Channel snapshots decorated with the current channel title."""
-    dim = broadcast_if_small(channels.select("channel_id", F.col("title").alias("channel_title")))
+    dim = channels.select("channel_id", F.col("title").alias("channel_title"))
     return snapshots.join(dim, "channel_id", "left").select(
         "channel_id", "channel_title", "collected_at", "view_count", "subscriber_count",
         "video_count", "ingestion_id")
@@ -64,9 +63,8 @@ def active_ids(targets: DataFrame) -> DataFrame:
 
 def active_keys(targets: DataFrame) -> DataFrame:
     """Ids of active targets, for semi joins (which need no DISTINCT: the
-    probe keeps a row once whatever the number of matches); broadcast after
-    a bounded row count, else left to a shuffle join."""
-    return broadcast_if_small(targets.where(F.col("is_active")).select("video_id"))
+    probe keeps a row once whatever the number of matches)."""
+    return targets.where(F.col("is_active")).select("video_id")
 
 
 def kpi_targets(targets: DataFrame, state: DataFrame) -> DataFrame:
@@ -102,8 +100,8 @@ def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_
     spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
                        require_not_null="view_count", name="collected_date")
     # titles are decorated per span (before the days are expanded)
-    dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
-                                           "channel_title"))
+    dim = videos.select("video_id", F.col("title").alias("video_title"),
+                                           "channel_title")
     t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
     return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
 
@@ -116,8 +114,8 @@ def video_trend_from_rollup(targets: DataFrame, rollup: DataFrame, videos: DataF
     r = rollup.join(active_keys(targets), "video_id", "left_semi")
     spans = locf_spans_from_rollup(r, "video_id", as_of, days, require_not_null="view_count",
                                    name="collected_date")
-    dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
-                                           "channel_title"))
+    dim = videos.select("video_id", F.col("title").alias("video_title"),
+                                           "channel_title")
     t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
     return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
 
@@ -125,7 +123,7 @@ def video_trend_from_rollup(targets: DataFrame, rollup: DataFrame, videos: DataF
 def active_channels(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
     """DISTINCT current channels of active videos that have snapshots."""
     seen = snapshots.select("video_id").distinct().join(active_keys(targets), "video_id", "left_semi")
-    dim = broadcast_if_small(videos.select("video_id", "channel_id"))
+    dim = videos.select("video_id", "channel_id")
     return seen.join(dim, "video_id", "left").select("channel_id").distinct()
 
 
@@ -139,7 +137,7 @@ def channel_trend(targets: DataFrame, video_snapshots: DataFrame, videos: DataFr
     metrics = ["subscriber_count", "video_count"]
     spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
                        require_not_null="subscriber_count", name="collected_date")
-    dim = broadcast_if_small(channels.select("channel_id", F.col("title").alias("channel_title")))
+    dim = channels.select("channel_id", F.col("title").alias("channel_title"))
     t = expand_spans(spans.join(dim, "channel_id", "left"), metrics, "collected_date")
     return t.select("channel_id", "channel_title", "collected_date", *metrics)
 
@@ -148,8 +146,8 @@ def latest_videos(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -
     """Latest snapshot per active video (ties broken by run id), most viewed first."""
     obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
     last = latest_per_key(obs, "video_id", ["collected_at", "ingestion_id"])
-    dim = broadcast_if_small(videos.select("video_id", F.col("title").alias("video_title"),
-                                           "channel_title"))
+    dim = videos.select("video_id", F.col("title").alias("video_title"),
+                                           "channel_title")
     return (last.join(dim, "video_id", "left")
             .select("video_id", "video_title", "channel_title", "collected_at",
                     "view_count", "like_count", "comment_count")
@@ -161,19 +159,13 @@ def latest_by_group(snapshots: DataFrame, key: str = "video_id") -> DataFrame:
     return latest_per_key(snapshots, key, ["collected_at", "ingestion_id"])
 
 
-def total_by_day(trend: DataFrame, metric: str, alias: str, day: str = "collected_date") -> DataFrame:
-    """Sum of a carried metric over entities, per calendar day (over an
-    already expanded trend)."""
-    return trend.groupBy(day).agg(F.sum(metric).cast("bigint").alias(alias))
-
-
 def views_total_by_day(targets: DataFrame, snapshots: DataFrame, as_of, days: int = 90) -> DataFrame:
     """Total views of active videos per day, from the trend's LOCF spans
     (no per-(video, day) rows are materialised)."""
     obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
     spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], ["view_count"], as_of, days,
                        require_not_null="view_count", name="collected_date")
-    return total_by_day_from_spans(spans, "view_count", "total_views", "collected_date")
+    return total_by_day_from_spans(spans, "view_count", "total_views", "collected_date").orderBy("collected_date")
 
 
 def subscribers_total_by_day(targets: DataFrame, video_snapshots: DataFrame, videos: DataFrame,
@@ -183,7 +175,7 @@ def subscribers_total_by_day(targets: DataFrame, video_snapshots: DataFrame, vid
     obs = channel_snapshots.join(act, "channel_id", "left_semi")
     spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], ["subscriber_count"], as_of, days,
                        require_not_null="subscriber_count", name="collected_date")
-    return total_by_day_from_spans(spans, "subscriber_count", "total_subscribers", "collected_date")
+    return total_by_day_from_spans(spans, "subscriber_count", "total_subscribers", "collected_date").orderBy("collected_date")
 
 
 def video_calendar_spine(targets: DataFrame, as_of, days: int = 90) -> DataFrame:

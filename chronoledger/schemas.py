@@ -34,6 +34,8 @@ ST_PROCESSING, ST_SUCCESS, ST_FAILED, ST_NOT_FOUND = "PROCESSING", "SUCCESS", "F
 MSG_STEP_NOT_DONE = "etapa não concluída"
 MSG_VIDEO_NOT_FOUND = "Vídeo não encontrado ou não está acessível"
 MSG_CHANNEL_NOT_RETURNED = "Canal do vídeo não foi retornado pela API"
+MSG_HTTP_ERROR = "Erro HTTP "
+MSG_NETWORK_ERROR = "Falha transitória ao acessar a API do YouTube: "
 # Source label of a run opened by the claim step.
 RUN_SOURCE_LABEL = "control.video_targets"
 # API error categories.
@@ -108,6 +110,7 @@ API_RESPONSES = StructType([
     _f("request_params_json", StringType(), False),
     _f("response_json", StringType(), False),
     _f("received_at", TS, False),
+    _f("page_no", LongType(), True),
 ])
 
 CHANNELS = StructType([

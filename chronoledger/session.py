@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,9 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # No broadcast from static size *estimates*: joins broadcast either after
-    # an explicit bounded row count (operators.sizing) or when AQE sees the
-    # actual materialised size of a side at runtime.
+    # No broadcast from static size *estimates*: a side is broadcast if it is
+    # bounded by construction, or when AQE sees its real size at run time.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.ui.enabled": "false",
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="chronoledger-ckpt-")
     spark.sparkContext.setCheckpointDir(current)
     return current

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoledger.operators.normalize import pack_pages
-from chronoledger.operators.sizing import broadcast_if_small
 from chronoledger.sources.tables import load
 
 PAGE = 50
@@ -144,7 +143,7 @@ def _ts(v: str) -> Column:
 def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: str) -> DataFrame:
     """Video pages per run for its owned targets; customers with a negative
     balance stand in for videos the API no longer returns."""
-    c = broadcast_if_small(load(spark, d, "customer").where("c_acctbal >= 0"))
+    c = load(spark, d, "customer").where("c_acctbal >= 0")
     j = owned.select("ingestion_id", "video_id").join(
         c, owned.video_id == c.c_custkey.cast("string"), "inner")
     items = j.selectExpr(
@@ -168,7 +167,7 @@ def owned_video_pages(spark: SparkSession, d: str, owned: DataFrame, received: s
 def run_channel_pages(spark: SparkSession, d: str, video_channels: DataFrame, received: str) -> DataFrame:
     """Channel pages per run for the channels its videos reference; channels
     of region 0 stand in for channels the API did not return."""
-    n = broadcast_if_small(load(spark, d, "nation").where("n_regionkey <> 0"))
+    n = load(spark, d, "nation").where("n_regionkey <> 0")
     req = video_channels.select("ingestion_id", "channel_id").distinct()
     j = req.join(n, req.channel_id == n.n_nationkey.cast("string"), "inner")
     items = j.selectExpr(
@@ -196,7 +195,7 @@ def _paged(items: DataFrame) -> DataFrame:
 
 def _conv_runs(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "conversations")
-    o = broadcast_if_small(load(spark, d, "orders").select("o_orderkey", "o_custkey"))
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
     return c.join(o, c.conv_id == o.o_orderkey, "inner").selectExpr(
         "conv_id", "turn", "role", "text", "CAST(o_orderkey AS STRING) AS ingestion_id",
         "CAST(o_custkey AS STRING) AS video")
@@ -230,3 +229,16 @@ def run_reply_pages(spark: SparkSession, d: str, received: str) -> DataFrame:
                           'textDisplay', text, 'likeCount', CAST(turn AS BIGINT))) AS __item""",
         "concat(CAST(conv_id AS STRING), '-0') AS __id", f"TIMESTAMP_NTZ '{received}' AS __received")
     return pack_pages(_paged(items), ["ingestion_id", "__page"], "comments", "snippet", F.col("ingestion_id"))
+
+
+def run_turn_pages(spark: SparkSession, d: str, received: str, size: int) -> DataFrame:
+    """Comment-thread pages with a thread for each turn, ``size`` to a page,
+    numbered within their run (an order's id is a run's id)."""
+    items = _conv_runs(spark, d).selectExpr(
+        "ingestion_id", "turn AS __order",
+        """named_struct('id', concat('t', CAST(conv_id AS STRING), '-', CAST(turn AS STRING)),
+  'snippet', named_struct('totalReplyCount', 0L,
+     'topLevelComment', named_struct('id', concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)),
+        'snippet', named_struct('videoId', video, 'authorDisplayName', role, 'textDisplay', text)))) AS __item""",
+        "video AS __id", f"TIMESTAMP_NTZ '{received}' AS __received", f"CAST(floor(turn / {int(size)}) AS BIGINT) AS __page")
+    return pack_pages(items, ["ingestion_id", "__page"], "commentThreads", "snippet,replies", F.col("ingestion_id"))

@@ -14,7 +14,6 @@ published files, not the chain of joins that produced them.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -188,19 +187,6 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-_LOADED: dict[tuple[int, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver test-data table (one parquet file per table).
-
-    The input files are immutable, so the resolved relation (file listing and
-    schema) is reused within a session instead of being resolved again for
-    every stand-in built on it."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = _LOADED.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _LOADED[key] = df
-    return df
+    """A driver test-data table (one parquet file or folder per table)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -35,14 +35,18 @@ def raw_stream(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def merge_batch(store, batch: DataFrame, resource: str) -> int | None:
-    """Normalise one micro-batch of pages and upsert it into its table."""
+    """Normalise one micro-batch of pages and upsert it into its table; no
+    pages, no new version. Rows are stamped with their page's receive time,
+    and a page that arrives late does not replace what is newer."""
     layer, table, key, normalizer = _ENTITY[resource]
-    items = normalizer(batch.where(F.col("resource") == resource))
+    pages = batch.where(F.col("resource") == resource)
+    if pages.isEmpty():
+        return None
+    items = normalizer(pages)
     cols = [f.name for f in S.TABLES[(layer, table)].fields if f.name != "ingested_at"]
-    latest = latest_per_key(items, key, ["received_at", "ingestion_id", "item_pos"]).select(*cols)
-    # job edge: the batch's processing time stamps ingested_at
-    latest = latest.withColumn("ingested_at", F.localtimestamp())
-    merged = M.upsert(store.read(layer, table), latest, key)
+    latest = latest_per_key(items, key, ["received_at", "ingestion_id", "page_no", "item_pos"])
+    latest = latest.select(*cols, F.col("received_at").alias("ingested_at"))
+    merged = M.upsert(store.read(layer, table), latest, key, matched_condition="s.ingested_at >= t.ingested_at")
     return store.publish(layer, table, merged)
 
 

@@ -12,7 +12,7 @@ RAW = S.API_RESPONSES
 
 
 def page(run, resource, items, at):
-    return (run, resource, json.dumps({"part": "snippet"}), json.dumps({"items": items}), at)
+    return (run, resource, json.dumps({"part": "snippet"}), json.dumps({"items": items}), at, 0)
 
 
 def video(vid, ch, views):
@@ -72,6 +72,102 @@ def test_two_runs(spark):
     assert len(store.versions("control", "video_processing_state")) >= 4
 
 
+def _store(spark, videos):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-store-"))
+    store.create_all()
+    t0 = dt.datetime(2024, 1, 1)
+    store.publish("control", "video_targets", spark.createDataFrame([(v, True, 1, 1, t0, t0) for v in videos], S.VIDEO_TARGETS))
+
+    def load():
+        return {t: store.read(layer, t) for (layer, t) in S.TABLES if t != "api_responses"}
+    return store, load
+
+
+def _owned(spark, tables, run):
+    from chronoledger.operators.queue import owned_targets
+    return owned_targets(tables["video_targets"], tables["video_processing_state"], spark.createDataFrame([(run,)], "ingestion_id string"))
+
+
+def test_finalise_is_safe_to_repeat(spark, monkeypatch):
+    """Stopped after any of its publishes and started again, it closes run and targets."""
+    at = "2024-01-01 00:00:00"
+    for stop_after in ("ingestion_comments", "ingestion_runs", "video_processing_state"):
+        store, load = _store(spark, ("v1", "v2", "v3"))
+        real = TableStore.publish
+        armed = []
+
+        def publish(self, layer, table, df):
+            n = real(self, layer, table, df)
+            if armed and table == stop_after:
+                raise RuntimeError("stopped")
+            return n
+        monkeypatch.setattr(TableStore, "publish", publish)
+        original = IG.finalize
+
+        def arm(*a, **kw):
+            armed.append(1)
+            return original(*a, **kw)
+        monkeypatch.setattr(IG, "finalize", arm)
+        try:
+            IG.run_ingestion(load(), raw_for(spark, "run1", dt.datetime(2024, 1, 1), 100), "run1", at, batch_size=10, store=store)
+            raise AssertionError("it was not stopped")
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(IG, "finalize", original)
+        monkeypatch.setattr(TableStore, "publish", real)
+        tables = load()
+        new, _ = IG.finalize(tables, at, _owned(spark, tables, "run1"))
+        IG._cut(new, {k for k in new if new[k] is not tables.get(k)}, store)
+        run = store.read("control", "ingestion_runs").collect()[0]
+        assert run.status == "PARTIAL_SUCCESS" and run.ended_at is not None, stop_after
+        assert {r.video_id: r.status for r in store.read("control", "video_processing_state").collect()} == {
+            "v1": "SUCCESS", "v2": "FAILED", "v3": "NOT_FOUND"}
+        assert store.read("control", "ingestion_comments").count() == 0
+
+
+def test_failed_requests_fail_their_videos(spark):
+    store, load = _store(spark, ("v1", "v2"))
+    t0 = dt.datetime(2024, 1, 1)
+    bad = spark.createDataFrame([("run1", "v1", t0, 1, 500, "down")], IG.FAILURE)
+    off = spark.createDataFrame([("run1", "v1", t0, 1, 403, '{"error":{"reason":"commentsDisabled"}}')], IG.FAILURE)
+    IG.run_ingestion(load(), raw_for(spark, "run1", t0, 5), "run1", "2024-01-01 00:00:00", 10, store=store, comment_failures=off, reply_failures=off)
+    steps = {(r.video_id, r.step): r for r in store.read("control", "ingestion_step_outcomes").collect()}
+    assert steps["v1", "fetch_comments"].status == "SUCCESS"
+    assert steps["v1", "fetch_replies"].status == "FAILED" and steps["v1", "fetch_replies"].error_message.endswith('{"error":{"reason":"commentsDisabled"}}')
+    IG.run_ingestion(load(), raw_for(spark, "run2", t0, 5).where("resource <> 'commentThreads'"), "run2", "2024-01-01 03:00:00", 10, store=store,
+                     comment_failures=bad.selectExpr("'run2' AS ingestion_id", "video_id", "ts", "attempt_id", "status_code", "body"))
+    steps = {(r.video_id, r.step): r for r in store.read("control", "ingestion_step_outcomes").where("ingestion_id = 'run2'").collect()}
+    assert steps["v1", "fetch_comments"].status == "FAILED" and steps["v1", "fetch_comments"].error_message.endswith("500: down")
+
+
+def test_caps_count_children_once_and_in_page_order(spark):
+    t0 = dt.datetime(2024, 1, 1)
+
+    def thread(c):
+        return {"id": f"t{c}", "snippet": {"topLevelComment": {"id": f"c{c:02d}", "snippet": {"videoId": "v1"}}}}
+
+    def pages(at, *lists):
+        return [("run1", "commentThreads", "{}", json.dumps({"items": [thread(c) for c in cs]}), at, p) for p, cs in enumerate(lists)]
+    later = t0 + dt.timedelta(minutes=5)
+    for rows, cap, want in (
+            (pages(t0, [0, 1, 2]) + pages(later, [0, 1, 2, 3, 4, 5]), 5, [0, 1, 2, 3, 4]),
+            (pages(t0, [0, 1, 2], [3, 4, 5]), 4, [0, 1, 2, 3]),
+            (pages(t0, [0, 1], [2, 3]) + pages(t0, [0, 1], [2, 3]), 3, [0, 1, 2])):
+        store, load = _store(spark, ("v1",))
+        raw = raw_for(spark, "run1", t0, 1).where("resource IN ('videos', 'channels')").unionByName(spark.createDataFrame(rows, RAW))
+        IG.run_ingestion(load(), raw, "run1", "2024-01-01 00:00:00", 10, max_comments_per_video=cap, store=store)
+        assert sorted(r.comment_id for r in store.read("silver", "comments").collect()) == [f"c{c:02d}" for c in want]
+
+
+def test_nothing_due_writes_no_more(spark):
+    store, load = _store(spark, ())
+    before = {t: store.versions(layer, t) for (layer, t) in S.TABLES}
+    IG.run_ingestion(load(), raw_for(spark, "run1", dt.datetime(2024, 1, 1), 1), "run1", "2024-01-01 00:00:00", 10, store=store)
+    after = {t: store.versions(layer, t) for (layer, t) in S.TABLES}
+    assert {t for t in before if before[t] != after[t]} == {"ingestion_runs"}
+    assert store.read("control", "ingestion_runs").collect()[0].status == "SUCCESS"
+
+
 def test_nothing_due_closes_run(spark):
     t0 = dt.datetime(2024, 1, 1)
     empty = {t: spark.createDataFrame([], sch) for (_, t), sch in S.TABLES.items()}

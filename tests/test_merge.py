@@ -110,12 +110,11 @@ def test_insert_only_never_changes_existing(spark, tgt, src):
     assert set(out) == {k for k, _ in tgt} | {k for k, _ in src}
 
 
-def test_fluent_merge_into(spark):
-    t = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], SCHEMA)
-    s = spark.createDataFrame([("a", 10, "new"), ("c", 3, "skip"), ("d", 4, "keep")], SCHEMA)
-    for strategy in ("broadcast", "shuffle"):
-        out = (M.merge_into(t, s, "k")
-               .whenMatched("s.v > t.v").update({"v": "s.v"})
-               .whenNotMatched("s.note <> 'skip'").insertAll()
-               .merge(strategy=strategy))
-        assert rows(out) == [("a", 10, "x"), ("b", 2, "y"), ("d", 4, "keep")]
+def test_repeated_source_keys_fail_when_asked(spark):
+    import pytest
+
+    t = spark.createDataFrame([("a", 1, "x")], SCHEMA)
+    s = spark.createDataFrame([("a", 2, "y"), ("a", 3, "z"), (None, 1, "n"), (None, 2, "n")], SCHEMA)
+    with pytest.raises(Exception, match="repeats a key"):
+        M.upsert(t, s, "k", check_keys=True).collect()
+    assert M.upsert(t, s.where("v <> 3"), "k", check_keys=True).count() == 3

@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from chronoledger import schemas as S
 from chronoledger.functions.columns import strip_handle
 from chronoledger.functions.errors import classify_error
 from chronoledger.operators import normalize as N
@@ -29,10 +30,19 @@ def test_video_defaults_and_paging(spark):
     assert v[1].view_count == 0 and v[1].tags == [] and v[1].comment_count is None
 
 
-def test_sparse_thread(spark):
-    pages = [{"items": [{"snippet": {"topLevelComment": {"id": "c1"}}}]}]
-    c = N.normalize_comments(raw_rows(spark, "commentThreads", pages)).collect()[0]
-    assert c.comment_id == "c1" and c.parent_id is None and c.like_count == 0 and c.reply_count == 0
+def test_threads_without_most_fields(spark):
+    pages = [{"items": [{"id": "t9", "snippet": {"totalReplyCount": 4, "topLevelComment": {"snippet": {"likeCount": 2}}}},
+                        {"snippet": {"topLevelComment": {"id": "lone"}}}, {}]}]
+    rows = N.normalize_comments(raw_rows(spark, "commentThreads", pages)).orderBy("item_pos").collect()
+    assert [(r.thread_id, r.comment_id, r.like_count, r.reply_count) for r in rows] == [
+        ("t9", None, 2, 4), (None, "lone", 0, 0), (None, None, 0, 0)]
+
+
+def test_items_keep_page_and_place(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("r1", "comments", "{}", json.dumps({"items": [{"id": f"{p}{i}"} for i in range(2)]}), t, p) for p in (1, 0)]
+    raw = spark.createDataFrame(rows, RAW + ", page_no bigint")
+    assert [r.comment_id for r in N.normalize_replies(raw).orderBy("page_no", "item_pos").collect()] == ["00", "01", "10", "11"]
 
 
 def test_channel_hidden_subscribers(spark):
@@ -71,10 +81,18 @@ def test_error_classes(spark):
         assert msg.startswith(f"[{cat}] ")
 
 
-def test_bounded_prefix(spark):
-    df = spark.createDataFrame([("p", 1, "one"), ("p", 2, "two")], "g string, o int, v string")
-    assert [r.v for r in bounded_per_group(df, "g", ["o"], 0).orderBy("o").collect()] == ["one", "two"]
-    assert [r.v for r in bounded_per_group(df, "g", ["o"], 1).collect()] == ["one"]
+def test_error_texts(spark):
+    df = spark.createDataFrame([(500, "down"), (None, "timed out"), (404, None)], "status int, body string")
+    got = [r.m for r in df.select(classify_error("status", "body")["message"].alias("m")).collect()]
+    assert got == [f"[TRANSIENT_SERVER] {S.MSG_HTTP_ERROR}500: down", f"[TRANSIENT_NETWORK] {S.MSG_NETWORK_ERROR}timed out",
+                   f"[NOT_FOUND] {S.MSG_HTTP_ERROR}404: "]
+
+
+def test_prefix_of_each_group(spark):
+    df = spark.createDataFrame([(g, o) for g in "xyz" for o in range(ord(g) - ord("w"))], "g string, o int")
+    for n, want in ((0, 6), (1, 3), (2, 5), (9, 6)):
+        rows = bounded_per_group(df, "g", ["o"], n).collect()
+        assert len(rows) == want and all(r.o < (n or 9) for r in rows)
 
 
 def test_handle(spark):

@@ -30,11 +30,12 @@ def test_rollup_cases(spark):
 
 
 def test_found_and_parent_outcomes(spark):
-    req = spark.createDataFrame([("r", "video-1"), ("r", "missing")], "ingestion_id string, video_id string")
-    ret = spark.createDataFrame([("r", "video-1")], "ingestion_id string, video_id string")
-    got = {r.video_id: (r.status, r.error_message) for r in
+    req = spark.createDataFrame([("r", "v77"), ("r", "v78"), ("s", "v77")], "ingestion_id string, video_id string")
+    ret = spark.createDataFrame([("r", "v77"), ("r", "v77"), ("r", "other")], "ingestion_id string, video_id string")
+    got = {(r.ingestion_id, r.video_id): (r.status, r.error_message) for r in
            OC.found_outcomes(req, ret, "video_id", "fetch_videos", "NOT_FOUND", S.MSG_VIDEO_NOT_FOUND).collect()}
-    assert got == {"video-1": ("SUCCESS", None), "missing": ("NOT_FOUND", S.MSG_VIDEO_NOT_FOUND)}
+    assert got == {("r", "v77"): ("SUCCESS", None), ("r", "v78"): ("NOT_FOUND", S.MSG_VIDEO_NOT_FOUND),
+                   ("s", "v77"): ("NOT_FOUND", S.MSG_VIDEO_NOT_FOUND)}
     vc = spark.createDataFrame([("r", "v1", "c1"), ("r", "v2", None), ("r", "v3", "c3")],
                                "ingestion_id string, video_id string, channel_id string")
     back = spark.createDataFrame([("r", "c1")], "ingestion_id string, channel_id string")

@@ -88,7 +88,7 @@ def test_claim_and_finish_merges(spark):
 
 def test_request_batches_51(spark):
     ids = spark.createDataFrame([(f"id{i:03d}",) for i in range(51)], "video_id string")
-    b = Q.request_batches(ids, "video_id", 50, buckets=1).collect()
+    b = Q.request_batches(ids, "video_id", F.lit(0), 50).collect()
     assert sorted(r.n_ids for r in b) == [1, 50]
     assert sum(len(r.ids.split(",")) for r in b) == 51
 

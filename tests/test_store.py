@@ -36,7 +36,7 @@ def test_not_null_enforced_on_publish(spark):
 def test_raw_partitioned_by_resource(spark):
     store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"))
     t = dt.datetime(2024, 1, 1)
-    raw = spark.createDataFrame([("r", "videos", "{}", "{}", t), ("r", "channels", "{}", "{}", t)],
+    raw = spark.createDataFrame([("r", "videos", "{}", "{}", t, 0), ("r", "channels", "{}", "{}", t, 0)],
                                 S.API_RESPONSES)
     store.append("raw", "api_responses", raw)
     store.append("raw", "api_responses", raw)
@@ -94,9 +94,8 @@ def test_empty_batches_are_noops(spark):
 def test_snapshot_projection(spark):
     from chronoledger.operators.snapshots import snapshot_rows
 
-    cur = spark.createDataFrame([("video-1", "title", 10, 2, 1), ("", "blank", 1, 1, 1)],
+    cur = spark.createDataFrame([("k7Q", "a title", 420, 37, 5), ("", "no id", 3, 2, 1), (None, "none", 3, 2, 1), ("k7Q2", "gaps", None, None, 0)],
                                 "video_id string, title string, view_count bigint, like_count bigint, comment_count bigint")
-    rows = snapshot_rows(cur, "videos", "run-1", "2024-01-01 00:00:00").collect()
-    assert [r.asDict() for r in rows] == [{"video_id": "video-1", "ingestion_id": "run-1",
-                                           "collected_at": dt.datetime(2024, 1, 1), "view_count": 10,
-                                           "like_count": 2, "comment_count": 1}]
+    rows = snapshot_rows(cur, "videos", "night-4", "2023-11-05 06:30:00").collect()
+    at = dt.datetime(2023, 11, 5, 6, 30)
+    assert sorted(tuple(r) for r in rows) == [("k7Q", "night-4", at, 420, 37, 5), ("k7Q2", "night-4", at, None, None, 0)]

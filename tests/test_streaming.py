@@ -17,14 +17,24 @@ def test_foreach_batch_upsert(spark):
     raw_dir = os.path.join(root, "raw")
     t = dt.datetime(2024, 1, 1)
     first = [("r1", "videos", "{}", json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "1"}},
-                                                          {"id": "b"}]}), t)]
+                                                          {"id": "b"}]}), t, 0)]
     spark.createDataFrame(first, S.API_RESPONSES).write.partitionBy("resource").mode("append").parquet(raw_dir)
     q = raw_stream.start(spark, raw_dir, store, os.path.join(root, "ckpt"), resources=("videos",))
     q.awaitTermination(120)
     second = [("r2", "videos", "{}", json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "7"}}]}),
-               t + dt.timedelta(hours=1))]
+               t + dt.timedelta(hours=1), 0)]
     spark.createDataFrame(second, S.API_RESPONSES).write.partitionBy("resource").mode("append").parquet(raw_dir)
     q = raw_stream.start(spark, raw_dir, store, os.path.join(root, "ckpt"), resources=("videos",))
     q.awaitTermination(120)
     cur = {r.video_id: r.view_count for r in store.read("silver", "videos").collect()}
     assert cur == {"a": 7, "b": 0}
+    before = store.versions("silver", "channels")
+    # an older page comes late: what is newer stays, what is new is added
+    late = [("r0", "videos", "{}", json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "3"}}, {"id": "c"}]}),
+             t - dt.timedelta(days=1), 0)]
+    spark.createDataFrame(late, S.API_RESPONSES).write.partitionBy("resource").mode("append").parquet(raw_dir)
+    q = raw_stream.start(spark, raw_dir, store, os.path.join(root, "ckpt"))
+    q.awaitTermination(120)
+    cur = {r.video_id: r.view_count for r in store.read("silver", "videos").collect()}
+    assert cur == {"a": 7, "b": 0, "c": 0}
+    assert store.versions("silver", "channels") == before  # no pages, no new version
