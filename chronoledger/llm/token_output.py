@@ -25,8 +25,9 @@ their token ids); an empty table gives no blocks.
 from __future__ import annotations
 
 import re
-import unicodedata
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,71 +39,92 @@ from pyspark.sql import functions as F
 from chronoledger.llm.common import shared_folder, whole_text
 
 LIMIT, STRIDE, BLOCK_IDS = 18, 256, 1 << 17
-CACHED_WORDS = 400_000
+REMEMBERED = 500_000
 PIECE_BYTES = 1 << 21
 WORD_END = "</w>"
-CORE = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+#: Anything but ASCII and the Latin letters of one byte that are composed, or what could begin a special token.
+ODD = re.compile(r"[^\x00-\x7F\xC0-\xD6\xD8-\xF6\xF8-\xFF]|<\|").search
+LATIN = re.compile(r"[a-z\xDF-\xF6\xF8-\xFF]+").fullmatch
+PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^\x20\x09-\x0D0-9a-z\xDF-\xF6\xF8-\xFF]+").findall
+ASCII_SPACE = re.compile(r"[^\x20\x09-\x0D]+").findall
+
+
+class _Known(dict):
+    """Ids by piece of text; pieces not known yet are noted when looked up."""
+
+    def __init__(self, *given):
+        super().__init__(*given)
+        self.new: list = []
+
+    def __missing__(self, piece):
+        self.new.append(piece)
+        self[piece] = b""
+        return b""
 
 
 class Encoder:
     """A tokenizer whose tokens never span white space, called once for each
-    word that is not remembered (the memory is bounded, and only saves time).
-
-    A word of letters and closing marks is the tokens of its letters and
-    those of its marks; new runs of letters are encoded together and told
-    apart by the word-end marks of their last tokens.
+    piece of text that is not remembered (the memory is bounded, and only
+    saves time).
+
+    Texts of ASCII and Latin letters are put in lower case, as the
+    tokenizer does, and cut where it cuts: into runs of letters, digits and
+    marks. New runs of letters are encoded together and told apart by the
+    word-end marks of their last tokens. Other texts are cut at white space.
+    Ids are little-endian, of two bytes where the vocabulary allows.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, i in self.tokenizer.get_vocab().items():
+        vocabulary = self.tokenizer.get_vocab()
+        top = max(vocabulary.values(), default=0)
+        self.dtype = "<u2" if top < 1 << 16 else "<u4"
+        self.last = np.zeros(top + 1, bool)
+        for token, i in vocabulary.items():
             self.last[i] = token.endswith(WORD_END)
+        #: What was seen lately, and what was before it: when there are too many, the older go.
+        self.known, self.older = _Known(), {}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
     def _letters(self, runs: list[str]) -> list[bytes]:
+        """The ids of runs of letters."""
         if not runs:
             return []
-        ids = np.array(self.tokenizer.encode(" ".join(runs), add_special_tokens=False).ids, "<u4")
-        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-        if len(ends) != len(runs) or ends[-1] != len(ids) * 4:
+        found = self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)
+        ids = np.array(found[0].ids, self.dtype)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+        if len(ends) != len(runs) or ends[-1] != ids.nbytes:
             return self._each(runs)
         whole = ids.tobytes()
-        return [whole[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain, other, runs, marks = [], [], set(), set()
-        for word in words:
-            text = word.decode()
-            m = CORE.fullmatch(text)
-            if m and m[1].isalpha() and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-                plain.append((word, m[1], m[2]))
-                runs.add(m[1])
-                marks.add(m[2])
-            else:
-                other.append(word)
-        new = [r for r in runs if r not in self.parts]
-        self.parts.update(zip(new, self._letters(new)))
-        new = [r for r in marks if r not in self.parts]
-        self.parts.update(zip(new, self._each(new)))
-        self.words.update((w, self.parts[a] + self.parts[b]) for w, a, b in plain)
-        self.words.update(zip(other, self._each([w.decode() for w in other])))
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.words) > CACHED_WORDS or len(self.parts) > CACHED_WORDS:
-            self.words, self.parts = {}, {"": b""}
-        split = [t.split() for t in texts]  # of bytes: at ASCII white space
-        self._learn([w for w in set().union(*split) if w not in self.words])
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        ends = ends.tolist()
+        return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self) -> None:
+        """Ids of the pieces noted as new."""
+        new, self.known.new = self.known.new, []
+        known, older = self.known, self.older
+        ids = list(map(older.get, new))
+        known.update(zip(new, ids))
+        left = [x for x, i in zip(new, ids) if i is None]
+        runs = [x for x in left if x.isalpha() and LATIN(x)]
+        known.update(zip(runs, self._letters(runs)))
+        other = [x for x in left if known[x] is None]
+        known.update(zip(other, self._each(other)))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, _Known()
+        cut = [ASCII_SPACE(t) if ODD(t) else PIECES(t.lower()) for t in texts]
+        look = self.known.__getitem__
+        deque(map(look, chain.from_iterable(cut)), maxlen=0)
+        self._learn()
+        return [b"".join(map(look, pieces)) for pieces in cut]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -123,7 +145,7 @@ def _encoder(name: str) -> Encoder:
     return _ENCODERS[name]
 
 
-def _pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _pieces(texts: list) -> Iterator[list]:
     piece, size = [], 0
     for text in texts:
         piece.append(text)
@@ -136,10 +158,10 @@ def _pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): each whole text's ids and the end id, as little-endian
-    unsigned 32-bit integers."""
+    """(doc_id, ids): each whole text's ids and the end id, in the encoder's type."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encode = _encoder(vocabulary)
+        end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
             at = 0
             for piece in _pieces(batch.column("text").to_pylist()):
@@ -147,17 +169,17 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(piece)), ids], ["doc_id", "ids"])
                 at += len(piece)
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
-def id_counts(ids: DataFrame) -> DataFrame:
+def id_counts(ids: DataFrame, dtype: str) -> DataFrame:
     """(id, n) over all documents: each task sends one row for each id it saw."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for piece in _pieces(batch.column("ids").to_pylist()):
-                n = np.bincount(np.frombuffer(b"".join(piece), "<u4"), minlength=len(total))
+                n = np.bincount(np.frombuffer(b"".join(piece), dtype), minlength=len(total))
                 n[:len(total)] += total
                 total = n
         seen = np.flatnonzero(total)
@@ -246,19 +268,20 @@ BLOCK = ("shard int, block int, first_id long, n_ids long, doc_ids array<long>,
          "payload binary, checkpoints array<long>")
 
 
-def _blocks(book: Book):
+def _blocks(book: Book, dtype: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wide = np.dtype(dtype).itemsize
         shard, block, before, docs, texts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def row():
-            payload, checkpoints = book.encode(np.frombuffer(b"".join(texts), "<u4"))
-            return pd.DataFrame([[shard, block, before, held, docs, [len(t) // 4 for t in texts], payload, checkpoints]],
+            payload, checkpoints = book.encode(np.frombuffer(b"".join(texts), dtype))
+            return pd.DataFrame([[shard, block, before, held, docs, [len(t) // wide for t in texts], payload, checkpoints]],
                                 columns=[c.split()[0] for c in BLOCK.split(", ")])
         for batch in batches:
             for doc, ids in zip(batch["doc_id"].tolist(), batch["ids"].tolist()):
                 docs.append(None if doc is None or doc != doc else int(doc))
                 texts.append(ids)
-                held += len(ids) // 4
+                held += len(ids) // wide
                 if held >= BLOCK_IDS:
                     yield row()
                     block, before, docs, texts, held = block + 1, before + held, [], [], 0
@@ -273,13 +296,14 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str, limit: int
     staged = f"{folder}/staged"
     encoded(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(staged)
     ids = spark.read.schema("doc_id long, ids binary").parquet(staged)
-    counts = id_counts(ids).orderBy("id").toPandas()  # at most the vocabulary
+    dtype = _encoder(vocabulary).dtype
+    counts = id_counts(ids, dtype).orderBy("id").toPandas()  # at most the vocabulary
     symbols, lengths = counts["id"].to_numpy(np.int64), code_lengths(counts["n"].to_numpy(np.int64), limit)
     spark.createDataFrame(list(zip(symbols.tolist(), lengths.tolist())), "id long, length int").coalesce(1) \
         .write.parquet(f"{folder}/codebook")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = ids.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInPandas(_blocks(Book(symbols, lengths, limit)), BLOCK) \
+    ordered.mapInPandas(_blocks(Book(symbols, lengths, limit), dtype), BLOCK) \
         .write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
