@@ -15,7 +15,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
 
+from chronoledger.operators import dedupe as D  # noqa: E402
+from chronoledger.operators import merge as M  # noqa: E402
 from chronoledger.plans import registry as R  # noqa: E402
 from chronoledger.plans import serve  # noqa: E402
 from chronoledger.session import build_session  # noqa: E402
@@ -47,6 +50,16 @@ def video_trend_repeated(times: int):
     return run
 
 
+def merge_sweep(percent: int):
+    """An upsert into lineitem of ``percent`` per cent of its keys."""
+    def run(spark, d):
+        keys = ["l_orderkey", "l_linenumber"]
+        rows = D.latest_per_key(load(spark, d, "lineitem").select(*keys, "l_quantity"), keys, ["l_quantity"])
+        changed = rows.where(F.pmod(F.xxhash64(*keys), F.lit(100)) < percent).withColumn("l_quantity", F.col("l_quantity") + 1)
+        return M.upsert(rows, changed, keys)
+    return run
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -56,6 +69,8 @@ def main():
                           extra={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"})
     queries = {name: R.QUERIES[name] for name in HEADLINE}
     queries["video_trend_10x"] = video_trend_repeated(10)
+    for percent in (1, 10, 100):
+        queries[f"merge_sweep_{percent}"] = merge_sweep(percent)
     if only:
         queries = {k: v for k, v in queries.items() if k in only}
     # touch the inputs once so file listing / JIT warm-up is not charged to the first query
