@@ -60,12 +60,16 @@ def _chars(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("bigint"), lambda n, w: n + F.length(w))
 
 
-def _repeat_words(words: Column, n: Column, size: int) -> Column:
+def _repeat_words(words: Column, size: int) -> Column:
     """How many words stand in a window of ``size`` words that occurs twice or more.
 
     Hashes of the windows only tell that a text has no repeated window; the
     other texts are settled by sorting the windows themselves.
     """
+    return let(words, lambda w: _covered(w, F.size(w), size))
+
+
+def _covered(words: Column, n: Column, size: int) -> Column:
     starts = F.sequence(F.lit(0), n - size)
     hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
     differ = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
@@ -101,7 +105,7 @@ def assess(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "word_chars": _chars(F.col("ws")),
         "n_symbols": (F.length("t") - F.length(F.regexp_replace("t", f"{SYMBOLS}+", ""))).cast("bigint"),
         "n_dup_lines": (F.size("full") - F.size(F.array_distinct("full"))).cast("bigint"),
-        "n_repeat_words": _repeat_words(F.col("ws"), F.col("n"), 5),
+        "n_repeat_words": _repeat_words(F.col("ws"), 5),
         "cleaned": F.array_join("left", "\n"),
     })
     rows = rows.withColumns({
