@@ -21,8 +21,9 @@ occurrence of a repeat; all occurrences of a group come out, each as the
 union of its repeats.
 
 Copies: texts that occur twice or more are removed whole if they are long
-enough, and only one of them is searched; equal surroundings of an anchor
-within a batch are sent once. A hash with more than ``max_group`` suffixes is
+enough, and only one of them is searched; equal surroundings of anchors
+within a text (it repeats itself with a period) are one place, and equal
+surroundings within a batch are sent once. A hash with more than ``max_group`` suffixes is
 settled by counting the windows around its anchors, by key, with partial
 sums, so that no task has to hold them all.
 
@@ -88,46 +89,84 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return at, hashes[at].view(np.int64)
 
 
+def _around(text: bytes, at: int, length: int) -> tuple[bytes, bytes]:
+    """The bytes before and after an anchor that windows with it can reach."""
+    return text[max(0, at - length + GRAM):at], text[at:at + length]
+
+
+def _places(text: bytes, length: int) -> list[tuple[int, int, bool]]:
+    """(place, hash, again) of a text's anchors; of those with equal surroundings the first, marked."""
+    at, hashes = anchors(text, length)
+    if len(np.unique(hashes)) == len(hashes):
+        return list(zip(at.tolist(), hashes.tolist(), [False] * len(at)))
+    found: dict[tuple, list] = {}
+    for p, h in zip(at.tolist(), hashes.tolist()):
+        before, after = _around(text, p, length)
+        own = found.setdefault((h, len(before), blake2b(before + after, digest_size=16).digest()), [p, h, False])
+        own[2] = own[0] != p
+    return [tuple(x) for x in found.values()]
+
+
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [anchors(t, length) for t in batch.column("text").to_pylist()]
-            n = np.array([len(at) for at, _ in found], np.int64)
-            if n.sum():
+            found = [(i, *x) for i, t in enumerate(batch.column("text").to_pylist()) for x in _places(t, length)]
+            if found:
+                rows, at, hashes, again = zip(*found)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("tkey").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.concatenate([h for _, h in found])),
-                    pa.array(np.concatenate([at for at, _ in found]))], ["tkey", "hash", "pos"])
+                    batch.column("tkey").take(pa.array(rows, pa.int64())), pa.array(hashes, pa.int64()), pa.array(at, pa.int64()),
+                    pa.array(again, pa.bool_())], ["tkey", "hash", "pos", "again"])
     return run
 
 
+def _stretches(text: bytes, around: bytes) -> Iterator[tuple[int, int]]:
+    """What the occurrences of ``around`` cover, as maximal runs."""
+    at = text.find(around)
+    start, end = at, at + len(around)
+    while (at := text.find(around, at + 1)) >= 0:
+        if at > end:
+            yield start, end
+            start = at
+        end = at + len(around)
+    yield start, end
+
+
 def _suffix_rows(length: int):
     """The surroundings of each place; of equal ones in a batch the first, and
     for all of them a row without surroundings that says how far they reach."""
-    reach = length - GRAM
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple, list] = {}
             out: list[tuple] = []
+
+            def settled(tkey: bytes, start: int, end: int) -> None:
+                # dealt by its own text: a common hash would gather them
+                out.append((int.from_bytes(tkey[:8], "big", signed=True), tkey, start, None, (end - start).to_bytes(8, "big")))
+
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 for p in places:
                     at = p["pos"]
-                    before, after = text[max(0, at - reach):at], text[at:at + length]
-                    if len(before) + len(after) < length:
+                    before, after = _around(text, at, length)
+                    size = len(before) + len(after)
+                    if size < length:
                         continue
-                    own = (p["hash"], blake2b(after + b"|" + before, digest_size=16).digest(), len(before))
+                    if p["again"]:
+                        for start, end in _stretches(text, before + after):
+                            settled(tkey, start, end)
+                    own = (p["hash"], blake2b(before + after, digest_size=16).digest(), len(before))
                     if own not in seen:
-                        seen[own] = [tkey, at, False]
+                        seen[own] = [tkey, at, p["again"]]
                         out.append((p["hash"], tkey, at, before, after))
                         continue
                     first = seen[own]
-                    for k, a in [(tkey, at)] if first[2] else [(tkey, at), (first[0], first[1])]:
-                        # dealt by its own text: a common hash would gather them
-                        out.append((int.from_bytes(k[:8], "big", signed=True), k, a - len(before), None, (len(before) + len(after)).to_bytes(4, "big")))
-                    first[2] = True
+                    if not first[2]:
+                        settled(first[0], first[1] - len(before), first[1] - len(before) + size)
+                        first[2] = True
+                    if not p["again"]:
+                        settled(tkey, at - len(before), at - len(before) + size)
                 if len(out) > 4000:
                     yield _batch(out)
-                    out = []
+                    out.clear()
             if out:
                 yield _batch(out)
     return run
@@ -222,10 +261,12 @@ def _window_rows(length: int):
         for batch in batches:
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 for p in places:
-                    starts = range(max(0, p["pos"] + GRAM - length), min(p["pos"], len(text) - length) + 1)
+                    before, after = _around(text, p["pos"], length)
+                    here = _stretches(text, before + after) if p["again"] else [(p["pos"] - len(before), p["pos"] + len(after))]
+                    starts = [a for start, end in here for a in range(start, end - length + 1)]
                     keys = [blake2b(text[a:a + length], digest_size=16).digest() for a in starts]
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([tkey] * len(keys), pa.binary()),
-                                                      pa.array(list(starts), pa.int64())], ["key", "tkey", "start"])
+                                                      pa.array(starts, pa.int64())], ["key", "tkey", "start"])
     return run
 
 
@@ -248,12 +289,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -
     """(repeat, tkey, start, end): all occurrences of each group of repeats in
     the distinct texts of ``docs``; tkey is a text's MD5."""
     long, copies = _long_texts(docs, length)
-    found = long.select("tkey", "text").mapInArrow(_anchor_rows(length), "tkey binary, hash long, pos long").distinct()
-    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = long.select("tkey", "text").mapInArrow(_anchor_rows(length), "tkey binary, hash long, pos long, again boolean").distinct()
+    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("within")).where("n > 1 OR within").drop("within")
     places = written(found.join(often, "hash"), "anchors")
 
     def texts(some: DataFrame) -> DataFrame:
-        lists = some.groupBy("tkey").agg(F.array_sort(F.collect_list(F.struct("pos", "hash"))).alias("places"))
+        lists = some.groupBy("tkey").agg(F.array_sort(F.collect_list(F.struct("pos", "hash", "again"))).alias("places"))
         return _searched(long, lists.join(copies.select("tkey", "rep"), "tkey")).select("tkey", "text", "places")
 
     suffixes = texts(places.where(F.col("n") <= max_group)).mapInArrow(_suffix_rows(length), SUFFIXES)
