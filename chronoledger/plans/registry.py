@@ -890,7 +890,7 @@ def q_comment_outcomes(spark, d):
     from chronoledger.sources.tables import load
     videos = load(spark, d, "events").select(F.col("user_id").cast("string").alias("video_id")).distinct()
     fails = SI.request_failures(spark, d).where(F.col("event_type") == "error")
-    return comment_outcomes(videos, fails)
+    return comment_outcomes(videos, fails).drop("message")
 
 
 # ---------------------------------------------------------------- run steps
