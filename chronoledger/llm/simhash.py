@@ -117,6 +117,11 @@ def _unary(fp: Column) -> Column:
     return F.shiftleft(fp.bitwiseAND(high).bitwiseAND(low), 1).bitwiseOR(fp.bitwiseOR(high).bitwiseAND(low))
 
 
+def _ones(words: np.ndarray) -> np.ndarray:
+    """Set bits of each word (of a negative number numpy counts the absolute value's)."""
+    return np.bitwise_count(words.view(np.uint64))
+
+
 def _forest(fp: np.ndarray, count: np.ndarray, d: int) -> Iterator[tuple[int, int]]:
     """Links that join all members of a cell which links of at most ``d`` bits join."""
     left = np.arange(len(fp))
@@ -124,9 +129,9 @@ def _forest(fp: np.ndarray, count: np.ndarray, d: int) -> Iterator[tuple[int, in
         reach, left = [left[0]], left[1:]
         while reach and len(left):
             x = reach.pop()
-            near = np.bitwise_count(count[left] ^ count[x]) <= d
+            near = _ones(count[left] ^ count[x]) <= d
             at = left[near]
-            at = at[np.bitwise_count(fp[at] ^ fp[x]) <= d]
+            at = at[_ones(fp[at] ^ fp[x]) <= d]
             if len(at):
                 yield from ((int(fp[x]), int(fp[y])) for y in at)
                 reach += at.tolist()
@@ -144,8 +149,8 @@ def _cell_links(cells: list[str], d: int):
         place = np.arange(len(fp)) - np.repeat(edge, size)
         for step in range(1, int(size[size <= 64].max(initial=0))):
             i = np.flatnonzero(small & (place + step < of))
-            i = i[np.bitwise_count(count[i] ^ count[i + step]) <= d]
-            i = i[np.bitwise_count(fp[i] ^ fp[i + step]) <= d]
+            i = i[_ones(count[i] ^ count[i + step]) <= d]
+            i = i[_ones(fp[i] ^ fp[i + step]) <= d]
             if len(i):
                 found.append(np.c_[fp[i], fp[i + step]])
         for a, n in zip(edge[size > 64], size[size > 64]):

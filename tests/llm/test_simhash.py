@@ -4,6 +4,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -100,6 +102,42 @@ def test_split_cells_and_near_copies(spark):
         assert [root(i) for i in range(len(fps))] == label
 
 
+def _signed(fps):
+    return [f - (1 << 64) if f >> 63 else f for f in fps]
+
+
+def _top_bit_pairs():
+    """Isolated pairs at distance 2 and 4 that differ in bit 63 and each other bit."""
+    rnd, pairs = random.Random(9), []
+    for b in range(63):
+        more = rnd.sample([x for x in range(63) if x != b], 2)
+        for bits in ([b, 63], [b, 63, *more]):
+            x = rnd.getrandbits(64)
+            pairs.append((x, x ^ sum(1 << y for y in bits)))
+    return pairs
+
+
+def test_pairs_that_differ_in_the_top_bit_are_linked(spark):
+    pairs = _top_bit_pairs()
+    frame = spark.createDataFrame([(f,) for f in _signed([f for p in pairs for f in p])], "fp long")
+    got = {frozenset((r.a, r.b)) for r in simhash.links(frame).collect()}
+    assert got == {frozenset(_signed(p)) for p in pairs}
+
+
+@pytest.mark.parametrize("others", [0, 100])
+def test_top_bit_within_small_and_large_cells(others):
+    rnd = random.Random(10)
+    fill = [rnd.getrandbits(64) for _ in range(others)]
+    for pair in _top_bit_pairs():
+        fps = np.array(_signed([pair[0], *fill, pair[1]]), np.int64)
+        bits = fps.view(np.uint64)
+        high, low = bits >> np.uint64(1), np.uint64(simhash.LOW_BITS)
+        u = ((bits & high & low) << np.uint64(1) | (bits | high) & low).view(np.int64)
+        cell = pd.DataFrame({"t": np.zeros(len(fps), np.int64), "fp": fps, "u": u})
+        (found,) = simhash._cell_links(["t"], 4)(iter([cell]))
+        assert [set(x) for x in found.to_numpy().tolist()] == [set(_signed(pair))]
+
+
 def test_one_of_each_keeps_one_row_and_all_columns(spark):
     docs = spark.createDataFrame(
         [(1, "a b c d e", "p"), (1, "a b c d e", "p"), (2, "A b c d e", "q"), (3, "z y x w v", None), (None, "a b c d e", "r"), (4, None, "s"), (5, "", "t")],
