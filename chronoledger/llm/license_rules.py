@@ -124,8 +124,8 @@ TEXTS = [
     Rule("proprietary", 3, 0.8, "proprietary", "proprietary and confidential"),
     Rule("proprietary", 3, 0.8, "unauthorized", "unauthorized (copying|use|reproduction|distribution) ~6 is (strictly)? prohibited"),
     Rule("proprietary", 2, 0.7, "reproduced", "no part of this ~4 may be reproduced"),
-    Rule("proprietary", 2, 0.7, "permission", "without (the)? (prior|express|written) (written)? (permission|consent)"),
-    Rule("non-commercial", 2, 0.6, "commercial", "(for)? (personal)? (and)? (non|noncommercial) (commercial)? use only"),
+    Rule("proprietary", 2, 0.7, "without", "without (the)? (prior|express|written) (written)? (permission|consent)"),
+    Rule("non-commercial", 2, 0.6, "use  only", "(for)? (personal)? (and)? (non|noncommercial) (commercial)? use only"),
     Rule("end-user", 2, 0.6, "end  user", "end user licen[sc]e agreement"),
     Rule("business-source", 1, 0.7, "business  source", "business source licen[sc]e (version|v)? (1)? ([01])?"),
     Rule("sspl", 1, 0.8, "server  side  public", "server side public licen[sc]e (version|v)? (1)?"),

@@ -33,7 +33,7 @@ PRIORITIES = 5
 #: One of these stands in each text that some rule can match.
 STEMS = ["licen", "copyright", "rights", "cc0", " cc ", "gpl", "spdx", "permission", "permitted", "redistribut", "public", "commons", "warrant",
          "proprietary", "prohibited", "reproduced", "consent", "bsd", "wtfpl", "openrail", "unencumbered", "misrepresented", "machine  executable",
-         "advertising", "nor  the  names", "any  later  version", "invariant", " use  only ", " org ", " net ", " europa ", "huggingface"]
+         "advertising", "nor  the  names", "any  later  version", "invariant", " use  only ", "no  attribution", " org ", " net ", " europa ", "huggingface"]
 
 
 def spaced(words: str) -> str:

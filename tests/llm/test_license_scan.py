@@ -1,5 +1,7 @@
 """License scan against a brute-force version."""
 
+import itertools
+import math
 import random
 import re
 
@@ -77,3 +79,53 @@ def test_no_match_without_stem_or_keyword(text):
         if re.search(pattern(r.words), normal):
             assert r.keyword in normal, r
             assert any(s in normal for s in L.STEMS), r
+
+
+def _forms(parsed):
+    """For each item of a parsed expression the texts that it can stand for (repeats at most twice)."""
+    items = []
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            items.append([chr(value)])
+        elif op == "NOT_LITERAL":
+            items.append(["x"])
+        elif op == "IN":
+            items.append([chr(c) for kind, v in value for c in (range(v[0], v[1] + 1) if str(kind) == "RANGE" else [v])])
+        elif op == "BRANCH":
+            items.append([t for branch in value[1] for t in _texts_of(branch)])
+        elif op == "SUBPATTERN":
+            items.append(_texts_of(value[3]))
+        elif op == "MAX_REPEAT":
+            low, high, inner = value
+            items.append([t * n for n in range(low, min(int(high), low + 1) + 1) for t in (_texts_of(inner) if n else [""])])
+        else:
+            raise ValueError(op)
+    return items
+
+
+def _texts_of(parsed):
+    """All texts of an expression; of a long one, those with each form of each item among the first and the last forms of the others."""
+    items = _forms(parsed)
+    if math.prod(map(len, items)) <= 2000:
+        return ["".join(t) for t in itertools.product(*items)]
+    bases = [[forms[end] for forms in items] for end in (0, -1)]
+    return ["".join([*base[:i], form, *base[i + 1:]]) for base in bases for i, forms in enumerate(items) for form in forms]
+
+
+def test_keyword_and_stem_stand_in_every_form_of_a_rule():
+    wrong = set()
+    for r in rules():
+        for text in _texts_of(re._parser.parse(pattern(r.words))):
+            normal = f" {re.sub(' +', '  ', text.strip())} "
+            assert re.search(pattern(r.words), normal), (r, text)
+            if r.keyword not in normal or not any(s in normal for s in L.STEMS):
+                wrong.add((r, normal))
+    assert not wrong
+
+
+@pytest.mark.parametrize("last", ["permission", "consent"])
+def test_notice_without_prior_written(spark, last):
+    docs = spark.createDataFrame([(1, f"No copies without the prior written {last}.")], "doc_id long, text string")
+    row = L.scan(docs).first()
+    assert (row.labels, row.score, [(d.start, d.end) for d in row.detections]) == ("proprietary", 0.7, [(2, 7)])
