@@ -4,8 +4,12 @@ Tokens are counted for each cell (source, language, topic); a starting table
 of the cells' token shares is raked: scaled in turn so that its sums over
 each source, each language and each topic are the targets'. A document's
 calibrated weight is its cell's raked share over the cell's token share,
-times ``keep``, and the document is sampled with that probability (at most
-1), by a hash of its id: the same on every run and partitioning.
+times ``keep``: the number of copies expected of it. ``repeated`` gives as
+many copies as the weight's whole part, and one more with the probability of
+the rest, by a hash of its id: the same on every run and partitioning. A
+document is sampled if it has a copy, with the weight's probability (at most
+1); ``mix`` gives each sampled document once, so names that the targets lift
+beyond all their tokens fall short in it.
 
 Targets are shares by name, or a power: the dimension's own shares raised to
 it (below 1 evens them out). Names without a target keep nothing.
@@ -101,12 +105,24 @@ def sampled(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS,
                         (chance(F.col("doc_id")) < F.col("weight")).alias("sampled"))
 
 
-def mix(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
-    """The sampled rows of ``docs``, in its columns."""
+def _weighted(docs: DataFrame, targets: dict | None, rounds: int, keep: float) -> DataFrame:
+    """(row, id, weight) of each row of ``docs``."""
     names = _named(docs)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), *[c.alias(n) for n, c in names.items()])
-    cells = weights(docs, targets, rounds, keep)
-    return rows.join(cells, DIMENSIONS).where(chance(F.col("id")) < F.col("weight")).select("row.*")
+    return rows.join(weights(docs, targets, rounds, keep), DIMENSIONS).select("row", "id", "weight")
+
+
+def mix(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """The sampled rows of ``docs``, in its columns."""
+    return _weighted(docs, targets, rounds, keep).where(chance(F.col("id")) < F.col("weight")).select("row.*")
+
+
+def repeated(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """The sampled rows of ``docs``, in its columns, each in as many copies as its weight asks for."""
+    whole = F.floor("weight")
+    copies = (whole + (chance(F.col("id")) < F.col("weight") - whole).cast("int")).cast("int")
+    rows = _weighted(docs, targets, rounds, keep)
+    return rows.select("row", F.explode(F.array_repeat(F.lit(True), copies))).select("row.*")
 
 
 def _oracle() -> str:

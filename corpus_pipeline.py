@@ -1,9 +1,9 @@
 """A training corpus from raw documents, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
-before it kept; ``run`` writes every stage's rows to the shared folder and
+before it kept (mixing can give a row several times); ``run`` writes every stage's rows to the shared folder and
 reads them for the next. All stages but the last return the columns of
-``documents``; the last returns a row for each document in the token files.
+``documents``; the last returns a row for each document (or copy) in the token files.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by their calibrated probabilities."""
-    return mixing.mix(docs)
+    """Documents are sampled by their calibrated weights; one of a weight above 1 is repeated."""
+    return mixing.repeated(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from chronoledger.llm import mixing as M
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, weight double, topic string"
@@ -87,3 +89,40 @@ def test_explicit_targets_drop_names_without_one(spark):
     docs = _docs(spark, 200)
     targets = {"source": {"s0": 1.0}, "lang": 1.0, "topic": 1.0}
     assert {r.source for r in M.sampled(docs, targets).where("sampled").collect()} == {"s0"}
+
+
+def _skewed(spark):
+    """40-token notes; one in 25 of a source, and one in 50 of a language, that the targets lift."""
+    text = " ".join(["word"] * 40)
+    return spark.createDataFrame([(i, text, "fr" if i % 50 < 1 else "en", "rare" if i % 25 == 3 else "s0", 0, 9.0, "x") for i in range(6000)], SCHEMA)
+
+
+def test_copies_follow_the_weights(spark):
+    docs = _skewed(spark)
+    want = Counter()
+    for r in M.sampled(docs).collect():
+        u = int(hashlib.md5(f"{r.doc_id}:{M.SEED}".encode()).hexdigest()[:8], 16) / 2 ** 32
+        want[r.doc_id] = int(r.weight) + (u < r.weight % 1)
+        assert (want[r.doc_id] > 0) == r.sampled
+    got = M.repeated(docs)
+    assert got.columns == docs.columns
+    assert Counter(r.doc_id for r in got.collect()) == +want and max(want.values()) > 2
+
+
+def test_pipeline_stage_meets_the_marginals(spark):
+    docs = _skewed(spark)
+    rows = corpus_pipeline.mixing_to_weights(spark, docs, "").collect()
+    for d in ("source", "lang"):
+        own = Counter(r[d] for r in docs.collect())
+        power = {x: n ** M.TARGETS[d] for x, n in own.items()}
+        got = Counter(r[d] for r in rows)
+        for x in own:
+            assert got[x] / len(rows) == pytest.approx(power[x] / sum(power.values()), rel=0.1), (d, x)
+    assert len(rows) == pytest.approx(M.KEEP * 6000, rel=0.03)
+
+
+def test_repeated_odd_rows(spark):
+    rows = [(None, None, None, None, None, None, None), (1, "", "en", "s", 0, 1.0, "t"), (2, "a b", "en", "s", 3, 1.0, "t")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(r.doc_id for r in M.repeated(docs, keep=3.0).collect()) == {2: 3}
+    assert M.repeated(docs.where("false")).count() == 0
