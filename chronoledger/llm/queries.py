@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoledger.llm import chat_format, decontaminate, license_scan, mixing, quality, secret_scan, simhash, suffix_dedup, token_count, token_output, whitening
+from chronoledger.llm import chat_format, decontaminate, license_scan, mixing, quality, secret_scan, simhash, spelling, suffix_dedup, token_count, token_output, whitening
 from chronoledger.llm.common import documents
 
 
@@ -52,6 +52,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling": op11_spelling,
     "op13_whitening": op13_whitening,
 }
 

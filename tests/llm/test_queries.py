@@ -15,10 +15,11 @@ COLUMNS = {
     "op8_token_count": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op9_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
     "op13_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "pipeline": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
-STRINGS = {"base_labels", "labels", "fingerprint", "base_sha256", "spans", "turns_sha256", "loss_sha256", "kept_sha256"}
+STRINGS = {"base_labels", "labels", "fingerprint", "base_sha256", "spans", "turns_sha256", "loss_sha256", "kept_sha256", "word", "form", "root"}
 BOOLEANS = {"over_limit", "base_failed", "kept", "sampled"}
 DOUBLES = {"score", "probability", "whitened", "explained", "identity_error"}
 INTS = {"component"}
@@ -37,5 +38,5 @@ def test_columns(spark, sf, name):
 def test_a_row_for_each_document(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     for name in COLUMNS:
-        if name not in ("op3_decontaminate", "op7_chat_format", "op13_whitening", "pipeline"):
+        if name not in ("op3_decontaminate", "op7_chat_format", "op11_spelling", "op13_whitening", "pipeline"):
             assert E.queries()[name](spark, sf).count() == n, name
