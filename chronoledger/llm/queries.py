@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoledger.llm import chat_format, decontaminate, license_scan, mixing, quality, secret_scan, simhash, spelling, suffix_dedup, token_count, token_output, whitening
+from chronoledger.llm import chat_format, decontaminate, license_scan, mixing, pii, quality, secret_scan, simhash, spelling, suffix_dedup, token_count, token_output, whitening
 from chronoledger.llm.common import documents
 
 
@@ -56,6 +56,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling": op11_spelling,
+    "op12_pii": op12_pii,
     "op13_whitening": op13_whitening,
 }
 
@@ -81,4 +86,5 @@ ORACLE: dict[str, str] = {
     "op6_mixing": mixing.ORACLE_SQL,
     "op7_chat_format": chat_format.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
+    "op12_pii": pii.ORACLE_SQL,
 }

@@ -16,6 +16,7 @@ COLUMNS = {
     "op9_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op11_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op12_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op13_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "pipeline": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
