@@ -38,6 +38,14 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def dropped(spark: SparkSession, folders: list[str]) -> None:
+    """Delete tables of ``written`` that nothing will read again."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over one evaluation of ``value`` (inside lambdas nothing else
     keeps an outer expression from being evaluated for each element)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoledger.llm.common import shared_folder, written
+from chronoledger.llm.common import dropped, shared_folder, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,6 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
         turn += 1
         now = written(_small_star(_large_star(now)), "", f"{folder}/{turn}")
         before, state = state, _state(now)
+        dropped(edges.sparkSession, [f"{folder}/{turn - 1}"])
         if state == before:
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoledger.llm.common import ascii_lower, shared_folder, whole_text, written
+from chronoledger.llm.common import ascii_lower, dropped, shared_folder, whole_text, written
 
 RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
@@ -314,6 +314,7 @@ def roots(links: DataFrame) -> DataFrame:
         step = a.join(b, F.col("a.root") == F.col("b.word"), "left").select(
             "a.word", F.coalesce("b.root", "a.root").alias("root"), F.col("b.root").isNotNull().alias("moved"))
         now = written(step, "", f"{folder}/{turn}")
+        dropped(links.sparkSession, [f"{folder}/{turn - 1}"])
     return now.select("word", "root")
 
 
