@@ -40,8 +40,8 @@ from chronoledger.llm.common import ascii_lower, dropped, shared_folder, whole_t
 RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
 SAMPLE, LEAST_LEAF = 20_000, 16
-CELL_BYTES, CELL_QUERIES = 4 << 20, 100_000
-TREE_LEAF = 32
+CELL_BYTES, CELL_QUERIES = 32 << 20, 60_000
+TREE_LEAF, SHORT, TOGETHER = 32, 60, 30_000
 DIMENSIONS = 26 + 64
 WORK = 1 << 22  # numbers compared at once
 
@@ -88,40 +88,58 @@ def _split(rows: np.ndarray) -> tuple[int, int] | None:
 
 
 class Tree:
-    """A k-d tree over rows of counts, with the tight box of each node."""
+    """A k-d tree over rows of counts, with the tight box of each node. It
+    stands in the dimensions that its rows have; what a query counts in others
+    is added to its distances. Arrays are (dimensions x rows), of single bytes
+    where no distance can exceed them."""
 
     def __init__(self, rows: np.ndarray, leaf: int = TREE_LEAF):
-        self.low, self.high, self.children, self.members = [], [], [], []
-        todo = [(np.arange(len(rows)), -1, 0)]
+        self.alive = np.flatnonzero(rows.any(axis=0))
+        self.short = int(rows.sum(axis=1).max(initial=0)) <= SHORT
+        self.boxes, self.children, self.members = [], [], []
+        todo = [(np.arange(len(rows)), -1)]
+        rows = np.ascontiguousarray(rows[:, self.alive])
         while todo:
-            members, parent, side = todo.pop()
-            here, node = rows[members], len(self.low)
-            self.low.append(here.min(axis=0))
-            self.high.append(here.max(axis=0))
+            members, parent = todo.pop()
+            here, node = rows[members], len(self.boxes)
+            self.boxes.append((self._set(here.min(axis=0)), self._set(here.max(axis=0))))
             self.children.append([])
             self.members.append(None)
             if parent >= 0:
                 self.children[parent].append(node)
             cut = _split(here) if len(members) > leaf else None
             if cut is None:
-                self.members[node] = members
+                self.members[node] = members, self._set(here)
             else:
                 right = here[:, cut[0]] > cut[1]
-                todo += [(members[~right], node, 0), (members[right], node, 1)]
+                todo += [(members[~right], node), (members[right], node)]
 
-    def reached(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(queries, members) of each leaf whose box the queries reach."""
-        todo = [(0, np.arange(len(queries)))]
+    def _set(self, rows: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(np.atleast_2d(rows).T.astype(np.int8 if self.short else np.int32))
+
+    def near(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, members) of all pairs within ``radius``: the leaves whose
+        boxes the queries reach are searched. Queries are as long as the rows, or a letter shorter."""
+        inside = self._set(queries[:, self.alive])
+        left = (radius - np.delete(queries, self.alive, axis=1).sum(axis=1)).astype(inside.dtype)  # what the other dimensions leave
+        todo = [(0, np.flatnonzero(left >= 0))]
         while todo:
             node, asked = todo.pop()
-            q = queries[asked]
-            far = (np.maximum(self.low[node] - q, 0) + np.maximum(q - self.high[node], 0)).sum(axis=1)
-            asked = asked[far <= radius]
+            (low, high), q = self.boxes[node], inside.take(asked, axis=1)
+            far = np.maximum(np.maximum(low - q, q - high), 0).sum(axis=0, dtype=q.dtype)
+            asked = asked[far <= left[asked]]
             if not len(asked):
                 continue
-            if self.members[node] is not None:
-                yield asked, self.members[node]
-            todo += [(child, asked) for child in self.children[node]]
+            if self.members[node] is None:
+                todo += [(child, asked) for child in self.children[node]]
+                continue
+            members, rows = self.members[node]
+            step = max(1, WORK // (len(members) * max(len(self.alive), 1)))
+            for at in range(0, len(asked), step):
+                some = asked[at:at + step]
+                far = np.abs(inside.take(some, axis=1)[:, :, None] - rows[:, None, :]).sum(axis=0, dtype=rows.dtype)
+                x, y = np.nonzero(far <= left[some][:, None])
+                yield some[x], members[y]
 
 
 class TopTree:
@@ -167,9 +185,10 @@ class TopTree:
 
 
 def top_tree(words: DataFrame, cell_bytes: int, sample: int = SAMPLE) -> TopTree:
-    """Fitted on a sample, to leaves of about ``cell_bytes`` if the words were of one length."""
+    """Fitted on a sample, to leaves that hold about ``cell_bytes`` of the length with most words."""
     some = [r.word for r in words.where(F.length("word") <= 64).select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    size = words.agg(F.sum(F.length("word") + 2 * DIMENSIONS)).first()[0] or 0
+    sizes = words.groupBy(F.length("word").alias("length")).agg(F.sum(F.length("word") + 2 * DIMENSIONS).alias("size"))
+    size = sizes.agg(F.max("size")).first()[0] or 0
     rows = np.concatenate([np.zeros((0, DIMENSIONS), np.int16), *[counts(_letters([w])) for w in some]])
     return TopTree(rows, max(LEAST_LEAF, len(rows) * cell_bytes / max(size, 1)))
 
@@ -216,57 +235,65 @@ def one_inserted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= a.shape[1]
 
 
-def _pairs_of(tree: Tree, letters: np.ndarray, rows: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_of(tree: Tree, letters: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, member) of all pairs one edit apart."""
     same = asked.shape[1] == letters.shape[1]
     radius, verify = (2, one_replaced) if same else (1, one_inserted)
-    queries = counts(asked)
-    for who, members in tree.reached(queries, radius):
-        step = max(1, WORK // (len(members) * DIMENSIONS))
-        for at in range(0, len(who), step):
-            some = who[at:at + step]
-            near = np.abs(queries[some][:, None, :] - rows[members][None]).sum(axis=2) <= radius
-            q, m = np.nonzero(near)
-            q, m = some[q], members[m]
-            each = max(1, WORK // letters.shape[1])
-            for k in range(0, len(q), each):
-                x, y = q[k:k + each], m[k:k + each]
-                found = verify(asked[x], letters[y])
-                yield x[found], y[found]
+    for q, m in tree.near(counts(asked), radius):
+        each = max(1, WORK // letters.shape[1])
+        for k in range(0, len(q), each):
+            x, y = q[k:k + each], m[k:k + each]
+            found = verify(asked[x], letters[y])
+            yield x[found], y[found]
 
 
 PAIRS = "a string, na long, b string, nb long"
 
 
+class _Cell:
+    """The members of a cell, and queries that wait to be searched together."""
+
+    def __init__(self):
+        self.words, self.ns, self.asked, self.asked_ns, self.tree = [], [], [], [], None
+
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        """All pairs of the waiting queries and a member one edit apart; pairs of one length from the lesser word."""
+        asked, ns = self.asked, self.asked_ns
+        self.asked, self.asked_ns = [], []
+        if not asked or not self.words:
+            return
+        if self.tree is None:
+            self.letters = _letters(self.words)
+            self.tree = Tree(counts(self.letters))
+        for _, some in _by_length(asked):
+            a = [asked[i] for i in some]
+            for q, m in _pairs_of(self.tree, self.letters, _letters(a)):
+                found = [(some[x], y) for x, y in zip(q.tolist(), m.tolist()) if len(a[x]) != len(self.words[y]) or a[x] < self.words[y]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([asked[x] for x, _ in found]), pa.array([ns[x] for x, _ in found], pa.int64()),
+                        pa.array([self.words[y] for _, y in found]), pa.array([self.ns[y] for _, y in found], pa.int64())], ["a", "na", "b", "nb"])
+
+
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by cell, members before queries: all pairs of a query and a member one edit apart, each once."""
-    cell, words, ns, tree = None, [], [], None
+    at, cell = None, _Cell()
     for batch in batches:
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("length", "leaf", "part", "share", "query"))))
-        texts, numbers = batch.column("word").to_pylist(), batch.column("n").to_pylist()
-        for key, group in groupby(range(batch.num_rows), key=keys.__getitem__):
-            group = list(group)
-            if key[:4] != cell:
-                cell, words, ns, tree = key[:4], [], [], None
-            if not key[4]:
-                words += [texts[i] for i in group]
-                ns += [numbers[i] for i in group]
-                continue
-            if not words:
-                continue
-            if tree is None:
-                letters = _letters(words)
-                rows = counts(letters)
-                tree = Tree(rows)
-            for _, some in _by_length([texts[i] for i in group]):
-                asked = [group[i] for i in some]
-                a = [texts[i] for i in asked]
-                pairs = [(asked[x], y) for q, m in _pairs_of(tree, letters, rows, _letters(a)) for x, y in zip(q.tolist(), m.tolist())
-                         if len(a[x]) != len(words[y]) or a[x] < words[y]]
-                if pairs:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([texts[x] for x, _ in pairs]), pa.array([numbers[x] for x, _ in pairs], pa.int64()),
-                        pa.array([words[y] for _, y in pairs]), pa.array([ns[y] for _, y in pairs], pa.int64())], ["a", "na", "b", "nb"])
+        texts, numbers, query = batch.column("word").to_pylist(), batch.column("n").to_pylist(), batch.column("query").to_numpy(zero_copy_only=False)
+        keys = np.stack([batch.column(c).to_numpy() for c in ("length", "leaf", "part", "share")])
+        begins = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) if batch.num_rows else []
+        for first, last in zip(begins, [*begins[1:], batch.num_rows]):
+            if tuple(keys[:, first]) != at:
+                yield from cell.pairs()
+                at, cell = tuple(keys[:, first]), _Cell()
+            split = first + int((~query[first:last]).sum())
+            cell.words += texts[first:split]
+            cell.ns += numbers[first:split]
+            cell.asked += texts[split:last]
+            cell.asked_ns += numbers[split:last]
+            if len(cell.asked) >= TOGETHER:
+                yield from cell.pairs()
+    yield from cell.pairs()
 
 
 def near_pairs(words: DataFrame, cell_bytes: int = CELL_BYTES, cell_queries: int = CELL_QUERIES, sample: int = SAMPLE) -> DataFrame:
