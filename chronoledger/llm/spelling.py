@@ -1,11 +1,12 @@
 """Spelling variants: words one edit apart, by k-d trees over letter counts.
 
 One inserted, deleted or replaced letter moves the vector of a word's letter
-counts by an L1 distance of at most two (one, if lengths differ). So for
-each pair of lengths (l, l) and (l, l + 1) the words of the second length
-stand in k-d trees and those of the first are range queries: nodes whose box
-is farther than two (one) are pruned, and what is left is verified letter by
-letter.
+counts by an L1 distance of at most two: one up, and, if lengths are equal,
+one down. So for each pair of lengths (l, l) and (l, l + 1) the words of the
+second length stand in k-d trees and those of the first are range queries:
+nodes whose box is farther than that are pruned, and what is left is verified
+letter by letter. Of two words of one length the one with the smaller
+``rank`` of its letters asks, and nodes without a larger one are pruned.
 
 Words are dealt to cells by length and by the leaves of a top tree. That
 tree is fitted on a bounded sample of the words (the ``SAMPLE`` with the
@@ -41,9 +42,9 @@ RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
 SAMPLE, LEAST_LEAF = 20_000, 16
 CELL_BYTES, CELL_QUERIES = 32 << 20, 60_000
-TREE_LEAF, SHORT, TOGETHER = 32, 60, 30_000
+TREE_LEAF, SHORT, TOGETHER = 64, 60, 30_000
 DIMENSIONS = 26 + 64
-WORK = 1 << 22  # numbers compared at once
+WORK = 1 << 18  # numbers compared at once
 
 #: The dimension of each letter, by its code.
 _DIMENSION = np.zeros(256, np.int64)
@@ -87,6 +88,11 @@ def _split(rows: np.ndarray) -> tuple[int, int] | None:
     return d, t if (rows[:, d] > t).any() else t - 1
 
 
+def rank(rows: np.ndarray) -> np.ndarray:
+    """The sum of the dimensions of each row's letters: replacing a letter always changes it."""
+    return rows.astype(np.int64) @ np.arange(DIMENSIONS)
+
+
 class Tree:
     """A k-d tree over rows of counts, with the tight box of each node. It
     stands in the dimensions that its rows have; what a query counts in others
@@ -98,18 +104,19 @@ class Tree:
         self.short = int(rows.sum(axis=1).max(initial=0)) <= SHORT
         self.boxes, self.children, self.members = [], [], []
         todo = [(np.arange(len(rows)), -1)]
+        ranks = rank(rows)
         rows = np.ascontiguousarray(rows[:, self.alive])
         while todo:
             members, parent = todo.pop()
             here, node = rows[members], len(self.boxes)
-            self.boxes.append((self._set(here.min(axis=0)), self._set(here.max(axis=0))))
+            self.boxes.append((self._set(here.min(axis=0)), self._set(here.max(axis=0)), int(ranks[members].max())))
             self.children.append([])
             self.members.append(None)
             if parent >= 0:
                 self.children[parent].append(node)
             cut = _split(here) if len(members) > leaf else None
             if cut is None:
-                self.members[node] = members, self._set(here)
+                self.members[node] = members, self._set(here), ranks[members]
             else:
                 right = here[:, cut[0]] > cut[1]
                 todo += [(members[~right], node), (members[right], node)]
@@ -117,28 +124,31 @@ class Tree:
     def _set(self, rows: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(np.atleast_2d(rows).T.astype(np.int8 if self.short else np.int32))
 
-    def near(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(queries, members) of all pairs within ``radius``: the leaves whose
-        boxes the queries reach are searched. Queries are as long as the rows, or a letter shorter."""
+    def near(self, queries: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, members) of all pairs whose member has one letter more,
+        and (``same``: rows are as long as queries) one less, and the larger rank."""
         inside = self._set(queries[:, self.alive])
-        left = (radius - np.delete(queries, self.alive, axis=1).sum(axis=1)).astype(inside.dtype)  # what the other dimensions leave
-        todo = [(0, np.flatnonzero(left >= 0))]
+        ranks = rank(queries) if same else np.full(len(queries), -1)
+        less = (int(same) - np.delete(queries, self.alive, axis=1).sum(axis=1)).astype(inside.dtype)  # what the other dimensions leave
+        todo = [(0, np.flatnonzero(less >= 0))]
         while todo:
             node, asked = todo.pop()
-            (low, high), q = self.boxes[node], inside.take(asked, axis=1)
-            far = np.maximum(np.maximum(low - q, q - high), 0).sum(axis=0, dtype=q.dtype)
-            asked = asked[far <= left[asked]]
+            low, high, most = self.boxes[node]
+            asked = asked[ranks[asked] < most]
+            q = inside.take(asked, axis=1)
+            more = np.maximum(low - q, 0).sum(axis=0, dtype=q.dtype) <= 1
+            asked = asked[more & (np.maximum(q - high, 0).sum(axis=0, dtype=q.dtype) <= less[asked])]
             if not len(asked):
                 continue
             if self.members[node] is None:
                 todo += [(child, asked) for child in self.children[node]]
                 continue
-            members, rows = self.members[node]
+            members, rows, own = self.members[node]
             step = max(1, WORK // (len(members) * max(len(self.alive), 1)))
             for at in range(0, len(asked), step):
                 some = asked[at:at + step]
                 far = np.abs(inside.take(some, axis=1)[:, :, None] - rows[:, None, :]).sum(axis=0, dtype=rows.dtype)
-                x, y = np.nonzero(far <= left[some][:, None])
+                x, y = np.nonzero((far <= less[some][:, None] + 1) & (ranks[some][:, None] < own))
                 yield some[x], members[y]
 
 
@@ -197,7 +207,7 @@ def _by_length(words: list[str]) -> Iterator[tuple[int, list[int]]]:
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     for length, group in groupby(order, key=lambda i: len(words[i])):
         group = list(group)
-        step = max(1, WORK // max(length, DIMENSIONS))
+        step = max(1, 8 * WORK // max(length, DIMENSIONS))
         for at in range(0, len(group), step):
             yield length, group[at:at + step]
 
@@ -224,26 +234,26 @@ def routed(words: DataFrame, tree: TopTree) -> DataFrame:
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which rows of letters differ in one place."""
-    return (a != b).sum(axis=1) == 1
+    """Which words (columns of letters) differ in one place."""
+    return (a != b).sum(axis=0) == 1
 
 
 def one_inserted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which rows of ``b`` are those of ``a`` with one letter more."""
-    head = np.logical_and.accumulate(a == b[:, :-1], axis=1).sum(axis=1)
-    tail = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1).sum(axis=1)
-    return head + tail >= a.shape[1]
+    """Which words of ``b`` are those of ``a`` with one letter more."""
+    head = np.logical_and.accumulate(a == b[:-1], axis=0).sum(axis=0)
+    tail = np.logical_and.accumulate((a == b[1:])[::-1], axis=0).sum(axis=0)
+    return head + tail >= a.shape[0]
 
 
 def _pairs_of(tree: Tree, letters: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(query, member) of all pairs one edit apart."""
-    same = asked.shape[1] == letters.shape[1]
-    radius, verify = (2, one_replaced) if same else (1, one_inserted)
-    for q, m in tree.near(counts(asked), radius):
-        each = max(1, WORK // letters.shape[1])
+    """(query, member) of all pairs one edit apart; ``letters`` and ``asked`` hold a word a column."""
+    same = asked.shape[0] == letters.shape[0]
+    verify = one_replaced if same else one_inserted
+    each = max(1, WORK // letters.shape[0])
+    for q, m in tree.near(counts(asked.T), same):
         for k in range(0, len(q), each):
             x, y = q[k:k + each], m[k:k + each]
-            found = verify(asked[x], letters[y])
+            found = verify(asked.take(x, axis=1), letters.take(y, axis=1))
             yield x[found], y[found]
 
 
@@ -257,18 +267,18 @@ class _Cell:
         self.words, self.ns, self.asked, self.asked_ns, self.tree = [], [], [], [], None
 
     def pairs(self) -> Iterator[pa.RecordBatch]:
-        """All pairs of the waiting queries and a member one edit apart; pairs of one length from the lesser word."""
+        """All pairs of the waiting queries and a member one edit apart."""
         asked, ns = self.asked, self.asked_ns
         self.asked, self.asked_ns = [], []
         if not asked or not self.words:
             return
         if self.tree is None:
-            self.letters = _letters(self.words)
-            self.tree = Tree(counts(self.letters))
+            rows = _letters(self.words)
+            self.tree, self.letters = Tree(counts(rows)), np.ascontiguousarray(rows.T)
         for _, some in _by_length(asked):
             a = [asked[i] for i in some]
-            for q, m in _pairs_of(self.tree, self.letters, _letters(a)):
-                found = [(some[x], y) for x, y in zip(q.tolist(), m.tolist()) if len(a[x]) != len(self.words[y]) or a[x] < self.words[y]]
+            for q, m in _pairs_of(self.tree, self.letters, np.ascontiguousarray(_letters(a).T)):
+                found = [(some[x], y) for x, y in zip(q.tolist(), m.tolist())]
                 if found:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([asked[x] for x, _ in found]), pa.array([ns[x] for x, _ in found], pa.int64()),

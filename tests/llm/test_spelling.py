@@ -92,7 +92,8 @@ def test_chains_of_forms(spark):
 
 
 def test_edits_in_order_of_letters():
-    letters = spelling._letters
+    def letters(words):
+        return spelling._letters(words).T
     assert spelling.one_replaced(letters(["abcde", "abcde", "abcde"]), letters(["abcxe", "edcba", "abcde"])).tolist() == [True, False, False]
     assert spelling.one_inserted(letters(["abab"] * 5), letters(["xabab", "aabab", "ababx", "abxba", "baabb"])).tolist() == [True, True, True, False, False]
 
@@ -104,8 +105,15 @@ def test_trees_reach_all_that_is_near():
     rows[300:, 9] = rng.integers(0, 2, size=200)  # a letter that the tree's rows don't have
     far = np.abs(rows[:, None, :] - rows[None]).sum(axis=2)
     for radius in (1, 2):
-        found = [x for q, m in spelling.Tree(rows[:300], leaf=4).near(rows, radius) for x in zip(q.tolist(), m.tolist())]
-        assert sorted(found) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(far[:, :300] <= radius))))
+        same = radius == 2
+        asked = rows if same else np.maximum(rows - (rng.integers(0, 12, size=rows.shape) == 0), 0)
+        found = [x for q, m in spelling.Tree(rows[:300], leaf=4).near(asked, same) for x in zip(q.tolist(), m.tolist())]
+        up, down = rows[None, :300] - asked[:, None], asked[:, None] - rows[None, :300]
+        want = (np.maximum(up, 0).sum(axis=2) <= 1) & (np.maximum(down, 0).sum(axis=2) <= same)
+        ranks = spelling.rank(rows)
+        want &= ranks[:, None] < ranks[None, :300] if same else True
+        assert set(zip(*map(np.ndarray.tolist, np.nonzero(want & (np.abs(up).sum(axis=2) == radius))))) <= set(found)
+        assert len(set(found)) == len(found) and all(np.abs(up[x]).sum() <= radius for x in found)
         top = spelling.TopTree(rows[:80], 8)
         home = {i: leaf for leaf, at in top.placed(rows, 0) for i in at.tolist()}
         assert len(home) == 500 and sum(len(at) for _, at in top.placed(rows, 0)) == 500
