@@ -25,41 +25,38 @@ their token ids); an empty table gives no blocks.
 from __future__ import annotations
 
 import re
-from collections import deque
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronoledger.llm.common import shared_folder, whole_text
+from chronoledger.llm.common import dropped, shared_folder, whole_text
 
-LIMIT, STRIDE, BLOCK_IDS = 18, 256, 1 << 17
-REMEMBERED = 500_000
-PIECE_BYTES = 1 << 21
+LIMIT, STRIDE, BLOCK_IDS = 18, 256, 1 << 18
+REMEMBERED, LONG_PIECE = 300_000, 100
+PIECE_BYTES = 1 << 20
 WORD_END = "</w>"
-#: Anything but ASCII and the Latin letters of one byte that are composed, or what could begin a special token.
-ODD = re.compile(r"[^\x00-\x7F\xC0-\xD6\xD8-\xF6\xF8-\xFF]|<\|").search
+#: ASCII and the Latin letters of one byte that are composed.
+PLAIN = bytes([*range(0x80), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
 LATIN = re.compile(r"[a-z\xDF-\xF6\xF8-\xFF]+").fullmatch
 PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^\x20\x09-\x0D0-9a-z\xDF-\xF6\xF8-\xFF]+").findall
 ASCII_SPACE = re.compile(r"[^\x20\x09-\x0D]+").findall
 
 
-class _Known(dict):
-    """Ids by piece of text; pieces not known yet are noted when looked up."""
-
-    def __init__(self, *given):
-        super().__init__(*given)
-        self.new: list = []
-
-    def __missing__(self, piece):
-        self.new.append(piece)
-        self[piece] = b""
-        return b""
+def _plain(text: str) -> bool:
+    """Whether a text is of PLAIN characters, without what could begin a special token."""
+    if "<|" in text:
+        return False
+    try:
+        return text.isascii() or not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 
 class Encoder:
@@ -84,8 +81,9 @@ class Encoder:
         self.last = np.zeros(top + 1, bool)
         for token, i in vocabulary.items():
             self.last[i] = token.endswith(WORD_END)
-        #: What was seen lately, and what was before it: when there are too many, the older go.
-        self.known, self.older = _Known(), {}
+        #: Ids by piece of text: what was seen lately, and what was before it. When there are too many, the older go.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -104,27 +102,30 @@ class Encoder:
         ends = ends.tolist()
         return [whole[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self) -> None:
-        """Ids of the pieces noted as new."""
-        new, self.known.new = self.known.new, []
+    def _learn(self, new: set[str]) -> None:
+        """Ids of pieces that aren't remembered."""
         known, older = self.known, self.older
-        ids = list(map(older.get, new))
-        known.update(zip(new, ids))
-        left = [x for x, i in zip(new, ids) if i is None]
-        runs = [x for x in left if x.isalpha() and LATIN(x)]
+        again = [x for x in new if x in older]
+        known.update(zip(again, map(older.__getitem__, again)))
+        left = new.difference(again)
+        runs = [x for x in left if LATIN(x)]
         known.update(zip(runs, self._letters(runs)))
-        other = [x for x in left if known[x] is None]
+        other = [x for x in left if x not in known]
         known.update(zip(other, self._each(other)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text its ids."""
         if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, _Known()
-        cut = [ASCII_SPACE(t) if ODD(t) else PIECES(t.lower()) for t in texts]
+            self.older, self.known = self.known, {}
+        cut = [PIECES(t.lower()) if _plain(t) else ASCII_SPACE(t) for t in texts]
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        self._learn(new)
         look = self.known.__getitem__
-        deque(map(look, chain.from_iterable(cut)), maxlen=0)
-        self._learn()
-        return [b"".join(map(look, pieces)) for pieces in cut]
+        out = [b"".join(map(look, pieces)) for pieces in cut]
+        for x in new:
+            if len(x) > LONG_PIECE:
+                del self.known[x]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -145,16 +146,14 @@ def _encoder(name: str) -> Encoder:
     return _ENCODERS[name]
 
 
-def _pieces(texts: list) -> Iterator[list]:
-    piece, size = [], 0
-    for text in texts:
-        piece.append(text)
-        size += len(text)
-        if size >= PIECE_BYTES:
-            yield piece
-            piece, size = [], 0
-    if piece:
-        yield piece
+def _pieces(column: pa.Array) -> Iterator[tuple[int, list]]:
+    """(first row, values) of stretches of a column of strings or bytes, of about ``PIECE_BYTES``."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_BYTES, "right")))
+        yield at, column.slice(at, to - at).to_pylist()
+        at = to
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
@@ -163,11 +162,9 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         encode = _encoder(vocabulary)
         end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
-            at = 0
-            for piece in _pieces(batch.column("text").to_pylist()):
+            for at, piece in _pieces(batch.column("text")):
                 ids = pa.array([x + end for x in encode(piece)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(piece)), ids], ["doc_id", "ids"])
-                at += len(piece)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary")
@@ -178,7 +175,7 @@ def id_counts(ids: DataFrame, dtype: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for piece in _pieces(batch.column("ids").to_pylist()):
+            for _, piece in _pieces(batch.column("ids")):
                 n = np.bincount(np.frombuffer(b"".join(piece), dtype), minlength=len(total))
                 n[:len(total)] += total
                 total = n
@@ -231,8 +228,9 @@ class Book:
         self.length = np.zeros(len(self.code), np.int64)
         self.code[ids], self.length[ids] = codes, lengths
         self.table = np.zeros(1 << limit, np.uint32)
-        for i, c, n in zip(ids.tolist(), codes.tolist(), lengths.tolist()):
-            self.table[c << (limit - n):(c + 1) << (limit - n)] = i << 5 | n
+        order = np.argsort(codes << (limit - lengths))  # codes follow one another: each fills its stretch
+        entries = np.repeat((ids << 5 | lengths)[order].astype(np.uint32), (1 << (limit - lengths))[order])
+        self.table[:len(entries)] = entries
 
     def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, np.ndarray]:
         """The bit string, and the bit offset of every ``stride``-th id."""
@@ -269,22 +267,25 @@ BLOCK = ("shard int, block int, first_id long, n_ids long, doc_ids array<long>,
 
 
 def _blocks(book: Book, dtype: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide = np.dtype(dtype).itemsize
         shard, block, before, docs, texts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def row():
             payload, checkpoints = book.encode(np.frombuffer(b"".join(texts), dtype))
-            return pd.DataFrame([[shard, block, before, held, docs, [len(t) // wide for t in texts], payload, checkpoints]],
-                                columns=[c.split()[0] for c in BLOCK.split(", ")])
+            values = [shard, block, before, held, docs, [len(t) // wide for t in texts], payload, checkpoints]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [c.split()[0] for c in BLOCK.split(", ")])
         for batch in batches:
-            for doc, ids in zip(batch["doc_id"].tolist(), batch["ids"].tolist()):
-                docs.append(None if doc is None or doc != doc else int(doc))
-                texts.append(ids)
-                held += len(ids) // wide
-                if held >= BLOCK_IDS:
-                    yield row()
-                    block, before, docs, texts, held = block + 1, before + held, [], [], 0
+            for at, piece in _pieces(batch.column("ids")):
+                for doc, ids in zip(batch.column("doc_id").slice(at, len(piece)).to_pylist(), piece):
+                    docs.append(doc)
+                    texts.append(ids)
+                    held += len(ids) // wide
+                    if held >= BLOCK_IDS:
+                        yield row()
+                        block, before, docs, texts, held = block + 1, before + held, [], [], 0
         if docs:
             yield row()
     return run
@@ -303,38 +304,54 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str, limit: int
         .write.parquet(f"{folder}/codebook")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = ids.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInPandas(_blocks(Book(symbols, lengths, limit), dtype), BLOCK) \
+    ordered.mapInArrow(_blocks(Book(symbols, lengths, limit), dtype), BLOCK) \
         .write.option("compression", "none").parquet(f"{folder}/blocks")
+    dropped(spark, [staged])
 
 
-def read(spark: SparkSession, folder: str, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document in the files."""
+_BOOKS: dict[str, Book] = {}
+
+
+def _book(folder: str, ids: np.ndarray, lengths: np.ndarray, limit: int) -> Book:
+    """This worker's book of a folder, built once."""
+    if folder not in _BOOKS:
+        _BOOKS.clear()
+        _BOOKS[folder] = Book(ids, lengths, limit)
+    return _BOOKS[folder]
+
+
+def _decoded(spark: SparkSession, folder: str, limit: int, value: Callable[[list[bytes]], pa.Array], field: str) -> DataFrame:
+    """(doc_id, start, n_tokens, and ``value`` of the ids) of every document in the files."""
     codes = spark.read.schema("id long, length int").parquet(f"{folder}/codebook").toPandas()  # at most the vocabulary
     blocks = spark.read.schema(BLOCK).parquet(f"{folder}/blocks")
-    book = (codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64), limit)
-    out = "shard int, doc_id long, place long, n_tokens long, ids binary"
+    book = (folder, codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64), limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Book(*book)
+        decoder = _book(*book)
         for batch in batches:
             for row in range(batch.num_rows):
                 b = {c: batch.column(c)[row] for c in batch.schema.names}
                 ids = decoder.decode(b["payload"].as_py(), b["checkpoints"].values.to_numpy(), b["n_ids"].as_py())
                 lengths = b["lengths"].values.to_numpy().astype(np.int64)
                 ends = np.cumsum(lengths)
-                whole = ids.astype("<u4").tobytes()
+                whole = memoryview(ids.astype("<u4", copy=False).tobytes())
                 texts = [whole[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([b["shard"].as_py()] * len(ends), pa.int32()), b["doc_ids"].values,
+                    pa.array(np.full(len(ends), b["shard"].as_py(), np.int32)), b["doc_ids"].values,
                     pa.array(b["first_id"].as_py() + ends - lengths, pa.int64()), pa.array(lengths, pa.int64()),
-                    pa.array(texts, pa.binary())], ["shard", "doc_id", "place", "n_tokens", "ids"])
+                    value(texts)], ["shard", "doc_id", "place", "n_tokens", field.split()[0]])
 
     # A row for each shard, of which there are as many as partitions were written.
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return (blocks.mapInArrow(run, out).join(F.broadcast(starts), "shard")
-            .select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids"))
+    return (blocks.mapInArrow(run, f"shard int, doc_id long, place long, n_tokens long, {field}").join(F.broadcast(starts), "shard")
+            .select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", field.split()[0]))
+
+
+def read(spark: SparkSession, folder: str, limit: int = LIMIT) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document in the files."""
+    return _decoded(spark, folder, limit, lambda texts: pa.array(map(bytes, texts), pa.binary()), "ids binary")
 
 
 def digests(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
@@ -343,4 +360,4 @@ def digests(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int
     spark = docs.sparkSession
     folder = shared_folder(spark, "tokens")
     write(docs, vocabulary, end_id, folder)
-    return read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return _decoded(spark, folder, LIMIT, lambda texts: pa.array(map(zlib.crc32, texts), pa.int64()), "ids_crc32 long")
