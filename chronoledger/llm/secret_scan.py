@@ -3,17 +3,20 @@
 Base spans (assignments, access keys, hex runs) are always reported. Weak
 candidates are parts that mean little alone: long mixed runs (``key``), names
 of accounts (``id``) and addresses (``endpoint``). They are reported only
-when complementary parts begin within ``REACH`` code points in the same scope,
-a scope being a stretch of text without an empty line:
+when complementary parts stand within ``REACH`` code points, from the end of
+one to the start of the other, in the same scope, a scope being a stretch of
+text without an empty line:
 
 * a ``key`` beside an identifier (an access key or an ``id``);
 * an ``id`` beside a secret (an assignment, a hex run or a ``key``);
 * an ``endpoint`` beside both an identifier and a secret.
 
-Linking is an interval join: parts are dealt by scope and by stretches of
-``REACH``, candidates also to the stretches beside theirs, and semi-joins
-find what co-occurs, so a text with many parts is no single task's and
-pairs are never made. Only built-in functions are used.
+Texts are read once, for base spans; those that hold a secret are kept with
+them, and their parts, found scope by scope, are a small table of their own.
+Linking is an interval join over it: a part is dealt to each stretch of
+``REACH`` code points that it covers, a candidate to all that it can reach,
+and semi-joins find what co-occurs, so a text with many parts is no single
+task's and pairs are never made. Only built-in functions are used.
 
 Defined cases: a NULL text is empty; equal rows are each reported; spans are
 in code points, end exclusive; an empty table gives an empty result.
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoledger.llm.common import let, running, whole_text
+from chronoledger.llm.common import let, running, whole_text, written
 
 REACH = 120
 KINDS = ["assign", "access", "hex", "key", "id", "endpoint"]
@@ -71,37 +74,39 @@ def _all(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), over)).otherwise(F.array().cast(SPANS))
 
 
-def _key(docs: DataFrame) -> Column:
-    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), whole_text()))
+def staged(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, own, t) of each row of ``docs``: its base spans, and its text if it holds a secret."""
+    text = whole_text()
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("doc_id"), text.alias("t"), F.concat(*[_all(text, k) for k in KINDS[:3]]).alias("own"))
+    held = F.exists("own", lambda s: s["kind"] != "access") | F.col("t").rlike(PATTERNS["key"])
+    return written(rows.select("row", "doc_id", "own", F.when(held, F.col("t")).alias("t")), "secrets")
 
 
-def _parts(docs: DataFrame) -> DataFrame:
-    """(key, scope, kind, start, end) of all parts in texts that hold a secret."""
-    text = whole_text()
-    held = text.rlike(PATTERNS["key"]) | text.rlike(PATTERNS["assign"]) | text.rlike(PATTERNS["hex"])
-    rows = docs.where(held).select(_key(docs).alias("key"), F.split(text, "\n\n", -1).alias("scopes"))
-    rows = rows.select("key", "scopes", running(F.transform("scopes", lambda s: F.length(s) + 2), F.lit(0), lambda a, b: a + b).alias("at"))
-    rows = rows.select("key", F.posexplode(F.arrays_zip("scopes", "at"))).select(
-        "key", F.col("pos").alias("scope"), F.col("col.scopes").alias("t"), F.col("col.at").alias("at"))
+def _parts(rows: DataFrame) -> DataFrame:
+    """(row, scope, kind, start, end) of all parts in the texts of ``rows``."""
+    rows = rows.where("t IS NOT NULL").select("row", F.split("t", "\n\n", -1).alias("scopes"))
+    rows = rows.select("row", "scopes", running(F.transform("scopes", lambda s: F.length(s) + 2), F.lit(0), lambda a, b: a + b).alias("at"))
+    rows = rows.select("row", F.posexplode(F.arrays_zip("scopes", "at"))).select(
+        "row", F.col("pos").alias("scope"), F.col("col.scopes").alias("t"), F.col("col.at").alias("at"))
     spans = F.flatten(F.array(*[_all(F.col("t"), k) for k in KINDS]))
-    return (rows.select("key", "scope", "at", F.explode(spans).alias("s"))
-            .select("key", "scope", "s.kind", (F.col("at") + F.col("s.start")).alias("start"), (F.col("at") + F.col("s.end")).alias("end"))
-            .distinct())
+    return (rows.select("row", "scope", "at", F.explode(spans).alias("s"))
+            .select("row", "scope", "s.kind", (F.col("at") + F.col("s.start")).alias("start"), (F.col("at") + F.col("s.end")).alias("end")))
 
 
 def _beside(candidates: DataFrame, parts: DataFrame, kinds: list[str], reach: int) -> DataFrame:
-    """Candidates with a part of ``kinds`` that begins within ``reach`` of their start."""
-    stretch = F.floor(F.col("start") / reach).cast("int")
-    near = candidates.withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1))).alias("c")
-    there = parts.where(F.col("kind").isin(kinds)).select("key", "scope", F.col("start").alias("begin"), stretch.alias("stretch")).alias("p")
-    on = [F.col(f"c.{c}") == F.col(f"p.{c}") for c in ("key", "scope", "stretch")]
-    return (near.join(there, [*on, F.abs(F.col("p.begin") - F.col("c.start")) <= reach], "left_semi")
-            .drop("stretch").distinct())
-
-
-def linked(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """(key, kind, start, end) of the weak candidates whose complementary parts co-occur."""
-    parts = _parts(docs)
+    """Candidates with a part of ``kinds`` at most ``reach`` from their end or before their start."""
+    def stretches(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(F.floor(first / reach), F.floor(last / reach)))
+    near = candidates.withColumn("stretch", stretches(F.col("start") - reach, F.col("end") + reach)).alias("c")
+    there = parts.where(F.col("kind").isin(kinds)).select("row", "scope", "start", "end", stretches(F.col("start"), F.col("end")).alias("stretch")).alias("p")
+    on = [F.col(f"c.{c}") == F.col(f"p.{c}") for c in ("row", "scope", "stretch")]
+    gap = F.greatest("p.start", "c.start") - F.least("p.end", "c.end")
+    return near.join(there, [*on, gap <= reach], "left_semi").drop("stretch").distinct()
+
+
+def linked(rows: DataFrame, reach: int = REACH) -> DataFrame:
+    """(row, scope, kind, start, end) of the weak candidates in ``rows`` (of ``staged``) whose complementary parts co-occur."""
+    parts = written(_parts(rows), "parts")
     of = {k: parts.where(F.col("kind") == k) for k in ("key", "id", "endpoint")}
     return (_beside(of["key"], parts, IDENTIFIERS, reach)
             .unionByName(_beside(of["id"], parts, SECRETS, reach))
@@ -115,14 +120,14 @@ def _told(spans: Column) -> Column:
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """For each row of ``docs``: doc_id, n_assign, n_access, n_hex,
     base_sha256, spans (all, as text) and n_linked."""
-    text = whole_text()
-    base = docs.select(F.col("doc_id").alias("doc_id"), _key(docs).alias("key"), *[_all(text, k).alias(k) for k in KINDS[:3]])
-    added = linked(docs, reach).groupBy("key").agg(F.collect_list(F.struct(
+    base = staged(docs)
+    added = linked(base, reach).groupBy("row").agg(F.collect_list(F.struct(
         "start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int").alias("rank"), "end", "kind")).alias("added"))
-    rows = base.join(added, "key", "left").withColumn("own", F.concat(*KINDS[:3]))
+    rows = base.select("row", "doc_id", "own").join(added, "row", "left")
     more = F.coalesce(F.col("added"), F.array().cast(SPANS))
     return rows.select(
-        "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]], F.sha2(_told(F.col("own")).cast("binary"), 256).alias("base_sha256"),
+        "doc_id", *[F.size(F.filter("own", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]],
+        F.sha2(_told(F.col("own")).cast("binary"), 256).alias("base_sha256"),
         _told(F.concat("own", more)).alias("spans"), F.size(more).cast("bigint").alias("n_linked"))
 
 
@@ -142,7 +147,7 @@ def _oracle() -> str:
 
     def beside(kinds: list[str]) -> str:
         return (f"EXISTS (SELECT 1 FROM parts y WHERE y.k = x.k AND y.scope = x.scope AND y.kind IN ({', '.join(map(text, kinds))}) "
-                f"AND abs(y.a - x.a) <= {REACH})")
+                f"AND greatest(y.a, x.a) - least(y.a + y.n, x.a + x.n) <= {REACH})")
     told = "string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, rank)"
     return f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
