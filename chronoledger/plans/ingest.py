@@ -6,11 +6,13 @@ Each step is a function ``(tables, raw, ...) -> (tables, counts)`` over
 tables the step changed. Fetched data arrives as stored API pages in the raw
 table (``raw.api_responses``); steps reprocess those pages instead of calling
 an API. ``counts`` is a small DataFrame (ingestion_id, step, n_rows) of rows
-returned per run and step, before deduplication.
+returned per run and step, before deduplication and caps.
 
-``run_ingestion`` chains the steps. With a ``TableStore`` every changed
-table is published as a new version after each step (which also cuts the
-lineage); otherwise changed tables are checkpointed to the shared
+Besides the next versions, a step returns the changes that make them
+(``CHANGES``: the rows to merge, and the merge). ``run_ingestion`` chains the
+steps. With a ``TableStore`` each step's changes are applied to the parts of
+the tables that they touch, and to no others (which also cuts the lineage);
+otherwise changed tables are checkpointed to the shared
 ``spark.checkpoint.dir`` when ``cut_lineage`` is set.
 """
 
@@ -29,6 +31,7 @@ from chronoledger.operators import queue as Q
 from chronoledger.operators.dedupe import latest_per_key
 from chronoledger.operators.snapshots import snapshot_rows
 from chronoledger.operators.topn import bounded_per_group
+from chronoledger.sources.tables import RECEIVED, Change
 
 OUTCOME_KEYS = ["ingestion_id", "video_id", "step"]
 ITEM_ORDER = ["received_at", "ingestion_id", "page_no", "item_pos"]
@@ -61,15 +64,13 @@ def _first_items(items: DataFrame, parents: list[str], limit: int) -> DataFrame:
     return bounded_per_group(once, parents, [F.col("__first"), F.col("comment_id")], limit).drop("__first")
 
 
-APPENDS = "__appends__"
+CHANGES = "__changes__"
 
 
-def _append_only(tables: dict, name: str, target: DataFrame, new_rows: DataFrame) -> dict:
-    """Record ``new_rows`` as an append to ``name``; the in-memory view of
-    the table is target + new rows, a store appends only the new rows."""
-    appends = dict(tables.get(APPENDS, {}))
-    appends[name] = new_rows
-    return {name: target.unionByName(new_rows), APPENDS: appends}
+def _changed(tables: dict, **changes: Change) -> dict:
+    """The next versions of the tables that ``changes`` change, and the changes."""
+    out = {name: c.merge(tables[name], c.rows) for name, c in changes.items()}
+    return {**tables, **out, CHANGES: changes}
 
 
 # Step that fetches each stored resource.
@@ -97,9 +98,26 @@ def _counts(items: DataFrame, step: str) -> DataFrame:
         "ingestion_id", F.lit(step).alias("step"), "n_rows")
 
 
-def _upsert_latest(target: DataFrame, items: DataFrame, key: str, cols, as_of) -> DataFrame:
-    latest = latest_per_key(items, key, ITEM_ORDER).select(*cols).withColumn("ingested_at", _ts(as_of))
-    return M.upsert(target, latest, key)
+def upsert_newer(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Upsert in which a row from a page received earlier does not replace
+    one from a later page. A target without receive times takes every row."""
+    if RECEIVED not in target.columns:
+        return M.upsert(target, rows.drop(RECEIVED), key)
+    return M.upsert(target, rows, key, matched_condition=f"t.{RECEIVED} IS NULL OR s.{RECEIVED} >= t.{RECEIVED}")
+
+
+def _latest(items: DataFrame, table: str, key: str, as_of) -> Change:
+    """The latest row of each entity in ``items``, to be upserted into ``table``."""
+    cols = [f.name for f in S.schema(table).fields if f.name != "ingested_at"]
+    rows = latest_per_key(items, key, ITEM_ORDER).select(*cols, _ts(as_of).alias("ingested_at"), F.col("received_at").alias(RECEIVED))
+    return Change(rows, lambda t, r: upsert_newer(t, r, key), unique=(key,))
+
+
+def _snapshots(items: DataFrame, entity: str, key: str, as_of) -> Change:
+    """One snapshot for each entity and run of ``items``; those that are there stay."""
+    per_run = latest_per_key(items, [key, "ingestion_id"], ITEM_ORDER)
+    rows = snapshot_rows(per_run, entity, F.col("ingestion_id"), as_of)
+    return Change(rows, lambda t, r: t.unionByName(M.rows_to_insert(t, r, [key, "ingestion_id"])), unique=(key, "ingestion_id"))
 
 
 def claim(tables: dict, ingestion_id: str, as_of, batch_size: int = 20) -> tuple[dict, DataFrame]:
@@ -111,16 +129,17 @@ def claim(tables: dict, ingestion_id: str, as_of, batch_size: int = 20) -> tuple
     rows = [tuple(r) for r in due.collect()]
     claimed = spark.createDataFrame(rows, due.schema)
     run = spark.range(1).select(F.lit(ingestion_id).alias("ingestion_id"))
-    runs = tables["ingestion_runs"].unionByName(Q.open_runs(spark, run, as_of))
-    out = dict(tables)
+    done = run.select("ingestion_id", F.lit(S.RUN_SUCCESS).alias("status"), F.lit(None).cast("string").alias("error_message"),
+                      F.lit(None).cast("string").alias("channel_name"))
+
+    def opened(runs: DataFrame, new: DataFrame) -> DataFrame:
+        # a claim that is done again finds its run open
+        runs = M.insert_only(runs, new, "ingestion_id", strategy="broadcast")
+        return runs if rows else Q.finish_runs_merge(runs, done, as_of, strategy="broadcast")
+    changes = {"ingestion_runs": Change(Q.open_runs(spark, run, as_of), opened)}
     if rows:
-        out["video_processing_state"] = Q.claim_merge(tables["video_processing_state"], claimed, ingestion_id, as_of)
-    else:
-        done = run.select("ingestion_id", F.lit(S.RUN_SUCCESS).alias("status"),
-                          F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("string").alias("channel_name"))
-        runs = Q.finish_runs_merge(runs, done, as_of, strategy="broadcast")
-    out["ingestion_runs"] = runs
-    return out, spark.createDataFrame([(ingestion_id, "claim", len(rows))], "ingestion_id string, step string, n_rows long")
+        changes["video_processing_state"] = Change(claimed, lambda t, c: Q.claim_merge(t, c, ingestion_id, as_of))
+    return _changed(tables, **changes), spark.createDataFrame([(ingestion_id, "claim", len(rows))], "ingestion_id string, step string, n_rows long")
 
 
 def apply_videos(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None = None) -> tuple[dict, DataFrame]:
@@ -130,17 +149,11 @@ def apply_videos(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None =
         owned = Q.owned_targets(tables["video_targets"], tables["video_processing_state"])
     pages = raw.where(F.col("resource") == "videos").join(_runs_of(owned), "ingestion_id", "left_semi")
     items = N.normalize_videos(pages)
-    cols = [f.name for f in S.VIDEOS.fields if f.name != "ingested_at"]
-    videos = _upsert_latest(tables["videos"], items, "video_id", cols, as_of)
-    per_run = latest_per_key(items, ["video_id", "ingestion_id"], ITEM_ORDER)
-    new_snaps = M.rows_to_insert(tables["video_snapshots"],
-                                 snapshot_rows(per_run, "videos", F.col("ingestion_id"), as_of),
-                                 ["video_id", "ingestion_id"])
     outs = OC.found_outcomes(owned, items, "video_id", "fetch_videos", S.ST_NOT_FOUND,
                              S.MSG_VIDEO_NOT_FOUND, as_of)
-    out = dict(tables, videos=videos,
-               ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
-    out.update(_append_only(tables, "video_snapshots", tables["video_snapshots"], new_snaps))
+    out = _changed(tables, videos=_latest(items, "videos", "video_id", as_of),
+                   video_snapshots=_snapshots(items, "videos", "video_id", as_of),
+                   ingestion_step_outcomes=Change(outs, record_outcomes, unique=tuple(OUTCOME_KEYS)))
     return out, _counts(items, "fetch_videos")
 
 
@@ -153,16 +166,10 @@ def apply_channels(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None
     vc = OC.parent_lookup(ok, tables["videos"])
     pages = raw.where(F.col("resource") == "channels").join(_runs_of(vc), "ingestion_id", "left_semi")
     items = N.normalize_channels(pages)
-    cols = [f.name for f in S.CHANNELS.fields if f.name != "ingested_at"]
-    channels = _upsert_latest(tables["channels"], items, "channel_id", cols, as_of)
-    per_run = latest_per_key(items, ["channel_id", "ingestion_id"], ITEM_ORDER)
-    new_snaps = M.rows_to_insert(tables["channel_snapshots"],
-                                 snapshot_rows(per_run, "channels", F.col("ingestion_id"), as_of),
-                                 ["channel_id", "ingestion_id"])
     outs = OC.parent_outcomes(vc, items.select("ingestion_id", "channel_id"), as_of)
-    out = dict(tables, channels=channels,
-               ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
-    out.update(_append_only(tables, "channel_snapshots", tables["channel_snapshots"], new_snaps))
+    out = _changed(tables, channels=_latest(items, "channels", "channel_id", as_of),
+                   channel_snapshots=_snapshots(items, "channels", "channel_id", as_of),
+                   ingestion_step_outcomes=Change(outs, record_outcomes, unique=tuple(OUTCOME_KEYS)))
     return out, _counts(items, "fetch_channels")
 
 
@@ -177,21 +184,18 @@ def apply_comments(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None
     ok = OC.succeeded_entities(owned, tables["ingestion_step_outcomes"], "fetch_videos").select(
         "ingestion_id", "video_id")
     pages = raw.where(F.col("resource") == "commentThreads").join(_runs_of(ok), "ingestion_id", "left_semi")
-    items = N.normalize_comments(pages).join(ok, ["ingestion_id", "video_id"], "left_semi")
-    items = _first_items(items, ["ingestion_id", "video_id"], max_comments_per_video)
-    cols = [f.name for f in S.COMMENTS.fields if f.name != "ingested_at"]
-    comments = _upsert_latest(tables["comments"], items, "comment_id", cols, as_of)
-    handoff = M.replace_slice(tables["ingestion_comments"], "ingestion_id", ok,
-                              items.select("ingestion_id", "video_id", "comment_id"),
-                              required=["video_id", "comment_id"], dedupe_keys=["ingestion_id", "comment_id"])
+    returned = N.normalize_comments(pages).join(ok, ["ingestion_id", "video_id"], "left_semi")
+    items = _first_items(returned, ["ingestion_id", "video_id"], max_comments_per_video)
+    handoff = Change(items.select("ingestion_id", "video_id", "comment_id"), lambda t, r: M.replace_slice(
+        t, "ingestion_id", ok, r, required=["video_id", "comment_id"], dedupe_keys=["ingestion_id", "comment_id"]), keys=ok)
     if failures is None:
         failures = ok.sparkSession.createDataFrame([], FAILURE)
     res = OC.comment_outcomes(ok, failures, ["ingestion_id", "video_id"])
     outs = res.select("ingestion_id", "video_id", F.lit("fetch_comments").alias("step"), "status",
                       _ts(as_of).alias("completed_at"), "error_message")
-    out = dict(tables, comments=comments, ingestion_comments=handoff,
-               ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
-    return out, _counts(items, "fetch_comments")
+    out = _changed(tables, comments=_latest(items, "comments", "comment_id", as_of), ingestion_comments=handoff,
+                   ingestion_step_outcomes=Change(outs, record_outcomes, unique=tuple(OUTCOME_KEYS)))
+    return out, _counts(returned, "fetch_comments")
 
 
 def apply_replies(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None = None,
@@ -207,10 +211,8 @@ def apply_replies(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None =
     staged = parents.where(F.col("comment_id").isNotNull()).select(
         "ingestion_id", F.col("comment_id").alias("parent_id"))
     pages = raw.where(F.col("resource") == "comments").join(_runs_of(videos), "ingestion_id", "left_semi")
-    items = N.normalize_replies(pages).join(staged, ["ingestion_id", "parent_id"], "left_semi")
-    items = _first_items(items, ["ingestion_id", "parent_id"], max_replies_per_comment)
-    cols = [f.name for f in S.REPLIES.fields if f.name != "ingested_at"]
-    replies = _upsert_latest(tables["replies"], items, "comment_id", cols, as_of)
+    returned = N.normalize_replies(pages).join(staged, ["ingestion_id", "parent_id"], "left_semi")
+    items = _first_items(returned, ["ingestion_id", "parent_id"], max_replies_per_comment)
     if failures is None:
         failures = videos.sparkSession.createDataFrame([], FAILURE)
     res = OC.comment_outcomes(videos, failures, ["ingestion_id", "video_id"])
@@ -219,9 +221,9 @@ def apply_replies(tables: dict, raw: DataFrame, as_of, owned: DataFrame | None =
     err = F.when(F.col("category").isNotNull(), F.col("message"))
     outs = res.select("ingestion_id", "video_id", F.lit("fetch_replies").alias("step"), status.alias("status"),
                       _ts(as_of).alias("completed_at"), err.alias("error_message"))
-    out = dict(tables, replies=replies,
-               ingestion_step_outcomes=record_outcomes(tables["ingestion_step_outcomes"], outs))
-    return out, _counts(items, "fetch_replies")
+    out = _changed(tables, replies=_latest(items, "replies", "comment_id", as_of),
+                   ingestion_step_outcomes=Change(outs, record_outcomes, unique=tuple(OUTCOME_KEYS)))
+    return out, _counts(returned, "fetch_replies")
 
 
 def finalize(tables: dict, as_of, owned: DataFrame | None = None) -> tuple[dict, DataFrame]:
@@ -230,34 +232,30 @@ def finalize(tables: dict, as_of, owned: DataFrame | None = None) -> tuple[dict,
     if owned is None:
         owned = Q.owned_targets(tables["video_targets"], tables["video_processing_state"])
     fin = OC.finalize_targets(owned, tables["ingestion_step_outcomes"])
-    handoff = tables["ingestion_comments"].join(_runs_of(owned), "ingestion_id", "left_anti")
-    state = Q.finish_targets_merge(tables["video_processing_state"], fin, as_of)
     names = OC.run_channel_names(owned, tables["videos"], tables["channels"])
     closed = OC.finalize_runs(fin).join(names, "ingestion_id", "left").select(
         "ingestion_id", "status", F.lit(None).cast("string").alias("error_message"), "channel_name")
-    runs = Q.finish_runs_merge(tables["ingestion_runs"], closed, as_of)
-    out = dict(tables, ingestion_comments=handoff, video_processing_state=state, ingestion_runs=runs)
+    out = _changed(
+        tables,
+        ingestion_comments=Change(_runs_of(owned), lambda t, r: t.join(r, "ingestion_id", "left_anti")),
+        ingestion_runs=Change(closed, lambda t, r: Q.finish_runs_merge(t, r, as_of), unique=("ingestion_id",)),
+        video_processing_state=Change(fin, lambda t, r: Q.finish_targets_merge(t, r, as_of), unique=("video_id",)))
     counts = fin.groupBy("ingestion_id").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "ingestion_id", F.lit("finalize").alias("step"), "n_rows")
     return out, counts
 
 
 def _cut(tables: dict, changed: set, store=None) -> dict:
-    """Publish (or checkpoint) the changed tables in a fixed order."""
-    out = dict(tables)
-    appends = out.pop(APPENDS, {})
-    order = [n for n in sorted(changed) if n not in PUBLISH_LAST and n != APPENDS] + [n for n in PUBLISH_LAST if n in changed]
+    """Apply the changes to the store (or checkpoint the changed tables) in a fixed order."""
+    out = {k: v for k, v in tables.items() if k != CHANGES}
+    order = [n for n in sorted(changed) if n not in PUBLISH_LAST] + [n for n in PUBLISH_LAST if n in changed]
     for name in order:
-        df = tables[name]
         if store is not None:
             layer = next(layer for (layer, t) in S.TABLES if t == name)
-            if name in appends:  # append-only history: add the new rows only
-                store.append(layer, name, appends[name])
-            else:
-                store.publish(layer, name, df)
+            store.apply(layer, name, tables[CHANGES][name])
             out[name] = store.read(layer, name)
         else:
-            out[name] = df.checkpoint(eager=True)
+            out[name] = tables[name].checkpoint(eager=True)
     return out
 
 
@@ -285,14 +283,11 @@ def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_
         nonlocal tables
         before = dict(tables)
         new, c = fn(tables, *a, **kw)
-        changed = {k for k in new if k != APPENDS and new[k] is not before.get(k)}
+        changed = set(new[CHANGES])
         if resource and own.where(F.col("resource") == resource).isEmpty():
             new = {k: before.get(k) if k in ENTITY_TABLES[resource] else v for k, v in new.items()}
             changed -= ENTITY_TABLES[resource]
-        if APPENDS in new:
-            new = dict(new)
-            new[APPENDS] = {k: v for k, v in new[APPENDS].items() if k in changed}
-        tables = _cut(new, changed, store) if (cut_lineage or store is not None) else new
+        tables = _cut(new, changed, store) if (cut_lineage or store is not None) else {k: v for k, v in new.items() if k != CHANGES}
         counts.append(c)
 
     step(claim, ingestion_id, as_of, batch_size)

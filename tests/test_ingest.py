@@ -2,11 +2,12 @@
 
 import datetime as dt
 import json
+import os
 import tempfile
 
 from chronoledger import schemas as S
 from chronoledger.plans import ingest as IG
-from chronoledger.sources.tables import TableStore
+from chronoledger.sources.tables import TableStore, conform
 
 RAW = S.API_RESPONSES
 
@@ -93,15 +94,15 @@ def test_finalise_is_safe_to_repeat(spark, monkeypatch):
     at = "2024-01-01 00:00:00"
     for stop_after in ("ingestion_comments", "ingestion_runs", "video_processing_state"):
         store, load = _store(spark, ("v1", "v2", "v3"))
-        real = TableStore.publish
+        real = TableStore.apply
         armed = []
 
-        def publish(self, layer, table, df):
-            n = real(self, layer, table, df)
+        def apply(self, layer, table, change):
+            n = real(self, layer, table, change)
             if armed and table == stop_after:
                 raise RuntimeError("stopped")
             return n
-        monkeypatch.setattr(TableStore, "publish", publish)
+        monkeypatch.setattr(TableStore, "apply", apply)
         original = IG.finalize
 
         def arm(*a, **kw):
@@ -114,10 +115,10 @@ def test_finalise_is_safe_to_repeat(spark, monkeypatch):
         except RuntimeError:
             pass
         monkeypatch.setattr(IG, "finalize", original)
-        monkeypatch.setattr(TableStore, "publish", real)
+        monkeypatch.setattr(TableStore, "apply", real)
         tables = load()
         new, _ = IG.finalize(tables, at, _owned(spark, tables, "run1"))
-        IG._cut(new, {k for k in new if new[k] is not tables.get(k)}, store)
+        IG._cut(new, set(new[IG.CHANGES]), store)
         run = store.read("control", "ingestion_runs").collect()[0]
         assert run.status == "PARTIAL_SUCCESS" and run.ended_at is not None, stop_after
         assert {r.video_id: r.status for r in store.read("control", "video_processing_state").collect()} == {
@@ -174,3 +175,56 @@ def test_nothing_due_closes_run(spark):
     tables, _ = IG.claim(empty, "runX", "2024-01-01 00:00:00", 5)
     r = tables["ingestion_runs"].collect()[0]
     assert r.status == "SUCCESS" and r.ended_at is not None
+
+
+def test_a_small_run_writes_only_the_parts_it_touches(spark):
+    """A run of two videos on a table of 3,000 leaves all other parts as they are."""
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-store-"), buckets=32)
+    store.create_all()
+    t0 = dt.datetime(2024, 1, 1)
+    targets = [(v, True, 1, 1, t0, t0) for v in ("v1", "v2")] + [(f"old{i}", False, 1, 1, t0, t0) for i in range(3000)]
+    store.publish("control", "video_targets", spark.createDataFrame(targets, S.VIDEO_TARGETS))
+    store.publish("silver", "videos", conform(spark.range(3000).selectExpr("concat('old', id) AS video_id", "'x' AS title", "TIMESTAMP_NTZ'2023-01-01' AS ingested_at"), S.VIDEOS))
+    old = spark.range(3000).selectExpr("concat('old', id) AS video_id", "'SUCCESS' AS status", "1 AS attempt_count")
+    store.publish("control", "video_processing_state", conform(old, S.VIDEO_PROCESSING_STATE))
+    before = {t: store.live(layer, t) for (layer, t) in S.TABLES}
+
+    def load():
+        return {t: store.read(layer, t) for (layer, t) in S.TABLES if t != "api_responses"}
+    IG.run_ingestion(load(), raw_for(spark, "run1", t0, 7), "run1", "2024-01-01 00:00:00", 10, store=store)
+    for layer, table, most in (("silver", "videos", 2), ("control", "video_processing_state", 2), ("control", "ingestion_step_outcomes", 1)):
+        after = store.live(layer, table)
+        assert 0 < sum(after[p] != before[table].get(p) for p in after) <= most, table
+    assert len(before["videos"]) == 32
+    newest = store.versions("silver", "videos")[-1]
+    base = os.path.join(store.path("silver", "videos"), f"v={newest}")
+    files = [f for _, _, names in os.walk(base) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2
+    assert store.read("silver", "videos").count() == 3002 and store.read("control", "video_processing_state").count() == 3002
+    feed = store.changes("silver", "videos", store.versions("silver", "videos")[-2], newest).collect()
+    assert sorted((r.video_id, r._change_type) for r in feed) == [("v1", "insert"), ("v2", "insert")]
+
+
+def test_counts_are_taken_before_caps_and_copies(spark):
+    store, load = _store(spark, ("v1", "v2"))
+    t0 = dt.datetime(2024, 1, 1)
+    raw = raw_for(spark, "run1", t0, 5)
+    raw = raw.unionByName(raw.where("resource = 'comments'"))  # a page that was stored again
+    _, counts = IG.run_ingestion(load(), raw, "run1", "2024-01-01 00:00:00", 10, max_replies_per_comment=1, store=store)
+    assert {(r.step, r.n_rows) for r in counts.collect()} >= {("fetch_comments", 1), ("fetch_replies", 4)}
+    assert store.read("silver", "replies").count() == 1
+
+
+def test_a_run_done_again_changes_nothing(spark):
+    store, load = _store(spark, ("v1", "v2", "v3"))
+    t0, at = dt.datetime(2024, 1, 1), "2024-01-01 00:00:00"
+    raw = raw_for(spark, "run1", t0, 5)
+    tables, _ = IG.claim(load(), "run1", at, 10)
+    IG._cut(tables, set(tables[IG.CHANGES]), store)
+    owned = _owned(spark, load(), "run1")
+    seen = []
+    for _ in range(2):
+        new, _ = IG.apply_videos(load(), raw, at, owned)
+        IG._cut(new, set(new[IG.CHANGES]), store)
+        seen.append({t: sorted(map(str, store.read(layer, t).collect())) for (layer, t) in S.TABLES})
+    assert seen[0] == seen[1] and len(seen[0]["video_snapshots"]) == 2

@@ -39,13 +39,66 @@ def test_raw_partitioned_by_resource(spark):
     raw = spark.createDataFrame([("r", "videos", "{}", "{}", t, 0), ("r", "channels", "{}", "{}", t, 0)],
                                 S.API_RESPONSES)
     store.append("raw", "api_responses", raw)
-    store.append("raw", "api_responses", raw)
-    base = os.path.join(store.path("raw", "api_responses"), "v=1")
-    assert sorted(p for p in os.listdir(base) if p.startswith("resource=")) == ["resource=channels",
-                                                                               "resource=videos"]
+    n = store.append("raw", "api_responses", raw)
+    base = os.path.join(store.path("raw", "api_responses"), f"v={n}")
+    part = os.path.join(base, next(p for p in os.listdir(base) if p.startswith("part=")))
+    assert sorted(p for p in os.listdir(part) if p.startswith("resource=")) == ["resource=channels", "resource=videos"]
     back = store.read("raw", "api_responses")
     assert back.columns == S.API_RESPONSES.fieldNames()
     assert back.where("resource = 'videos'").count() == 2
+    plan = back.where("resource = 'videos'")._jdf.queryExecution().executedPlan().toString()
+    assert "resource" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_batch_appended_again_replaces_itself(spark):
+    """A task that is stopped after its write and done again doubles no page; other batches stay."""
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"))
+    t = dt.datetime(2024, 1, 1)
+
+    def pages(run, n):
+        return spark.createDataFrame([(run, "videos", "{}", f"{k}", t, k) for k in range(n)], S.API_RESPONSES)
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            computed.add(1)
+            yield r
+    store.append("raw", "api_responses", pages("r1", 3), batch="r1-videos")
+    store.append("raw", "api_responses", pages("r2", 2), batch="r2-videos")
+    again = spark.createDataFrame(pages("r1", 4).rdd.mapPartitions(counted), S.API_RESPONSES)
+    store.append("raw", "api_responses", again, batch="r1-videos")
+    assert computed.value == 4  # the batch is computed once
+    assert sorted((r.ingestion_id, r.response_json) for r in store.read("raw", "api_responses").select("ingestion_id", "response_json").collect()) == [
+        ("r1", "0"), ("r1", "1"), ("r1", "2"), ("r1", "3"), ("r2", "0"), ("r2", "1")]
+    store.publish("raw", "api_responses", store.read("raw", "api_responses"))
+    assert len(store.live("raw", "api_responses")) == 1 and store.read("raw", "api_responses").count() == 6
+
+
+def test_parts_replaced_emptied_and_read_alone(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"), buckets=8)
+    rows = spark.range(100).selectExpr("'run' || id % 4 AS ingestion_id", "'v' AS video_id", "'c' || id AS comment_id")
+    store.publish("control", "ingestion_comments", rows)
+    one = rows.where("ingestion_id = 'run1'")
+    parts = store.parts("ingestion_comments", one)
+    kept = store.read("control", "ingestion_comments", parts).where("ingestion_id <> 'run1'")
+    before = store.read("control", "ingestion_comments")
+    store.replace("control", "ingestion_comments", kept, parts)
+    assert store.read("control", "ingestion_comments").where("ingestion_id = 'run1'").count() == 0
+    assert store.read("control", "ingestion_comments").count() == 75 and before.count() == 100
+    assert store.read("control", "ingestion_comments", version=1).count() == 100
+    # a stopped writer's folder doesn't count, and the next version has a number of its own
+    os.makedirs(os.path.join(store.path("control", "ingestion_comments"), "v=3", f"part={parts[0]}"))
+    assert store.read("control", "ingestion_comments").count() == 75
+    assert store.replace("control", "ingestion_comments", one, store.parts("ingestion_comments", one)) == 4
+    feed = store.changes("control", "ingestion_comments", 2, 4)
+    assert {r._change_type for r in feed.collect()} <= {"insert", "delete"} and feed.where("ingestion_id = 'run1'").count() == 25
+    with pytest.raises(ValueError, match="8 buckets"):
+        TableStore(spark, store.root, buckets=16)
+    from chronoledger.sources.tables import Change
+    with pytest.raises(ValueError, match="repeat a key"):
+        store.apply("control", "ingestion_comments", Change(one.unionByName(one), lambda t, r: t, unique=("ingestion_id", "comment_id")))
+    with pytest.raises(ValueError, match="merged by key"):
+        store.append("silver", "videos", spark.createDataFrame([], S.VIDEOS))
 
 
 def test_conform_and_add_column(spark):
@@ -82,9 +135,9 @@ def test_empty_batches_are_noops(spark):
 
     store = TableStore(spark, tempfile.mkdtemp(prefix="cl-tbl-"))
     store.create_all()
-    before = sorted(os.listdir(os.path.join(store.path("raw", "api_responses"), "v=1")))
+    before = sorted(os.listdir(store.path("raw", "api_responses")))
     store.append("raw", "api_responses", spark.createDataFrame([], S.API_RESPONSES))
-    assert sorted(os.listdir(os.path.join(store.path("raw", "api_responses"), "v=1"))) == before
+    assert sorted(os.listdir(store.path("raw", "api_responses"))) == before
     t = spark.createDataFrame([("a", 1)], "k string, v bigint")
     empty = spark.createDataFrame([], "k string, v bigint")
     for strategy in ("broadcast", "shuffle"):
