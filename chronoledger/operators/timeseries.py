@@ -136,6 +136,41 @@ def locf_spans_from_rollup(rollup: DataFrame, key, as_of, days: int = 90,
     return _spans(daily, keys, end, require_not_null, name)
 
 
+def seed_day(as_of, days: int) -> _dt.date:
+    """The day whose seed a window needs: the first of the month in which it begins."""
+    end = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of)[:10])
+    start = _dt.date(end.year, end.month, end.day) - _dt.timedelta(days=days - 1)
+    return start.replace(day=1)
+
+
+def next_seed(seed: DataFrame | None, rollup: DataFrame, key, since, until, name: str = "day") -> DataFrame:
+    """Maintained seed: each entity's latest rollup row before the day
+    ``until`` (key, ``seed_day``, ``__last``, ``__o``), from the seed of the
+    day ``since`` and the rollup's days between (from the whole rollup
+    without one). Store it partitioned by ``seed_day``, a day for each month."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = rollup.where(f"{name} < to_date('{until}')").select(*keys, "__last", "__o")
+    if seed is not None:
+        rows = rollup.where(f"{name} >= to_date('{since}') AND {name} < to_date('{until}')").select(*keys, "__last", "__o")
+        rows = rows.unionByName(seed.where(f"seed_day = to_date('{since}')").select(*keys, "__last", "__o"))
+    return rows.groupBy(*keys).agg(F.expr("max_by(__last, __o)").alias("__last"), F.expr("max(__o)").alias("__o")).select(
+        *keys, F.expr(f"to_date('{until}')").alias("seed_day"), "__last", "__o")
+
+
+def locf_spans_from_seed(rollup: DataFrame, seeds: DataFrame, key, as_of, days: int = 90,
+                         require_not_null: str | None = None, name: str = "day") -> DataFrame:
+    """``locf_spans_from_rollup`` that reads no history: the rollup from the
+    seed's day on, and that day's seed. Both filters are literal days, so
+    partitions by ``name`` and ``seed_day`` are pruned."""
+    keys = [key] if isinstance(key, str) else list(key)
+    start, end = _bounds_sql(as_of, days)
+    since = f"to_date('{seed_day(as_of, days)}')"
+    rows = rollup.where(f"{name} >= {since} AND {name} <= {end}").selectExpr(*keys, f"greatest({name}, {start}) AS {name}", "__last", "__o")
+    rows = rows.unionByName(seeds.where(f"seed_day = {since}").selectExpr(*keys, f"{start} AS {name}", "__last", "__o"))
+    daily = rows.groupBy(*keys, name).agg(F.expr("max_by(__last, __o)").alias("__last"))
+    return _spans(daily, keys, end, require_not_null, name)
+
+
 def expand_spans(spans: DataFrame, carry, name: str = "day") -> DataFrame:
     """One row per day of every span, with the carried columns unpacked."""
     others = [c for c in spans.columns if c not in ("__last", "__from", "__to")]

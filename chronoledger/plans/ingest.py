@@ -67,10 +67,26 @@ def _first_items(items: DataFrame, parents: list[str], limit: int) -> DataFrame:
 CHANGES = "__changes__"
 
 
+class _Next(dict):
+    """Tables after a step: those that changed are merged when they are asked
+    for (a store applies the changes themselves)."""
+
+    def __init__(self, tables: dict, changes: dict):
+        super().__init__({k: tables[k] for k in tables if k != CHANGES})
+        self[CHANGES] = changes
+        self._waiting = set(changes)
+
+    def __getitem__(self, name):
+        if name in self._waiting:
+            self._waiting.discard(name)
+            change = self[CHANGES][name]
+            self[name] = change.merge(super().__getitem__(name), change.rows)
+        return super().__getitem__(name)
+
+
 def _changed(tables: dict, **changes: Change) -> dict:
     """The next versions of the tables that ``changes`` change, and the changes."""
-    out = {name: c.merge(tables[name], c.rows) for name, c in changes.items()}
-    return {**tables, **out, CHANGES: changes}
+    return _Next(tables, changes)
 
 
 # Step that fetches each stored resource.
@@ -247,7 +263,7 @@ def finalize(tables: dict, as_of, owned: DataFrame | None = None) -> tuple[dict,
 
 def _cut(tables: dict, changed: set, store=None) -> dict:
     """Apply the changes to the store (or checkpoint the changed tables) in a fixed order."""
-    out = {k: v for k, v in tables.items() if k != CHANGES}
+    out = {k: dict.__getitem__(tables, k) for k in tables if k != CHANGES}
     order = [n for n in sorted(changed) if n not in PUBLISH_LAST] + [n for n in PUBLISH_LAST if n in changed]
     for name in order:
         if store is not None:
@@ -278,16 +294,18 @@ def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_
     Q.validate_limit(max_replies_per_comment, "max_replies_per_comment")
     counts = []
     own = raw.where(F.col("ingestion_id") == ingestion_id)
+    fetched: set[str] = set()
 
     def step(fn, *a, resource: str | None = None, **kw):
         nonlocal tables
-        before = dict(tables)
         new, c = fn(tables, *a, **kw)
         changed = set(new[CHANGES])
-        if resource and own.where(F.col("resource") == resource).isEmpty():
-            new = {k: before.get(k) if k in ENTITY_TABLES[resource] else v for k, v in new.items()}
+        if resource and resource not in fetched:
             changed -= ENTITY_TABLES[resource]
-        tables = _cut(new, changed, store) if (cut_lineage or store is not None) else {k: v for k, v in new.items() if k != CHANGES}
+        if cut_lineage or store is not None:
+            tables = _cut(new, changed, store)
+        else:
+            tables = {k: new[k] if k in changed else v for k, v in tables.items()}
         counts.append(c)
 
     step(claim, ingestion_id, as_of, batch_size)
@@ -295,6 +313,7 @@ def run_ingestion(tables: dict, raw: DataFrame, ingestion_id: str, as_of, batch_
         return tables, counts[0]
     run = raw.sparkSession.range(1).select(F.lit(ingestion_id).alias("ingestion_id"))
     owned = Q.owned_targets(tables["video_targets"], tables["video_processing_state"], run)
+    fetched |= {r.resource for r in own.select("resource").distinct().collect()}  # a handful of names
     try:
         step(apply_videos, own, as_of, owned, resource="videos")
         step(apply_channels, own, as_of, owned, resource="channels")

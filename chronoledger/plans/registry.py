@@ -82,6 +82,25 @@ def q_video_trend_rollup(spark, d):
                                          TREND_AS_OF, TREND_DAYS)
 
 
+@register("video_trend_seeded", VT_SQL, [CAL90])
+def q_video_trend_seeded(spark, d):
+    """The flagship trend from a rollup and the seed of its first month, itself
+    made from the seed of an earlier month and the days between."""
+    from chronoledger.operators.timeseries import daily_rollup, next_seed, seed_day
+    name = "collected_date"
+    rollup = daily_rollup(SI.video_snapshots(spark, d), "video_id", "collected_at", ["ingestion_id"], serve.VIDEO_METRICS, name=name)
+    day = seed_day(TREND_AS_OF, TREND_DAYS)
+    before = day.replace(year=day.year - 1)
+    seeds = next_seed(next_seed(None, rollup, "video_id", None, before, name), rollup, "video_id", before, day, name)
+    return serve.video_trend_from_seed(SI.targets(spark, d), rollup, seeds, SI.videos(spark, d), TREND_AS_OF, TREND_DAYS)
+
+
+@register("video_trend_by_day", VT_SQL + "\nORDER BY d.collected_date, a.video_id", [CAL90])
+def q_video_trend_by_day(spark, d):
+    """The flagship trend in the order in which it is served."""
+    return serve.by_day(q_video_trend(spark, d))
+
+
 @register("channel_trend", CT_SQL, [("ac", AC_SQL), CAL90])
 def q_channel_trend(spark, d):
     return _channel_trend(spark, d)

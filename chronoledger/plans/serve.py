@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chronoledger.operators.dedupe import latest_per_key
 from chronoledger.operators.timeseries import (calendar_spine, expand_spans, last_at_or_before, locf_spans,
-                                               locf_spans_from_rollup, total_by_day_from_spans)
+                                               locf_spans_from_rollup, locf_spans_from_seed, total_by_day_from_spans)
 
 
 def _ts(as_of):
@@ -88,36 +88,53 @@ def runs_recent(runs: DataFrame, as_of, days: int = 30, limit: int = 500) -> Dat
             .limit(limit))
 
 
+VIDEO_METRICS = ["view_count", "like_count", "comment_count"]
+CHANNEL_METRICS = ["subscriber_count", "video_count"]
+
+
+def _video_days(spans: DataFrame, videos: DataFrame) -> DataFrame:
+    # titles are decorated per span (before the days are expanded)
+    dim = videos.select("video_id", F.col("title").alias("video_title"), "channel_title")
+    t = expand_spans(spans.join(dim, "video_id", "left"), VIDEO_METRICS, "collected_date")
+    return t.select("video_id", "video_title", "channel_title", "collected_date", *VIDEO_METRICS)
+
+
+def by_day(trend: DataFrame) -> DataFrame:
+    """A trend in the order in which it is served: by day, then entity."""
+    return trend.orderBy("collected_date", trend.columns[0])
+
+
 def video_trend(targets: DataFrame, snapshots: DataFrame, videos: DataFrame, as_of,
                 days: int = 90) -> DataFrame:
     """Daily LOCF of views, likes and comments for active videos.
 
     A day is kept only once the video has an observation and the latest
-    observation's ``view_count`` is not NULL.
+    observation's ``view_count`` is not NULL. ``by_day`` orders it.
     """
     obs = snapshots.join(active_keys(targets), "video_id", "left_semi")
-    metrics = ["view_count", "like_count", "comment_count"]
-    spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
+    spans = locf_spans(obs, "video_id", "collected_at", ["ingestion_id"], VIDEO_METRICS, as_of, days,
                        require_not_null="view_count", name="collected_date")
-    # titles are decorated per span (before the days are expanded)
-    dim = videos.select("video_id", F.col("title").alias("video_title"),
-                                           "channel_title")
-    t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
-    return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
+    return _video_days(spans, videos)
 
 
 def video_trend_from_rollup(targets: DataFrame, rollup: DataFrame, videos: DataFrame, as_of,
                             days: int = 90) -> DataFrame:
     """``video_trend`` read from a maintained ``daily_rollup`` of the video
     snapshots (one row per video and day) instead of every snapshot."""
-    metrics = ["view_count", "like_count", "comment_count"]
     r = rollup.join(active_keys(targets), "video_id", "left_semi")
     spans = locf_spans_from_rollup(r, "video_id", as_of, days, require_not_null="view_count",
                                    name="collected_date")
-    dim = videos.select("video_id", F.col("title").alias("video_title"),
-                                           "channel_title")
-    t = expand_spans(spans.join(dim, "video_id", "left"), metrics, "collected_date")
-    return t.select("video_id", "video_title", "channel_title", "collected_date", *metrics)
+    return _video_days(spans, videos)
+
+
+def video_trend_from_seed(targets: DataFrame, rollup: DataFrame, seeds: DataFrame, videos: DataFrame, as_of,
+                          days: int = 90) -> DataFrame:
+    """``video_trend`` read from a rollup and its maintained seeds
+    (``next_seed``): no day before the window's first month is read."""
+    keys = active_keys(targets)
+    spans = locf_spans_from_seed(rollup.join(keys, "video_id", "left_semi"), seeds.join(keys, "video_id", "left_semi"), "video_id",
+                                 as_of, days, require_not_null="view_count", name="collected_date")
+    return _video_days(spans, videos)
 
 
 def active_channels(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:
@@ -134,12 +151,11 @@ def channel_trend(targets: DataFrame, video_snapshots: DataFrame, videos: DataFr
     active video; days whose latest ``subscriber_count`` is NULL are dropped."""
     act = active_channels(targets, video_snapshots, videos).where(F.col("channel_id").isNotNull())
     obs = channel_snapshots.join(act, "channel_id", "left_semi")
-    metrics = ["subscriber_count", "video_count"]
-    spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], metrics, as_of, days,
+    spans = locf_spans(obs, "channel_id", "collected_at", ["ingestion_id"], CHANNEL_METRICS, as_of, days,
                        require_not_null="subscriber_count", name="collected_date")
     dim = channels.select("channel_id", F.col("title").alias("channel_title"))
-    t = expand_spans(spans.join(dim, "channel_id", "left"), metrics, "collected_date")
-    return t.select("channel_id", "channel_title", "collected_date", *metrics)
+    t = expand_spans(spans.join(dim, "channel_id", "left"), CHANNEL_METRICS, "collected_date")
+    return t.select("channel_id", "channel_title", "collected_date", *CHANNEL_METRICS)
 
 
 def latest_videos(targets: DataFrame, snapshots: DataFrame, videos: DataFrame) -> DataFrame:

@@ -106,3 +106,40 @@ def test_trend_from_maintained_rollup_equals_direct(spark):
     got = {(r.video_id, r.day, r.view_count) for r in via.collect()}
     assert got == {(r.video_id, r.day, r.view_count) for r in direct.collect()}
     assert got == brute(rows, [f"v{i}" for i in range(6)], "2024-01-31", 20, False)
+
+
+def test_trend_from_seed_reads_no_history(spark, tmp_path):
+    """Same rows as from all snapshots; both stored tables are pruned to the window's first month on."""
+    from chronoledger.operators.timeseries import daily_rollup, next_seed, seed_day
+    from chronoledger.plans import serve
+
+    obs = spark.range(4000).selectExpr(
+        "concat('v', id % 37) AS video_id", "concat('r', id) AS ingestion_id",
+        "TIMESTAMP_NTZ'2023-01-01' + make_dt_interval(CAST(id * 7919 % 400 AS INT), CAST(id % 24 AS INT)) AS collected_at",
+        "IF(id % 11 = 0, NULL, id) AS view_count", "id AS like_count", "id AS comment_count")
+    obs = obs.where("NOT (video_id = 'v5' AND collected_at >= '2023-03-01')")  # one that is seeded from long before
+    targets = spark.range(37).selectExpr("concat('v', id) AS video_id", "id % 5 <> 0 OR id = 5 AS is_active")
+    videos = targets.selectExpr("video_id", "video_id AS title", "'ch' AS channel_title")
+    as_of, days, name = "2024-01-20", 40, "collected_date"
+    rollup = daily_rollup(obs, "video_id", "collected_at", ["ingestion_id"], serve.VIDEO_METRICS, name=name)
+    rollup.write.partitionBy(name).parquet(f"{tmp_path}/rollup")
+    rollup = spark.read.parquet(f"{tmp_path}/rollup")
+    months = [dt.date(2023, m, 1) for m in range(2, 13)]
+    for since, until in zip([None, *months], months):
+        seed = next_seed(None if since is None else spark.read.parquet(f"{tmp_path}/seeds"), rollup, "video_id", since, until, name)
+        seed.checkpoint().write.mode("append").partitionBy("seed_day").parquet(f"{tmp_path}/seeds")
+    assert seed_day(as_of, days) == dt.date(2023, 12, 1)
+    got = serve.video_trend_from_seed(targets, rollup, spark.read.parquet(f"{tmp_path}/seeds"), videos, as_of, days)
+    want = serve.video_trend(targets, obs, videos, as_of, days)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.where("video_id = 'v5'").count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+    assert any("collected_date" in f and ">= 2023-12-01" in f for f in filters) and any("seed_day" in f and "= 2023-12-01" in f for f in filters)
+
+
+def test_trends_are_served_by_day(spark, sf):
+    from chronoledger.plans import registry as R
+
+    rows = [(r.collected_date, r.video_id) for r in R.QUERIES["video_trend_by_day"](spark, sf).collect()]
+    assert rows == sorted(rows) and len(rows) > 100
