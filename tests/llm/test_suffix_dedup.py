@@ -24,12 +24,14 @@ def _brute(texts, length):
     return out
 
 
-def _check(spark, rows, length=400, **more):
+def _check(spark, rows, length=400, passage=None, **more):
     docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, start int, tkey string").repartition(4)
-    found = S.remove_repeats(docs, length, **more)
+    found = S.remove_repeats(docs, length, passage=passage, **more)
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found.collect())
     want = sorted((str(d), *x) for (d, _), x in zip(rows, _brute([t for _, t in rows], length)))
     assert got == want
+    repeated = sorted((str(d), x[1]) for (d, _), x in zip(rows, _brute([t for _, t in rows], passage or length)))
+    assert sorted((str(r.doc_id), r.n_repeated) for r in found.collect()) == repeated
     return want
 
 
@@ -57,12 +59,21 @@ def test_random_texts(spark, seed):
     assert any(w[2] for w in _check(spark, rows, 64))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_shorter_passages_are_counted_in_the_same_pass(spark, seed):
+    texts = _texts(seed, ["a", "b", "é", "日", " "] if seed else ["a", "b"], 40, 64)
+    rows = list(enumerate(texts)) + [(900, texts[0]), (901, texts[1][:50]), (902, texts[1][:50]), (903, "x" * 45), (904, "x" * 45), (905, "y" * 39), (906, "y" * 39)]
+    _check(spark, rows, 64, passage=40)
+    if seed == 2:
+        _check(spark, rows, 64, passage=40, max_group=3)
+
+
 def test_periodic_and_odd_texts(spark):
     rnd = random.Random(1)
     noise = "".join(rnd.choice("abcdefgh ") for _ in range(900))
     texts = ["x" * 399, "x" * 400, "x" * 401, "y" * 1500, "ab" * 700, "abc" * 500 + "z", noise, noise[100:], noise[:499] + "!" + noise[500:], "é" * 450,
              noise[:399], "q" + noise[200:599], "w" + noise[200:600], "-" * 100 + noise[300:750] + "-" * 100]
-    _check(spark, list(enumerate(texts)))
+    _check(spark, list(enumerate(texts)), passage=S.PASSAGE)
 
 
 def test_large_groups_are_counted_by_window(spark):
@@ -74,7 +85,8 @@ def test_large_groups_are_counted_by_window(spark):
 def test_whole_table(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     rows += [(10_000 + i, t[len(t) // 3:]) for i, (_, t) in enumerate(rows[:20])]
-    assert any(w[2] for w in _check(spark, rows))
+    rows += [(20_000 + i, f"{i} " * 20 + t[200:500] + f" {i}" * 20) for i, (_, t) in enumerate(rows[:20])]
+    assert any(w[2] for w in _check(spark, rows, passage=S.PASSAGE))
 
 
 def test_interval_tree():
