@@ -145,11 +145,15 @@ def _weights(counted: DataFrame, targets: dict, keep: float) -> DataFrame:
     """(a column for each dimension, weight, probability, misfit) of each cell of ``counted`` (the dimensions, n_tokens)."""
     dimensions = list(targets)
     fitted = rake(counted.groupBy(*dimensions).agg(F.sum("n_tokens").alias("n")), targets)
-    whole = fitted.agg(F.sum("n")).first()[0] or 0
+    size = F.lit(64)
+    for d in dimensions:
+        size = size + F.octet_length(d)
+    whole, size = fitted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(size), F.lit(0))).first()
     ratio = F.when(F.col("n") > 0, F.col("share") * F.lit(whole) / F.col("n")).otherwise(0.0)
     most = fitted.agg(F.max(ratio)).first()[0] or 1.0
-    return fitted.select(*dimensions, F.round(F.lit(keep) * ratio, 9).alias("weight"),
-                         F.round(F.least(F.lit(float(keep)), F.lit(1.0) / F.lit(most)) * ratio, 9).alias("probability"), F.round("misfit", 9).alias("misfit"))
+    found = fitted.select(*dimensions, F.round(F.lit(keep) * ratio, 9).alias("weight"),
+                          F.round(F.least(F.lit(float(keep)), F.lit(1.0) / F.lit(most)) * ratio, 9).alias("probability"), F.round("misfit", 9).alias("misfit"))
+    return F.broadcast(found) if size <= BROADCAST_BYTES else found  # texts are not shuffled for a few cells
 
 
 def _counted(docs: DataFrame, names: dict[str, Column] | None, *more: Column) -> DataFrame:

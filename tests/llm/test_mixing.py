@@ -185,3 +185,8 @@ def test_dimensions_of_the_caller(spark, monkeypatch):
     docs = _docs(spark, 100)
     rows = M.sampled(docs, targets={"kind": {"0": .5, "1": .5}}, names={"kind": F.col("doc_id") % 2}, keep=0.2).collect()
     assert len(rows) == 100 and _expected(rows, "kind") == pytest.approx({"0": .5, "1": .5})
+
+
+def test_texts_are_not_shuffled_for_a_few_cells(spark):
+    plan = M.repeated(_docs(spark, 50))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
