@@ -41,7 +41,7 @@ from chronoledger.llm.common import ascii_lower, dropped, shared_folder, whole_t
 RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
 SAMPLE, LEAST_LEAF = 20_000, 16
-CELL_BYTES, CELL_QUERIES = 32 << 20, 60_000
+CELL_BYTES, CELL_QUERIES = 64 << 20, 120_000
 TREE_LEAF, SHORT, TOGETHER = 64, 60, 30_000
 DIMENSIONS = 26 + 64
 WORK = 1 << 18  # numbers compared at once
