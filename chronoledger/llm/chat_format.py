@@ -136,7 +136,9 @@ def digests(formatted: DataFrame) -> DataFrame:
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table, and the conversation of control strings."""
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return table.unionByName(spark.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string"))
+    rows = [F.struct(F.lit(c).cast("bigint").alias("conv_id"), F.lit(t).cast("bigint").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text"))
+            for c, t, r, x in CONTROL]
+    return table.unionByName(spark.range(1).select(F.inline(F.array(*rows))))
 
 
 def _oracle() -> str:
