@@ -73,9 +73,14 @@ def _letters(words: list[str]) -> np.ndarray:
 def counts(letters: np.ndarray) -> np.ndarray:
     """The letter counts of each row. Those past 32,000 are held there, which
     moves no two rows apart."""
-    n = len(letters)
-    cells = _DIMENSION[letters] + np.arange(n)[:, None] * DIMENSIONS
-    return np.minimum(np.bincount(cells.ravel(), minlength=n * DIMENSIONS), 32_000).astype(np.int16).reshape(n, DIMENSIONS)
+    out = np.empty((len(letters), DIMENSIONS), np.int16)
+    step = max(1, 8 * WORK // max(letters.shape[1], DIMENSIONS))  # bincount takes eight bytes a cell
+    for at in range(0, len(letters), step):
+        some = letters[at:at + step]
+        n = len(some)
+        cells = _DIMENSION[some] + np.arange(n)[:, None] * DIMENSIONS
+        out[at:at + n] = np.minimum(np.bincount(cells.ravel(), minlength=n * DIMENSIONS), 32_000).reshape(n, DIMENSIONS)
+    return out
 
 
 def _split(rows: np.ndarray) -> tuple[int, int] | None:
