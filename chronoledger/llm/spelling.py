@@ -4,8 +4,8 @@ One inserted, deleted or replaced letter moves the vector of a word's letter
 counts by an L1 distance of at most two: one up, and, if lengths are equal,
 one down. So for each pair of lengths (l, l) and (l, l + 1) the words of the
 second length stand in k-d trees and those of the first are range queries:
-nodes whose box is farther than that are pruned, and what is left is verified
-letter by letter. Of two words of one length the one with the smaller
+nodes whose box is farther than that are pruned (by bits: counts and boxes
+stand as codes), and what is left is verified letter by letter. Of two words of one length the one with the smaller
 ``rank`` of its letters asks, and nodes without a larger one are pruned.
 
 Words are dealt to cells by length and by the leaves of a top tree. That
@@ -42,9 +42,10 @@ RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
 SAMPLE, LEAST_LEAF = 20_000, 16
 CELL_BYTES, CELL_QUERIES = 64 << 20, 120_000
-TREE_LEAF, SHORT, TOGETHER = 64, 60, 30_000
+TREE_LEAF, STEPS, TOGETHER = 256, 32, 30_000
 DIMENSIONS = 26 + 64
 WORK = 1 << 18  # numbers compared at once
+BATCH = 1 << 12  # pairs given out at once
 
 #: The dimension of each letter, by its code.
 _DIMENSION = np.zeros(256, np.int64)
@@ -98,63 +99,102 @@ def rank(rows: np.ndarray) -> np.ndarray:
     return rows.astype(np.int64) @ np.arange(DIMENSIONS)
 
 
+def _bits(codes: np.ndarray) -> np.ndarray:
+    """The bits set in each column."""
+    return np.bitwise_count(codes).sum(axis=0, dtype=np.uint16)
+
+
+def _thresholds(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(dimensions, thresholds) of the bits of codes, those that halve the
+    rows best first: each value below the largest that a dimension has, or
+    at most ``STEPS`` quantiles where those are more."""
+    found = []
+    for d in np.flatnonzero(rows.max(axis=0) > rows.min(axis=0)):
+        values = np.sort(rows[:, d])
+        steps = np.arange(values[0], values[-1]) if values[-1] - values[0] <= STEPS else np.unique(values[np.arange(STEPS) * len(values) // STEPS])
+        steps = steps[steps < values[-1]]
+        above = len(values) - np.searchsorted(values, steps, "right")
+        found += [(abs(2 * int(n) - len(values)), d, int(t)) for n, t in zip(above, steps)]
+    found.sort()
+    return np.array([d for _, d, _ in found], np.int64), np.array([t for _, _, t in found], np.int64)
+
+
 class Tree:
-    """A k-d tree over rows of counts, with the tight box of each node. It
-    stands in the dimensions that its rows have; what a query counts in others
-    is added to its distances. Arrays are (dimensions x rows), of single bytes
-    where no distance can exceed them."""
+    """A k-d tree over rows of counts, with the tight box of each node.
+
+    Rows and boxes stand as codes: a bit for each dimension and threshold,
+    set where the count is larger. The lower corner of a box is the AND of
+    its rows' codes, the upper one their OR, and the bits that one code has
+    and another lacks are at most the letters that it has more (as many, if
+    every value is a threshold), so nothing near is lost. What a query
+    counts outside of the box of all rows is taken off its allowance first.
+    Arrays are (words of 64 bits x rows)."""
 
     def __init__(self, rows: np.ndarray, leaf: int = TREE_LEAF):
-        self.alive = np.flatnonzero(rows.any(axis=0))
-        self.short = int(rows.sum(axis=1).max(initial=0)) <= SHORT
+        self.low, self.high = rows.min(axis=0), rows.max(axis=0)
+        self.dimensions, self.thresholds = _thresholds(rows)
         self.boxes, self.children, self.members = [], [], []
         todo = [(np.arange(len(rows)), -1)]
-        ranks = rank(rows)
-        rows = np.ascontiguousarray(rows[:, self.alive])
+        ranks, codes = rank(rows), self._codes(rows)
+        rows = np.ascontiguousarray(rows[:, self.high > self.low])
         while todo:
             members, parent = todo.pop()
-            here, node = rows[members], len(self.boxes)
-            self.boxes.append((self._set(here.min(axis=0)), self._set(here.max(axis=0)), int(ranks[members].max())))
+            own, node = codes[:, members], len(self.boxes)
+            self.boxes.append((np.bitwise_and.reduce(own, axis=1), np.bitwise_or.reduce(own, axis=1), int(ranks[members].max())))
             self.children.append([])
             self.members.append(None)
             if parent >= 0:
                 self.children[parent].append(node)
-            cut = _split(here) if len(members) > leaf else None
+            here = rows[members] if len(members) > leaf else None
+            cut = _split(here) if here is not None and here.shape[1] else None
             if cut is None:
-                self.members[node] = members, self._set(here), ranks[members]
+                self.members[node] = members, own, ranks[members]
             else:
                 right = here[:, cut[0]] > cut[1]
                 todo += [(members[~right], node), (members[right], node)]
 
-    def _set(self, rows: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(np.atleast_2d(rows).T.astype(np.int8 if self.short else np.int32))
+    def _codes(self, rows: np.ndarray) -> np.ndarray:
+        words = max(1, -(-len(self.dimensions) // 64))
+        out = np.zeros((words, len(rows)), np.uint64)
+        step = max(1, 4 * WORK // (64 * words))
+        for at in range(0, len(rows), step):
+            bits = np.packbits(rows[at:at + step, self.dimensions] > self.thresholds, axis=1)
+            some = np.zeros((len(bits), 8 * words), np.uint8)
+            some[:, :bits.shape[1]] = bits
+            out[:, at:at + step] = some.view(np.uint64).T
+        return out
 
     def near(self, queries: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(queries, members) of all pairs whose member has one letter more,
-        and (``same``: rows are as long as queries) one less, and the larger rank."""
-        inside = self._set(queries[:, self.alive])
-        ranks = rank(queries) if same else np.full(len(queries), -1)
-        less = (int(same) - np.delete(queries, self.alive, axis=1).sum(axis=1)).astype(inside.dtype)  # what the other dimensions leave
-        todo = [(0, np.flatnonzero(less >= 0))]
+        and (``same``: rows are as long as queries) one less, and the larger
+        rank; where thresholds are quantiles, some that are farther too."""
+        codes, ranks = self._codes(queries), rank(queries) if same else np.full(len(queries), -1)
+        more = 1 - np.maximum(self.low - queries, 0).sum(axis=1)  # letters that members may have beyond the query's
+        less = int(same) - np.maximum(queries - self.high, 0).sum(axis=1)
+        todo = [(0, np.flatnonzero((more >= 0) & (less >= 0)))]
+        more, less = np.maximum(more, 0).astype(np.uint8), np.maximum(less, 0).astype(np.uint8)
         while todo:
             node, asked = todo.pop()
             low, high, most = self.boxes[node]
             asked = asked[ranks[asked] < most]
-            q = inside.take(asked, axis=1)
-            more = np.maximum(low - q, 0).sum(axis=0, dtype=q.dtype) <= 1
-            asked = asked[more & (np.maximum(q - high, 0).sum(axis=0, dtype=q.dtype) <= less[asked])]
+            q = codes.take(asked, axis=1)
+            asked = asked[(_bits(low[:, None] & ~q) <= more[asked]) & (_bits(q & ~high[:, None]) <= less[asked])]
             if not len(asked):
                 continue
             if self.members[node] is None:
                 todo += [(child, asked) for child in self.children[node]]
                 continue
-            members, rows, own = self.members[node]
-            step = max(1, WORK // (len(members) * max(len(self.alive), 1)))
+            members, own, their = self.members[node]
+            step = max(1, WORK // len(members))
             for at in range(0, len(asked), step):
                 some = asked[at:at + step]
-                far = np.abs(inside.take(some, axis=1)[:, :, None] - rows[:, None, :]).sum(axis=0, dtype=rows.dtype)
-                x, y = np.nonzero((far <= less[some][:, None] + 1) & (ranks[some][:, None] < own))
-                yield some[x], members[y]
+                far = np.bitwise_count(codes[0, some][:, None] ^ own[0])
+                x, y = np.divmod(np.flatnonzero(far <= 1 + same), len(members))
+                x = some[x]
+                kept = ranks[x] < their[y]
+                x, y = x[kept], y[kept]
+                kept = _bits(codes.take(x, axis=1) ^ own.take(y, axis=1)) <= more[x] + less[x]
+                yield x[kept], members[y[kept]]
 
 
 class TopTree:
@@ -265,6 +305,19 @@ def _pairs_of(tree: Tree, letters: np.ndarray, asked: np.ndarray) -> Iterator[tu
 PAIRS = "a string, na long, b string, nb long"
 
 
+def _together(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, at least ``BATCH`` at a time."""
+    waiting, n = [], 0
+    for x, y in pairs:
+        waiting.append((x, y))
+        n += len(x)
+        if n >= BATCH:
+            yield tuple(map(np.concatenate, zip(*waiting)))
+            waiting, n = [], 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*waiting)))
+
+
 class _Cell:
     """The members of a cell, and queries that wait to be searched together."""
 
@@ -282,12 +335,11 @@ class _Cell:
             self.tree, self.letters = Tree(counts(rows)), np.ascontiguousarray(rows.T)
         for _, some in _by_length(asked):
             a = [asked[i] for i in some]
-            for q, m in _pairs_of(self.tree, self.letters, np.ascontiguousarray(_letters(a).T)):
-                found = [(some[x], y) for x, y in zip(q.tolist(), m.tolist())]
-                if found:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([asked[x] for x, _ in found]), pa.array([ns[x] for x, _ in found], pa.int64()),
-                        pa.array([self.words[y] for _, y in found]), pa.array([self.ns[y] for _, y in found], pa.int64())], ["a", "na", "b", "nb"])
+            for q, m in _together(_pairs_of(self.tree, self.letters, np.ascontiguousarray(_letters(a).T))):
+                q, m = q.tolist(), m.tolist()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([a[x] for x in q]), pa.array([ns[some[x]] for x in q], pa.int64()),
+                    pa.array([self.words[y] for y in m]), pa.array([self.ns[y] for y in m], pa.int64())], ["a", "na", "b", "nb"])
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

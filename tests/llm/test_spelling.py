@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,57 @@ def test_trees_reach_all_that_is_near():
         assert reach >= {(q, home[m]) for q, m in zip(*map(np.ndarray.tolist, np.nonzero(far <= radius)))}
 
 
+def test_codes_differ_in_as_many_bits_as_letters():
+    rng = np.random.default_rng(2)
+    rows = np.zeros((300, spelling.DIMENSIONS), np.int16)
+    rows[:, 3:30] = rng.integers(0, 5, size=(300, 27))
+    far = np.abs(rows[:, None, :] - rows[None]).sum(axis=2)
+
+    def bits(tree):
+        codes = tree._codes(rows)
+        return np.bitwise_count(codes[:, :, None] ^ codes[:, None]).sum(axis=0)
+    assert (bits(spelling.Tree(rows)) == far).all()
+    rows[:, 40:44] = rng.integers(0, 1000, size=(300, 4))  # more values than bits
+    far = np.abs(rows[:, None, :] - rows[None]).sum(axis=2)
+    tree = spelling.Tree(rows)
+    assert (bits(tree) <= far).all() and (bits(tree) > 2).sum() > 300 * 298 and len(tree.thresholds) <= 27 * 4 + 4 * spelling.STEPS
+
+
+def test_trees_over_many_values_lose_nothing():
+    """Counts of long words, above, below and among those of the tree; a value that most rows share."""
+    rng = np.random.default_rng(3)
+    rows = np.zeros((400, spelling.DIMENSIONS), np.int16)
+    rows[:, :3] = rng.integers(5, 900, size=(400, 3))
+    rows[:, 3] = np.where(rng.integers(0, 20, size=400) == 0, rng.integers(5, 900, size=400), 900)
+    asked = np.repeat(rows, 8, axis=0)
+    for k, q in enumerate(asked):  # one letter less, and one of another kind more or less
+        q[rng.integers(0, 4)] -= 1
+        if k % 2:
+            q[rng.integers(0, 5)] += 1
+    home = np.repeat(np.arange(400), 8)
+    tree = spelling.Tree(rows, leaf=16)
+    for same in (False, True):
+        kept = np.flatnonzero(np.arange(len(asked)) % 2 == same)
+        found = {(int(kept[q]), int(x)) for qs, m in tree.near(asked[kept], same) for q, x in zip(qs, m)}
+        ranks = spelling.rank(asked), spelling.rank(rows)
+        wanted = {(int(q), int(home[q])) for q in kept if not same or ranks[0][q] < ranks[1][home[q]]}
+        assert len(wanted) > 400 and wanted <= found and len(found) < 2 * len(wanted)
+
+
+def test_a_cell_gives_its_pairs_in_few_batches():
+    """Pairs aren't handed out leaf by leaf: each batch costs both sides of the pipe."""
+    words = sorted({f"{a}{b}{c}{d}" for a in "abcdef" for b in "ghijkl" for c in "mnopqr" for d in ("tuvwx", "xwvut", "yyyyy", "zzyzz")})
+    n = len(words)
+
+    def batch(query):
+        return pa.RecordBatch.from_arrays([*[pa.array(np.full(n, 8, np.int32))] * 4, pa.array(np.full(n, query)), pa.array(words), pa.array(np.arange(n))],
+                                          ["length", "leaf", "part", "share", "query", "word", "n"])
+    given = list(spelling._searched(iter([batch(False), batch(True)])))
+    pairs = [tuple(sorted((r["a"], r["b"]))) for g in given for r in g.to_pylist()]
+    assert sorted(pairs) == sorted((a, b) for a in words for b in words if a < b and sum(x != y for x, y in zip(a, b)) == 1)
+    assert len(given) <= len(pairs) / spelling.BATCH + 1
+
+
 def test_long_words_ties_and_hubs(spark):
     long = "ab" * 20_000
     words = {long: 4, long[:-1]: 9, long + "c": 3, "hubby": 100, **{f"hub{chr(0x61 + k)}y": 3 for k in range(26) if k != 1}, **{f"hubb{chr(0xE0 + k)}": 3 for k in range(20)}}
